@@ -81,6 +81,19 @@ def _walk(names: list[str], quota: list[int], shards: int, seed: int):
     return run
 
 
+def _fill(frame: pd.DataFrame) -> pd.DataFrame:
+    """Of the block that a target ends in: documents, larger ones first, that come nearest what is left."""
+    frame = frame.sort_values(["size", "draw"], ascending=[False, True])
+    left, picked = float(frame["left"].iloc[0]), []
+    for size in frame["size"].tolist():
+        picked.append(0 < size <= left)
+        left -= size * picked[-1]
+    frame["picked"] = picked
+    small = frame.index[~frame["picked"] & (frame["size"] > 0) & (frame["size"] < 2 * left)]
+    frame.loc[small[-1:], "picked"] = True
+    return frame.loc[frame["picked"], ["src", "block", "draw", "picked"]]
+
+
 def _source_key(column: str) -> Column:
     return F.coalesce(F.concat(F.lit("="), F.col(column).cast("string")), F.lit("null"))
 
@@ -117,9 +130,8 @@ class Mix:
         by_block = by_block.withColumns({"whole": whole, "edge": edge, "left": F.when(edge, F.col("rest") - (F.col("upto") - F.col("size")))})
         by_block = self.scratch.table(by_block, "blocks")
         edges = by_block.where("edge").select("src", "block", "left")
-        inside = Window.partitionBy("src", "block").orderBy("draw", "doc_id").rowsBetween(Window.unboundedPreceding, 0)
-        last = self.light.join(hint(edges), ["src", "block"]).withColumn("run", F.sum("size").over(inside))
-        last = last.where(F.col("run") - F.col("size") / 2 <= F.col("left")).groupBy("src", "block").agg(F.max("draw").alias("until"))
+        inside = self.light.join(hint(edges), ["src", "block"]).groupBy("src", "block", "draw").agg(F.sum("size").alias("size"), F.first("left").alias("left"))
+        last = self.scratch.table(inside.groupBy("src", "block").applyInPandas(_fill, "src string, block int, draw long, picked boolean"), "last")
         # every taking of a block, numbered within its source: pass by pass, in permuted order
         times = F.col("passes") + (F.col("whole") | F.col("edge")).cast("int")
         takes = by_block.where(times > 0).select("src", "block", "place", F.explode(F.sequence(F.lit(1), times)).alias("pass"))
@@ -130,15 +142,16 @@ class Mix:
         walk = spark.range(0, shards, 1, max(1, min(shards, 64))).mapInPandas(_walk(names, [quota[x] for x in names], shards, seed), "src string, begin long, number long, shard int")
         dealt = walk.select("src", "shard", F.explode(F.sequence(F.col("begin"), F.col("begin") + F.col("number") - 1)).alias("number"))
         placed = takes.join(dealt, ["src", "number"]).groupBy("src", "block").agg(F.sort_array(F.collect_list(F.struct("pass", "shard"))).alias("takes"))
-        chosen = by_block.select("src", "block", "passes", "whole", "edge").join(placed, ["src", "block"]).join(last, ["src", "block"], "left")
+        chosen = by_block.select("src", "block", "passes", "whole", "edge").join(placed, ["src", "block"])
         self.blocks = self.scratch.table(chosen, "chosen").withColumnsRenamed({"passes": "full"})
         self._fits = hint(self.blocks) if few and self.blocks.count() <= BROADCAST_ROWS else self.blocks
+        self._last = hint(last) if last.count() <= BROADCAST_ROWS else last
         self._keys = {"src": _source_key(source_col), "draw": order, "size": n_words(whole_text(text_col))}
 
     def _takes(self, rows: DataFrame) -> DataFrame:
         """rows (with src, block, draw, size) and the takings of each."""
-        found = rows.join(self._fits, ["src", "block"], "left")
-        own = F.when(~F.col("edge") | (F.col("draw") <= F.coalesce("until", F.lit(-(1 << 63)))), F.col("takes")).otherwise(F.slice("takes", 1, F.col("full")))
+        found = rows.join(self._fits, ["src", "block"], "left").join(self._last, ["src", "block", "draw"], "left")
+        own = F.when(~F.col("edge") | F.coalesce("picked", F.lit(False)), F.col("takes")).otherwise(F.slice("takes", 1, F.col("full")))
         return found.withColumn("takes", F.when((F.col("size") > 0) & F.col("takes").isNotNull(), own).otherwise(F.array().cast("array<struct<pass:int,shard:int>>")))
 
     @property
