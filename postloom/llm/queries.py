@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from postloom.llm import exact_dedup, language_id, mixing, near_dedup, packing, quality_rules, sharding
+from postloom.llm import exact_dedup, language_id, mixing, near_dedup, packing, quality_rules, sharding, toxicity, warc
 
 QUERIES = {
     f.__name__: f
@@ -10,15 +10,18 @@ QUERIES = {
         exact_dedup.op1_exact_dedup,
         quality_rules.op3_quality_rules,
         sharding.op4_sharding,
+        warc.op5_warc,
         packing.op6_packing,
         near_dedup.op7_near_dedup,
         mixing.op8_mixing,
         language_id.op9_language_id,
+        toxicity.op10_toxicity,
     )
 }
 
 SQL = {
     "op1_exact_dedup": exact_dedup.SQL,
     "op3_quality_rules": quality_rules.SQL,
+    "op5_warc": warc.SQL,
     "op7_near_dedup": near_dedup.SQL,
 }
