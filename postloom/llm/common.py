@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
+import ctypes
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -81,3 +84,24 @@ def split_bytes(spark: SparkSession, default: int = 128 << 20) -> int:
     said = spark.conf.get("spark.sql.files.maxPartitionBytes", str(default)).lower().rstrip("b")
     units = {"k": 10, "m": 20, "g": 30}
     return int(said[:-1]) << units[said[-1]] if said[-1] in units else int(said)
+
+
+@contextlib.contextmanager
+def rows_at_once(spark: SparkSession, rows: int) -> Iterator[None]:
+    """While it lasts, tasks hand Python so many rows at once: wide rows in small batches bound its memory."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def give_back_memory() -> None:
+    """At the end of a task: what Arrow and the allocator hold but don't use goes back to the machine."""
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL("libc.so.6").malloc_trim(0)

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from postloom.llm.common import Scratch
+from postloom.llm.common import Scratch, give_back_memory, rows_at_once
 from postloom.llm.shingles import Shingler
 
 #: Odds that the sketches of a linked pair share too few values.
@@ -69,6 +69,7 @@ def _sketches(words: int, k: int):
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("rid"), pa.array(n, pa.int64()), pa.array(sigs, pa.binary()), pa.ListArray.from_arrays(pa.array(ends), values)], schema=_SKETCH
             )
+        give_back_memory()
 
     return run
 
@@ -86,6 +87,7 @@ def _full_sets(words: int):
                     yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(sets, pa.binary())], schema=_SETS)
                     ids, sets, size = [], [], 0
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(sets, pa.binary())], schema=_SETS)
+        give_back_memory()
 
     return run
 
@@ -104,6 +106,7 @@ def _verify(percent: int):
                 both = len(np.intersect1d(left, right, assume_unique=True))
                 keep.append(100 * both >= percent * (len(left) + len(right) - both))
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], schema=schema).filter(pa.array(keep, pa.bool_()))
+        give_back_memory()
 
     return run
 
@@ -150,7 +153,8 @@ def near_dedup(docs: DataFrame, words: int = 5, percent: int = 80, k: int = 64,
     text = F.col(text_col).cast("string")
     rid = F.coalesce(F.col(id_col).cast("long"), -1 - F.shiftrightunsigned(F.xxhash64(text), 1))
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), rid.alias("rid"), F.encode(text, "UTF-8").alias("text"))
-    rows = scratch.table(source.mapInArrow(_sketches(words, k), _SKETCH_DDL), "sketches")
+    with rows_at_once(spark, 1000):
+        rows = scratch.table(source.mapInArrow(_sketches(words, k), _SKETCH_DDL), "sketches")
     classes = rows.where("n > 0").groupBy("sig").agg(F.min("rid").alias("c"), F.min("doc_id").alias("head"), F.count("*").alias("copies"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))
     classes = scratch.table(classes, "classes")
 
@@ -177,11 +181,14 @@ def near_dedup(docs: DataFrame, words: int = 5, percent: int = 80, k: int = 64,
         maybe = scratch.table(both.where(fits).select("a", "b"), f"{name}-maybe")
         wanted = maybe.select(F.col("a").alias("rid")).union(maybe.select(F.col("b").alias("rid"))).distinct()
         wanted = scratch.table(wanted, f"{name}-wanted")
-        few = wanted.count() <= BROADCAST_IDS
-        found = source.join(F.broadcast(wanted) if few else wanted, "rid", "left_semi").dropDuplicates(["rid"]) if not few else source.join(F.broadcast(wanted), "rid", "left_semi")
-        sets = scratch.table(found.mapInArrow(_full_sets(words), _SETS_DDL), f"{name}-sets")
-        full = maybe.join(sets.select(F.col("c").alias("b"), F.col("set").alias("set_b")), "b").join(sets.select(F.col("c").alias("a"), F.col("set").alias("set_a")), "a")
-        return scratch.table(full.mapInArrow(_verify(percent), "a long, b long").distinct(), f"{name}-links")
+        if wanted.count() <= BROADCAST_IDS:
+            found = source.join(F.broadcast(wanted), "rid", "left_semi")
+        else:
+            found = source.join(wanted, "rid", "left_semi")
+        with rows_at_once(spark, 200):
+            sets = scratch.table(found.mapInArrow(_full_sets(words), _SETS_DDL), f"{name}-sets")
+            full = maybe.join(sets.select(F.col("c").alias("b"), F.col("set").alias("set_b")), "b").join(sets.select(F.col("c").alias("a"), F.col("set").alias("set_a")), "a")
+            return scratch.table(full.mapInArrow(_verify(percent), "a long, b long").distinct(), f"{name}-links")
 
     stars = lists.groupBy("v").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low < high")
     spokes = lists.join(stars, "v")

@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text that are hashed at once: temporaries take about 40 times this.
-AT_ONCE = 1 << 20
+AT_ONCE = 1 << 18
 
 _U = np.uint64
 
