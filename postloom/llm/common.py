@@ -86,6 +86,17 @@ def split_bytes(spark: SparkSession, default: int = 128 << 20) -> int:
     return int(said[:-1]) << units[said[-1]] if said[-1] in units else int(said)
 
 
+#: Ids that are broadcast at most, 32 MB; beyond it the join shuffles.
+BROADCAST_IDS = 4_000_000
+
+
+def by_ids(docs: DataFrame, ids: DataFrame, id_col: str, how: str) -> DataFrame:
+    """The rows of docs whose id is among ids (left_semi) or isn't (left_anti); null is an id like others."""
+    named = ids.toDF("_id")
+    named = F.broadcast(named) if named.count() <= BROADCAST_IDS else named
+    return docs.join(named, docs[id_col].eqNullSafe(named["_id"]), how)
+
+
 @contextlib.contextmanager
 def rows_at_once(spark: SparkSession, rows: int) -> Iterator[None]:
     """While it lasts, tasks hand Python so many rows at once: wide rows in small batches bound its memory."""

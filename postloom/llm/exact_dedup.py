@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postloom.llm.common import Scratch, split_bytes, whole_text
+from postloom.llm.common import Scratch, by_ids, give_back_memory, rows_at_once, split_bytes, whole_text
 
 #: The deepest directory: a million slots, 16 MB.
 MAX_DEPTH = 20
@@ -112,6 +112,8 @@ def _combine(texts_at_once: int):
                 yield entries()
                 held, size = {}, 0
         yield entries()
+        held = {}
+        give_back_memory()
 
     return run
 
@@ -147,6 +149,7 @@ def _resolve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             done = []
     close()
     yield flush()
+    give_back_memory()
 
 
 def exact_dedup(docs: DataFrame, bucket_bytes: int | None = None, hash_bits: int = 64, id_col: str = "doc_id", text_col: str = "text", combine_bytes: int = COMBINE_BYTES) -> DataFrame:
@@ -159,7 +162,8 @@ def exact_dedup(docs: DataFrame, bucket_bytes: int | None = None, hash_bits: int
     text = whole_text(text_col)
     h = F.shiftleft(F.xxhash64(text), 64 - hash_bits) if hash_bits < 64 else F.xxhash64(text)
     stamped = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.encode(text, "UTF-8").alias("text"), h.alias("h"), F.sha2(F.encode(text, "UTF-8"), 256).alias("sha"))
-    pages = scratch.table(stamped.mapInArrow(_combine(combine_bytes), _PAGE_DDL), "pages")
+    with rows_at_once(spark, 1000):
+        pages = scratch.table(stamped.mapInArrow(_combine(combine_bytes), _PAGE_DDL), "pages")
     entries = pages.where("text is not null").select("entry", "h", "text", "n", "top", "top_row")
 
     def weights(bits: int, only: list[int] | None = None) -> dict[int, int]:
@@ -183,13 +187,29 @@ def exact_dedup(docs: DataFrame, bucket_bytes: int | None = None, hash_bits: int
     owned = entries.withColumn("slot", slot.cast("long")).join(F.broadcast(slots), "slot").drop("slot")
     owners = max(1, min(len(number), -(-total // capacity) * 2))
     owned = owned.repartitionById(owners, F.floor(F.col("bucket").cast("long") * owners / len(number)).cast("int"))
-    index = scratch.table(owned.sortWithinPartitions("h", "entry").mapInArrow(_resolve, _INDEX_DDL), "index")
+    with rows_at_once(spark, 1000):
+        index = scratch.table(owned.sortWithinPartitions("h", "entry").mapInArrow(_resolve, _INDEX_DDL), "index")
     members = pages.where("row is not null").select("row", "doc_id", "sha", "entry")
     return members.join(index, "entry").select(
         "doc_id", "keep_id", "group_size", (F.col("row") == F.col("keep_row")).alias("kept"), F.col("sha").alias("text_sha256"), "bucket"
     )
 
 
+def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of docs that exact_dedup keeps."""
+    decided = Scratch(docs.sparkSession, "exact-dedup").table(exact_dedup(docs, id_col=id_col, text_col=text_col), "decided")
+    by_id = decided.groupBy("doc_id").agg(F.count("*").alias("n"), F.max("kept").alias("stays"))
+    plain = by_ids(docs, by_id.where("n > 1 or not stays").select("doc_id"), id_col, "left_anti")
+    repeated = by_id.where("n > 1").select("doc_id")
+    if not repeated.take(1):
+        return plain
+    # ids of several rows: which of them stays is told by the text
+    keepers = decided.where("kept").join(repeated, decided["doc_id"].eqNullSafe(repeated["doc_id"]), "left_semi").select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha"))
+    rows = by_ids(docs, repeated, id_col, "left_semi").withColumn("_own", F.sha2(F.encode(whole_text(text_col), "UTF-8"), 256))
+    rows = rows.join(keepers, rows[id_col].eqNullSafe(keepers["_id"]) & (F.col("_own") == F.col("_sha")), "left_semi")
+    return plain.unionByName(rows.dropDuplicates([id_col, "_own"]).drop("_own"))
+
+
 def op1_exact_dedup(spark, sf_dir: str) -> DataFrame:
     return exact_dedup(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 

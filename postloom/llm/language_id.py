@@ -21,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from postloom.llm.common import give_back_memory
+
 SEGMENT = 64
 HIDDEN = 8
 #: Segments that go through the network together.
@@ -249,6 +251,28 @@ def identify(docs: DataFrame, model: ByteGRU | None, langs: list[str], id_col: s
     return rows.mapInArrow(_predict(model, langs), "doc_id long, lang_pred string, score double")
 
 
+#: A document is rejected if no language reaches this mean probability.
+LEAST_SCORE = 0.3
+
+
+def keep_identified(docs: DataFrame, model: ByteGRU | None, langs: list[str], least: float = LEAST_SCORE, text_col: str = "text") -> DataFrame:
+    """The rows of docs whose language is known with at least that score: neither `und` nor a guess."""
+    names = docs.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, whole.num_rows, 512):
+                batch = whole.slice(at, 512)
+                known = batch.column("_letters").to_numpy(zero_copy_only=False)
+                score = pooled(model, batch.column("_bytes")).max(1) if model else np.zeros(batch.num_rows)
+                yield batch.select(names).filter(pa.array(known & (score >= least)))
+        give_back_memory()
+
+    text = F.col(text_col).cast("string")
+    rows = docs.withColumns({"_bytes": F.encode(F.coalesce(text, F.lit("")), "UTF-8"), "_letters": F.coalesce(text.rlike(r"\p{L}"), F.lit(False))})
+    return rows.mapInArrow(run, docs.schema)
+
+
 def op9_language_id(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     held = bucket_of("doc_id", 3) == 1

@@ -31,13 +31,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from postloom.llm.common import Scratch, give_back_memory, rows_at_once
+from postloom.llm.common import BROADCAST_IDS, Scratch, by_ids, give_back_memory, rows_at_once
 from postloom.llm.shingles import Shingler
 
 #: Odds that the sketches of a linked pair share too few values.
 MISS = 1e-9
-#: Ids that are broadcast at most; beyond it the join shuffles.
-BROADCAST_IDS = 4_000_000
 
 _SKETCH = pa.schema([("doc_id", pa.int64()), ("rid", pa.int64()), ("n", pa.int64()), ("sig", pa.binary()), ("sketch", pa.list_(pa.int64()))])
 _SKETCH_DDL = "doc_id long, rid long, n long, sig binary, sketch array<long>"
@@ -215,6 +213,13 @@ def near_dedup(docs: DataFrame, words: int = 5, percent: int = 80, k: int = 64,
     return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(False)).alias("kept"))
 
 
+def drop_near_copies(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of docs that near_dedup keeps, one document of each group; rows without an id stay."""
+    decided = near_dedup(docs, words, percent, id_col=id_col, text_col=text_col).where("not kept and doc_id is not null")
+    dropped = Scratch(docs.sparkSession, "near-dedup").table(decided.select("doc_id").distinct(), "dropped")
+    return by_ids(docs, dropped, id_col, "left_anti")
+
+
 def op7_near_dedup(spark, sf_dir: str) -> DataFrame:
     return near_dedup(spark.read.parquet(f"{sf_dir}/documents.parquet"), words=3, percent=85)
 

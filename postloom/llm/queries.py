@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from postloom.llm import exact_dedup, language_id, mixing, near_dedup, packing, quality_rules, sharding, toxicity, warc
+from postloom.llm import exact_dedup, language_id, license_scan, mixing, near_dedup, packing, quality_rules, sharding, toxicity, warc
 
 QUERIES = {
     f.__name__: f
     for f in (
         exact_dedup.op1_exact_dedup,
+        license_scan.op2_license_scan,
         quality_rules.op3_quality_rules,
         sharding.op4_sharding,
         warc.op5_warc,
@@ -19,9 +20,13 @@ QUERIES = {
     )
 }
 
-SQL = {
-    "op1_exact_dedup": exact_dedup.SQL,
-    "op3_quality_rules": quality_rules.SQL,
-    "op5_warc": warc.SQL,
-    "op7_near_dedup": near_dedup.SQL,
-}
+
+def sql() -> dict[str, str]:
+    """SQL that gives the same rows, for the queries that SQL can express."""
+    return {
+        "op1_exact_dedup": exact_dedup.SQL,
+        "op2_license_scan": license_scan.oracle(),
+        "op3_quality_rules": quality_rules.SQL,
+        "op5_warc": warc.SQL,
+        "op7_near_dedup": near_dedup.SQL,
+    }
