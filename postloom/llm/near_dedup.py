@@ -6,13 +6,16 @@
    others a class is listed under the rarest only. Two sets with the similarity asked for share at least t
    of k retained values (but for odds of MISS), so that the first k - t + 1 of either meet. A passage that
    thousands of documents share is among the frequent values, and lists them only if most of a sketch is such.
-3. In each list, everyone is compared with its smallest and largest member first. What these stars have
-   linked needs no more pairs: a second round compares only members of a list still in different components.
-4. The union's sketch estimates the similarity of a pair; pairs that may reach the threshold are verified
-   on the full sets.
-5. Components grow by large and small stars over the links, each round a written table.
+3. The member of a list with the fewest values of its own is its pivot; near copies so share few pivots. The
+   members of a pivot's lists form its group, and all pairs that share a list are in a group together. Groups
+   are cut into blocks, and a task takes two blocks and the pivot.
+4. The sketches in a task estimate who has a partner at all; only those members' full sets are fetched.
+5. With the full sets, everyone is verified against the pivot first. What is linked with it needs no more
+   comparisons among itself; the others are compared with the rest, as far as sizes and the shingles that
+   nobody else in the group has allow a link. Tasks return the links of a spanning forest, never all pairs.
+6. Components grow by large and small stars over the links, each round a written table.
 
-No group is collected and no list is expanded into all its pairs; components stay on the executors.
+No list is expanded into all its pairs, a task holds two blocks at most, and components stay on the executors.
 
 Defined cases: texts without words (or null) have no shingles and link with nothing. A text with fewer words
 than a shingle has one shingle, of all its words. Rows that share a doc_id are one document and link. Null
@@ -39,6 +42,8 @@ MISS = 1e-9
 
 _SKETCH = pa.schema([("doc_id", pa.int64()), ("rid", pa.int64()), ("n", pa.int64()), ("sig", pa.binary()), ("sketch", pa.list_(pa.int64()))])
 _SKETCH_DDL = "doc_id long, rid long, n long, sig binary, sketch array<long>"
+#: Members of a group that a block holds.
+BLOCK = 512
 _SETS = pa.schema([("c", pa.int64()), ("set", pa.binary())])
 _SETS_DDL = "c long, set binary"
 
@@ -90,20 +95,125 @@ def _full_sets(words: int):
     return run
 
 
-def _verify(percent: int):
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The rows of each (p, bi, bj), which come one after the other."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keys = np.stack([batch.column(k).to_numpy() for k in ("p", "bi", "bj")])
+        cuts = np.concatenate([[0], np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(0)) + 1, [batch.num_rows]])
+        for low, high in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+            part = batch.slice(low, high - low)
+            if held and any(held[-1].column(k)[0] != part.column(k)[0] for k in ("p", "bi", "bj")):
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(part)
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def shared_counts(values: np.ndarray, owner: np.ndarray, members: int) -> np.ndarray:
+    """How many values each two members share, given who has each value."""
+    order = np.argsort(values, kind="stable")
+    values, owner = values[order], owner[order]
+    cuts = np.concatenate([[0], np.flatnonzero(values[1:] != values[:-1]) + 1, [len(values)]])
+    counts = np.zeros((members, members), np.int32)
+    for low, high in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+        if high - low > 1:
+            own = owner[low:high]
+            counts[own[:, None], own[None, :]] += 1
+    np.fill_diagonal(counts, 0)
+    return counts
+
+
+def _hopeful(k: int, percent: int, least: int):
+    """Members of a group that have a partner by the sketches; the pivot always stays with them."""
+    schema = pa.schema([("p", pa.int64()), ("bi", pa.int32()), ("bj", pa.int32()), ("c", pa.int64()), ("block", pa.int32())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        done: list[pa.Table] = []
+        for group in _runs(batches):
+            sketch = group.column("sketch").combine_chunks()
+            n = group.column("n").to_numpy()
+            lengths = np.diff(sketch.offsets.to_numpy())
+            flat = sketch.flatten().to_numpy()
+            common = shared_counts(flat, np.repeat(np.arange(len(n)), lengths), len(n))
+            small, large = np.minimum(n[:, None], n[None, :]), np.maximum(n[:, None], n[None, :])
+            exact = common * 100 >= percent * (n[:, None] + n[None, :] - common)
+            fits = np.where(large <= k, exact, common >= np.where(small * 100 <= percent * k, -(-small * percent // 100), least))
+            stays = (fits & (small * 100 >= large * percent) & (common > 0)).any(1)
+            block = group.column("block").to_numpy()
+            stays |= (block < 0) & stays.any()
+            if stays.sum() > 1:
+                done.append(group.select(schema.names).filter(pa.array(stays)))
+            if len(done) > 500:
+                yield from pa.concat_tables(done).cast(schema).combine_chunks().to_batches()
+                done = []
+        if done:
+            yield from pa.concat_tables(done).cast(schema).combine_chunks().to_batches()
+        give_back_memory()
+
+    return run
+
+
+def spanning_links(sets: list[np.ndarray], block: np.ndarray, percent: int) -> list[tuple[int, int]]:
+    """Links between members of a group that join all who are connected; member 0 is compared with all first.
+
+    Members of two different blocks are compared, or of one if there is but one; block -1 is the pivot's.
+    """
+    n = np.array([len(s) for s in sets])
+    flat = np.concatenate(sets)
+    owner = np.repeat(np.arange(len(sets)), n)
+    _, inverse, times = np.unique(flat, return_inverse=True, return_counts=True)
+    # what others have too: no intersection can be larger
+    known = n - np.bincount(owner[times[inverse] == 1], minlength=len(sets))
+    label, links = np.arange(len(sets)), []
+    one_block = len(set(block[block >= 0].tolist())) < 2
+    begin = np.cumsum(n) - n
+
+    def compare(x: int, among: np.ndarray) -> None:
+        most = np.minimum(known[x], known[among])
+        able = (100 * most >= percent * (n[x] + n[among] - most)) & (label[among] != label[x])
+        among = among[able]
+        if not len(among):
+            return
+        tokens = np.concatenate([inverse[begin[y] : begin[y] + n[y]] for y in among])
+        has = np.zeros(len(times), bool)
+        has[inverse[begin[x] : begin[x] + n[x]]] = True
+        edges = np.cumsum(n[among]) - n[among]
+        common = np.add.reduceat(has[tokens].astype(np.int64), edges)
+        for y in among[100 * common >= percent * (n[x] + n[among] - common)].tolist():
+            if label[x] != label[y]:
+                links.append((x, y))
+                label[label == label[y]] = label[x]
+
+    everyone = np.arange(len(sets))
+    compare(0, everyone[1:])
+    for x in np.flatnonzero(label != label[0]).tolist():
+        rest = everyone[1:]
+        # of two that are both apart from the pivot, the later is compared with the earlier
+        rest = rest[(label[rest] == label[0]) | (rest < x)]
+        compare(x, rest if one_block else rest[block[rest] != block[x]])
+    return links
+
+
+def _link(percent: int):
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep, last, left = [], None, None
-            sets_a, sets_b, ids = batch.column("set_a"), batch.column("set_b"), batch.column("a").to_pylist()
-            for i, a in enumerate(ids):
-                if a != last:
-                    last, left = a, np.frombuffer(sets_a[i].as_py(), np.uint64)
-                right = np.frombuffer(sets_b[i].as_py(), np.uint64)
-                both = len(np.intersect1d(left, right, assume_unique=True))
-                keep.append(100 * both >= percent * (len(left) + len(right) - both))
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], schema=schema).filter(pa.array(keep, pa.bool_()))
+        found: list[tuple[int, int]] = []
+        for group in _runs(batches):
+            block = group.column("block").to_numpy()
+            order = np.argsort(block, kind="stable")  # the pivot first
+            ids = group.column("c").to_numpy()[order]
+            data = group.column("set")
+            sets = [np.frombuffer(data[i].as_py(), np.uint64) for i in order.tolist()]
+            found += [(int(ids[x]), int(ids[y])) for x, y in spanning_links(sets, block[order], percent)]
+            if len(found) > 10_000:
+                yield pa.RecordBatch.from_arrays([pa.array([f[0] for f in found], pa.int64()), pa.array([f[1] for f in found], pa.int64())], schema=schema)
+                found = []
+        yield pa.RecordBatch.from_arrays([pa.array([f[0] for f in found], pa.int64()), pa.array([f[1] for f in found], pa.int64())], schema=schema)
         give_back_memory()
 
     return run
@@ -164,45 +274,31 @@ def near_dedup(docs: DataFrame, words: int = 5, percent: int = 80, k: int = 64,
     listed = values.join(frequent, "v").groupBy("c").agg(F.first("n").alias("n"), F.sort_array(F.collect_list(F.struct("df", "v"))).alias("vs"))
     # a class's first values are those that nobody shares; of the places left, the rarest
     places = size - shared_least + 1 - (size - F.size("vs"))
-    listed = listed.where(F.size("vs") >= shared_least).select("c", "n", F.explode(F.slice("vs", 1, F.greatest(places, F.lit(0)).cast("int"))).alias("x"))
-    lists = scratch.table(listed.select("c", "n", F.col("x.v").alias("v")), "lists")
-
-    def links(pairs: DataFrame, name: str) -> DataFrame:
-        """Of pairs (a, b), those that are linked."""
-        own = classes.select("c", "n", "sketch")
-        both = pairs.join(own.select(F.col("c").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa")), "a")
-        both = both.join(own.select(F.col("c").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb")), "b")
-        both = both.where(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent)
-        union = F.slice(F.sort_array(F.array_union("sa", "sb")), 1, k)
-        common = F.size(F.array_intersect(union, F.array_intersect("sa", "sb")))
-        fits = F.when(F.size(union) < k, common * 100 >= F.size(union) * percent).otherwise(common >= t_k)
-        maybe = scratch.table(both.where(fits).select("a", "b"), f"{name}-maybe")
-        wanted = maybe.select(F.col("a").alias("rid")).union(maybe.select(F.col("b").alias("rid"))).distinct()
-        wanted = scratch.table(wanted, f"{name}-wanted")
-        if wanted.count() <= BROADCAST_IDS:
-            found = source.join(F.broadcast(wanted), "rid", "left_semi")
-        else:
-            found = source.join(wanted, "rid", "left_semi")
-        with rows_at_once(spark, 200):
-            sets = scratch.table(found.mapInArrow(_full_sets(words), _SETS_DDL), f"{name}-sets")
-            full = maybe.join(sets.select(F.col("c").alias("b"), F.col("set").alias("set_b")), "b").join(sets.select(F.col("c").alias("a"), F.col("set").alias("set_a")), "a")
-            return scratch.table(full.mapInArrow(_verify(percent), "a long, b long").distinct(), f"{name}-links")
-
-    stars = lists.groupBy("v").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low < high")
-    spokes = lists.join(stars, "v")
-    pairs = spokes.where("c > low").select(F.col("low").alias("a"), F.col("c").alias("b")).union(spokes.where("c < high").select(F.col("c").alias("a"), F.col("high").alias("b")))
-    pairs = scratch.table(pairs.distinct(), "star-pairs")
-    found = links(pairs, "star")
-    label = components(found, scratch, "star-cc")
-    named = scratch.table(lists.join(label, "c", "left").select("v", "c", "n", F.coalesce("label", "c").alias("label")), "named")
-    apart = named.groupBy("v").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("v")
-    left = named.join(apart, "v")
-    right = left.select("v", F.col("c").alias("b"), F.col("n").alias("nb"), F.col("label").alias("label_b"))
-    rest = left.select("v", F.col("c").alias("a"), "n", "label").join(right, "v").where("a < b and label <> label_b")
-    rest = rest.where(F.least("n", "nb") * 100 >= F.greatest("n", "nb") * percent).select("a", "b").distinct()
-    rest = scratch.table(rest.join(pairs, ["a", "b"], "left_anti"), "rest-pairs")
-    found = found.union(links(rest, "rest"))
-    label = scratch.table(components(found, scratch, "cc"), "labels")
+    alone = F.round(1 - F.size("vs") / size, 3)
+    listed = listed.where(F.size("vs") >= shared_least).select("c", F.struct(alone.alias("alone"), (-F.col("n")).alias("n"), "c").alias("rank"), F.explode(F.slice("vs", 1, F.greatest(places, F.lit(0)).cast("int"))).alias("x"))
+    lists = scratch.table(listed.select("c", "rank", F.col("x.v").alias("v")), "lists")
+
+    # Groups around pivots, in blocks: (p, bi, bj) is a task's share, block the member's own or -1 for the pivot.
+    pivots = lists.groupBy("v").agg(F.min("rank").alias("best"), F.count("*").alias("listed")).where("listed > 1").select("v", F.col("best.c").alias("p"))
+    members = lists.join(pivots, "v").where("c <> p").select("p", "c").distinct()
+    members = scratch.table(members, "memberships")
+    blocks = members.groupBy("p").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    placed = members.join(blocks, "p").select("p", "c", F.pmod(F.xxhash64("c"), F.col("blocks")).cast("int").alias("block"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    placed = placed.select("p", F.least("block", "other").alias("bi"), F.greatest("block", "other").alias("bj"), "c", "block")
+    placed = scratch.table(placed, "members")
+    pivot_rows = placed.select("p", "bi", "bj", F.col("p").alias("c"), F.lit(-1).alias("block")).distinct()
+    own = classes.select("c", "n", "sketch")
+    groups = placed.union(pivot_rows).join(own, "c").repartition("p", "bi", "bj").sortWithinPartitions("p", "bi", "bj", "block", "c")
+    hopeful = groups.select("p", "bi", "bj", "c", "block", "n", "sketch").mapInArrow(_hopeful(k, percent, t_k), "p long, bi int, bj int, c long, block int")
+    with rows_at_once(spark, 2000):
+        hopeful = scratch.table(hopeful, "hopeful")
+    wanted = scratch.table(hopeful.select(F.col("c").alias("rid")).distinct(), "wanted")
+    found = source.join(F.broadcast(wanted) if wanted.count() <= BROADCAST_IDS else wanted, "rid", "left_semi")
+    with rows_at_once(spark, 200):
+        sets = scratch.table(found.mapInArrow(_full_sets(words), _SETS_DDL), "sets")
+        full = hopeful.join(sets, "c").repartition("p", "bi", "bj").sortWithinPartitions("p", "bi", "bj", "block", "c")
+        links = scratch.table(full.mapInArrow(_link(percent), "a long, b long"), "links")
+    label = scratch.table(components(links, scratch, "cc"), "labels")
 
     # From classes to rows: only classes of several rows or with links need a look-up.
     moved = classes.where("head is not null or copies > 1").join(label, "c", "left").where("copies > 1 or label is not null").select("sig", "head", F.coalesce("label", "c").alias("label"))
