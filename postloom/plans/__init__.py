@@ -1 +1,6 @@
-"""Part of postloom."""
+"""Queries over the logical tables, each with SQL that gives the same rows."""
+
+from postloom.plans import jobs
+
+QUERIES = {**jobs.QUERIES}
+SQL = {**jobs.SQL}
