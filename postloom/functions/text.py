@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -10,7 +12,20 @@ BOUNDARY = r"(?:(?<![A-Za-z0-9_])(?=[A-Za-z0-9_])|(?<=[A-Za-z0-9_])(?![A-Za-z0-9
 
 
 def pattern(p: str) -> str:
-    return p.replace(r"\b", BOUNDARY)
+    """p with each \\b as an ASCII word boundary; where its neighbour shows which side is the word, a single look."""
+    out, last = [], 0
+    for m in re.finditer(r"\\b", p):
+        out.append(p[last : m.start()])
+        before, after = p[: m.start()], p[m.end() :]
+        group = before[before.rfind("(") :] if before.endswith(")") else ""
+        if after[:1].isalnum() or after[:1] == "(":
+            out.append(r"(?<![A-Za-z0-9_])")
+        elif (before[-1:].isalnum() or before[-1:] == "?" or (group and r"\." not in group)) and not before.endswith(r"\."):
+            out.append(r"(?![A-Za-z0-9_])")
+        else:
+            out.append(BOUNDARY)
+        last = m.end()
+    return "".join([*out, p[last:]])
 
 
 def matches(text: Column, p: str) -> Column:

@@ -352,9 +352,12 @@ def preference() -> list[Column]:
     ]
 
 
-def winners(jobs: DataFrame) -> DataFrame:
-    """Rows with component, DedupeGroupSize, DedupeRank and DedupeSelected."""
-    found = components(dedupe_keys(jobs).select("seq", "keys"))
+def winners(jobs: DataFrame, keyed: DataFrame | None = None) -> DataFrame:
+    """Rows with component, DedupeGroupSize, DedupeRank and DedupeSelected.
+
+    keyed may give the same rows with no more than their duplicate flags, which spares the rounds the rest.
+    """
+    found = components(dedupe_keys(jobs if keyed is None else keyed).select("seq", "keys"))
     df = jobs.join(found, jobs["seq"] == found["id"]).drop("id")
     own = Window.partitionBy("component")
     df = df.withColumns({"DedupeGroupSize": F.count("*").over(own), "DedupeRank": F.row_number().over(own.orderBy(*preference()))})

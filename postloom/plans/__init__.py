@@ -1,6 +1,6 @@
 """Queries over the logical tables, each with SQL that gives the same rows."""
 
-from postloom.plans import jobs
+from postloom.plans import boards, jobs, snapshots
 
-QUERIES = {**jobs.QUERIES}
-SQL = {**jobs.SQL}
+QUERIES = {**jobs.QUERIES, **boards.QUERIES, **snapshots.QUERIES}
+SQL = {**jobs.SQL, **boards.SQL, **snapshots.SQL}

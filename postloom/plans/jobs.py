@@ -191,6 +191,10 @@ def enriched(spark, sf_dir: str) -> DataFrame:
     return P.enriched(jobs(spark, sf_dir))
 
 
+def won(spark, sf_dir: str) -> DataFrame:
+    return P.winners(enriched(spark, sf_dir), P.with_duplicate_flags(jobs(spark, sf_dir)))
+
+
 # ---- row-level operators
 
 @query(f"with {ARRANGED} select seq, RemoteStatus, RemoteSignal, RemoteConfidence, LocationCountrySignal, USRemoteEligible from a")
@@ -386,14 +390,14 @@ _won = f"{_components}, won as (select e.*, component, count(*) over (partition
 @query(f"with recursive {ENRICHED}, {_won} select seq, component, DedupeGroupSize, DedupeRank, DedupeRank = 1 as DedupeSelected from won")
 def w5_winners(spark, sf_dir):
     _checkpoints(spark)
-    return P.winners(enriched(spark, sf_dir)).select("seq", "component", "DedupeGroupSize", F.col("DedupeRank").cast("long").alias("DedupeRank"), "DedupeSelected")
+    return won(spark, sf_dir).select("seq", "component", "DedupeGroupSize", F.col("DedupeRank").cast("long").alias("DedupeRank"), "DedupeSelected")
 
 
 @query(f"with recursive {ENRICHED}, {_won} select component, any_value(DedupeGroupSize) as DedupeGroupSize, max(case when DedupeRank = 1 then seq end) as SelectedSeq, max(case when DedupeRank = 1 then 'Selected from ' || DedupeGroupSize || ' rows | WriterFitScore ' || WriterFitScore || ' | tier ' || WriterFitTier || ' | quality ' || ExportQualityFlag || ' | ATS ' || ATS end) as SelectionReason, "
        "string_agg(ATS || ' / ' || Company || ' / ' || coalesce(nullif(Title, ''), 'unknown title') || ' / ' || WriterFitScore || ' / ' || WriterFitTier || case when URL <> '' then ' / ' || URL else '' end, ' || ' order by DedupeRank) filter (DedupeRank > 1) as RejectedRowsSummary from won where DedupeGroupSize > 1 group by component")
 def w6_decisions(spark, sf_dir):
     _checkpoints(spark)
-    rows = P.winners(enriched(spark, sf_dir)).where("DedupeGroupSize > 1")
+    rows = won(spark, sf_dir).where("DedupeGroupSize > 1")
     first = F.col("DedupeRank") == 1
     reason = F.concat(F.lit("Selected from "), "DedupeGroupSize", F.lit(" rows | WriterFitScore "), "WriterFitScore", F.lit(" | tier "), "WriterFitTier", F.lit(" | quality "), "ExportQualityFlag", F.lit(" | ATS "), "ATS")
     line = F.concat_ws(" / ", "ATS", "Company", F.coalesce(F.nullif("Title", F.lit("")), F.lit("unknown title")), "WriterFitScore", "WriterFitTier", F.nullif("URL", F.lit("")))
