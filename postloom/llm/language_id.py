@@ -31,6 +31,8 @@ BATCH = 4096
 PER_LANGUAGE = 400
 SEGMENTS_EACH = 8
 EPOCHS = 8
+#: Parts of a language that the sample is first chosen in.
+PARTS = 64
 UNKNOWN = "und"
 
 
@@ -226,9 +228,10 @@ def learn(docs: DataFrame, learnable: Column, per_language: int = PER_LANGUAGE,
     """A network and the languages it knows, from the learnable rows that name a language."""
     draw = F.xxhash64(F.col(id_col), F.lit(17))
     own = docs.where(learnable & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    light = own.select(F.col(lang_col).alias("lang"), draw.alias("draw"))
-    first = Window.partitionBy("lang").orderBy("draw")
-    upto = light.withColumn("place", F.row_number().over(first)).where(F.col("place") <= per_language).groupBy("lang").agg(F.max("draw").alias("upto")).collect()
+    light = own.select(F.col(lang_col).alias("lang"), draw.alias("draw")).withColumn("part", F.pmod("draw", F.lit(PARTS)))
+    for by in (("lang", "part"), ("lang",)):  # in two steps, so that a language of most rows doesn't meet in one task
+        light = light.withColumn("place", F.row_number().over(Window.partitionBy(*by).orderBy("draw"))).where(F.col("place") <= per_language).drop("place")
+    upto = light.groupBy("lang").agg(F.max("draw").alias("upto")).collect()
     if not upto:
         return None, []
     langs = sorted(r.lang for r in upto)

@@ -162,14 +162,14 @@ class Mix:
 
     def rows(self) -> DataFrame:
         """The rows of docs as often as the mix takes them, with pass and shard, shuffled within their shard."""
-        own = ["src", "draw", "size", "block"]
         names = {c: f"_own_{i}" for i, c in enumerate(self.docs.columns)}
         keyed = self.docs.withColumns({f"_mix_{k}": v for k, v in self._keys.items()}).withColumnsRenamed(names)
         keyed = keyed.withColumnsRenamed({f"_mix_{k}": k for k in self._keys})
         keyed = keyed.join(self._hint(self.plan.select("src", "blocks")), "src").withColumn("block", F.pmod(F.col("draw"), F.col("blocks")).cast("int"))
-        taken = self._takes(keyed).select(*names.values(), *own, F.explode("takes").alias("t"))
-        taken = taken.withColumns({"shard": F.col("t.shard"), "pass": F.col("t.pass")}).withColumnsRenamed({v: k for k, v in names.items() if k not in {"shard", "pass"}})
-        return taken.withColumn("_order", F.xxhash64("draw", "pass", "shard")).select(*[c for c in self.docs.columns if c not in {"shard", "pass"}], "shard", "pass", "_order")
+        taken = self._takes(keyed).select(*names.values(), "draw", F.explode("takes").alias("take"))
+        kept = [F.col(n).alias(c) for c, n in names.items() if c not in {"shard", "pass", "_order"}]
+        own = [F.col("take.shard").alias("shard"), F.col("take.pass").alias("pass")]
+        return taken.select(*kept, *own, F.xxhash64("draw", "take.pass", "take.shard").alias("_order"))
 
     def write(self, path: str) -> None:
         """One folder a shard, its rows in shuffled order; a shard's tasks follow from the session's shuffle partitions."""
