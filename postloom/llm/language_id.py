@@ -26,7 +26,7 @@ from postloom.llm.common import give_back_memory
 SEGMENT = 64
 HIDDEN = 8
 #: Segments that go through the network together.
-BATCH = 4096
+BATCH = 2048
 #: The sample that is learned from: documents of a language, and segments of a document.
 PER_LANGUAGE = 400
 SEGMENTS_EACH = 8
@@ -216,6 +216,7 @@ def _predict(model: ByteGRU | None, langs: list[str]):
                     best, score = p.argmax(1), np.where(known, np.clip(p.max(1), 0, 1), 0)
                 names = [langs[b] if k else UNKNOWN for b, k in zip(best, known)]
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(names), pa.array(score)], schema=schema)
+        give_back_memory()
 
     return run
 

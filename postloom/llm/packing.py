@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postloom.llm.common import Scratch, whole_text
+from postloom.llm.common import Scratch, give_back_memory, rows_at_once, whole_text
 
 LENGTH = 2048
 END = 0
@@ -83,6 +83,7 @@ def _pieces(vocabulary: str | None, length: int, with_ids: bool):
                         uid += 1
                 cols = list(zip(*rows)) or [[]] * len(schema)
                 yield pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(cols, schema)], schema=schema)
+        give_back_memory()
 
     return run
 
@@ -200,6 +201,7 @@ def _island(capacity: int, generations: int, population: int, epoch: int):
                 out.append((r["block"], r["island"], len(best), _to_bytes(best, len(lengths))))
             cols = list(zip(*out)) or [[]] * 4
             yield pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(cols, schema)], schema=schema)
+        give_back_memory()
 
     return run
 
@@ -212,7 +214,8 @@ def pack(
     spark = docs.sparkSession
     scratch = Scratch(spark, "packing")
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), whole_text(text_col).alias("text"))
-    pieces = scratch.table(texts.mapInArrow(_pieces(vocabulary, length, with_ids), _PIECE_DDL + ", ids binary" * with_ids), "pieces")
+    with rows_at_once(spark, 1000):
+        pieces = scratch.table(texts.mapInArrow(_pieces(vocabulary, length, with_ids), _PIECE_DDL + ", ids binary" * with_ids), "pieces")
     short = pieces.where(F.col("length") < length).select("uid", "length")
     blocks = max(1, -(-short.count() // block))
     groups = short.groupBy(F.pmod(F.xxhash64("uid"), F.lit(blocks)).alias("block")).agg(F.sort_array(F.collect_list(F.struct("uid", F.col("length").cast("int").alias("length")))).alias("own"))

@@ -31,6 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from postloom.llm.common import give_back_memory
 from postloom.llm.language_id import bucket_of
 
 WINDOW = 32
@@ -203,6 +204,7 @@ def _scored(model: Model | None):
                 texts = batch.column("text").to_pylist()
                 score = model.score(figures(distances, texts)) if model else np.zeros(len(texts))
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(score)], schema=schema)
+        give_back_memory()
 
     return run
 
