@@ -145,3 +145,17 @@ SEVERE_NON_WRITER = [
     "therapist", "nurse", "clinical", "software engineer", "backend engineer", "frontend engineer", "full stack engineer", "full-stack engineer", "data engineer", "security engineer",
     "devops engineer", "platform engineer", "product engineer", "member of technical staff",
 ]
+
+# The second generation of title rules: tokens, keywords in their order, and domains.
+CORE_STRONG = ["writer", "writing", "editor", "edit", "docs", "doc", "docusaurus", "documentation", "technical", "technical-writing"]
+CORE_WEAK = ["developer", "devops", "content", "author", "product", "engineering", "program", "manager", "specialist"]
+CORE_LEADERSHIP = ["head of", "vp of", "director of", "vice president", "chief", "executive", "principal", "senior director", "distinguished", "fellows"]
+CORE_IC = ["lead", "senior", "principal", "staff", "engineer", "writer", "editor", "architect", "consultant", "specialist"]
+CORE_SENIORITY = ["lead", "senior", "principal", "staff", "director", "vp", "chief", "executive", "distinguished"]
+CORE_DOMAINS = [
+    ("Documentation/Content", ["writer", "writing"]), ("Developer Relations", ["developer advocate", "devrel"]), ("Developer Education", ["education", "enablement"]), ("Knowledge Management", ["knowledge", "publishing"]),
+]
+
+# Titles with these don't match a watchlist title without them, though they contain it.
+MARKETING = ["content marketing", "demand generation", "growth marketing", "marketing content", "product marketing", "social media"]
+VARIANTS = {"sr": "senior", "tech": "technical"}

@@ -1,6 +1,6 @@
 """Queries over the logical tables, each with SQL that gives the same rows."""
 
-from postloom.plans import boards, jobs, snapshots
+from postloom.plans import boards, jobs, snapshots, variants
 
-QUERIES = {**jobs.QUERIES, **boards.QUERIES, **snapshots.QUERIES}
-SQL = {**jobs.SQL, **boards.SQL, **snapshots.SQL}
+QUERIES = {**jobs.QUERIES, **boards.QUERIES, **snapshots.QUERIES, **variants.QUERIES}
+SQL = {**jobs.SQL, **boards.SQL, **snapshots.SQL, **variants.SQL}
