@@ -56,9 +56,13 @@ def encoder(vocabulary: str | None = None):
     import public_tokenizers
     import tiktoken
 
-    lines = Path(vocabulary or vocabulary_path()).read_bytes().splitlines()
-    ranks = {base64.b64decode(token): int(rank) for token, rank in (line.split() for line in lines if line)}
-    return tiktoken.Encoding("byte_bpe_50k", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    # Functions travel by value, so only an imported module outlives a task; a worker then builds it once.
+    made, path = vars(tiktoken).setdefault("_postloom_encoders", {}), vocabulary or vocabulary_path()
+    if path not in made:
+        lines = Path(path).read_bytes().splitlines()
+        ranks = {base64.b64decode(token): int(rank) for token, rank in (line.split() for line in lines if line)}
+        made[path] = tiktoken.Encoding("byte_bpe_50k", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    return made[path]
 
 
 def _pieces(vocabulary: str | None, length: int, with_ids: bool):
@@ -214,7 +218,7 @@ def pack(
     spark = docs.sparkSession
     scratch = Scratch(spark, "packing")
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), whole_text(text_col).alias("text"))
-    with rows_at_once(spark, 1000):
+    with rows_at_once(spark, 250):
         pieces = scratch.table(texts.mapInArrow(_pieces(vocabulary, length, with_ids), _PIECE_DDL + ", ids binary" * with_ids), "pieces")
     short = pieces.where(F.col("length") < length).select("uid", "length")
     blocks = max(1, -(-short.count() // block))
