@@ -1,6 +1,7 @@
 """Queries over the logical tables, each with SQL that gives the same rows."""
 
-from postloom.plans import boards, jobs, snapshots, variants
+from postloom.plans import boards, jobs, package, snapshots, variants
 
-QUERIES = {**jobs.QUERIES, **boards.QUERIES, **snapshots.QUERIES, **variants.QUERIES}
-SQL = {**jobs.SQL, **boards.SQL, **snapshots.SQL, **variants.SQL}
+PARTS = (jobs, boards, snapshots, variants, package)
+QUERIES = {k: v for p in PARTS for k, v in p.QUERIES.items()}
+SQL = {k: v for p in PARTS for k, v in p.SQL.items()}
