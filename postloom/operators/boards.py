@@ -193,3 +193,57 @@ def enumerate_boards(registered: DataFrame) -> DataFrame:
     parts = ", ".join(f"'{a}', {a}_Slug, {a}_BoardURL" for a in fixed.ATS)
     rows = registered.select("CompanyKey", "Company", F.expr(f"stack({len(fixed.ATS)}, {parts}) as (ATS, Slug, BoardURL)")).where("Slug is not null")
     return rows.withColumn("BoardKey", F.concat_ws("|", "ATS", "Slug"))
+
+
+# ---- crawl queue
+
+#: Providers in the order of preference, how well they are supported, and the addresses of their public job lists.
+PROVIDERS = ["ashby", "greenhouse", "lever", "workday", "bamboohr", "icims"]
+PROVIDER_PRIORITY = {"ashby": "HIGH", "greenhouse": "HIGH", "lever": "HIGH", "workday": "MEDIUM", "bamboohr": "LOW", "icims": "LOW"}
+SUPPORTED = ["ashby", "greenhouse", "lever"]
+FETCH_URLS = {
+    "ashby": "https://api.ashbyhq.com/posting-api/job-board/{}", "greenhouse": "https://boards-api.greenhouse.io/v1/boards/{}/jobs?content=true", "lever": "https://api.lever.co/v0/postings/{}?mode=json",
+    "bamboohr": "https://{}.bamboohr.com/careers/list",
+}
+PRIORITIES = ["HIGH", "MEDIUM", "LOW", "SKIP"]
+
+
+def fetch_url(ats: str, slug: Column, url: Column) -> Column:
+    """The board's own URL, else that of the provider's list for the slug, else empty."""
+    made = F.lit("")
+    if ats in FETCH_URLS:
+        before, after = FETCH_URLS[ats].split("{}")
+        made = F.when(slug != "", F.concat(F.lit(before), F.replace(F.url_encode(slug), F.lit("+"), F.lit("%20")), F.lit(after))).otherwise("")
+    return F.when(url != "", url).otherwise(made)
+
+
+def crawl_queue(registered: DataFrame) -> DataFrame:
+    """A line per company of registry(): the best provider that it has, where to fetch, how well that works and how soon."""
+    value = lambda a, c: F.coalesce(F.col(f"{a}_{c}"), F.lit(""))
+    has = {a: (value(a, "Slug") != "") | (value(a, "BoardURL") != "") for a in PROVIDERS}
+    best = F.coalesce(*[F.when(has[a], F.lit(a)) for a in PROVIDERS], F.lit(""))
+    url = F.coalesce(*[F.when(has[a], fetch_url(a, value(a, "Slug"), value(a, "BoardURL"))) for a in PROVIDERS], F.lit(""))
+    names = F.filter(F.array(*[F.when(has[a], F.lit(a)) for a in PROVIDERS]), lambda x: x.isNotNull())
+    df = registered.select("CompanyKey", "Company", best.alias("BestATS"), url.alias("EstimatedFetchURL"), F.array_join(names, " | ").alias("ATSList"), F.size(names).cast("long").alias("ATSCount"))
+    ready = (F.col("CompanyKey") != "") & (F.col("Company") != "") & (F.col("EstimatedFetchURL") != "")
+    support = F.when(F.col("BestATS") == "", "UNSUPPORTED").when(F.col("BestATS").isin(SUPPORTED), "SUPPORTED").when(F.col("EstimatedFetchURL") != "", "BEST_EFFORT").otherwise("CATALOG_ONLY")
+    reason = F.when(F.col("CompanyKey") == "", "Missing company key").when(F.col("Company") == "", "Missing preferred company name").when(F.col("EstimatedFetchURL") == "", "No usable URL").otherwise(F.concat("BestATS", F.lit(" board available")))
+    priority = F.lit("SKIP")
+    for a, p in PROVIDER_PRIORITY.items():
+        priority = F.when(ready & (F.col("BestATS") == a), p).otherwise(priority)
+    status = F.when(ready, "READY").when(F.col("ATSCount") > 0, "NOT_READY").otherwise("SKIP")
+    return df.withColumns({"CrawlReady": ready, "CrawlPriority": priority, "CrawlStatus": status, "FetchSupportStatus": support, "CrawlReason": reason})
+
+
+def queue_summary(queue: DataFrame) -> DataFrame:
+    """Companies of each priority, how many are ready and supported, zero counts included."""
+    found = queue.groupBy("CrawlPriority").agg(F.count("*").alias("Companies"), F.count_if("CrawlReady").alias("Ready"), F.count_if(F.col("FetchSupportStatus") == "SUPPORTED").alias("Supported"), F.count_if(F.col("ATSCount") > 1).alias("OnMany"))
+    names = queue.sparkSession.createDataFrame([(p,) for p in PRIORITIES], "CrawlPriority string")
+    return F.broadcast(names).join(found, "CrawlPriority", "left").na.fill(0)
+
+
+def queue_heads(queue: DataFrame, most: int = 100) -> DataFrame:
+    """The first companies of each priority: a report whose length is the feature."""
+    order = Window.partitionBy("CrawlPriority").orderBy(F.desc("ATSCount"), "CompanyKey")
+    return queue.withColumn("place", F.row_number().over(order)).where(F.col("place") <= most)
+

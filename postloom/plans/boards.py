@@ -187,3 +187,49 @@ def u3_board_diff(spark, sf_dir):
     old = own.where("Country < 'M'").select("BoardKey", F.lit(1).alias("o")).distinct()
     new = own.where("Country >= 'F'").select("BoardKey", F.lit(1).alias("n")).distinct()
     return old.join(new, "BoardKey", "full").select("BoardKey", F.when(F.col("o").isNull(), "added").when(F.col("n").isNull(), "removed").otherwise("retained").alias("status"))
+
+
+_q = lambda x: "'" + x + "'"
+_has = lambda a: f"(coalesce({a}_Slug, '') <> '' or coalesce({a}_BoardURL, '') <> '')"
+
+
+def _fetch_url(a: str) -> str:
+    made = "''"
+    if a in B.FETCH_URLS:
+        before, after = B.FETCH_URLS[a].split("{}")
+        made = f"case when coalesce({a}_Slug, '') <> '' then '{before}' || {a}_Slug || '{after}' else '' end"
+    return f"case when coalesce({a}_BoardURL, '') <> '' then {a}_BoardURL else {made} end"
+
+
+_QUEUE = f"""{_C}, r as (select CompanyKey, first(Company order by seq) as Company, {_pivot} from c group by CompanyKey),
+q0 as (select CompanyKey, Company, case {" ".join(f"when {_has(a)} then '{a}'" for a in B.PROVIDERS)} else '' end as BestATS, case {" ".join(f"when {_has(a)} then {_fetch_url(a)}" for a in B.PROVIDERS)} else '' end as EstimatedFetchURL,
+  list_filter([{", ".join(f"case when {_has(a)} then '{a}' end" for a in B.PROVIDERS)}], lambda x: x is not null) as names from r),
+q1 as (select * exclude (names), array_to_string(names, ' | ') as ATSList, len(names) as ATSCount, CompanyKey <> '' and Company <> '' and EstimatedFetchURL <> '' as CrawlReady from q0),
+q as (select *, case when not CrawlReady then 'SKIP' {" ".join(f"when BestATS = '{a}' then '{p}'" for a, p in B.PROVIDER_PRIORITY.items())} else 'SKIP' end as CrawlPriority,
+  case when CrawlReady then 'READY' when ATSCount > 0 then 'NOT_READY' else 'SKIP' end as CrawlStatus,
+  case when BestATS = '' then 'UNSUPPORTED' when BestATS in ({", ".join(map(_q, B.SUPPORTED))}) then 'SUPPORTED' when EstimatedFetchURL <> '' then 'BEST_EFFORT' else 'CATALOG_ONLY' end as FetchSupportStatus,
+  case when CompanyKey = '' then 'Missing company key' when Company = '' then 'Missing preferred company name' when EstimatedFetchURL = '' then 'No usable URL' else BestATS || ' board available' end as CrawlReason from q1)"""
+
+
+@query(f"with {_QUEUE} select * from q")
+def p23_crawl_queue(spark, sf_dir):
+    return B.crawl_queue(B.registry(catalog(spark, sf_dir)))
+
+
+@query(f"with {_QUEUE}, dim as (select unnest([{', '.join(map(_q, B.PRIORITIES))}]) as CrawlPriority) select CrawlPriority, count(q.CompanyKey) as Companies, count(*) filter (CrawlReady) as Ready, count(*) filter (FetchSupportStatus = 'SUPPORTED') as Supported, count(*) filter (ATSCount > 1) as OnMany from dim left join q using (CrawlPriority) group by 1")
+def a20_queue_summary(spark, sf_dir):
+    return B.queue_summary(B.crawl_queue(B.registry(catalog(spark, sf_dir))))
+
+
+@query(f"with {_QUEUE} select CompanyKey, CrawlPriority, row_number() over (partition by CrawlPriority order by ATSCount desc, CompanyKey) as place from q qualify place <= 100")
+def o3_queue_heads(spark, sf_dir):
+    return B.queue_heads(B.crawl_queue(B.registry(catalog(spark, sf_dir)))).select("CompanyKey", "CrawlPriority", F.col("place").cast("long").alias("place"))
+
+
+@query(f"with {_QUEUE}, {_L} select CompanyKey, BestATS from q where CrawlReady and BestATS not in (select ATS from l where Status = 'failed' and FetchedAt > {_now} - interval 1 hour)")
+def j4_remaining(spark, sf_dir):
+    """Ready companies of providers that haven't failed within the last hour."""
+    log = fetches(spark, sf_dir)
+    recent = log.where((F.col("Status") == "failed") & (F.col("FetchedAt") > latest_time(log) - F.expr("interval 1 hour"))).select(F.col("ATS").alias("BestATS")).distinct()
+    queue = B.crawl_queue(B.registry(catalog(spark, sf_dir))).where("CrawlReady")
+    return queue.join(F.broadcast(recent), "BestATS", "left_anti").select("CompanyKey", "BestATS")
