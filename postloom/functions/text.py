@@ -28,17 +28,43 @@ def pattern(p: str) -> str:
     return "".join([*out, p[last:]])
 
 
+def literals(p: str) -> list[str]:
+    """Text that every match of p holds: the plain beginning of each alternative, or nothing if one has none."""
+    parts, depth, last = [], 0, 0
+    for i, c in enumerate(p):
+        depth += (c == "(") - (c == ")")
+        if c == "|" and not depth:
+            parts.append(p[last:i])
+            last = i + 1
+    found = []
+    for part in [*parts, p[last:]]:
+        m = re.match(r"(?:\\b)?((?:[a-z -]|\\\.)*)([?*{]?)", part)
+        own = m[1].replace("\\.", ".")
+        found.append(own[:-1] if m[2] else own)
+    return found if all(len(x) > 1 for x in found) else []
+
+
 def matches(text: Column, p: str) -> Column:
-    return text.rlike(pattern(p))
+    """Whether p is found; a search for plain text first spares most texts the pattern."""
+    found = text.rlike(pattern(p))
+    return has_any(text, own) & found if (own := literals(p)) else found
 
 
 def matches_any(text: Column, patterns: list[str]) -> Column:
-    return matches(text, "|".join(f"(?:{p})" for p in patterns))
+    return text.rlike(pattern("|".join(f"(?:{p})" for p in patterns)))
+
+
+#: White space as Unicode has it.
+SPACES = " \t\n\x0b\f\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+
+
+#: ASCII punctuation but for the ampersand, which titles read as a word.
+PUNCTUATION = "-_/!\"#$%'()*+,.:;<=>?@[\\]^`{|}~"
 
 
 def clean(c: Column) -> Column:
-    """Trimmed text; null is empty. White space is Unicode's, as \\s with (?U)."""
-    return F.regexp_replace(F.coalesce(c.cast("string"), F.lit("")), r"(?U)^\s+|\s+$", "")
+    """Trimmed text; null is empty."""
+    return F.trim(F.coalesce(c.cast("string"), F.lit("")), F.lit(SPACES))
 
 
 def squeezed(c: Column) -> Column:
@@ -47,8 +73,8 @@ def squeezed(c: Column) -> Column:
 
 def normalized_title(c: Column) -> Column:
     """Lower case, & as and, separators and punctuation as spaces."""
-    text = F.regexp_replace(F.lower(clean(c)), "&", " and ")
-    return squeezed(F.regexp_replace(text, r"[-_/!\"#$%'()*+,.:;<=>?@\[\\\]^`{|}~]", " "))
+    text = F.replace(F.lower(clean(c)), F.lit("&"), F.lit(" and "))
+    return squeezed(F.translate(text, PUNCTUATION, " " * len(PUNCTUATION)))
 
 
 def category_text(c: Column) -> Column:
@@ -57,7 +83,7 @@ def category_text(c: Column) -> Column:
 
 
 def search_text(c: Column) -> Column:
-    return squeezed(F.regexp_replace(F.lower(clean(c)), r"[_/.,;:()\[\]{}]+", " "))
+    return squeezed(F.translate(F.lower(clean(c)), "_/.,;:()[]{}", " " * 12))
 
 
 def has_any(text: Column, phrases: list[str]) -> Column:
@@ -78,7 +104,7 @@ def of(tokens_: Column, words: list[str]) -> Column:
 
 def key_part(c: Column) -> Column:
     """Lower case without punctuation or white space."""
-    return F.regexp_replace(F.lower(clean(c)), r"(?U)[-_/!\"#$%&'()*+,.:;<=>?@\[\\\]^`{|}~]|\s", "")
+    return F.translate(F.lower(clean(c)), PUNCTUATION + "&" + SPACES, "")
 
 
 def joined(parts: list[Column], by: str) -> Column:

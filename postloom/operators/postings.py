@@ -71,15 +71,18 @@ def with_arrangement(jobs: DataFrame) -> DataFrame:
 
 def with_salary(jobs: DataFrame) -> DataFrame:
     """SalaryDetected, SalaryMin, SalaryMax, SalaryCurrency, SalaryPeriod and SalaryText, from pay fields and description."""
-    visible = F.coalesce(F.col("Description"), F.lit(""))
+    plain = F.coalesce(F.col("Description"), F.lit(""))
+    visible = plain
     for p in (r"(?is)<script.*?</script>", r"(?is)<style.*?</style>", r"<[^>]+>", "(?i)&nbsp;|&#160;"):
         visible = F.regexp_replace(visible, p, " ")
     for p, to in (("(?i)&amp;", "&"), ("(?i)&ndash;|&#8211;", "–"), ("(?i)&mdash;|&#8212;", "—")):
         visible = F.regexp_replace(visible, p, to)
-    df = pinned(jobs, "_pay", text.squeezed(visible))
+    # patterns cost more than looking whether there is anything for them
+    df = pinned(jobs, "_pay", F.when(~F.contains(plain, F.lit("$")), "").otherwise(text.squeezed(F.when(F.contains(plain, F.lit("<")) | F.contains(plain, F.lit("&")), visible).otherwise(plain))))
     one, two = fixed.SALARY_PATTERNS
     part = lambda i: F.when(F.regexp_extract("_pay", one, 0) != "", F.regexp_extract("_pay", one, i)).otherwise(F.regexp_extract("_pay", two, i))
-    df = pinned(df, "_m", F.array(*[part(i) for i in range(6)]))
+    none = F.array(*[F.lit("")] * 6)
+    df = pinned(df, "_m", F.when(F.col("_pay") == "", none).otherwise(F.array(*[part(i) for i in range(6)])))
     found = F.col("_m")[0] != ""
     amount = lambda n, k: F.replace(n, F.lit(","), F.lit("")).try_cast("long") * F.when(F.lower(k) == "k", 1000).otherwise(1)
     low, high = (F.when(found, amount(F.col("_m")[a], F.col("_m")[b])) for a, b in ((2, 3), (4, 5)))
