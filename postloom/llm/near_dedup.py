@@ -44,6 +44,8 @@ _SKETCH = pa.schema([("doc_id", pa.int64()), ("rid", pa.int64()), ("n", pa.int64
 _SKETCH_DDL = "doc_id long, rid long, n long, sig binary, sketch array<long>"
 #: Members of a group that a block holds.
 BLOCK = 512
+#: Memberships that are broadcast at most, about 50 MB as a hash table; beyond it the joins shuffle.
+BROADCAST_MEMBERS = 500_000
 _SETS = pa.schema([("c", pa.int64()), ("set", pa.binary())])
 _SETS_DDL = "c long, set binary"
 
@@ -269,9 +271,10 @@ def near_dedup(docs: DataFrame, words: int = 5, percent: int = 80, k: int = 64,
     t_k = least_shared(k, percent / 100)
     size = F.least("n", F.lit(k))
     shared_least = F.when(F.col("n") * 100 <= percent * k, F.ceil(F.col("n") * percent / F.lit(100))).otherwise(t_k)
-    values = classes.select("c", "n", F.explode("sketch").alias("v"))
+    values = classes.select("c", F.explode("sketch").alias("v"))
     frequent = values.groupBy("v").agg(F.count("*").alias("df")).where("df > 1")
-    listed = values.join(frequent, "v").groupBy("c").agg(F.first("n").alias("n"), F.sort_array(F.collect_list(F.struct("df", "v"))).alias("vs"))
+    listed = values.join(frequent, "v").groupBy("c").agg(F.sort_array(F.collect_list(F.struct("df", "v"))).alias("vs"))
+    listed = listed.join(classes.select("c", "n"), "c")
     # a class's first values are those that nobody shares; of the places left, the rarest
     places = size - shared_least + 1 - (size - F.size("vs"))
     alone = F.round(1 - F.size("vs") / size, 3)
@@ -288,7 +291,8 @@ def near_dedup(docs: DataFrame, words: int = 5, percent: int = 80, k: int = 64,
     placed = scratch.table(placed, "members")
     pivot_rows = placed.select("p", "bi", "bj", F.col("p").alias("c"), F.lit(-1).alias("block")).distinct()
     own = classes.select("c", "n", "sketch")
-    groups = placed.union(pivot_rows).join(own, "c").repartition("p", "bi", "bj").sortWithinPartitions("p", "bi", "bj", "block", "c")
+    joined = placed.union(pivot_rows)
+    groups = own.join(F.broadcast(joined) if placed.count() <= BROADCAST_MEMBERS else joined, "c").repartition("p", "bi", "bj").sortWithinPartitions("p", "bi", "bj", "block", "c")
     hopeful = groups.select("p", "bi", "bj", "c", "block", "n", "sketch").mapInArrow(_hopeful(k, percent, t_k), "p long, bi int, bj int, c long, block int")
     with rows_at_once(spark, 2000):
         hopeful = scratch.table(hopeful, "hopeful")
@@ -296,7 +300,7 @@ def near_dedup(docs: DataFrame, words: int = 5, percent: int = 80, k: int = 64,
     found = source.join(F.broadcast(wanted) if wanted.count() <= BROADCAST_IDS else wanted, "rid", "left_semi")
     with rows_at_once(spark, 200):
         sets = scratch.table(found.mapInArrow(_full_sets(words), _SETS_DDL), "sets")
-        full = hopeful.join(sets, "c").repartition("p", "bi", "bj").sortWithinPartitions("p", "bi", "bj", "block", "c")
+        full = sets.join(F.broadcast(hopeful) if hopeful.count() <= BROADCAST_MEMBERS else hopeful, "c").repartition("p", "bi", "bj").sortWithinPartitions("p", "bi", "bj", "block", "c")
         links = scratch.table(full.mapInArrow(_link(percent), "a long, b long"), "links")
     label = scratch.table(components(links, scratch, "cc"), "labels")
 
