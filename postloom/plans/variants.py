@@ -97,10 +97,10 @@ def w16_consolidation(spark, sf_dir):
     return V.consolidated(enriched(spark, sf_dir))
 
 
-@query(f"with {ENRICHED} select seq, lower('public-job-feed:' || ATS || ':' || JobKey) as sourceId, Title as title, Company as company, Location as location, RemoteStatus as workArrangement, WriterFitScore::bigint as fitScore, WriterFitTier as fitTier, CanonicalURLKey as url, case when SalaryDetected then SalaryMin end as salaryMin, case when SalaryDetected then SalaryMax end as salaryMax, DatePosted as postedAt, 1 as schemaVersion from e where RemoteStatus <> 'Hybrid'")
+@query(f"with {ENRICHED} select seq, lower('feed:' || ATS || ':' || JobKey) as sourceId, Title as title, Company as company, Location as location, RemoteStatus as workArrangement, WriterFitScore::bigint as fitScore, WriterFitTier as fitTier, CanonicalURLKey as url, case when SalaryDetected then SalaryMin end as salaryMin, case when SalaryDetected then SalaryMax end as salaryMax, DatePosted as postedAt, 1 as schemaVersion from e where RemoteStatus <> 'Hybrid'")
 def p20_consumer_jobs(spark, sf_dir):
     rows = enriched(spark, sf_dir).where("RemoteStatus <> 'Hybrid'")
     return rows.select(
-        "seq", F.lower(F.concat(F.lit("public-job-feed:"), "ATS", F.lit(":"), "JobKey")).alias("sourceId"), F.col("Title").alias("title"), F.col("Company").alias("company"), F.col("Location").alias("location"), F.col("RemoteStatus").alias("workArrangement"),
+        "seq", F.lower(F.concat(F.lit("feed:"), "ATS", F.lit(":"), "JobKey")).alias("sourceId"), F.col("Title").alias("title"), F.col("Company").alias("company"), F.col("Location").alias("location"), F.col("RemoteStatus").alias("workArrangement"),
         F.col("WriterFitScore").cast("long").alias("fitScore"), F.col("WriterFitTier").alias("fitTier"), F.col("CanonicalURLKey").alias("url"), F.col("SalaryMin").alias("salaryMin"), F.col("SalaryMax").alias("salaryMax"), F.col("DatePosted").alias("postedAt"), F.lit(1).alias("schemaVersion"),
     )
