@@ -5,6 +5,7 @@ from __future__ import annotations
 import atexit
 import contextlib
 import ctypes
+import shutil
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -27,7 +28,9 @@ def shared_folder(spark: SparkSession) -> str:
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
     if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="postloom-"))
+        own = tempfile.mkdtemp(prefix="postloom-")
+        atexit.register(shutil.rmtree, own, True)
+        spark.sparkContext.setCheckpointDir(own)
     return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 

@@ -303,6 +303,8 @@ def near_dedup(docs: DataFrame, words: int = 5, percent: int = 80, k: int = 64,
         full = sets.join(F.broadcast(hopeful) if hopeful.count() <= BROADCAST_MEMBERS else hopeful, "c").repartition("p", "bi", "bj").sortWithinPartitions("p", "bi", "bj", "block", "c")
         links = scratch.table(full.mapInArrow(_link(percent), "a long, b long"), "links")
     label = scratch.table(components(links, scratch, "cc"), "labels")
+    for done in ("lists", "memberships", "members", "hopeful", "wanted", "sets", "links"):
+        scratch.drop(done)
 
     # From classes to rows: only classes of several rows or with links need a look-up.
     moved = classes.where("head is not null or copies > 1").join(label, "c", "left").where("copies > 1 or label is not null").select("sig", "head", F.coalesce("label", "c").alias("label"))
