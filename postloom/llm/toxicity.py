@@ -1,7 +1,10 @@
 """Toxicity by compression distance.
 
-Two zstandard dictionaries share what the trainer finds in ordinary text; the toxic one has before it what
-toxic text says far more often than ordinary text does, where the ordinary one has bytes that no text holds.
+Two zstandard dictionaries share what the trainer finds in ordinary text; the toxic one has before it what the
+trainer finds in toxic text weighted by log odds, where the ordinary one has bytes that no text holds. Weighted
+means: words and pairs of words that toxic documents hold significantly more than RATIO times as often (a
+binomial test on counts of documents, at a false discovery rate of RATE) stay, each as often as their log odds
+say, and the rest of the text is left out. If nothing is significant, the trainer reads the toxic text as it is.
 A window of a text (about WINDOW bytes, cut between words) is compressed with both: the difference in length
 is what the toxic dictionary explains. Literals stay raw and matches start at four bytes, so that lengths
 differ by matches alone. Two pairs of dictionaries with different ordinary parts are averaged.
@@ -42,13 +45,21 @@ PAIRS = 2
 #: The sample that is learned from.
 PER_LABEL = 1500
 PIECES, PIECE = 16, 1024
-#: What counts as said far more often: in so large a part of toxic documents, by so much in log odds.
-LEAST_PART, LEAST_ODDS = 0.1, 2.5
+#: What counts as said more often: beyond this ratio of shares, at this false discovery rate.
+RATIO, RATE = 2.0, 0.01
+#: What a dictionary's toxic part holds at most.
+TOXIC_BYTES = 4096
+#: Pieces of text that the trainer reads at most.
+SAMPLES = 50_000
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
 
+def _lower(text: bytes) -> bytes:
+    return bytes(_LOWER[np.frombuffer(text, np.uint8)])
+
+
 class Distance:
     """Compressors of a pair of dictionaries; made where they are used."""
 
@@ -132,28 +143,79 @@ def _unlike(texts: list[bytes]) -> list[bytes]:
     return out
 
 
-def fit(toxic: list[bytes], ordinary: list[bytes], seed: int = 3) -> Model | None:
+def _said(text: bytes) -> list[bytes]:
+    return re.findall(rb"[a-z\x80-\xff]+", _lower(text))
+
+
+def _significant(toxic: Counter, ordinary: Counter, n_toxic: int, n_ordinary: int) -> dict:
+    """Log odds of what toxic documents hold significantly more often, from the counts of documents of either kind."""
+    share = RATIO * n_toxic / (RATIO * n_toxic + n_ordinary)
+    logs = np.concatenate([[0.0], np.cumsum(np.log(np.arange(1, n_toxic + n_ordinary + 1)))])  # of factorials
+    tested = []
+    for g, n in toxic.items():
+        total = n + ordinary[g]
+        if n > share * total:
+            k = np.arange(n, total + 1)
+            tested.append((float(np.exp(logs[total] - logs[k] - logs[total - k] + k * math.log(share) + (total - k) * math.log1p(-share)).sum()), g))
+    tested.sort()
+    upto = max((i for i, (p, _) in enumerate(tested, 1) if p <= RATE * i / len(toxic)), default=0)
+    return {g: math.log((toxic[g] + 0.5) / n_toxic * n_ordinary / (ordinary[g] + 0.5)) for _, g in tested[:upto]}
+
+
+def _told_apart(toxic: list[bytes], ordinary: list[bytes]) -> list[bytes]:
+    """The runs of toxic text that tell it from ordinary text, each as often as its log odds say."""
+    words, pairs = [Counter(), Counter()], [Counter(), Counter()]
+    for counter, texts in zip(words, (toxic, ordinary)):
+        for t in texts:
+            counter.update(set(_said(t)))
+    odds: dict = _significant(*words, len(toxic), len(ordinary))
+    plain = {w for w, n in words[0].items() if n > 2 and w not in odds}  # a pair must say what its words alone don't
+    for counter, texts in zip(pairs, (toxic, ordinary)):
+        for t in texts:
+            own = _said(t)
+            counter.update({p for p in zip(own, own[1:]) if p[0] in plain and p[1] in plain and (counter is pairs[0] or p in pairs[0])})
+    odds |= _significant(*pairs, len(toxic), len(ordinary))
+    runs = []
+    for t in toxic:
+        own = _said(t)
+        weight = [odds.get(w, 0.0) for w in own]
+        for i, p in enumerate(zip(own, own[1:])):
+            if p in odds:
+                weight[i], weight[i + 1] = max(weight[i], odds[p]), max(weight[i + 1], odds[p])
+        at = 0
+        while at < len(own):
+            end = at
+            while end < len(own) and weight[end]:
+                end += 1
+            if end > at:
+                runs += [b" " + b" ".join(own[at:end]) + b" "] * max(1, round(max(weight[at:end])))
+            at = max(end, at + 1)
+    return runs
+
+
+def _dictionary(samples: list[bytes], size: int, k: int, d: int, rng: np.random.Generator) -> bytes:
     import zstandard as zs
 
+    samples = [_lower(samples[i]) for i in rng.permutation(len(samples))[:SAMPLES]]
+    try:
+        return zs.train_dictionary(size, samples, k=k, d=d).as_bytes()
+    except zs.ZstdError:  # too little text to train on; the text itself then
+        return b" ".join(dict.fromkeys(samples))[:size]
+
+
+def fit(toxic: list[bytes], ordinary: list[bytes], seed: int = 3) -> Model | None:
     toxic, ordinary = _unlike(toxic), _unlike(ordinary)
     if not toxic or not ordinary:
         return None
     rng = np.random.default_rng(seed)
-    said = [Counter(), Counter()]
-    for counter, texts in zip(said, (toxic, ordinary)):
-        for t in texts:
-            counter.update(set(re.findall(rb"[a-z\x80-\xff]{3,}", bytes(_LOWER[np.frombuffer(t, np.uint8)]))))
-    odds = {w: math.log((n + 0.5) / len(toxic) * len(ordinary) / (said[1][w] + 0.5)) for w, n in said[0].items() if n >= max(3, LEAST_PART * len(toxic))}
-    typical = sorted((w for w, x in odds.items() if x > LEAST_ODDS), key=lambda w: (-odds[w], w))[:400]
+    told = _told_apart(toxic, ordinary)
     dictionaries = []
     for _ in range(PAIRS):
-        samples = [t[i : i + 256] for t in ordinary for i in range(0, len(t), 256)]
-        samples = [bytes(_LOWER[np.frombuffer(samples[i], np.uint8)]) for i in rng.permutation(len(samples))[:8000]]
-        try:
-            base = zs.train_dictionary(BASE_BYTES, samples, k=64, d=8).as_bytes()
-        except zs.ZstdError:  # too little text to train on; the text itself then
-            base = b" ".join(samples)[:BASE_BYTES]
-        extra = b"".join(b" " + typical[i] + b" " for i in rng.permutation(len(typical)))
+        base = _dictionary([t[i : i + 256] for t in ordinary for i in range(0, len(t), 256)], BASE_BYTES, 64, 8, rng)
+        if told:
+            extra = _dictionary(told, TOXIC_BYTES, 16, 6, rng)
+        else:
+            extra = _dictionary([t[i : i + 256] for t in toxic for i in range(0, len(t), 256)], TOXIC_BYTES, 64, 8, rng)
         dictionaries.append((b"\x01" * len(extra) + base, extra + base))
     distances = [Distance(*pair) for pair in dictionaries]
     found = figures(distances, [*toxic, *ordinary])

@@ -229,6 +229,30 @@ def test_toxic_words_are_found():
     assert owner.tolist() == sorted(owner.tolist()) and set(owner.tolist()) == {1, 2, 3}
 
 
+def test_rare_toxic_words_are_found():
+    """Each of 42 words is in under a tenth of the toxic documents; a phrase is toxic though its words are not."""
+    from postloom.llm import toxicity
+
+    rng = random.Random(6)
+    plain = ["".join(rng.choices(["ba", "ne", "to", "li", "su", "mor", "ten"], k=rng.randint(1, 4))) for _ in range(400)]
+    bad = [a + b for a in ("gruk", "flim", "zorp", "snar", "vex", "wib") for b in ("hok", "jad", "quif", "drem", "pyg", "kuz", "goff")] + ["waste of space"]
+
+    def text(toxic: bool) -> bytes:
+        words = rng.choices([*plain, "waste", "of", "space"], k=rng.randint(60, 120))
+        for _ in range(3 * toxic):
+            words.insert(rng.randrange(len(words)), rng.choice(bad))
+        return " ".join(words).encode()
+
+    toxic = [text(True) for _ in range(350)]
+    assert max(sum(b" " + w.encode() + b" " in t for t in toxic) for w in bad[:-1]) < 0.12 * 350
+    model = toxicity.fit(toxic, [text(False) for _ in range(700)])
+    new = [(text(b), b) for b in (True, False) for _ in range(100)]
+    score = model.score(toxicity.figures(model.distances(), [t for t, _ in new]))
+    assert np.mean((score >= 0.5) == np.array([b for _, b in new])) > 0.8
+    told = set(toxicity._told_apart([b"you waste of space now"] * 30, [b"space of the waste", b"the space", b"you now of"] * 30))
+    assert told and all(b" waste of space " in t for t in told)
+
+
 def test_license_verdicts():
     from postloom.llm import license_scan
 
