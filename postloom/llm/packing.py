@@ -12,8 +12,8 @@
 A block is the largest thing that a task holds, and blocks only grow in number.
 
 The ids are those of the byte-level BPE of `byte_bpe_50k.json`; they are computed from the same vocabulary in
-rank form, which is several times as fast, and compared with it in the tests. Strings of special tokens in a
-text are ordinary text.
+rank form, which is several times as fast, and compared with it in the tests. Texts that hold an added token, such
+as `<|endoftext|>`, or a run of white space that the fast encoder can't take, go through that tokenizer itself.
 
 Defined cases: null and empty texts give one piece of one id. Repeated rows are packed as documents of their
 own. Other columns aren't read. An empty table gives an empty result.
@@ -22,7 +22,9 @@ own. Other columns aren't read. An empty table gives an empty result.
 from __future__ import annotations
 
 import base64
+import json
 import random
+import re
 import zlib
 from collections.abc import Iterator
 from pathlib import Path
@@ -41,6 +43,8 @@ ISLANDS = 2
 EPOCHS = 2
 GENERATIONS = 6
 POPULATION = 4
+#: Runs of white space from which the fast encoder isn't trusted; it fails somewhere beyond 500,000.
+LONG_RUN = 50_000
 
 _PIECE = pa.schema([("doc_id", pa.int64()), ("uid", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())])
 _PIECE_DDL = "doc_id long, uid long, piece int, start long, length long, ids_crc32 long"
@@ -65,13 +69,41 @@ def encoder(vocabulary: str | None = None):
     return made[path]
 
 
+class WholeEncoder:
+    """Ids as the tokenizer gives them: by the fast encoder, or by the tokenizer itself where they could differ."""
+
+    def __init__(self, vocabulary: str | None = None):
+        self.fast = encoder(vocabulary).encode_ordinary
+        self.path = str(Path(vocabulary).with_suffix(".json")) if vocabulary else vocabulary_path("byte_bpe_50k.json")
+        self.added = [t["content"] for t in json.loads(Path(self.path).read_bytes())["added_tokens"]]
+        self.slow = None
+
+    def __call__(self, text: str) -> list[int]:
+        if any(t in text for t in self.added) or len(text) >= LONG_RUN and any(m.end() - m.start() >= LONG_RUN for m in re.finditer(r"\s+", text)):
+            if self.slow is None:
+                from tokenizers import Tokenizer
+
+                self.slow = Tokenizer.from_file(self.path)
+            return self.slow.encode(text, add_special_tokens=False).ids
+        return self.fast(text)
+
+
+def whole_encoder(vocabulary: str | None = None) -> WholeEncoder:
+    import tiktoken
+
+    made = vars(tiktoken).setdefault("_postloom_whole_encoders", {})  # as for encoder()
+    if vocabulary not in made:
+        made[vocabulary] = WholeEncoder(vocabulary)
+    return made[vocabulary]
+
+
 def _pieces(vocabulary: str | None, length: int, with_ids: bool):
     schema = _PIECE.append(pa.field("ids", pa.binary())) if with_ids else _PIECE
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        encode, uid = encoder(vocabulary).encode_ordinary, TaskContext.get().partitionId() << 40
+        encode, uid = whole_encoder(vocabulary), TaskContext.get().partitionId() << 40
         for whole in batches:
             for low in range(0, whole.num_rows, 1000):
                 batch = whole.slice(low, 1000)

@@ -51,6 +51,21 @@ def test_packing_gives_back_every_token(spark, queries, docs):
     assert len(places) <= least * 1.02 + 1
 
 
+def test_packing_of_added_tokens_and_long_runs(spark):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    from postloom.llm import packing
+
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = ["one <|endoftext|> two", "<|endoftext|><|endoftext|>", "a  <|endoftext|>\n b <|endoftext", "x" + " " * 1_000_000 + "y", "a" + "\n \u00a0" * 20_000 + "b", "plain text"]
+    assert tokenizer.encode(texts[0], add_special_tokens=False).ids == [505, 220, 50256, 734]
+    got = packing.pack(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), with_ids=True).collect()
+    for i, text in enumerate(texts):
+        ids = np.concatenate([np.frombuffer(r.ids, "<u4") for r in sorted((r for r in got if r.doc_id == i), key=lambda r: r.piece)])
+        assert ids.tolist() == tokenizer.encode(text, add_special_tokens=False).ids + [0]
+
+
 def test_genetic_packing_is_no_worse_than_best_fit():
     from postloom.llm import packing
 
