@@ -245,7 +245,28 @@ def learn(docs: DataFrame, learnable: Column, per_language: int = PER_LANGUAGE,
     if not rows:
         return None, []
     number = {x: i for i, x in enumerate(langs)}
-    return train([s for _, s in rows], np.array([number[x] for x, _ in rows]), len(langs)), langs
+    model = train([s for _, s in rows], np.array([number[x] for x, _ in rows]), len(langs))
+    model.upto = {r.lang: r.upto for r in upto}
+    return model, langs
+
+
+def least_score(docs: DataFrame, model: ByteGRU | None, langs: list[str], learnable: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> float:
+    """The score that all but REJECT of the right predictions reach, over a bounded sample of learnable rows that
+    the model wasn't trained on; LEAST_SCORE if fewer than LEAST_ROWS of them are right."""
+    if model is None:
+        return LEAST_SCORE
+    draw, place, lang = F.xxhash64(F.col(id_col), F.lit(17)), F.xxhash64(F.col(id_col), F.lit(23)), F.col(lang_col)
+    beyond = F.lit(False)
+    for name, upto in model.upto.items():
+        beyond = beyond | ((lang == name) & (draw > upto))
+    own = docs.where(learnable & beyond & F.col(text_col).isNotNull())
+    places = [r.place for r in own.select(place.alias("place")).orderBy("place").limit(CALIBRATED).collect()]
+    if not places:
+        return LEAST_SCORE
+    number = F.array_position(F.array(*map(F.lit, langs)), lang) - 1
+    found = identify(own.where(place <= places[-1]).select(number.alias("_number"), F.col(text_col)), model, langs, "_number", text_col).collect()
+    scores = [r.score for r in found if langs[r.doc_id] == r.lang_pred]
+    return float(np.quantile(scores, REJECT)) if len(scores) >= LEAST_ROWS else LEAST_SCORE
 
 
 def identify(docs: DataFrame, model: ByteGRU | None, langs: list[str], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -255,7 +276,11 @@ def identify(docs: DataFrame, model: ByteGRU | None, langs: list[str], id_col: s
     return rows.mapInArrow(_predict(model, langs), "doc_id long, lang_pred string, score double")
 
 
-#: A document is rejected if no language reaches this mean probability.
+#: A document is rejected if no language reaches the mean probability that all but this part of right predictions reach.
+REJECT = 0.01
+#: Rows to find it from at most and at least; from fewer even the lowest score says too little of that part.
+CALIBRATED, LEAST_ROWS = 2000, 300
+#: The mean probability that stands in for it then.
 LEAST_SCORE = 0.3
 
 

@@ -203,6 +203,28 @@ def test_languages_of_held_out_documents(spark, queries):
     assert sum(r.lang_pred == lang[r.doc_id] for r in held) / len(held) > 0.97
 
 
+def test_unlearned_languages_and_junk_are_rejected(spark):
+    import base64
+
+    from pyspark.sql import functions as F
+
+    from postloom.llm import language_id
+
+    rng = random.Random(8)
+    parts = {"en": ["the", "and", "ing", "th", "of", "er", "wh"], "fr": ["eux", "ré", "ê", "la", "ou", "que", "oi"]}
+    text = lambda own: " ".join("".join(rng.choices(own, k=rng.randint(1, 3))) for _ in range(rng.randint(20, 60)))
+    rows = [(i, text(parts[lang]), lang) for i, lang in enumerate(["en", "fr"] * 1000)]
+    junk = ["Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan", "Heille on annettu järki ja omatunto, ja heidän on toimittava toisiaan kohtaan"]
+    junk += [base64.b64encode(rng.randbytes(150)).decode() for _ in range(18)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    every = docs.union(spark.createDataFrame([(5000 + i, t, None) for i, t in enumerate(junk)], docs.schema))
+    model, langs = language_id.learn(docs, F.lit(True))
+    least = language_id.least_score(docs, model, langs, F.lit(True))
+    kept = {r.doc_id for r in language_id.keep_identified(every, model, langs, least).collect()}
+    assert sum(i < 5000 for i in kept) >= 0.97 * len(rows)
+    assert sum(i >= 5000 for i in kept) <= 0.1 * len(junk)
+
+
 def test_gradients_of_the_network():
     from postloom.llm.language_id import ByteGRU
 
