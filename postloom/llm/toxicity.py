@@ -1,32 +1,33 @@
 """Toxicity by compression distance.
 
-Two zstandard dictionaries share what the trainer finds in ordinary text; the toxic one has before it what the
-trainer finds in toxic text weighted by log odds, where the ordinary one has bytes that no text holds. Weighted
-means: words and pairs of words that toxic documents hold significantly more than RATIO times as often (a
-binomial test on counts of documents, at a false discovery rate of RATE) stay, each as often as their log odds
-say, and the rest of the text is left out. If nothing is significant, the trainer reads the toxic text as it is.
-A window of a text (about WINDOW bytes, cut between words) is compressed with both: the difference in length
-is what the toxic dictionary explains. Literals stay raw and matches start at four bytes, so that lengths
-differ by matches alone. Two pairs of dictionaries with different ordinary parts are averaged.
-
-A document's figures are the largest difference of a window, the sum by length and the sum by its root; a
-logistic calibration on the labelled sample turns them into a score, with 0.5 as the threshold.
+Two zstandard dictionaries are trained apart, one on toxic and one on ordinary text. A window of a text, cut between
+words, is compressed with either: the difference of the two lengths is how much better the toxic dictionary
+explains it. Literals stay raw, so that lengths differ by matches alone. Of the KINDS of pairs, one reads short
+windows and matches short strings, the other longer ones.
+
+Most of a toxic document is ordinary text, so the trainer reads in rounds. First it reads the whole texts of
+both kinds. Then, of each document, it reads the windows that the dictionaries of the other half of the
+documents find most toxic: of toxic documents for the toxic dictionary, of ordinary ones, which so are the
+likeliest false alarms, for the ordinary dictionary. What both need for the language itself, a larger dictionary
+trained on ordinary text, follows either one.
+
+PAIRS pairs of each kind, which deal the documents into halves in ways of their own, are averaged. A part of the labelled documents
+is kept from all dictionaries. Their windows give, for each kind, the figures that a logistic calibration is fitted
+on: the largest difference of a window, the sum by length, the sum by its root and the sum of the clear differences by the root. Its
+threshold, at score 0.5, is where FLAGGED of those ordinary documents lie above.
 
 What is learned comes from a bounded sample of labelled rows: at most PER_LABEL documents of either label,
-chosen by a hash of the id, with up to PIECES pieces of PIECE bytes of each, and one of each group of near
-copies. Every window of every text is scored.
+chosen by a hash of the id, of each document longer than PIECES pieces of PIECE bytes as many pieces spread over the
+whole of it, and one of each group of near copies. Every window of every text is scored.
 
 Defined cases: null and empty texts have no windows and get the calibrated score of no difference. Without
-labelled rows of both kinds every score is 0. Repeated rows get the same score; other columns aren't read.
-An empty table gives an empty result.
+labelled rows of both kinds every score is 0. Ids labelled both 0 and 1 aren't learned from; of rows that share an
+id one is. Repeated rows get the same score; other columns aren't read. An empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import hashlib
-import math
-import re
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,20 +38,24 @@ from pyspark.sql import functions as F
 from postloom.llm.common import give_back_memory
 from postloom.llm.language_id import bucket_of
 
-WINDOW = 32
+#: Of each kind: bytes of a window, of the shortest match, and of a dictionary's own part.
+KINDS = ((32, 4, 4096), (64, 6, 8192))
 #: The compressor starts no match in its last bytes, so that a window goes on for as many.
 TAIL = 8
-BASE_BYTES = 4096
-PAIRS = 2
+#: Bytes of the dictionary that both of a pair go on with.
+SHARED_BYTES = 65536
+PAIRS, ROUNDS = 2, 3
+#: Of a document's windows, the part that the trainer reads after the first round; one at least.
+MOST_TOXIC = 0.05
+#: Bytes of the pieces of whole texts that the trainer reads in the first round.
+READ = 256
+#: Part of the labelled documents that calibrates, and of the ordinary ones among them that lie beyond the threshold.
+CALIBRATED, FLAGGED = 0.25, 0.03
 #: The sample that is learned from.
 PER_LABEL = 1500
-PIECES, PIECE = 16, 1024
-#: What counts as said more often: beyond this ratio of shares, at this false discovery rate.
-RATIO, RATE = 2.0, 0.01
-#: What a dictionary's toxic part holds at most.
-TOXIC_BYTES = 4096
-#: Pieces of text that the trainer reads at most.
-SAMPLES = 50_000
+PIECES, PIECE = 64, 1024
+#: Differences up to this many bytes can be chance.
+CLEAR = 2
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -63,12 +68,12 @@ def _lower(text: bytes) -> bytes:
 class Distance:
     """Compressors of a pair of dictionaries; made where they are used."""
 
-    def __init__(self, ordinary: bytes, toxic: bytes):
+    def __init__(self, ordinary: bytes, toxic: bytes, shortest: int):
         import zstandard as zs
 
         self.zs = zs
         p = zs.ZstdCompressionParameters(
-            compression_level=1, strategy=zs.STRATEGY_FAST, target_length=1, min_match=4, hash_log=14, chain_log=14, window_log=14,
+            compression_level=1, strategy=zs.STRATEGY_FAST, target_length=1, min_match=shortest, hash_log=16, chain_log=16, window_log=17,
             write_checksum=0, write_content_size=0, write_dict_id=0, format=zs.FORMAT_ZSTD1_MAGICLESS,
         )
         self.by = []
@@ -87,15 +92,15 @@ class Distance:
         return lengths[0] - lengths[1]
 
 
-def windows(texts: list[bytes]) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray]:
+def windows(texts: list[bytes], window: int) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray]:
     """The texts in lower case, and the start, size and text of each window, which begin at gaps between words."""
     data = _LOWER[np.frombuffer(b"".join(texts), np.uint8)]
     size = np.array([len(t) for t in texts], np.int64)
     end = np.cumsum(size)
     begin = end - size
-    count = np.maximum(0, -(-size // WINDOW) - 1)
+    count = np.maximum(0, -(-size // window) - 1)
     owner = np.repeat(np.arange(len(texts)), count)
-    wish = begin[owner] + WINDOW * (1 + np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count))
+    wish = begin[owner] + window * (1 + np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count))
     gaps = np.append(np.flatnonzero(data <= 32), len(data))
     at = gaps[np.searchsorted(gaps, wish)]
     start = np.unique(np.concatenate([begin[size > 0], at[at < end[owner]]]))
@@ -103,26 +108,37 @@ def windows(texts: list[bytes]) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarr
     return data.tobytes() + b" " * TAIL, start, np.diff(np.append(start, len(data))) + TAIL, owner
 
 
-def figures(distances: list[Distance], texts: list[bytes]) -> np.ndarray:
-    """(text, figure)"""
-    out = np.zeros((len(texts), 3))
-    data, start, size, owner = windows(texts)
-    if len(start):
-        d = sum(f(data, start, size) for f in distances) / len(distances)
+def differences(distances: list[Distance], cut: tuple) -> np.ndarray:
+    """Of each window, the mean over the pairs of dictionaries."""
+    data, start, size, _ = cut
+    return sum(f(data, start, size) for f in distances) / len(distances)
+
+
+def figures(kinds: list[list[Distance]], texts: list[bytes]) -> np.ndarray:
+    """(text, figure), four of each kind"""
+    return np.hstack([_figures(distances, window, texts) for distances, (window, _, _) in zip(kinds, KINDS)])
+
+
+def _figures(distances: list[Distance], window: int, texts: list[bytes]) -> np.ndarray:
+    out = np.zeros((len(texts), 4))
+    cut = windows(texts, window)
+    if len(cut[1]):
+        d, owner = differences(distances, cut), cut[3]
         total = np.bincount(owner, d, len(texts))
-        length = np.maximum(np.array([len(t) for t in texts]), WINDOW)
+        length = np.maximum(np.array([len(t) for t in texts]), window)
         np.maximum.at(out[:, 0], owner, d)
         out[:, 1] = 100 * total / length
         out[:, 2] = total / np.sqrt(length)
+        out[:, 3] = np.bincount(owner, np.maximum(d - CLEAR, 0), len(texts)) / np.sqrt(length)
     return out
 
 
 class Model:
-    def __init__(self, dictionaries: list[tuple[bytes, bytes]], mean: np.ndarray, scale: np.ndarray, weight: np.ndarray):
+    def __init__(self, dictionaries: list[list[tuple[bytes, bytes]]], mean: np.ndarray | None = None, scale: np.ndarray | None = None, weight: np.ndarray | None = None):
         self.dictionaries, self.mean, self.scale, self.weight = dictionaries, mean, scale, weight
 
-    def distances(self) -> list[Distance]:
-        return [Distance(*pair) for pair in self.dictionaries]
+    def distances(self) -> list[list[Distance]]:
+        return [[Distance(*pair, shortest) for pair in pairs] for pairs, (_, shortest, _) in zip(self.dictionaries, KINDS)]
 
     def score(self, found: np.ndarray) -> np.ndarray:
         x = np.clip((found - self.mean) / self.scale, -6, 6)
@@ -143,64 +159,50 @@ def _unlike(texts: list[bytes]) -> list[bytes]:
     return out
 
 
-def _said(text: bytes) -> list[bytes]:
-    return re.findall(rb"[a-z\x80-\xff]+", _lower(text))
-
-
-def _significant(toxic: Counter, ordinary: Counter, n_toxic: int, n_ordinary: int) -> dict:
-    """Log odds of what toxic documents hold significantly more often, from the counts of documents of either kind."""
-    share = RATIO * n_toxic / (RATIO * n_toxic + n_ordinary)
-    logs = np.concatenate([[0.0], np.cumsum(np.log(np.arange(1, n_toxic + n_ordinary + 1)))])  # of factorials
-    tested = []
-    for g, n in toxic.items():
-        total = n + ordinary[g]
-        if n > share * total:
-            k = np.arange(n, total + 1)
-            tested.append((float(np.exp(logs[total] - logs[k] - logs[total - k] + k * math.log(share) + (total - k) * math.log1p(-share)).sum()), g))
-    tested.sort()
-    upto = max((i for i, (p, _) in enumerate(tested, 1) if p <= RATE * i / len(toxic)), default=0)
-    return {g: math.log((toxic[g] + 0.5) / n_toxic * n_ordinary / (ordinary[g] + 0.5)) for _, g in tested[:upto]}
-
-
-def _told_apart(toxic: list[bytes], ordinary: list[bytes]) -> list[bytes]:
-    """The runs of toxic text that tell it from ordinary text, each as often as its log odds say."""
-    words, pairs = [Counter(), Counter()], [Counter(), Counter()]
-    for counter, texts in zip(words, (toxic, ordinary)):
-        for t in texts:
-            counter.update(set(_said(t)))
-    odds: dict = _significant(*words, len(toxic), len(ordinary))
-    plain = {w for w, n in words[0].items() if n > 2 and w not in odds}  # a pair must say what its words alone don't
-    for counter, texts in zip(pairs, (toxic, ordinary)):
-        for t in texts:
-            own = _said(t)
-            counter.update({p for p in zip(own, own[1:]) if p[0] in plain and p[1] in plain and (counter is pairs[0] or p in pairs[0])})
-    odds |= _significant(*pairs, len(toxic), len(ordinary))
-    runs = []
-    for t in toxic:
-        own = _said(t)
-        weight = [odds.get(w, 0.0) for w in own]
-        for i, p in enumerate(zip(own, own[1:])):
-            if p in odds:
-                weight[i], weight[i + 1] = max(weight[i], odds[p]), max(weight[i + 1], odds[p])
-        at = 0
-        while at < len(own):
-            end = at
-            while end < len(own) and weight[end]:
-                end += 1
-            if end > at:
-                runs += [b" " + b" ".join(own[at:end]) + b" "] * max(1, round(max(weight[at:end])))
-            at = max(end, at + 1)
-    return runs
-
-
-def _dictionary(samples: list[bytes], size: int, k: int, d: int, rng: np.random.Generator) -> bytes:
+def _trained(samples: list[bytes], size: int, k: int, d: int, rng: np.random.Generator) -> bytes:
+    """A dictionary from samples in lower case, in random order."""
     import zstandard as zs
 
-    samples = [_lower(samples[i]) for i in rng.permutation(len(samples))[:SAMPLES]]
+    samples = [samples[i] for i in rng.permutation(len(samples))]
     try:
         return zs.train_dictionary(size, samples, k=k, d=d).as_bytes()
     except zs.ZstdError:  # too little text to train on; the text itself then
-        return b" ".join(dict.fromkeys(samples))[:size]
+        return b" ".join(dict.fromkeys(samples))[-size:]
+
+
+def _read(texts: list[bytes]) -> list[bytes]:
+    return [_lower(t[i : i + READ]) for t in texts for i in range(0, len(t), READ)]
+
+
+def _most_toxic(distance: Distance, cut: tuple, rng: np.random.Generator) -> list[bytes]:
+    """Of each document, the windows that a pair finds most toxic, ties in random order."""
+    data, start, size, owner = cut
+    if not len(start):
+        return []
+    d = differences([distance], cut)
+    order = np.lexsort((rng.random(len(d)), -d, owner))
+    count = np.bincount(owner)
+    rank = np.arange(len(order)) - (np.cumsum(count) - count)[owner[order]]
+    chosen = order[rank < np.maximum(1, np.ceil(MOST_TOXIC * count[owner[order]]))]
+    return [data[start[i] : start[i] + size[i] - TAIL] for i in chosen]
+
+
+def train_pair(toxic: list[bytes], ordinary: list[bytes], kind: tuple[int, int, int], rng: np.random.Generator) -> tuple[bytes, bytes]:
+    """The ordinary and the toxic dictionary. Two halves of the documents choose windows for each other."""
+    window, shortest, size = kind
+    halves = [[[texts[i] for i in order[h::2]] for h in (0, 1)] for texts in (toxic, ordinary) for order in (rng.permutation(len(texts)),)]
+    shared = _trained(_read(ordinary), SHARED_BYTES, 64, 8, rng)
+    cuts = [[windows(half, window) for half in own] for own in halves]
+    read = [[_read(half) for half in own] for own in halves]
+
+    def pair(toxic: list[bytes], ordinary: list[bytes]) -> tuple[bytes, bytes]:
+        as_much = [ordinary[i] for i in rng.permutation(len(ordinary))[: max(1000, len(toxic))]]
+        return _trained(as_much, size, 16, 6, rng) + shared, _trained(toxic, size, 16, 6, rng) + shared
+
+    for _ in range(ROUNDS):
+        pairs = [Distance(*pair(read[0][h], read[1][h]), shortest) for h in (0, 1)]
+        read = [[_most_toxic(pairs[1 - h], own[h], rng) for h in (0, 1)] for own in cuts]
+    return pair(read[0][0] + read[0][1], read[1][0] + read[1][1])
 
 
 def fit(toxic: list[bytes], ordinary: list[bytes], seed: int = 3) -> Model | None:
@@ -208,27 +210,23 @@ def fit(toxic: list[bytes], ordinary: list[bytes], seed: int = 3) -> Model | Non
     if not toxic or not ordinary:
         return None
     rng = np.random.default_rng(seed)
-    told = _told_apart(toxic, ordinary)
-    dictionaries = []
-    for _ in range(PAIRS):
-        base = _dictionary([t[i : i + 256] for t in ordinary for i in range(0, len(t), 256)], BASE_BYTES, 64, 8, rng)
-        if told:
-            extra = _dictionary(told, TOXIC_BYTES, 16, 6, rng)
-        else:
-            extra = _dictionary([t[i : i + 256] for t in toxic for i in range(0, len(t), 256)], TOXIC_BYTES, 64, 8, rng)
-        dictionaries.append((b"\x01" * len(extra) + base, extra + base))
-    distances = [Distance(*pair) for pair in dictionaries]
-    found = figures(distances, [*toxic, *ordinary])
-    y = np.array([1.0] * len(toxic) + [0.0] * len(ordinary))
+    kept = [max(1, round((1 - CALIBRATED) * len(texts))) for texts in (toxic, ordinary)]
+    order = [rng.permutation(len(texts)) for texts in (toxic, ordinary)]
+    learned = [[texts[i] for i in own[:n]] for texts, own, n in zip((toxic, ordinary), order, kept)]
+    unseen = [[texts[i] for i in own[n:]] or texts for texts, own, n in zip((toxic, ordinary), order, kept)]
+    dictionaries = [[train_pair(*learned, kind, rng) for _ in range(PAIRS)] for kind in KINDS]
+    found = figures(Model(dictionaries).distances(), [*unseen[0], *unseen[1]])
+    y = np.array([1.0] * len(unseen[0]) + [0.0] * len(unseen[1]))
     mean, scale = found.mean(0), found.std(0) + 1e-9
     x = np.hstack([np.ones((len(y), 1)), np.clip((found - mean) / scale, -6, 6)])
     weight = np.zeros(x.shape[1])
     for _ in range(50):  # Newton's method; a small penalty keeps it finite where labels are separable
         p = 1 / (1 + np.exp(-np.clip(x @ weight, -30, 30)))
-        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + 0.1 * np.eye(len(weight)), x.T @ (p - y) + 0.1 * weight)
+        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + np.eye(len(weight)), x.T @ (p - y) + weight)
         weight -= step
         if np.abs(step).max() < 1e-6:
             break
+    weight[0] -= np.quantile(x[y == 0] @ weight, 1 - FLAGGED)
     return Model(dictionaries, mean, scale, weight)
 
 
@@ -239,18 +237,21 @@ def _sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if len(text) > PIECES * PIECE:  # pieces spread over the whole text
                 text = b"\n".join(text[at : at + PIECE] for at in (k * (len(text) - PIECE) // (PIECES - 1) for k in range(PIECES)))
             texts.append(text)
-        yield pa.RecordBatch.from_arrays([batch.column("toxic"), batch.column("draw"), pa.array(texts, pa.binary())], names=["toxic", "draw", "text"])
+        yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in ("_id", "toxic", "draw")), pa.array(texts, pa.binary())], names=["_id", "toxic", "draw", "text"])
 
 
 def learn(docs: DataFrame, labels: DataFrame, learnable: Column, per_label: int = PER_LABEL, id_col: str = "doc_id", text_col: str = "text") -> Model | None:
-    own = labels.select(F.col(id_col), F.col("toxic").cast("int").alias("toxic")).where(learnable & F.col("toxic").isin(0, 1) & F.col(id_col).isNotNull()).distinct()
-    drawn = own.withColumn("draw", F.xxhash64(F.col(id_col), F.lit(29)))
-    sample = [r for t in (0, 1) for r in drawn.where(F.col("toxic") == t).orderBy("draw", id_col).limit(per_label).collect()]
+    own = labels.where(learnable & F.col("toxic").cast("int").isin(0, 1) & F.col(id_col).isNotNull())
+    own = own.groupBy(F.col(id_col).alias("_id")).agg(F.min(F.col("toxic").cast("int")).alias("toxic"), F.max(F.col("toxic").cast("int")).alias("most")).where("toxic = most")
+    drawn = own.select("_id", "toxic", F.xxhash64("_id", F.lit(29)).alias("draw"))
+    sample = [r for t in (0, 1) for r in drawn.where(F.col("toxic") == t).orderBy("draw", "_id").limit(per_label).collect()]
     if not sample:
         return None
     picked = docs.sparkSession.createDataFrame(sample, drawn.schema)
-    texts = docs.where(F.col(text_col).isNotNull()).select(F.col(id_col), F.encode(F.col(text_col).cast("string"), "UTF-8").alias("text"))
-    rows = texts.join(F.broadcast(picked), id_col).select("toxic", "draw", "text").mapInArrow(_sampled, "toxic int, draw long, text binary").collect()
+    text = F.encode(F.col(text_col).cast("string"), "UTF-8")
+    texts = docs.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("_id"), text.alias("text"))
+    met = texts.join(F.broadcast(picked), "_id").select("_id", "toxic", "draw", "text").mapInArrow(_sampled, "_id long, toxic int, draw long, text binary")
+    rows = met.groupBy("_id", "toxic", "draw").agg(F.min_by("text", F.xxhash64("text")).alias("text")).collect()  # one row of each id
     rows = sorted((r.draw, bytes(r.text), r.toxic) for r in rows)
     return fit([t for _, t, y in rows if y == 1], [t for _, t, y in rows if y == 0])
 

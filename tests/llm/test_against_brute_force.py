@@ -262,7 +262,7 @@ def test_toxic_words_are_found():
     new = [(text(b), b) for b in (True, False) for _ in range(60)]
     score = model.score(toxicity.figures(model.distances(), [t for t, _ in new]))
     assert np.mean((score >= 0.5) == np.array([b for _, b in new])) > 0.9
-    data, start, size, owner = toxicity.windows([b"", b"one two", b"x" * 100, b"a b " * 50])
+    data, start, size, owner = toxicity.windows([b"", b"one two", b"x" * 100, b"a b " * 50], 32)
     assert owner.tolist() == sorted(owner.tolist()) and set(owner.tolist()) == {1, 2, 3}
 
 
@@ -286,8 +286,20 @@ def test_rare_toxic_words_are_found():
     new = [(text(b), b) for b in (True, False) for _ in range(100)]
     score = model.score(toxicity.figures(model.distances(), [t for t, _ in new]))
     assert np.mean((score >= 0.5) == np.array([b for _, b in new])) > 0.8
-    told = set(toxicity._told_apart([b"you waste of space now"] * 30, [b"space of the waste", b"the space", b"you now of"] * 30))
-    assert told and all(b" waste of space " in t for t in told)
+
+
+def test_toxicity_of_held_out_labels(spark, queries):
+    """The query on documents and labels of the shipped tables, on labels that it may not learn from."""
+    path = "/root/testdata/sf0.1"
+    labels = dict(duckdb.sql(f"select doc_id, toxic from '{path}/labels.parquet'").fetchall())
+    got = queries["op10_toxicity"](spark, path).collect()
+    assert len(got) == duckdb.sql(f"select count(*) from '{path}/documents.parquet'").fetchall()[0][0]
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) and r.predicted == (r.score >= 0.5) and 0 <= r.score <= 1 for r in got)
+    held = [(r.score, labels[r.doc_id]) for r in got if r.held_out and r.doc_id in labels]
+    clean = [s for s, y in held if y == 0]
+    toxic = [s for s, y in held if y == 1]
+    assert sum(s >= 0.5 for s in clean) <= 0.06 * len(clean)
+    assert sum(s >= 0.5 for s in toxic) >= 0.45 * len(toxic)  # only 350 toxic documents to learn from
 
 
 def test_license_verdicts():
