@@ -8,14 +8,18 @@
    thousands of documents share is among the frequent values, and lists them only if most of a sketch is such.
 3. The member of a list with the fewest values of its own is its pivot; near copies so share few pivots. The
    members of a pivot's lists form its group, and all pairs that share a list are in a group together. Groups
-   are cut into blocks, and a task takes two blocks and the pivot.
+   are cut into blocks; in a first round a task takes one block and the pivot, so that every member moves once.
 4. The sketches in a task estimate who has a partner at all; only those members' full sets are fetched.
 5. With the full sets, everyone is verified against the pivot first. What is linked with it needs no more
    comparisons among itself; the others are compared with the rest, as far as sizes and the shingles that
    nobody else in the group has allow a link. Tasks return the links of a spanning forest, never all pairs.
-6. Components grow by large and small stars over the links, each round a written table.
+6. Members that their block didn't join to the pivot, of groups of several blocks, visit the other blocks in a
+   second round: a group of m members, u of them apart, moves u * m / BLOCK rows more. Near copies of one text
+   leave few apart, so that their group costs as much as its members.
+7. Components grow by large and small stars over the links, each round a written table, until only stars are left.
 
 No list is expanded into all its pairs, a task holds two blocks at most, and components stay on the executors.
+Shingles are compared by 63-bit hashes: two of a corpus of 10^12 different ones collide with odds of about 1e-7 each.
 
 Defined cases: texts without words (or null) have no shingles and link with nothing. A text with fewer words
 than a shingle has one shingle, of all its words. Rows that share a doc_id are one document and link. Null
@@ -129,8 +133,8 @@ def shared_counts(values: np.ndarray, owner: np.ndarray, members: int) -> np.nda
     return counts
 
 
-def _hopeful(k: int, percent: int, least: int):
-    """Members of a group that have a partner by the sketches; the pivot always stays with them."""
+def _hopeful(k: int, percent: int, least: int, across: bool):
+    """Members of a group that have a partner by the sketches, in the other block if across; the pivot stays with them."""
     schema = pa.schema([("p", pa.int64()), ("bi", pa.int32()), ("bj", pa.int32()), ("c", pa.int64()), ("block", pa.int32())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -144,8 +148,11 @@ def _hopeful(k: int, percent: int, least: int):
             small, large = np.minimum(n[:, None], n[None, :]), np.maximum(n[:, None], n[None, :])
             exact = common * 100 >= percent * (n[:, None] + n[None, :] - common)
             fits = np.where(large <= k, exact, common >= np.where(small * 100 <= percent * k, -(-small * percent // 100), least))
-            stays = (fits & (small * 100 >= large * percent) & (common > 0)).any(1)
             block = group.column("block").to_numpy()
+            fits &= (small * 100 >= large * percent) & (common > 0)
+            if across:
+                fits &= (block[:, None] >= 0) & (block[None, :] >= 0) & (block[:, None] != block[None, :])
+            stays = fits.any(1)
             stays |= (block < 0) & stays.any()
             if stays.sum() > 1:
                 done.append(group.select(schema.names).filter(pa.array(stays)))
@@ -159,8 +166,9 @@ def _hopeful(k: int, percent: int, least: int):
     return run
 
 
-def spanning_links(sets: list[np.ndarray], block: np.ndarray, percent: int) -> list[tuple[int, int]]:
-    """Links between members of a group that join all who are connected; member 0 is compared with all first.
+def spanning_links(sets: list[np.ndarray], block: np.ndarray, percent: int) -> tuple[list[tuple[int, int]], np.ndarray]:
+    """Links between members of a group that join all who are connected, and who is connected with member 0.
+    It is compared with all first.
 
     Members of two different blocks are compared, or of one if there is but one; block -1 is the pivot's.
     """
@@ -197,25 +205,34 @@ def spanning_links(sets: list[np.ndarray], block: np.ndarray, percent: int) -> l
         # of two that are both apart from the pivot, the later is compared with the earlier
         rest = rest[(label[rest] == label[0]) | (rest < x)]
         compare(x, rest if one_block else rest[block[rest] != block[x]])
-    return links
+    return links, label == label[0]
 
 
-def _link(percent: int):
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+_LINKS = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("p", pa.int64()), ("c", pa.int64())])
+_LINKS_DDL = "a long, b long, p long, c long"
+
 
+def _link(percent: int):
+    """Links (a, b) of spanning forests, and (p, c) of the members that are joined to their pivot."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: list[tuple[int, int]] = []
+        found: list[tuple] = []
+
+        def flush() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], pa.int64()) for k in range(4)], schema=_LINKS)
+
         for group in _runs(batches):
             block = group.column("block").to_numpy()
             order = np.argsort(block, kind="stable")  # the pivot first
             ids = group.column("c").to_numpy()[order]
             data = group.column("set")
             sets = [np.frombuffer(data[i].as_py(), np.uint64) for i in order.tolist()]
-            found += [(int(ids[x]), int(ids[y])) for x, y in spanning_links(sets, block[order], percent)]
+            links, joined = spanning_links(sets, block[order], percent)
+            found += [(int(ids[x]), int(ids[y]), None, None) for x, y in links]
+            found += [(None, None, int(ids[0]), int(c)) for c in ids[1:][joined[1:]]]
             if len(found) > 10_000:
-                yield pa.RecordBatch.from_arrays([pa.array([f[0] for f in found], pa.int64()), pa.array([f[1] for f in found], pa.int64())], schema=schema)
+                yield flush()
                 found = []
-        yield pa.RecordBatch.from_arrays([pa.array([f[0] for f in found], pa.int64()), pa.array([f[1] for f in found], pa.int64())], schema=schema)
+        yield flush()
         give_back_memory()
 
     return run
@@ -231,12 +248,13 @@ def components(edges: DataFrame, scratch: Scratch, name: str = "cc") -> DataFram
         return [F.least(u, v).alias("a"), F.greatest(u, v).alias("b")]
 
     now = scratch.table(edges.where("a <> b").select(*sorted_pair("a", "b")).distinct(), f"{name}-0")
-    mark, rounds = None, 0
+    rounds = 0
     while True:
-        seen = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b") % 1_000_003), F.sum("a")).first()
-        if seen == mark or not seen[0]:
+        # only stars are left when every b has one a, and no a is a b
+        edges_now, ends_now = now.agg(F.count("*"), F.count_distinct("b")).first()
+        if edges_now == ends_now and not now.join(now.select(F.col("b").alias("a")), "a", "left_semi").take(1):
             break
-        mark, rounds = seen, rounds + 1
+        rounds += 1
         both = now.select(F.col("a").alias("u"), F.col("b").alias("v")).union(now.select(F.col("b").alias("u"), F.col("a").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.where("v > u").join(least, "u").select(*sorted_pair("v", "m")).where("a <> b").distinct()
@@ -245,8 +263,7 @@ def components(edges: DataFrame, scratch: Scratch, name: str = "cc") -> DataFram
         least = large.groupBy("b").agg(F.min("a").alias("m"))
         down = large.join(least, "b")
         small = down.select(*sorted_pair("a", "m")).union(least.select(*sorted_pair("b", "m"))).where("a <> b").distinct()
-        then, now = now, scratch.table(small, f"{name}-{rounds}")
-        del then
+        now = scratch.table(small, f"{name}-{rounds}")
         scratch.drop(f"{name}-{rounds}-large")
         scratch.drop(f"{name}-{rounds - 1}")
     ends = now.select(F.col("b").alias("c"), F.col("a").alias("label"))
@@ -281,29 +298,45 @@ def near_dedup(docs: DataFrame, words: int = 5, percent: int = 80, k: int = 64,
     listed = listed.where(F.size("vs") >= shared_least).select("c", F.struct(alone.alias("alone"), (-F.col("n")).alias("n"), "c").alias("rank"), F.explode(F.slice("vs", 1, F.greatest(places, F.lit(0)).cast("int"))).alias("x"))
     lists = scratch.table(listed.select("c", "rank", F.col("x.v").alias("v")), "lists")
 
-    # Groups around pivots, in blocks: (p, bi, bj) is a task's share, block the member's own or -1 for the pivot.
+    # Groups around pivots: (p, bi, bj) is a task's share, block tells the pivot (-1), residents (0) and visitors (1).
     pivots = lists.groupBy("v").agg(F.min("rank").alias("best"), F.count("*").alias("listed")).where("listed > 1").select("v", F.col("best.c").alias("p"))
     members = lists.join(pivots, "v").where("c <> p").select("p", "c").distinct()
     members = scratch.table(members, "memberships")
     blocks = members.groupBy("p").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    placed = members.join(blocks, "p").select("p", "c", F.pmod(F.xxhash64("c"), F.col("blocks")).cast("int").alias("block"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-    placed = placed.select("p", F.least("block", "other").alias("bi"), F.greatest("block", "other").alias("bj"), "c", "block")
-    placed = scratch.table(placed, "members")
-    pivot_rows = placed.select("p", "bi", "bj", F.col("p").alias("c"), F.lit(-1).alias("block")).distinct()
+    members = scratch.table(members.join(blocks, "p").withColumn("bj", F.pmod(F.xxhash64("c"), F.col("blocks")).cast("int")), "blocks")
     own = classes.select("c", "n", "sketch")
-    joined = placed.union(pivot_rows)
-    groups = own.join(F.broadcast(joined) if placed.count() <= BROADCAST_MEMBERS else joined, "c").repartition("p", "bi", "bj").sortWithinPartitions("p", "bi", "bj", "block", "c")
-    hopeful = groups.select("p", "bi", "bj", "c", "block", "n", "sketch").mapInArrow(_hopeful(k, percent, t_k), "p long, bi int, bj int, c long, block int")
-    with rows_at_once(spark, 2000):
-        hopeful = scratch.table(hopeful, "hopeful")
-    wanted = scratch.table(hopeful.select(F.col("c").alias("rid")).distinct(), "wanted")
-    found = source.join(F.broadcast(wanted) if wanted.count() <= BROADCAST_IDS else wanted, "rid", "left_semi")
-    with rows_at_once(spark, 200):
-        sets = scratch.table(found.mapInArrow(_full_sets(words), _SETS_DDL), "sets")
-        full = sets.join(F.broadcast(hopeful) if hopeful.count() <= BROADCAST_MEMBERS else hopeful, "c").repartition("p", "bi", "bj").sortWithinPartitions("p", "bi", "bj", "block", "c")
-        links = scratch.table(full.mapInArrow(_link(percent), "a long, b long"), "links")
+
+    def linked(placed: DataFrame, tag: str, across: bool) -> DataFrame:
+        """Links and joined members of the tasks' shares, with the pivot in each."""
+        placed = scratch.table(placed, f"members{tag}")
+        joined = placed.union(placed.select("p", "bi", "bj", F.col("p").alias("c"), F.lit(-1).alias("block")).distinct())
+        few = placed.count() <= BROADCAST_MEMBERS
+        groups = own.join(F.broadcast(joined) if few else joined, "c").repartition("p", "bi", "bj").sortWithinPartitions("p", "bi", "bj", "block", "c")
+        hopeful = groups.select("p", "bi", "bj", "c", "block", "n", "sketch").mapInArrow(_hopeful(k, percent, t_k, across), "p long, bi int, bj int, c long, block int")
+        with rows_at_once(spark, 2000):
+            hopeful = scratch.table(hopeful, f"hopeful{tag}")
+        wanted = scratch.table(hopeful.select(F.col("c").alias("rid")).distinct(), f"wanted{tag}")
+        found = source.join(F.broadcast(wanted) if wanted.count() <= BROADCAST_IDS else wanted, "rid", "left_semi")
+        with rows_at_once(spark, 200):
+            sets = scratch.table(found.mapInArrow(_full_sets(words), _SETS_DDL), f"sets{tag}")
+            full = sets.join(F.broadcast(hopeful) if hopeful.count() <= BROADCAST_MEMBERS else hopeful, "c").repartition("p", "bi", "bj").sortWithinPartitions("p", "bi", "bj", "block", "c")
+            links = scratch.table(full.mapInArrow(_link(percent), _LINKS_DDL), f"links{tag}")
+        for done in ("members", "hopeful", "wanted", "sets"):
+            scratch.drop(f"{done}{tag}")
+        return links
+
+    links = linked(members.select("p", F.lit(0).alias("bi"), "bj", "c", F.lit(0).alias("block")), "-1", False)
+    apart = members.where("blocks > 1").join(links.where("c is not null").select("p", "c").distinct(), ["p", "c"], "left_anti")
+    apart = scratch.table(apart.select("p", "c", "blocks", F.col("bj").alias("home")), "apart")
+    if apart.take(1):
+        chunks = apart.groupBy("p").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("chunks"))
+        visitors = apart.join(chunks, "p").select("p", F.pmod(F.xxhash64("c", F.lit(1)), F.col("chunks")).cast("int").alias("bi"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("bj"), "c", "home")
+        visitors = visitors.where("bj <> home").select("p", "bi", "bj", "c", F.lit(1).alias("block"))
+        residents = members.join(chunks, "p").select("p", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("bi"), "bj", "c", F.lit(0).alias("block"))
+        links = links.select("a", "b").union(linked(residents.union(visitors), "-2", True).select("a", "b"))
+    links = links.where("a is not null").select("a", "b")
     label = scratch.table(components(links, scratch, "cc"), "labels")
-    for done in ("lists", "memberships", "members", "hopeful", "wanted", "sets", "links"):
+    for done in ("lists", "memberships", "blocks", "apart", "links-1", "links-2"):
         scratch.drop(done)
 
     # From classes to rows: only classes of several rows or with links need a look-up.
