@@ -8,7 +8,7 @@ import ctypes
 import shutil
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -64,6 +64,17 @@ class Scratch:
                 raise
 
 
+def unused(names: Iterable[str], *wanted: str) -> list[str]:
+    """The wanted column names, each made longer until it clashes with none of names, in any case."""
+    taken, found = {n.lower() for n in names}, []
+    for name in wanted:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        found.append(name)
+    return found
+
+
 def whole_text(column: str = "text") -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
@@ -95,9 +106,9 @@ BROADCAST_IDS = 4_000_000
 
 def by_ids(docs: DataFrame, ids: DataFrame, id_col: str, how: str) -> DataFrame:
     """The rows of docs whose id is among ids (left_semi) or isn't (left_anti); null is an id like others."""
-    named = ids.toDF("_id")
-    named = F.broadcast(named) if named.count() <= BROADCAST_IDS else named
-    return docs.join(named, docs[id_col].eqNullSafe(named["_id"]), how)
+    named = ids.toDF(*unused(docs.columns, "other_id"))
+    found = F.broadcast(named) if named.count() <= BROADCAST_IDS else named
+    return docs.join(found, docs[id_col].eqNullSafe(named[named.columns[0]]), how)
 
 
 @contextlib.contextmanager

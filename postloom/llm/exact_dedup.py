@@ -13,7 +13,7 @@ The driver holds prefix counts and the directory, at most 2 ** MAX_DEPTH slots.
 stream: a task holds the different texts of one hash, and no more.
 
 Defined cases: null counts as the empty text. Of rows that repeat both text and doc_id just one stays, and
-null doc_ids stay only if the group has no other. Other columns of the input aren't read. An empty table
+null doc_ids stay only if the group has no other. Other columns of the input aren't read, whatever their names. An empty table
 gives an empty result.
 """
 
@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postloom.llm.common import Scratch, by_ids, give_back_memory, rows_at_once, split_bytes, whole_text
+from postloom.llm.common import Scratch, by_ids, give_back_memory, rows_at_once, split_bytes, unused, whole_text
 
 #: The deepest directory: a million slots, 16 MB.
 MAX_DEPTH = 20
@@ -51,7 +51,11 @@ class Directory:
     def grow(self, weights: dict[int, int], bits: int) -> list[int]:
         """Splits overfull buckets, given weights of the prefixes of that many bits; prefixes still overfull."""
         overfull = []
-        todo = [(b, [(p, w) for p, w in weights.items() if b[0] == 0 or p >> (bits - b[0]) == b[1]]) for b in self.buckets()]
+        # each prefix goes to the bucket that its slot names
+        own_of: dict[int, list] = {}
+        for p, w in weights.items():
+            own_of.setdefault(id(self.slots[p >> (bits - self.depth)]), []).append((p, w))
+        todo = [(b, own_of.get(id(b), [])) for b in self.buckets()]
         while todo:
             bucket, own = todo.pop()
             if sum(w for _, w in own) <= self.capacity:
@@ -59,7 +63,7 @@ class Directory:
             if bucket[0] == bits:
                 overfull.append(bucket[1])
                 continue
-            if bucket[0] == self.depth:
+            if bucket[0] == self.depth:  # the directory doubles
                 self.slots = [b for b in self.slots for _ in (0, 1)]
                 self.depth += 1
             deep = bucket[0] + 1
@@ -205,13 +209,14 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         return plain
     # ids of several rows: which of them stays is told by the text
     keepers = decided.where("kept").join(repeated, decided["doc_id"].eqNullSafe(repeated["doc_id"]), "left_semi").select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha"))
-    rows = by_ids(docs, repeated, id_col, "left_semi").withColumn("_own", F.sha2(F.encode(whole_text(text_col), "UTF-8"), 256))
-    rows = rows.join(keepers, rows[id_col].eqNullSafe(keepers["_id"]) & (F.col("_own") == F.col("_sha")), "left_semi")
-    return plain.unionByName(rows.dropDuplicates([id_col, "_own"]).drop("_own"))
+    (own,) = unused(docs.columns, "own_sha")
+    rows = by_ids(docs, repeated, id_col, "left_semi").withColumn(own, F.sha2(F.encode(whole_text(text_col), "UTF-8"), 256))
+    rows = rows.join(keepers, rows[id_col].eqNullSafe(keepers["_id"]) & (rows[own] == keepers["_sha"]), "left_semi")
+    return plain.unionByName(rows.dropDuplicates([id_col, own]).drop(own))
 
 
 def op1_exact_dedup(spark, sf_dir: str) -> DataFrame:
-    return exact_dedup(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return exact_dedup(spark.read.parquet(f"{sf_dir}/documents.parquet")).drop("bucket")
 
 
 SQL = """
