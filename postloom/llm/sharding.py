@@ -12,7 +12,7 @@ doesn't meet in one task, and slots are offsets of sub-ranges plus positions in
 The driver holds at most 2 ** STEP_BITS counts for each splitter.
 
 Defined cases: a null text counts as no bytes and lies with the empty texts; repeated rows get slots of
-their own; an empty table gives an empty result; columns of the input named as a result column are replaced.
+their own; an empty table gives an empty result; the input's columns size, shard and slot are replaced, all others stay.
 """
 
 from __future__ import annotations
@@ -22,10 +22,13 @@ from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import AtomicType
 
 from postloom.llm.common import Scratch, split_bytes, whole_text
 
 STEP_BITS = 10
+#: Columns of the result; the input's own of these names are replaced.
+RESULT = {"size", "shard", "slot"}
 #: Most sub-ranges of all shards; bounds the table of offsets.
 MOST_PARTS = 100_000
 
@@ -97,21 +100,25 @@ def shard_by_bytes(docs: DataFrame, shards: int = 24, tolerance: float = 0.001,
     size = (F.coalesce(F.octet_length(text), F.lit(0)) + 8).cast("long")
     key = F.xxhash64(whole_text(text_col))
     scratch = Scratch(spark, "shards")
-    keyed = scratch.table(docs.select(key.alias("k"), size.alias("size"), F.xxhash64(F.col(id_col)).alias("salt")), "keys")
+    # rows of one text spread by all that else tells them apart
+    plain = [F.col(f"`{f.name}`") for f in docs.schema.fields if f.name != text_col and isinstance(f.dataType, AtomicType)]
+    salt = F.xxhash64(*plain, F.lit(0))
+    keyed = scratch.table(docs.select(key.alias("k"), size.alias("size"), salt.alias("salt")), "keys")
     bounds = splitters(keyed, "k", "size", shards, tolerance)
     total = keyed.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
     spread = max(1, min(MOST_PARTS // shards, -(-total // (shards * split_bytes(spark)))))
     sub = F.pmod(F.col("salt"), F.lit(spread)).cast("int")
-    counts = keyed.groupBy(part_of(F.col("k"), bounds).alias("shard"), sub.alias("_sub")).agg(F.count("*").alias("_n"))
-    before = Window.partitionBy("shard").orderBy("_sub").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("shard", "_sub", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
-    taken = {"size", "shard", "slot", "law", "grown_shard"}
-    rows = docs.select(*[c for c in docs.columns if c not in taken]).withColumns({"_key": key, "size": size, "_salt": F.xxhash64(F.col(id_col))})
-    rows = rows.withColumns({"shard": part_of(F.col("_key"), bounds), "_sub": F.pmod(F.col("_salt"), F.lit(spread)).cast("int")})
-    dealt = rows.repartition(shards * spread, "shard", "_sub")
-    place = F.row_number().over(Window.partitionBy("shard", "_sub").orderBy("_key", id_col)) - 1
-    placed = dealt.withColumn("_place", place).join(F.broadcast(offsets), ["shard", "_sub"])
-    return placed.withColumn("slot", (F.col("_offset") + F.col("_place")).cast("long")).drop("_key", "_salt", "_sub", "_place", "_offset")
+    counts = keyed.groupBy(part_of(F.col("k"), bounds).alias("shard"), sub.alias("sub")).agg(F.count("*").alias("n"))
+    before = Window.partitionBy("shard").orderBy("sub").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("shard", "sub", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
+    # the columns of docs travel as one, so that no name can clash
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), key.alias("key"), size.alias("size"), salt.alias("salt"), F.col(id_col).alias("id"))
+    rows = rows.select("row", "key", "size", "id", part_of(F.col("key"), bounds).alias("shard"), F.pmod("salt", F.lit(spread)).cast("int").alias("sub"))
+    dealt = rows.repartition(shards * spread, "shard", "sub")
+    place = F.row_number().over(Window.partitionBy("shard", "sub").orderBy("key", "id")) - 1
+    placed = dealt.withColumn("place", place).join(F.broadcast(offsets), ["shard", "sub"])
+    kept = [F.col("row").getField(c).alias(c) for c in docs.columns if c.lower() not in RESULT]
+    return placed.select(*kept, "size", "shard", (F.col("offset") + F.col("place")).cast("long").alias("slot"))
 
 
 def op4_sharding(spark, sf_dir: str) -> DataFrame:
