@@ -1,14 +1,15 @@
 """Language identification by a bidirectional gated recurrent network over bytes.
 
 The network reads a text in segments of SEGMENT bytes, once forwards and once backwards, and gives each byte
-the probabilities of the learned languages; a document's are their mean over all its bytes. It is trained in
-numpy, by backpropagation through time, on segments of at most PER_LANGUAGE documents of each language: a
-bounded sample, chosen by a hash of the id. Gates are piecewise linear, which training and prediction share.
+the probabilities of the learned languages and of none; a document's are their mean over all its bytes. What it
+learns as no language are shuffled bytes and random letters, so that junk has no probable language. It is trained in
+numpy, by backpropagation through time, on SEGMENTS_EACH segments, spread over the whole text, of each of at most
+PER_LANGUAGE documents of each of MOST_LANGUAGES languages: a bounded sample, chosen by a hash of id and text. Gates are piecewise linear, which training and prediction share.
 
 Every byte of every text is read in the executors, a few thousand segments at a time.
 
 Defined cases: `und` with score 0 if a text is null, empty or has no letter. A null id counts as empty text in
-the choice of rows to learn from. Without any row to learn from, every text is `und`. Repeated rows get the
+the bucket that decides whether a row may be learned from; of repeated rows one is learned from. Without any row to learn from, every text is `und`. Repeated rows get the
 same answer, an empty table gives an empty result, and other columns aren't read.
 """
 
@@ -21,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from postloom.llm.common import give_back_memory
+from postloom.llm.common import give_back_memory, unused
 
 SEGMENT = 64
 HIDDEN = 8
@@ -31,8 +32,8 @@ BATCH = 2048
 PER_LANGUAGE = 400
 SEGMENTS_EACH = 8
 EPOCHS = 8
-#: Parts of a language that the sample is first chosen in.
-PARTS = 64
+#: Languages that are learned, those of most documents first.
+MOST_LANGUAGES = 256
 UNKNOWN = "und"
 
 
@@ -200,6 +201,17 @@ def _segments(each: int):
     return run
 
 
+def _junk(segments: list[bytes], many: int, seed: int = 5) -> list[bytes]:
+    """No language: segments with their bytes shuffled, and runs of letters and digits at random."""
+    rng = np.random.default_rng(seed)
+    letters = np.frombuffer(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/-_=", np.uint8)
+    found = []
+    for k in range(many):
+        own = np.frombuffer(segments[rng.integers(len(segments))], np.uint8)
+        found.append((rng.permutation(own) if k % 2 else rng.choice(letters, SEGMENT)).tobytes())
+    return found
+
+
 def _predict(model: ByteGRU | None, langs: list[str]):
     schema = pa.schema([("doc_id", pa.int64()), ("lang_pred", pa.string()), ("score", pa.float64())])
 
@@ -212,7 +224,7 @@ def _predict(model: ByteGRU | None, langs: list[str]):
                     known = np.zeros(len(known), bool)
                     best, score = known.astype(int), known.astype(float)
                 else:
-                    p = pooled(model, batch.column("text"))
+                    p = pooled(model, batch.column("text"))[:, : len(langs)]
                     best, score = p.argmax(1), np.where(known, np.clip(p.max(1), 0, 1), 0)
                 names = [langs[b] if k else UNKNOWN for b, k in zip(best, known)]
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(names), pa.array(score)], schema=schema)
@@ -225,27 +237,39 @@ def bucket_of(id_col: str, buckets: int) -> Column:
     return F.crc32(F.encode(F.coalesce(F.col(id_col).cast("string"), F.lit("")), "UTF-8")) % buckets
 
 
+def _draw(id_col: str, text_col: str, seed: int) -> Column:
+    """A random number of a row, 63 bits, by its id and text."""
+    return F.shiftrightunsigned(F.xxhash64(F.col(id_col), F.col(text_col), F.lit(seed)), 1)
+
+
 def learn(docs: DataFrame, learnable: Column, per_language: int = PER_LANGUAGE, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> tuple[ByteGRU | None, list[str]]:
     """A network and the languages it knows, from the learnable rows that name a language."""
-    draw = F.xxhash64(F.col(id_col), F.lit(17))
     own = docs.where(learnable & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    light = own.select(F.col(lang_col).alias("lang"), draw.alias("draw")).withColumn("part", F.pmod("draw", F.lit(PARTS)))
-    for by in (("lang", "part"), ("lang",)):  # in two steps, so that a language of most rows doesn't meet in one task
-        light = light.withColumn("place", F.row_number().over(Window.partitionBy(*by).orderBy("draw"))).where(F.col("place") <= per_language).drop("place")
-    upto = light.groupBy("lang").agg(F.max("draw").alias("upto")).collect()
-    if not upto:
+    own = own.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"), _draw(id_col, text_col, 17).alias("draw"))
+    stats = own.groupBy("lang").agg(F.approx_count_distinct("draw").alias("n")).orderBy(F.desc("n"), "lang").limit(MOST_LANGUAGES).collect()
+    if not stats:
         return None, []
-    langs = sorted(r.lang for r in upto)
+    langs = sorted(r.lang for r in stats)
+    # draws are uniform: those below a share of their range are a few times as many rows as are wanted
+    near = F.lit(False)
+    for r in stats:
+        near = near | ((F.col("lang") == r.lang) & (F.col("draw") <= min((1 << 63) - 1, (per_language * 4 << 63) // r.n)))
+    first = Window.partitionBy("lang").orderBy("draw")
+    light = own.where(near).select("lang", "draw").distinct().withColumn("place", F.row_number().over(first)).where(F.col("place") <= per_language)
+    upto = light.groupBy("lang").agg(F.max("draw").alias("upto")).collect()
     chosen = F.lit(False)
     for r in upto:
-        chosen = chosen | ((F.col(lang_col) == r.lang) & (draw <= r.upto))
-    picked = own.where(chosen).select(F.col(lang_col).alias("lang"), F.encode(F.col(text_col).cast("string"), "UTF-8").alias("text"))
+        chosen = chosen | ((F.col("lang") == r.lang) & (F.col("draw") <= r.upto))
+    # of repeated rows one is learned from
+    picked = own.where(chosen).groupBy("lang", "draw").agg(F.min("text").alias("text")).select("lang", F.encode("text", "UTF-8").alias("text"))
     rows = picked.mapInArrow(_segments(SEGMENTS_EACH), "lang string, segment binary").collect()
     rows = sorted((r.lang, bytes(r.segment)) for r in rows)
     if not rows:
         return None, []
     number = {x: i for i, x in enumerate(langs)}
-    model = train([s for _, s in rows], np.array([number[x] for x, _ in rows]), len(langs))
+    labels = [number[x] for x, _ in rows]
+    junk = _junk([s for _, s in rows], len(rows) // len(langs) + 1)
+    model = train([s for _, s in rows] + junk, np.array(labels + [len(langs)] * len(junk)), len(langs) + 1)
     model.upto = {r.lang: r.upto for r in upto}
     return model, langs
 
@@ -255,16 +279,17 @@ def least_score(docs: DataFrame, model: ByteGRU | None, langs: list[str], learna
     the model wasn't trained on; LEAST_SCORE if fewer than LEAST_ROWS of them are right."""
     if model is None:
         return LEAST_SCORE
-    draw, place, lang = F.xxhash64(F.col(id_col), F.lit(17)), F.xxhash64(F.col(id_col), F.lit(23)), F.col(lang_col)
+    draw, place, lang = _draw(id_col, text_col, 17), _draw(id_col, text_col, 23), F.col(lang_col).cast("string")
     beyond = F.lit(False)
     for name, upto in model.upto.items():
         beyond = beyond | ((lang == name) & (draw > upto))
     own = docs.where(learnable & beyond & F.col(text_col).isNotNull())
-    places = [r.place for r in own.select(place.alias("place")).orderBy("place").limit(CALIBRATED).collect()]
+    places = [r.place for r in own.select(place.alias("place")).distinct().orderBy("place").limit(CALIBRATED).collect()]
     if not places:
         return LEAST_SCORE
     number = F.array_position(F.array(*map(F.lit, langs)), lang) - 1
-    found = identify(own.where(place <= places[-1]).select(number.alias("_number"), F.col(text_col)), model, langs, "_number", text_col).collect()
+    rows = own.where(place <= places[-1]).groupBy(place.alias("place")).agg(F.min(number).alias("number"), F.min(F.col(text_col).cast("string")).alias("text"))
+    found = identify(rows, model, langs, "number", "text").collect()
     scores = [r.score for r in found if langs[r.doc_id] == r.lang_pred]
     return float(np.quantile(scores, REJECT)) if len(scores) >= LEAST_ROWS else LEAST_SCORE
 
@@ -287,18 +312,19 @@ LEAST_SCORE = 0.3
 def keep_identified(docs: DataFrame, model: ByteGRU | None, langs: list[str], least: float = LEAST_SCORE, text_col: str = "text") -> DataFrame:
     """The rows of docs whose language is known with at least that score: neither `und` nor a guess."""
     names = docs.columns
+    data, letters = unused(names, "own_bytes", "own_letters")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for at in range(0, whole.num_rows, 512):
                 batch = whole.slice(at, 512)
-                known = batch.column("_letters").to_numpy(zero_copy_only=False)
-                score = pooled(model, batch.column("_bytes")).max(1) if model else np.zeros(batch.num_rows)
+                known = batch.column(letters).to_numpy(zero_copy_only=False)
+                score = pooled(model, batch.column(data))[:, : len(langs)].max(1) if model else np.zeros(batch.num_rows)
                 yield batch.select(names).filter(pa.array(known & (score >= least)))
         give_back_memory()
 
     text = F.col(text_col).cast("string")
-    rows = docs.withColumns({"_bytes": F.encode(F.coalesce(text, F.lit("")), "UTF-8"), "_letters": F.coalesce(text.rlike(r"\p{L}"), F.lit(False))})
+    rows = docs.withColumns({data: F.encode(F.coalesce(text, F.lit("")), "UTF-8"), letters: F.coalesce(text.rlike(r"\p{L}"), F.lit(False))})
     return rows.mapInArrow(run, docs.schema)
 
 
