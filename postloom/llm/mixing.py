@@ -3,7 +3,7 @@
 Targets share the words of the corpus by weight; none exceeds LIMIT times its source, and what it can't take
 goes to the others by their weights. A source's documents fall into blocks by a hash. The mix takes every
 block as often as the target holds the whole source, then blocks in permuted order for the rest, and of the
-last block the documents that come nearest the target.
+last block the documents that come nearest the target: whole cells of it, then single documents of one cell.
 
 Which shard gets a block: a splitting tree halves the shards, and a multivariate hypergeometric draw deals
 each source's exact number of blocks between the halves. Every shard walks its own path down the tree, with
@@ -13,8 +13,8 @@ Rows are then shuffled within their shard by a hash.
 The driver holds a line for each source. Blocks are BLOCKS_EACH a source at most, whatever its size.
 
 Defined cases: a null text has no words, and documents without words are never taken. The null source comes
-last. Repeated rows are taken together. A source without words has target 0. Columns of the input that have
-a result's name are replaced. An empty table gives an empty result.
+last. Repeated rows are taken together. A source without words has target 0. Columns of the input keep their names
+and values; own columns get longer names where they clash. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -26,12 +26,14 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from postloom.llm.common import Scratch, n_words, whole_text
+from postloom.llm.common import Scratch, n_words, unused, whole_text
 
 WEIGHTS = (5, 2, 1)
 LIMIT = 3
 BLOCKS_EACH = 4096
 ROWS_A_BLOCK = 64
+#: Rows that a task picks from, one by one, of the block that a target ends in.
+FILL = 4096
 #: Rows of sources or blocks that are broadcast at most; beyond it the joins shuffle.
 BROADCAST_ROWS = 500_000
 
@@ -76,7 +78,9 @@ def _walk(names: list[str], quota: list[int], shards: int, seed: int):
         for frame in frames:
             for shard in frame["id"]:
                 begin, own = shard_quota(int(shard), shards, np.array(quota, np.int64), seed)
-                yield pd.DataFrame({"src": names, "begin": begin, "number": own, "shard": int(shard)}).query("number > 0")
+                some = own > 0
+                # plain lists: a string column that pandas holds in chunks isn't taken back
+                yield pd.DataFrame({"src": pd.Series([x for x, n in zip(names, some) if n], dtype=object), "begin": begin[some], "number": own[some], "shard": int(shard)})
 
     return run
 
@@ -91,7 +95,7 @@ def _fill(frame: pd.DataFrame) -> pd.DataFrame:
     frame["picked"] = picked
     small = frame.index[~frame["picked"] & (frame["size"] > 0) & (frame["size"] < 2 * left)]
     frame.loc[small[-1:], "picked"] = True
-    return frame.loc[frame["picked"], ["src", "block", "draw", "picked"]]
+    return frame.loc[frame["picked"], ["src", "block", "draw", "picked"]].astype({"src": object})
 
 
 def _source_key(column: str) -> Column:
@@ -131,7 +135,7 @@ class Mix:
         by_block = self.scratch.table(by_block, "blocks")
         edges = by_block.where("edge").select("src", "block", "left")
         inside = self.light.join(hint(edges), ["src", "block"]).groupBy("src", "block", "draw").agg(F.sum("size").alias("size"), F.first("left").alias("left"))
-        last = self.scratch.table(inside.groupBy("src", "block").applyInPandas(_fill, "src string, block int, draw long, picked boolean"), "last")
+        last = self.scratch.table(self._filled(inside), "last")
         # every taking of a block, numbered within its source: pass by pass, in permuted order
         times = F.col("passes") + (F.col("whole") | F.col("edge")).cast("int")
         takes = by_block.where(times > 0).select("src", "block", "place", F.explode(F.sequence(F.lit(1), times)).alias("pass"))
@@ -148,6 +152,33 @@ class Mix:
         self._last = hint(last) if last.count() <= BROADCAST_ROWS else last
         self._keys = {"src": _source_key(source_col), "draw": order, "size": n_words(whole_text(text_col))}
 
+    def _filled(self, inside: DataFrame) -> DataFrame:
+        """(src, block, draw, picked) of what is taken of the block that a target ends in.
+
+        While a source has more than FILL rows left, they are dealt into cells; whole cells are taken, and the cell
+        that the target ends in goes on to the next level. A task so never fills from more than FILL rows.
+        """
+        done = []
+        for level in range(8):
+            inside = self.scratch.table(inside, f"inside-{level}")
+            counts = inside.groupBy("src").agg(F.count("*").alias("n"))
+            if not counts.where(F.col("n") > FILL).take(1):
+                break
+            cells = F.when(F.col("n") > FILL, F.least(F.lit(BLOCKS_EACH), F.ceil(F.col("n") / ROWS_A_BLOCK))).otherwise(1)
+            dealt = inside.join(counts, "src").withColumn("cell", F.pmod(F.xxhash64("draw", F.lit(level)), cells).cast("int"))
+            order = Window.partitionBy("src").orderBy("cell")
+            by_cell = dealt.groupBy("src", "cell").agg(F.sum("size").alias("own"))
+            by_cell = by_cell.withColumn("before", F.sum("own").over(order.rowsBetween(Window.unboundedPreceding, 0)) - F.col("own"))
+            dealt = dealt.join(by_cell, ["src", "cell"])
+            many, rest = F.col("n") > FILL, F.col("left") - F.col("before")
+            done.append(dealt.where(many & (F.col("own") <= rest) & (F.col("size") > 0)).select("src", "block", "draw", F.lit(True).alias("picked")))
+            # the first cell that doesn't fit; none if all do
+            inside = dealt.where((rest > 0) & (F.col("own") > rest) | ~many).select("src", "block", "draw", "size", F.when(many, rest).otherwise(F.col("left")).alias("left"))
+        found = inside.groupBy("src", "block").applyInPandas(_fill, "src string, block int, draw long, picked boolean")
+        for rows in done:
+            found = found.union(rows)
+        return found
+
     def _takes(self, rows: DataFrame) -> DataFrame:
         """rows (with src, block, draw, size) and the takings of each."""
         found = rows.join(self._fits, ["src", "block"], "left").join(self._last, ["src", "block", "draw"], "left")
@@ -161,20 +192,34 @@ class Mix:
         return rows.select("doc_id", "size", "source_size", "target", (F.col("size") * F.size("takes")).cast("long").alias("taken"), "takes")
 
     def rows(self) -> DataFrame:
-        """The rows of docs as often as the mix takes them, with pass and shard, shuffled within their shard."""
+        """The rows of docs as often as the mix takes them, with columns shard, pass and order (own_columns)."""
         names = {c: f"_own_{i}" for i, c in enumerate(self.docs.columns)}
         keyed = self.docs.withColumns({f"_mix_{k}": v for k, v in self._keys.items()}).withColumnsRenamed(names)
         keyed = keyed.withColumnsRenamed({f"_mix_{k}": k for k in self._keys})
         keyed = keyed.join(self._hint(self.plan.select("src", "blocks")), "src").withColumn("block", F.pmod(F.col("draw"), F.col("blocks")).cast("int"))
         taken = self._takes(keyed).select(*names.values(), "draw", F.explode("takes").alias("take"))
-        kept = [F.col(n).alias(c) for c, n in names.items() if c not in {"shard", "pass", "_order"}]
-        own = [F.col("take.shard").alias("shard"), F.col("take.pass").alias("pass")]
-        return taken.select(*kept, *own, F.xxhash64("draw", "take.pass", "take.shard").alias("_order"))
+        kept = [F.col(n).alias(c) for c, n in names.items()]
+        shard, turn, order = self.own_columns
+        own = [F.col("take.shard").alias(shard), F.col("take.pass").alias(turn)]
+        return taken.select(*kept, *own, F.xxhash64("draw", "take.pass", "take.shard").alias(order))
+
+    @property
+    def own_columns(self) -> list[str]:
+        """Names of the columns shard, pass and order that rows() adds, longer where the input has such names."""
+        return unused(self.docs.columns, "shard", "pass", "order")
+
+    def shuffled(self, parts: int = 16) -> DataFrame:
+        """rows() in the order of their shards and shuffled within, a shard dealt over so many tasks."""
+        shard, _, order = self.own_columns
+        return self.rows().repartition(shard, F.pmod(order, F.lit(parts))).sortWithinPartitions(shard, order)
 
     def write(self, path: str) -> None:
         """One folder a shard, its rows in shuffled order; a shard's tasks follow from the session's shuffle partitions."""
-        self.rows().repartition("shard", F.pmod("_order", F.lit(8))).sortWithinPartitions("shard", "_order").drop("_order").write.partitionBy("shard").parquet(path)
+        shard, _, order = self.own_columns
+        self.shuffled(8).drop(order).write.partitionBy(shard).parquet(path)
 
 
 def op8_mixing(spark, sf_dir: str) -> DataFrame:
-    return Mix(spark.read.parquet(f"{sf_dir}/documents.parquet")).documents.select("doc_id", "size", "source_size", "target", "taken")
+    mixed = Mix(spark.read.parquet(f"{sf_dir}/documents.parquet")).documents
+    shards = F.array_join(F.transform("takes", lambda t: F.concat_ws(":", t["pass"], t["shard"])), ",")
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", shards.alias("shards"))

@@ -126,3 +126,54 @@ def test_warc_of_hard_pages(spark, tmp_path):
     assert got[5].record_type == got[6].record_type == "response" and got[None].refers_to == 1
     write_warc(pages.where("false"), str(tmp_path / "b"))
     assert read_warc(spark, str(tmp_path / "b")).collect() == []
+
+
+def test_clashing_columns_stay(spark):
+    """Columns named as the operators' own, with repeated and null ids: every value comes through."""
+    import corpus_pipeline
+
+    from postloom.llm.exact_dedup import drop_copies
+    from postloom.llm.near_dedup import drop_near_copies
+    from postloom.llm.sharding import shard_by_bytes
+
+    names = "shard pass order own_sha other_id own_bytes own_letters _own _bytes _key _place _salt _sub _offset _id _sha _order key row slot_ label n".split()
+    texts = [" ".join(WORDS[i % 5 :] + [str(i)] * 3) for i in range(30)] + [" ".join(WORDS)] * 4 + [None, ""]
+    rows = [(None if i == 7 else i % 33, t, "en", f"s{i % 2}", *[1000 * k + i for k in range(len(names))]) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, " + ", ".join(f"{n} long" for n in names))
+    own = {r[4]: tuple(r) for r in rows}
+    empty = docs.where("false")
+    found = {f: f(docs) for f in (drop_copies, drop_near_copies)} | {"mix": corpus_pipeline.mixing_stage(spark, docs, ""), "lang": corpus_pipeline.language_stage(spark, docs, "")}
+    for f, got in found.items():
+        assert got.columns == docs.columns, f
+        taken = got.collect()
+        assert taken and all(tuple(r) == own[r[4]] for r in taken), f
+    for stage in (drop_copies, drop_near_copies, lambda d: corpus_pipeline.mixing_stage(spark, d, ""), lambda d: corpus_pipeline.language_stage(spark, d, "")):
+        assert stage(empty).collect() == []
+    placed = shard_by_bytes(docs, shards=3).collect()
+    assert sorted(r["own_sha"] for r in placed) == sorted(r[7] for r in rows)
+    assert all(r[n] == own_row[4 + k] for r in placed for own_row in [next(x for x in rows if x[7] == r["own_sha"])] for k, n in enumerate(names) if n != "shard")
+
+
+def test_samples_stay_bounded(spark):
+    """Null and repeated ids don't widen what is learned from."""
+    from postloom.llm import language_id, toxicity
+
+    rows = [(None if i % 2 else 5, f"le chat noir {i} dort" if i % 3 else f"the dog {i} runs", "fr" if i % 3 else "en") for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    seen = []
+    was = language_id.train
+    language_id.train = lambda segments, labels, classes, **kw: seen.append(list(zip(segments, labels))) or was(segments, labels, classes, epochs=1)
+    try:
+        language_id.learn(docs, F.lit(True), per_language=5)
+    finally:
+        language_id.train = was
+    assert sum(label < 2 for _, label in seen[0]) == 2 * 5  # texts of one segment each
+    labels = spark.createDataFrame([(5, 1, 1), (5, 1, 1), (6, 1, 0)], "doc_id long, quality int, toxic int")
+    kinds = []
+    was = toxicity.fit
+    toxicity.fit = lambda toxic, ordinary: kinds.append((len(toxic), len(ordinary)))
+    try:
+        toxicity.learn(docs.union(spark.createDataFrame([(6, "fine", "en")], docs.schema)), labels, F.lit(True))
+    finally:
+        toxicity.fit = was
+    assert kinds == [(1, 1)]
