@@ -39,10 +39,12 @@ from postloom.llm.common import Scratch, give_back_memory, rows_at_once, whole_t
 LENGTH = 2048
 END = 0
 BLOCK = 4096
-ISLANDS = 2
-EPOCHS = 2
-GENERATIONS = 6
-POPULATION = 4
+#: Islands of a block, in a ring: an epoch's elite also goes to the next one. Blocks whose best fit meets the bound
+#: of full sequences stop at once, so that only hard blocks pay for these.
+ISLANDS = 4
+EPOCHS = 3
+GENERATIONS = 8
+POPULATION = 6
 #: Runs of white space from which the fast encoder isn't trusted; it fails somewhere beyond 500,000.
 LONG_RUN = 50_000
 
