@@ -1,12 +1,14 @@
 """Licence scans: a trained classifier of paragraphs, confirmed by comparison with templates.
 
-A paragraph is a line. Paragraphs with an anchor (a word that every notice has) are made distinct, so that a
-notice found in a million documents is scored once. Their word n-grams meet the weights of a multinomial
-logistic regression, a small table, and the sums give a family or, below the calibrated threshold, unknown. A
-family is confirmed if the paragraph holds enough of the words of one of its templates.
+A paragraph ends at a blank line or at a line that ends a sentence; other lines are joined, so that a wrapped notice
+is one paragraph. Paragraphs with a word of the vocabulary (without one no family can be likelier than unknown) are made
+distinct, so that a notice found in a million documents is scored once. Their word n-grams meet the weights of a
+multinomial logistic regression, a small table, and the sums give a family or, below the calibrated threshold,
+unknown. A family is confirmed if the paragraph holds enough of the words of one of its templates.
 
-The regression is trained on the driver from templates and phrases written by rule, without any corpus text;
-scanning is DataFrame operations only. Weights and templates are broadcast: their size is fixed.
+The regression is trained on the driver from templates and phrases written by rule, without any corpus text; every
+fourth of them is kept from training and sets the threshold. Scanning is DataFrame operations only. Weights and
+templates are broadcast: their size is fixed.
 
 Defined cases: a null or empty text has no paragraph and no licence. Rows that share a doc_id get the union of
 what they hold; null doc_ids are told apart by their text. Other columns aren't read. An empty table gives an
@@ -27,19 +29,21 @@ from pyspark.sql import functions as F
 CONFIRM = 0.6
 UNKNOWN = "unknown"
 
-#: The anchors, names that notices use, and openings of the notices that licences prescribe.
-ANCHORS = ("licen", "copyright", "permission", "redistribut", "public domain", "cc by", "cc-by", "spdx", "all rights reserved")
+#: Where a line goes on in the next one: it doesn't end a sentence, and the next isn't blank.
+WRAPPED = r"([^.!?:; \t\r\n])[ \t\r]*\n[ \t]*([^ \t\r\n])"
+
+#: Names that notices use, and openings of the notices that licences prescribe.
 NAMES = {
-    "apache": ["Apache License, Version 2.0", "Apache License 2.0", "Apache-2.0 license"],
+    "apache": ["Apache License, Version 2.0", "Apache License 2.0", "Apache-2.0 license", "Apache-2.0"],
     "bsd": ["BSD License", "3-Clause BSD License", "BSD-2-Clause license", "New BSD License"],
     "cc-by": ["CC BY 4.0 license", "Creative Commons Attribution 4.0 International License", "CC BY 4.0"],
     "cc-by-nc": ["CC BY-NC 4.0", "CC BY-NC 4.0 license", "Creative Commons Attribution-NonCommercial 4.0 International License"],
     "cc-by-sa": ["CC BY-SA 4.0", "CC BY-SA 4.0 license", "Creative Commons Attribution-ShareAlike 4.0 International License"],
-    "gpl": ["GNU General Public License, version 3", "GNU General Public License v3.0", "GPL-3.0 license", "GNU GPL license"],
+    "gpl": ["GNU General Public License, version 3", "GNU General Public License v3.0", "GPL-3.0 license", "GNU GPL license", "GPL-3.0-or-later", "GPL-3.0", "GPL-2.0-only", "GNU GPL v3", "GNU GPL v2"],
     "isc": ["ISC License"],
     "lgpl": ["GNU Lesser General Public License, version 2.1", "GNU Lesser General Public License v3.0", "LGPL-3.0 license"],
-    "mit": ["MIT License", "MIT license", "Expat MIT License"],
-    "mpl": ["Mozilla Public License, version 2.0", "Mozilla Public License 2.0", "MPL-2.0 license"],
+    "mit": ["MIT License", "MIT license", "Expat MIT License", "MIT terms"],
+    "mpl": ["Mozilla Public License, version 2.0", "Mozilla Public License 2.0", "MPL-2.0 license", "MPL-2.0"],
     "proprietary": ["proprietary license"],
 }
 TEMPLATES = {
@@ -53,7 +57,7 @@ TEMPLATES = {
     "proprietary": ["All rights reserved.", "No part of this publication may be reproduced without the prior written permission of the copyright owner.", "All rights reserved. Unauthorized copying of this file is strictly prohibited."],
     "public-domain": ["This is free and unencumbered software released into the public domain.", "To the extent possible under law, the author has waived all copyright and related rights to this work; it is in the public domain.", "This work is in the public domain."],
 }
-VERBS = ["Released under the", "Licensed under the", "Licensed under", "This work is licensed under the", "This work is licensed under a", "Distributed under the terms of the", "Published under", "Available under the", "Made available under the"]
+VERBS = ["Released under the", "Licensed under the", "Licensed under", "This work is licensed under the", "This work is licensed under a", "Distributed under the terms of the", "Published under", "Available under the", "Made available under the", "Released under", "Distributed under", "This file is under the", "Use of this software is governed by the"]
 #: What has an anchor and names no licence.
 OTHERS = [
     "the driver lost his license after the accident", "she renewed her driver's license at the counter", "a poetic license with the facts", "a license plate on the back of the car",
@@ -94,7 +98,11 @@ def notices() -> list[tuple[str, str]]:
 def trained() -> tuple[tuple[str, ...], tuple[tuple[str, tuple[float, ...]], ...], tuple[float, ...], float]:
     """Classes (the last is unknown), weights of each n-gram, intercepts, and the least probability of a family."""
     classes = [*families(), UNKNOWN]
-    rows = sorted({(tuple(sorted(grams(tokens(t)))), classes.index(f)) for t, f in notices()})
+    every = sorted({(tuple(sorted(grams(tokens(t)))), classes.index(f)) for t, f in notices()})
+    templates = {tuple(sorted(grams(tokens(t)))) for ts in TEMPLATES.values() for t in ts}
+    # openings that licences prescribe are always learned; of what rules write every fourth row calibrates
+    kept = [r for i, r in enumerate(every) if i % 4 == 1 and r[0] not in templates]
+    rows = [r for r in every if r not in set(kept)]
     vocabulary = sorted(set().union(*(g for g, _ in rows)))
     number = {g: i for i, g in enumerate(vocabulary)}
     x = np.zeros((len(rows), len(vocabulary)))
@@ -120,17 +128,29 @@ def trained() -> tuple[tuple[str, ...], tuple[tuple[str, tuple[float, ...]], ...
         w += pace_w
         b += pace_b
     w, b = w.round(6), b.round(6)
-    p = probabilities()
-    wrong = p[y[:, -1] == 1, :-1].max()  # the surest that an ordinary paragraph comes to a family
-    least = round(float(max(0.5, (wrong + p[y[:, -1] == 0].max(1).min()) / 2)), 6)
+    z = np.array([b + sum((w[number[t]] for t in g if t in number), np.zeros(len(classes))) for g, _ in kept])
+    p = np.exp(z - z.max(1, keepdims=True))
+    p /= p.sum(1, keepdims=True)
+    truth = np.array([c for _, c in kept])
+    ordinary = truth == len(classes) - 1
+    wrong = p[ordinary, :-1].max()  # the surest that a kept ordinary paragraph comes to a family
+    right = np.sort(p[~ordinary, truth[~ordinary]])  # of kept notices, all but a hundredth are surer than the second
+    least = round(float(max(0.5, (wrong + right[len(right) // 100]) / 2)), 6)
     return tuple(classes), tuple((g, tuple(map(float, w[i]))) for g, i in number.items()), tuple(map(float, b)), least
 
 
-def _anchored(text: Column) -> Column:
-    low, found = F.lower(text), F.lit(False)
-    for a in ANCHORS:
-        found = found | F.contains(low, F.lit(a))
-    return found
+def vocabulary_words() -> list[str]:
+    """The words of the weighted n-grams that say something."""
+    return sorted({w for g, _ in trained()[1] for w in g.split(" ")} - STOPS)
+
+
+def paragraphs_of(text: Column) -> Column:
+    joined = F.regexp_replace(F.regexp_replace(text, WRAPPED, "$1 $2"), WRAPPED, "$1 $2")  # twice: matches can't overlap
+    return F.split(joined, "\n")
+
+
+def words_of_paragraph(paragraph: Column) -> Column:
+    return F.array_remove(F.split(F.lower(paragraph), "[^a-z0-9]+"), "")
 
 
 def scan_paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -139,8 +159,9 @@ def scan_paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     classes, weights, intercepts, least = trained()
     text = F.col(text_col).cast("string")
     rid = F.coalesce(F.col(id_col).cast("long"), -1 - F.shiftrightunsigned(F.xxhash64(text), 1))
-    lines = docs.where(_anchored(text)).select(rid.alias("rid"), F.explode(F.array_distinct(F.split(text, "\n"))).alias("paragraph")).where(_anchored(F.col("paragraph")))
-    words = F.array_remove(F.split(F.lower("paragraph"), "[^a-z0-9]+"), "")
+    known = vocabulary_words()
+    words = words_of_paragraph(F.col("paragraph"))
+    lines = docs.select(rid.alias("rid"), F.explode(F.array_distinct(paragraphs_of(text))).alias("paragraph")).where(F.exists(words, lambda w: w.isin(known)))
     distinct = lines.select("paragraph").distinct().withColumn("words", words)
     stops = sorted(STOPS)
     single = F.filter("words", lambda w: ~w.isin(stops))
@@ -150,10 +171,10 @@ def scan_paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     table = F.broadcast(spark.createDataFrame([(g, *w) for g, w in weights], schema))
     sums = distinct.select("paragraph", gram.alias("gram")).join(table, "gram").groupBy("paragraph").agg(*[(F.sum(f"w{k}") + F.lit(b)).alias(f"z{k}") for k, b in enumerate(intercepts)])
     top = F.greatest(*[F.col(f"z{k}") for k in range(len(classes))])
-    known = F.greatest(*[F.col(f"z{k}") for k in range(len(classes) - 1)])
+    likeliest = F.greatest(*[F.col(f"z{k}") for k in range(len(classes) - 1)])
     total = sum((F.exp(F.col(f"z{k}") - top) for k in range(len(classes))), F.lit(0.0))
-    family = F.coalesce(*[F.when(F.col(f"z{k}") == known, F.lit(c)) for k, c in enumerate(classes[:-1])])
-    scored = sums.select("paragraph", family.alias("family"), (F.exp(known - top) / total).alias("probability")).where(F.col("probability") >= least)
+    family = F.coalesce(*[F.when(F.col(f"z{k}") == likeliest, F.lit(c)) for k, c in enumerate(classes[:-1])])
+    scored = sums.select("paragraph", family.alias("family"), (F.exp(likeliest - top) / total).alias("probability")).where(F.col("probability") >= least)
     own = [(f, [sorted(set(tokens(t))) for t, g in notices() if g == f]) for f in classes[:-1]]
     templates = F.broadcast(spark.createDataFrame(own, "family string, templates array<array<string>>"))
     held = F.array_max(F.transform("templates", lambda t: F.size(F.array_intersect(t, words)) / F.size(t)))
@@ -184,7 +205,9 @@ def oracle() -> str:
     text = lambda s: "'" + s.replace("'", "''") + "'"
     names = ", ".join(f"w{k}" for k in range(len(classes)))
     rows = ",\n".join(f"({text(g)}, {', '.join(map(repr, w))})" for g, w in weights)
-    anchored = lambda x: "(" + " or ".join(f"contains(lower({x}), {text(a)})" for a in ANCHORS) + ")"
+    known_words = ", ".join(map(text, vocabulary_words()))
+    wrapped = text(WRAPPED)
+    words = lambda x: f"list_filter(string_split_regex(lower({x}), '[^a-z0-9]+'), lambda x: x <> '')"
     stops = ", ".join(text(s) for s in sorted(STOPS))
     sums = ", ".join(f"sum(w{k}) + {b!r} as z{k}" for k, b in enumerate(intercepts))
     known = "greatest(" + ", ".join(f"z{k}" for k in range(len(classes) - 1)) + ")"
@@ -196,10 +219,11 @@ def oracle() -> str:
     return f"""
 with weights(gram, {names}) as (values {rows}),
 templates(family, words) as (values {templates}),
-l as (select distinct doc_id, unnest(string_split(text, chr(10))) as paragraph from documents where {anchored("text")}),
-p as (select doc_id, paragraph from l where {anchored("paragraph")}),
+l as (
+  select distinct doc_id, unnest(string_split(regexp_replace(regexp_replace(text, {wrapped}, '\\1 \\2', 'g'), {wrapped}, '\\1 \\2', 'g'), chr(10))) as paragraph from documents),
+p as (select doc_id, paragraph from l where list_has_any({words("paragraph")}, [{known_words}])),
 d as (select distinct paragraph from p),
-w as (select paragraph, list_filter(string_split_regex(lower(paragraph), '[^a-z0-9]+'), lambda x: x <> '') as words from d),
+w as (select paragraph, {words("paragraph")} as words from d),
 g as (
   select paragraph, unnest(list_filter(words, lambda x: x not in ({stops}))) as gram from w union
   select paragraph, unnest(list_filter(list_transform(range(1, len(words)), lambda i: case when words[i] in ({stops}) and words[i + 1] in ({stops}) then null

@@ -83,6 +83,22 @@ def test_genetic_packing_is_no_worse_than_best_fit():
     assert packing._from_bytes(packing._to_bytes(child, 400), lengths, 2048) is not None
 
 
+def test_genetic_packing_saves_sequences(spark):
+    """On lengths where best fit stays above the bound, with the parameters of production."""
+    from postloom.llm import packing
+
+    rng = random.Random(7)
+    lengths = [rng.randint(500, 1100) for _ in range(1500)]
+    order = sorted(range(len(lengths)), key=lambda i: -lengths[i])
+    plain = len(packing.best_fit(order, lengths, packing.LENGTH))
+    elites = [packing.evolve(lengths, packing.LENGTH, [], packing.GENERATIONS, packing.POPULATION, seed) for seed in range(packing.ISLANDS)]
+    best = min(len(p) for p in elites)
+    for epoch in range(1, packing.EPOCHS):
+        elites = [packing.evolve(lengths, packing.LENGTH, [elites[i], elites[i - 1]], packing.GENERATIONS, packing.POPULATION, 100 * epoch + i) for i in range(packing.ISLANDS)]
+    migrated = min(len(p) for p in elites)
+    assert -(-sum(lengths) // packing.LENGTH) <= migrated <= best < plain
+
+
 def test_near_dedup_equals_comparing_all(spark):
     """Groups around pivots, in more than one block, against all pairs."""
     from postloom.llm import near_dedup
@@ -347,6 +363,30 @@ def test_license_verdicts():
     assert verdict("Licensed under CC BY-NC 4.0.") == "cc-by-nc" and verdict("Licensed under CC BY 4.0.") == "cc-by"
     assert verdict("This work is licensed under the GNU General Public License, version 3.") == "gpl"
     assert verdict("he lost his driver's license and the copyright of his songs") == license_scan.UNKNOWN
+    for said, family in (("GPL-3.0-or-later", "gpl"), ("Distributed under GNU GPL v3", "gpl"), ("This file is under the MIT terms", "mit"), ("Released under Apache-2.0", "apache"), ("Distributed under MPL-2.0", "mpl")):
+        assert verdict(said) == family, said
+
+
+#: Notices and ordinary paragraphs that no rule of the operator wrote.
+LABELLED = [
+    ("mit", "Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files (the \"Software\"), to deal\nin the Software without restriction, including without limitation the rights\nto use, copy, modify, merge, publish, distribute, sublicense, and/or sell\ncopies of the Software"),
+    ("isc", "Permission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee is hereby granted, provided that the above\ncopyright notice and this permission notice appear in all copies."),
+    ("gpl", "this program is free software: you can redistribute it and/or modify it under\nthe terms of the GNU General Public License as published by the Free Software\nFoundation, either version 3 of the License, or any later version."),
+    ("apache", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use\nthis file except in compliance with the License."),
+    ("cc-by-sa", "The text of this page is available under the CC BY-SA 4.0 license"),
+    ("", "The council will discuss the new rules for public gardens on Monday"),
+    ("", "Please renew your fishing license before the season opens in April"),
+    ("", "we use the software at work and the file was sent to all members of the general staff"),
+    ("", "She asked the museum for permission to copy the painting"),
+]
+
+
+def test_license_scan_of_labelled_paragraphs(spark):
+    from postloom.llm.license_scan import license_scan
+
+    rows = [(i, f"A first line of text.\n{t}\n\nAnd a last one.") for i, (_, t) in enumerate(LABELLED)]
+    got = {r.doc_id: r.families for r in license_scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [got[i] for i in range(len(LABELLED))] == [f for f, _ in LABELLED]
 
 
 def test_sql_gives_the_same_rows(spark, queries):
