@@ -1,6 +1,6 @@
 """Licence scans: a trained classifier of paragraphs, confirmed by comparison with templates.
 
-A paragraph ends at a blank line or at a line that ends a sentence; other lines are joined, so that a wrapped notice
+A paragraph ends at a blank line or at a line that ends a sentence; other lines go on, so that a wrapped notice
 is one paragraph. Paragraphs with a word of the vocabulary (without one no family can be likelier than unknown) are made
 distinct, so that a notice found in a million documents is scored once. Their word n-grams meet the weights of a
 multinomial logistic regression, a small table, and the sums give a family or, below the calibrated threshold,
@@ -25,12 +25,14 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from postloom.llm.common import Scratch, bound
+
 #: Part of a template's words that a confirmed paragraph holds.
 CONFIRM = 0.6
 UNKNOWN = "unknown"
 
-#: Where a line goes on in the next one: it doesn't end a sentence, and the next isn't blank.
-WRAPPED = r"([^.!?:; \t\r\n])[ \t\r]*\n[ \t]*([^ \t\r\n])"
+#: Between paragraphs: the end of a line that ends a sentence, or a blank line.
+BREAK = r"[.!?:;][ \t\r]*\n|\n[ \t\r]*\n"
 
 #: Names that notices use, and openings of the notices that licences prescribe.
 NAMES = {
@@ -145,8 +147,7 @@ def vocabulary_words() -> list[str]:
 
 
 def paragraphs_of(text: Column) -> Column:
-    joined = F.regexp_replace(F.regexp_replace(text, WRAPPED, "$1 $2"), WRAPPED, "$1 $2")  # twice: matches can't overlap
-    return F.split(joined, "\n")
+    return F.split(text, BREAK)
 
 
 def words_of_paragraph(paragraph: Column) -> Column:
@@ -161,12 +162,18 @@ def scan_paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rid = F.coalesce(F.col(id_col).cast("long"), -1 - F.shiftrightunsigned(F.xxhash64(text), 1))
     known = vocabulary_words()
     words = words_of_paragraph(F.col("paragraph"))
+    # written once, as both the scores and their way back to the documents read it
     lines = docs.select(rid.alias("rid"), F.explode(F.array_distinct(paragraphs_of(text))).alias("paragraph")).where(F.exists(words, lambda w: w.isin(known)))
-    distinct = lines.select("paragraph").distinct().withColumn("words", words)
+    lines = Scratch(spark, "licences").table(lines, "paragraphs")
     stops = sorted(STOPS)
-    single = F.filter("words", lambda w: ~w.isin(stops))
-    pairs = F.transform(F.slice("words", 1, F.greatest(F.size("words") - 1, F.lit(0))), lambda w, i: F.when(~(w.isin(stops) & F.get("words", i + 1).isin(stops)), F.concat(w, F.lit(" "), F.get("words", i + 1))))
-    gram = F.explode(F.array_distinct(F.concat(single, F.filter(pairs, lambda x: x.isNotNull()))))
+
+    def grams_of(ws: Column) -> Column:
+        single = F.filter(ws, lambda w: ~w.isin(stops))
+        pairs = F.zip_with(F.slice(ws, 1, F.greatest(F.size(ws) - 1, F.lit(0))), F.slice(ws, 2, F.size(ws)), lambda a, b: F.when(~(a.isin(stops) & b.isin(stops)), F.concat(a, F.lit(" "), b)))
+        return F.array_distinct(F.concat(single, F.filter(pairs, lambda x: x.isNotNull())))
+
+    distinct = lines.select("paragraph").distinct()
+    gram = F.explode(bound(words, grams_of))  # the words of a paragraph are split off once
     schema = "gram string, " + ", ".join(f"w{k} double" for k in range(len(classes)))
     table = F.broadcast(spark.createDataFrame([(g, *w) for g, w in weights], schema))
     sums = distinct.select("paragraph", gram.alias("gram")).join(table, "gram").groupBy("paragraph").agg(*[(F.sum(f"w{k}") + F.lit(b)).alias(f"z{k}") for k, b in enumerate(intercepts)])
@@ -177,7 +184,7 @@ def scan_paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     scored = sums.select("paragraph", family.alias("family"), (F.exp(likeliest - top) / total).alias("probability")).where(F.col("probability") >= least)
     own = [(f, [sorted(set(tokens(t))) for t, g in notices() if g == f]) for f in classes[:-1]]
     templates = F.broadcast(spark.createDataFrame(own, "family string, templates array<array<string>>"))
-    held = F.array_max(F.transform("templates", lambda t: F.size(F.array_intersect(t, words)) / F.size(t)))
+    held = bound(words, lambda ws: F.array_max(F.transform("templates", lambda t: F.size(F.array_intersect(t, ws)) / F.size(t))))
     scored = scored.join(templates, "family").select("paragraph", "family", "probability", held.alias("similarity"))
     scored = scored.withColumn("confirmed", F.col("similarity") >= CONFIRM)
     return lines.join(scored, "paragraph")
@@ -206,7 +213,6 @@ def oracle() -> str:
     names = ", ".join(f"w{k}" for k in range(len(classes)))
     rows = ",\n".join(f"({text(g)}, {', '.join(map(repr, w))})" for g, w in weights)
     known_words = ", ".join(map(text, vocabulary_words()))
-    wrapped = text(WRAPPED)
     words = lambda x: f"list_filter(string_split_regex(lower({x}), '[^a-z0-9]+'), lambda x: x <> '')"
     stops = ", ".join(text(s) for s in sorted(STOPS))
     sums = ", ".join(f"sum(w{k}) + {b!r} as z{k}" for k, b in enumerate(intercepts))
@@ -220,7 +226,7 @@ def oracle() -> str:
 with weights(gram, {names}) as (values {rows}),
 templates(family, words) as (values {templates}),
 l as (
-  select distinct doc_id, unnest(string_split(regexp_replace(regexp_replace(text, {wrapped}, '\\1 \\2', 'g'), {wrapped}, '\\1 \\2', 'g'), chr(10))) as paragraph from documents),
+  select distinct doc_id, unnest(string_split_regex(text, {text(BREAK)})) as paragraph from documents),
 p as (select doc_id, paragraph from l where list_has_any({words("paragraph")}, [{known_words}])),
 d as (select distinct paragraph from p),
 w as (select paragraph, {words("paragraph")} as words from d),
