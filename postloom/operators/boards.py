@@ -20,11 +20,17 @@ def board_key() -> Column:
     return F.concat_ws("|", F.lower(text.clean(F.col("ATS"))), F.lower(text.clean(F.col("CatalogSlug"))))
 
 
-def error_class(status: Column, ats: Column) -> Column:
-    """The class of a failed fetch by its HTTP status."""
+def error_class(status: Column, ats: Column, name: Column | None = None, message: Column | None = None, skip: Column | None = None) -> Column:
+    """The class of a failed fetch: by what it says of itself, then its HTTP status, then its message."""
+    said = F.lower(F.trim(F.coalesce(message, F.lit("")))) if message is not None else F.lit("")
+    called = F.lower(F.trim(F.coalesce(name, F.lit("")))) if name is not None else F.lit("")
+    skipped = F.coalesce(skip, F.lit(False)) if skip is not None else F.lit(False)
+    status = F.coalesce(status, F.lit(0))
     return (
-        F.when(status == 429, "RATE_LIMITED").when(status >= 500, "UPSTREAM_SERVER_ERROR").when(status.isin(404, 410), "BOARD_NOT_FOUND").when(status.isin(401, 403), "ACCESS_BLOCKED")
-        .when((F.lower(ats) == "workday") & (status == 422), "ENDPOINT_REJECTED").when(status >= 400, "HTTP_CLIENT_ERROR").otherwise("UNKNOWN_FETCH_ERROR")
+        F.when(skipped | said.rlike("no usable .* fetch url"), "NO_USABLE_URL").when((called == "aborterror") | said.rlike("abort|timed? out|timeout"), "TIMEOUT")
+        .when(status == 429, "RATE_LIMITED").when(status >= 500, "UPSTREAM_SERVER_ERROR").when(status.isin(404, 410), "BOARD_NOT_FOUND").when(status.isin(401, 403), "ACCESS_BLOCKED")
+        .when((F.lower(ats) == "workday") & (status == 422), "ENDPOINT_REJECTED").when(status >= 400, "HTTP_CLIENT_ERROR")
+        .when(said.rlike("json|parse|unexpected token|html"), "RESPONSE_PARSE_ERROR").when(said.rlike("dns|enotfound|getaddrinfo|network|fetch failed|econn"), "NETWORK_ERROR").otherwise("UNKNOWN_FETCH_ERROR")
     )
 
 
@@ -115,7 +121,7 @@ def freshness(state: DataFrame, now: Column) -> DataFrame:
     due = live & (F.col("NextCheckAt") <= now.cast("timestamp"))
     failed = F.col("CoverageStatus") == "FETCH_FAILED"
     counts = {
-        "ActiveBoards": F.lit(True), "FetchEligibleBoards": live, "Checked24Hours": live & (age <= 86400), "Checked7Days": live & (age <= 7 * 86400), "Checked30Days": live & (age <= 30 * 86400),
+        "AttemptedBoards": live & F.col("LastAttemptAt").isNotNull(), "NeverAttemptedBoards": live & F.col("LastAttemptAt").isNull(), "ActiveBoards": F.lit(True), "FetchEligibleBoards": live, "Checked24Hours": live & (age <= 86400), "Checked7Days": live & (age <= 7 * 86400), "Checked30Days": live & (age <= 30 * 86400),
         "DueBoards": due, "JobsFoundBoards": F.col("CoverageStatus") == "JOBS_FOUND", "EmptyBoards": F.col("CoverageStatus") == "FETCHED_EMPTY", "FailedBoards": failed,
         "RetryDelayedFailedBoards": failed & ~due, "DueFailedBoards": failed & due,
     }
@@ -127,8 +133,11 @@ def freshness(state: DataFrame, now: Column) -> DataFrame:
 def due_boards(state: DataFrame, now: Column, most: int = 60, per_ats: int = 15) -> DataFrame:
     """Boards to check next: by status, due time and key within their ATS, taken in turns over the ATS."""
     due = state.where((F.col("CoverageStatus") != "UNSUPPORTED") & (F.col("NextCheckAt") <= now.cast("timestamp")))
-    own = Window.partitionBy("ATS").orderBy(text.ranked(F.col("CoverageStatus"), STATUS_RANK), "NextCheckAt", "BoardKey")
-    turns = due.withColumn("turn", F.row_number().over(own)).where(F.col("turn") <= per_ats)
+    order = [text.ranked(F.col("CoverageStatus"), STATUS_RANK), "NextCheckAt", "BoardKey"]
+    # first within parts of a provider, so that one with most boards doesn't meet in one task
+    part = F.pmod(F.xxhash64("BoardKey"), F.lit(64))
+    due = due.withColumn("turn", F.row_number().over(Window.partitionBy("ATS", part).orderBy(*order))).where(F.col("turn") <= per_ats)
+    turns = due.withColumn("turn", F.row_number().over(Window.partitionBy("ATS").orderBy(*order))).where(F.col("turn") <= per_ats)
     first = turns.orderBy("turn", "ATS").limit(most)
     return first.withColumn("place", F.row_number().over(Window.orderBy("turn", "ATS")))
 

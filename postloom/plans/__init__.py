@@ -1,7 +1,7 @@
 """Queries over the logical tables, each with SQL that gives the same rows."""
 
-from postloom.plans import boards, jobs, package, snapshots, variants
+from postloom.plans import boards, coverage, jobs, package, snapshots, variants
 
-PARTS = (jobs, boards, snapshots, variants, package)
+PARTS = (jobs, boards, coverage, snapshots, variants, package)
 QUERIES = {k: v for p in PARTS for k, v in p.QUERIES.items()}
 SQL = {k: v for p in PARTS for k, v in p.SQL.items()}

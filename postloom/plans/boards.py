@@ -58,7 +58,7 @@ def e1_board_state(spark, sf_dir):
 
 
 @query(f"""with {_STATE}, f as (select *, CoverageStatus <> 'UNSUPPORTED' as live, epoch({_now}) - epoch(LastAttemptAt) as age, CoverageStatus <> 'UNSUPPORTED' and NextCheckAt <= {_now} as due from s)
-select coalesce(ATS, 'all') as ATS, count(*) as ActiveBoards, count(*) filter (live) as FetchEligibleBoards, count(*) filter (live and age <= 86400) as Checked24Hours, count(*) filter (live and age <= 604800) as Checked7Days,
+select coalesce(ATS, 'all') as ATS, count(*) filter (live and LastAttemptAt is not null) as AttemptedBoards, count(*) filter (live and LastAttemptAt is null) as NeverAttemptedBoards, count(*) as ActiveBoards, count(*) filter (live) as FetchEligibleBoards, count(*) filter (live and age <= 86400) as Checked24Hours, count(*) filter (live and age <= 604800) as Checked7Days,
   count(*) filter (live and age <= 2592000) as Checked30Days, count(*) filter (due) as DueBoards, count(*) filter (CoverageStatus = 'JOBS_FOUND') as JobsFoundBoards, count(*) filter (CoverageStatus = 'FETCHED_EMPTY') as EmptyBoards,
   count(*) filter (CoverageStatus = 'FETCH_FAILED') as FailedBoards, count(*) filter (CoverageStatus = 'FETCH_FAILED' and not due) as RetryDelayedFailedBoards, count(*) filter (CoverageStatus = 'FETCH_FAILED' and due) as DueFailedBoards,
   case when count(*) filter (live) > 0 then round(count(*) filter (live and age <= 604800) / count(*) filter (live) * 100, 2) else 100 end as Fresh7DayPercent from f group by rollup (ATS)""")
@@ -100,12 +100,6 @@ def c16_anomaly(spark, sf_dir):
     return B.anomalies(log, latest_time(log))
 
 
-@query(f"""with {_L} select seq, case cast(HttpStatus as int) when 429 then 'RATE_LIMITED' when 404 then 'BOARD_NOT_FOUND' when 500 then 'UPSTREAM_SERVER_ERROR'
-  when 422 then case when ATS = 'workday' then 'ENDPOINT_REJECTED' else 'HTTP_CLIENT_ERROR' end else 'UNKNOWN_FETCH_ERROR' end as ErrorClass from l where Status = 'failed'""")
-def c15_error_class(spark, sf_dir):
-    return fetches(spark, sf_dir).where("Status = 'failed'").select("seq", B.error_class(F.col("HttpStatus").cast("int"), F.col("ATS")).alias("ErrorClass"))
-
-
 @query(f"with {_L} select BoardKey, Status, seq from l where Status in ('success', 'empty') qualify row_number() over (partition by BoardKey order by FetchedAt desc, seq desc) = 1")
 def w12_latest_fetch(spark, sf_dir):
     log = fetches(spark, sf_dir)
@@ -137,14 +131,6 @@ def c20_recommendation(spark, sf_dir):
     return B.recommendation(B.fetch_health(fetches(spark, sf_dir)), SUPPORTED).select("ATS", "ScaleRecommendation")
 
 
-@query(f"with {_L} select seq, BoardKey from l where Status <> 'failed' and BoardKey not in (select BoardKey from l where Status = 'failed' and FetchedAt > {_now} - interval 1 day)")
-def j5_no_recent_failure(spark, sf_dir):
-    """Attempts of boards that haven't failed within the last day."""
-    log = fetches(spark, sf_dir).withColumn("BoardKey", B.board_key())
-    recent = log.where((F.col("Status") == "failed") & (F.col("FetchedAt") > latest_time(log) - F.expr("interval 1 day")))
-    return log.where("Status <> 'failed'").join(recent.select("BoardKey").distinct(), "BoardKey", "left_anti").select("seq", "BoardKey")
-
-
 @query(f"with {_C} select ATS, count(*) as Rows, count(distinct Slug) as DistinctSlugs, count(distinct CompanyKey) as DistinctCompanies, count(*) filter (BoardURL <> '') as WithURL, count(*) filter (ATS = '' or Slug = '' or regexp_matches(BoardURL, '\\s')) as Malformed from c group by ATS")
 def a16_catalog_breakdown(spark, sf_dir):
     return B.catalog_breakdown(catalog(spark, sf_dir))
@@ -224,12 +210,3 @@ def a20_queue_summary(spark, sf_dir):
 @query(f"with {_QUEUE} select CompanyKey, CrawlPriority, row_number() over (partition by CrawlPriority order by ATSCount desc, CompanyKey) as place from q qualify place <= 100")
 def o3_queue_heads(spark, sf_dir):
     return B.queue_heads(B.crawl_queue(B.registry(catalog(spark, sf_dir)))).select("CompanyKey", "CrawlPriority", F.col("place").cast("long").alias("place"))
-
-
-@query(f"with {_QUEUE}, {_L} select CompanyKey, BestATS from q where CrawlReady and BestATS not in (select ATS from l where Status = 'failed' and FetchedAt > {_now} - interval 1 hour)")
-def j4_remaining(spark, sf_dir):
-    """Ready companies of providers that haven't failed within the last hour."""
-    log = fetches(spark, sf_dir)
-    recent = log.where((F.col("Status") == "failed") & (F.col("FetchedAt") > latest_time(log) - F.expr("interval 1 hour"))).select(F.col("ATS").alias("BestATS")).distinct()
-    queue = B.crawl_queue(B.registry(catalog(spark, sf_dir))).where("CrawlReady")
-    return queue.join(F.broadcast(recent), "BestATS", "left_anti").select("CompanyKey", "BestATS")

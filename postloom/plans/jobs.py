@@ -418,12 +418,28 @@ def j14_cross_ats(spark, sf_dir):
     return out.withColumn("_own", own).select("seq", F.size("_own").cast("long").alias("SourceATSCount"), (F.size("_own") > 1).alias("CrossATSDuplicate"), F.array_join(listed, " | ").alias("SourceATSList"))
 
 
+def shared_folder(spark) -> str:
+    """The folder that driver and executors share; only a local session may lack the setting, as in tests."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder:
+        return folder.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+    import tempfile
+
+    return tempfile.mkdtemp(prefix="postloom-")
+
+
+def scratch_folder(spark, name: str) -> str:
+    import uuid
+
+    return f"{shared_folder(spark)}/postloom-{name}-{uuid.uuid4().hex}"
+
+
 def _checkpoints(spark) -> None:
     """Component rounds need a checkpoint folder; the cluster's own setting comes first."""
     if spark.sparkContext.getCheckpointDir() is None:
-        import tempfile
-
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="postloom-"))
+        spark.sparkContext.setCheckpointDir(shared_folder(spark))
 
 
 # ---- pages

@@ -55,6 +55,20 @@ select event_id as seq, {one_of(ATS, "user_id")} as ATS, concat('board-', cast(u
   case when event_type in ('purchase', 'view') then cast(floor(value) as bigint) else 0 end as JobCount
 from {{events}}"""
 
+ERRORS = ["", "The operation was aborted due to timeout", "Unexpected token < in JSON at position 0", "getaddrinfo ENOTFOUND boards.example.com", "no usable Workday fetch URL", "fetch failed", "odd"]
+
+LOG = f"""
+select event_id as seq, {one_of(ATS, "user_id")} as ATS, case when user_id % 10 = 0 then '' else concat('slug-', cast(user_id % 83 as string)) end as CatalogSlug, concat('company', cast(user_id % 40 as string)) as CompanyKey,
+  cast(ts as timestamp) as FetchedAt, case event_type when 'purchase' then 'success' when 'view' then 'success' when 'click' then 'empty' when 'error' then 'failed' else 'skipped' end as Status,
+  case when event_type = 'error' then {one_of(["404", "422", "429", "500", "", "403", "410", "418", ""], "event_id")} else '200' end as HttpStatus, case when event_type in ('purchase', 'view') then cast(floor(value) as bigint) else 0 end as JobCount,
+  case when event_type = 'error' then {one_of(ERRORS, "event_id")} else '' end as Error,
+  concat({one_of(ATS, "event_id")}, '-high-', case when event_id % 12 < 10 then '000' else '00' end, cast(event_id % 12 as string)) as BatchName
+from {{events}}"""
+
+PUBLIC = f"""
+select o_orderkey as seq, {one_of(ATS, "o_orderkey")} as ATS, concat('company', cast(o_custkey % 160 as string)) as CompanyKey, {one_of(["A", "C", "B", "D", "F", "F"], "o_orderkey * 7 + o_custkey")} as WriterFitTier,
+  cast(o_orderdate as timestamp) as FetchedAt from {{orders}}"""
+
 SNAPSHOTS = """
 select cast(month(l_shipdate) as int) as snapshot_id, l_suppkey as company_no, l_partkey as part_no, max(l_quantity) as score, max(l_extendedprice) as price
 from {lineitem} group by 1, 2, 3"""

@@ -126,3 +126,10 @@ def from_ashby(rows: DataFrame) -> DataFrame:
         F.lit("ashby").alias("ATS"), text.clean(c("id")).alias("RawJobId"), text.clean(c("title")).alias("Title"), F.array_join(places, " | ").alias("Location"), text.clean(c("descriptionPlain")).alias("Description"),
         text.clean(c("publishedAt")).alias("DatePosted"), first_text(c("jobUrl"), c("applyUrl")).alias("URL"), first_text(c("department"), c("team")).alias("Department"),
     )
+
+
+def batch_logs(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """The logs of all batches below a folder, each row tagged with the folder (BatchName=… or plain) that it lies in."""
+    rows = spark.read.schema(schema).option("recursiveFileLookup", "true").json(path)
+    folder = F.regexp_extract(F.col("_metadata.file_path"), r"/([^/]+)/[^/]+$", 1)
+    return rows.withColumn("BatchName", F.url_decode(F.regexp_replace(folder, "^BatchName=", "")))
