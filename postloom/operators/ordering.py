@@ -5,16 +5,20 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from postloom.functions.folders import ensure_checkpoints
+
 
 def numbered(df: DataFrame, order: list, parts: int | None = None) -> DataFrame:
     """The rows with their place in a total order, from 1.
 
     Range partitions are numbered on their own; a first pass counts them, and their starts, a line a partition, are
-    broadcast. Rows that compare equal get places in no set order, so name a last column that tells them apart.
+    broadcast. The dealt rows are checkpointed, as range bounds are sampled anew whenever a plan runs. Rows that
+    compare equal get places in no set order, so name a last column that tells them apart.
     """
+    ensure_checkpoints(df.sparkSession)
     parts = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     cols: list[Column] = [F.col(c) if isinstance(c, str) else c for c in order]
-    ranged = df.repartitionByRange(parts, *cols).withColumn("part_", F.spark_partition_id())
+    ranged = df.repartitionByRange(parts, *cols).withColumn("part_", F.spark_partition_id()).checkpoint()
     counts = ranged.groupBy("part_").agg(F.count("*").alias("n_"))
     starts = counts.select("part_", F.coalesce(F.sum("n_").over(Window.orderBy("part_").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("start_"))
     within = F.row_number().over(Window.partitionBy("part_").orderBy(*cols))

@@ -46,20 +46,6 @@ def quality_checks(jobs: DataFrame, fields: list[str], least_share: float = 1.0)
     return found.withColumns({"share": share, "spike": share >= least_share})
 
 
-def outliers(snapshots: DataFrame) -> DataFrame:
-    """Rows of the newest snapshot that run long, came back, or have a high score for long, with the reason."""
-    n = snapshots.agg(F.count_distinct("snapshot_id").alias("all_ids"), F.max("snapshot_id").alias("newest"))
-    ids = snapshots.select("snapshot_id").distinct().orderBy(F.desc("snapshot_id")).limit(2).agg(F.min("snapshot_id").alias("previous"))
-    known = history(snapshots).join(F.broadcast(n)).join(F.broadcast(ids))
-    before = snapshots.select("snapshot_id", *KEY).join(F.broadcast(ids), F.col("snapshot_id") == F.col("previous"), "left_semi").select(*KEY, F.lit(True).alias("was"))
-    rows = known.where(F.col("last_seen") == F.col("newest")).join(before, KEY, "left")
-    kinds = F.filter(F.array(
-        F.when(F.col("snapshots") >= F.greatest(F.lit(4), F.col("all_ids") - 1), F.lit("LONG_RUNNING_JOB")), F.when((F.col("latest_score") >= 45) & (F.col("newest") - F.col("first_seen") >= 6), F.lit("HIGH_SCORE_OLD_JOB")),
-        F.when((F.col("snapshots") >= 2) & F.col("was").isNull(), F.lit("REAPPEARED_JOB")),
-    ), lambda x: x.isNotNull())
-    return rows.select(*KEY, "snapshots", "latest_score", F.explode(kinds).alias("outlier"))
-
-
 def first_of_company(snapshots: DataFrame) -> DataFrame:
     """The first snapshot of each company, its rows there and its best score since."""
     first = snapshots.groupBy("company_no", "snapshot_id").agg(F.count("*").alias("n"), F.max("score").alias("top"))

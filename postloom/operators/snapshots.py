@@ -51,17 +51,6 @@ def reappeared(snapshots: DataFrame) -> DataFrame:
     return found.join(newest, KEY, "left_semi")
 
 
-def rolling(snapshots: DataFrame, spans: tuple[int, ...] = (3, 6, 12)) -> DataFrame:
-    """Over the last snapshots: how many, jobs, companies, and jobs first seen in the span."""
-    ids = snapshots.select("snapshot_id").distinct().withColumn("back", F.row_number().over(Window.orderBy(F.desc("snapshot_id"))))
-    rows = snapshots.join(F.broadcast(ids), "snapshot_id")
-    first = rows.groupBy(*KEY).agg(F.max("back").alias("oldest"), F.min("back").alias("newest"))
-    jobs = first.withColumn("span", F.explode(F.array(*[F.lit(s) for s in spans]))).where("newest <= span")
-    found = jobs.groupBy("span").agg(F.count("*").alias("jobs"), F.count_distinct("company_no").alias("companies"), F.count_if(F.col("oldest") <= F.col("span")).alias("first_seen"))
-    have = ids.agg(F.count("*").alias("have"))
-    return found.join(F.broadcast(have)).select(F.col("span").cast("long").alias("span"), F.least("span", "have").cast("long").alias("snapshots"), "jobs", "companies", "first_seen")
-
-
 def churn(snapshots: DataFrame) -> DataFrame:
     """Per snapshot: jobs, and how many came and went since the one before."""
     ids = snapshots.select("snapshot_id").distinct().withColumn("n", F.row_number().over(Window.orderBy("snapshot_id")))
@@ -79,14 +68,6 @@ def market(snapshots: DataFrame) -> DataFrame:
     )
 
 
-def spread(current: DataFrame, limits: tuple[int, ...] = (10, 20, 40)) -> DataFrame:
-    """Exact median, mean and extremes of the newest scores, and how many are within limits."""
-    return current.agg(
-        F.count("*").alias("jobs"), F.median("score").alias("median_score"), F.round(F.avg("score"), 4).alias("mean_score"), F.min("score").alias("least"), F.max("score").alias("most"),
-        *[F.count_if(F.col("score") <= x).alias(f"within_{x}") for x in limits],
-    )
-
-
 def repeat_companies(snapshots: DataFrame, least: int = 3) -> DataFrame:
     seen = snapshots.groupBy("company_no").agg(F.count_distinct("snapshot_id").alias("snapshots"), F.countDistinct("part_no").alias("titles"), F.min("snapshot_id").alias("first_seen"))
     return seen.where(F.col("snapshots") >= least)
@@ -99,10 +80,3 @@ def range_metrics(snapshots: DataFrame) -> DataFrame:
     return keys.agg(
         F.count("*").alias("jobs"), F.count_if(F.col("snapshots") == F.col("all_ids")).alias("persistent"), F.count_if(F.col("snapshots") == 1).alias("once"), F.count_if(F.col("last_seen") == F.col("newest")).alias("present"),
     )
-
-
-def modal(rows: DataFrame, by: str, value: Column, name: str) -> DataFrame:
-    """Of each group, the most frequent value (the smaller of two) and its share in per cent."""
-    counts = rows.groupBy(by, value.alias(name)).agg(F.count("*").alias("n"))
-    best = counts.groupBy(by).agg(F.max(F.struct("n", (-F.col(name)).alias("v"))).alias("b"), F.sum("n").alias("all_n"))
-    return best.select(by, (-F.col("b.v")).cast("long").alias(name), F.round(F.col("b.n") / F.col("all_n") * 100, 2).alias("share"))

@@ -65,7 +65,7 @@ def s11_distinct_attempts(spark, sf_dir):
 @query(f"with {_G} select BatchName, count(*) as Attempts, count(distinct ATS) as Providers, min(seq) as FirstRow from g group by BatchName")
 def s10_batch_logs(spark, sf_dir):
     """Logs of all batches written to a folder each and read back as one, tagged by their folder."""
-    from postloom.plans.jobs import scratch_folder
+    from postloom.functions.folders import scratch_folder
     from postloom.sources import feeds
 
     path = scratch_folder(spark, "logs")

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from postloom.functions import fixed, text
+from postloom.functions.folders import ensure_checkpoints
 from postloom.operators import postings as P
 from postloom.plans import views
 
@@ -268,11 +269,6 @@ def a11_ats_summary(spark, sf_dir):
     return enriched(spark, sf_dir).groupBy("ATS").agg(F.count("*").alias("TotalJobs"), F.count_distinct("Company").alias("Companies"), *_counts(), F.round(F.avg("WriterFitScore"), 2).alias("AverageScore"))
 
 
-@query(f"with {ENRICHED} select count(*) as TotalJobs, count(distinct Company) as Companies, count(distinct norm) as Titles, {_sums}, max(WriterFitScore)::bigint as MaxScore, round(avg(WriterFitScore), 2) as AverageScore from e")
-def a1_run_summary(spark, sf_dir):
-    return enriched(spark, sf_dir).agg(F.count("*").alias("TotalJobs"), F.count_distinct("Company").alias("Companies"), F.count_distinct("NormalizedTitle").alias("Titles"), *_counts(), F.max("WriterFitScore").cast("long").alias("MaxScore"), F.round(F.avg("WriterFitScore"), 2).alias("AverageScore"))
-
-
 def dimension(spark, column: str, values: list[str]) -> DataFrame:
     return F.broadcast(spark.createDataFrame([(v, i) for i, v in enumerate(values)], f"{column} string, place long"))
 
@@ -378,7 +374,7 @@ def w2_dedupe_keys(spark, sf_dir):
 
 @query(f"with recursive {ENRICHED}, {_components} select seq, component from comp")
 def w3_components(spark, sf_dir):
-    _checkpoints(spark)
+    ensure_checkpoints(spark)
     return P.components(P.dedupe_keys(P.with_duplicate_flags(jobs(spark, sf_dir))).select("seq", "keys")).select(F.col("id").alias("seq"), "component")
 
 
@@ -389,14 +385,14 @@ _won = f"{_components}, won as (select e.*, component, count(*) over (partition
 
 @query(f"with recursive {ENRICHED}, {_won} select seq, component, DedupeGroupSize, DedupeRank, DedupeRank = 1 as DedupeSelected from won")
 def w5_winners(spark, sf_dir):
-    _checkpoints(spark)
+    ensure_checkpoints(spark)
     return won(spark, sf_dir).select("seq", "component", "DedupeGroupSize", F.col("DedupeRank").cast("long").alias("DedupeRank"), "DedupeSelected")
 
 
 @query(f"with recursive {ENRICHED}, {_won} select component, any_value(DedupeGroupSize) as DedupeGroupSize, max(case when DedupeRank = 1 then seq end) as SelectedSeq, max(case when DedupeRank = 1 then 'Selected from ' || DedupeGroupSize || ' rows | WriterFitScore ' || WriterFitScore || ' | tier ' || WriterFitTier || ' | quality ' || ExportQualityFlag || ' | ATS ' || ATS end) as SelectionReason, "
        "string_agg(ATS || ' / ' || Company || ' / ' || coalesce(nullif(Title, ''), 'unknown title') || ' / ' || WriterFitScore || ' / ' || WriterFitTier || case when URL <> '' then ' / ' || URL else '' end, ' || ' order by DedupeRank) filter (DedupeRank > 1) as RejectedRowsSummary from won where DedupeGroupSize > 1 group by component")
 def w6_decisions(spark, sf_dir):
-    _checkpoints(spark)
+    ensure_checkpoints(spark)
     rows = won(spark, sf_dir).where("DedupeGroupSize > 1")
     first = F.col("DedupeRank") == 1
     reason = F.concat(F.lit("Selected from "), "DedupeGroupSize", F.lit(" rows | WriterFitScore "), "WriterFitScore", F.lit(" | tier "), "WriterFitTier", F.lit(" | quality "), "ExportQualityFlag", F.lit(" | ATS "), "ATS")
@@ -418,30 +414,6 @@ def j14_cross_ats(spark, sf_dir):
     return out.withColumn("_own", own).select("seq", F.size("_own").cast("long").alias("SourceATSCount"), (F.size("_own") > 1).alias("CrossATSDuplicate"), F.array_join(listed, " | ").alias("SourceATSList"))
 
 
-def shared_folder(spark) -> str:
-    """The folder that driver and executors share; only a local session may lack the setting, as in tests."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-    import tempfile
-
-    return tempfile.mkdtemp(prefix="postloom-")
-
-
-def scratch_folder(spark, name: str) -> str:
-    import uuid
-
-    return f"{shared_folder(spark)}/postloom-{name}-{uuid.uuid4().hex}"
-
-
-def _checkpoints(spark) -> None:
-    """Component rounds need a checkpoint folder; the cluster's own setting comes first."""
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_folder(spark))
-
-
 # ---- pages
 
 @query("select page_id, trim(regexp_replace(replace(replace(replace(replace(replace(replace(regexp_replace(regexp_replace(regexp_replace(coalesce(html, ''), '(?is)<script.*?</script>', ' ', 'g'), '(?is)<style.*?</style>', ' ', 'g'), '<[^>]+>', ' ', 'g'), '&nbsp;', ' '), '&amp;', '&'), '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&#39;', ''''), '\\s+', ' ', 'g')) as text from pages")

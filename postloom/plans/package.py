@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import functions as F
 
+from postloom.functions.folders import scratch_folder
 from postloom.operators import package as K
 from postloom.plans.jobs import ENRICHED, _any, _J, enriched, jobs
 from postloom.plans.snapshots import _S, _hist, snapshots
@@ -24,12 +22,6 @@ def query(sql: str):
     return add
 
 
-def scratch(spark, name: str) -> str:
-    """A folder for files: on the shared folder that the cluster names, else a temporary one of this machine."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="postloom-")
-    return f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
 _both = "lower(concat_ws(' ', Title, TitleDomainSignal, WriterFitReasons))"
 _why = " ".join(f"when {_any(_both, ps)} then '{n}'" for n, ps in K.WHY)
 
@@ -53,13 +45,6 @@ def a41_excess_urls(spark, sf_dir):
     return K.excess_duplicates(jobs(spark, sf_dir), "URL")
 
 
-@query(f"""with {_S}, {_hist}, k as (select h.*, prev.score is null as gone, (select count(*) from ids) as all_ids, (select max(snapshot_id) from ids) as newest from h left join prev using (company_no, part_no)),
-o as (select *, unnest(list_filter([case when snapshots >= greatest(4, all_ids - 1) then 'LONG_RUNNING_JOB' end, case when latest_score >= 45 and newest - first_seen >= 6 then 'HIGH_SCORE_OLD_JOB' end,
-  case when snapshots >= 2 and gone then 'REAPPEARED_JOB' end], lambda x: x is not null)) as outlier from k where last_seen = newest) select company_no, part_no, snapshots, latest_score, outlier from o""")
-def w26_outliers(spark, sf_dir):
-    return K.outliers(snapshots(spark, sf_dir))
-
-
 @query(f"with {_S}, f as (select company_no, snapshot_id, count(*) as n, max(score) as top from s group by 1, 2) select company_no, min(snapshot_id) as first_seen, arg_min(n, snapshot_id) as first_jobs, max(top) as best_score from f group by 1")
 def w22_company_first_seen(spark, sf_dir):
     return K.first_of_company(snapshots(spark, sf_dir))
@@ -73,15 +58,15 @@ def a36_category_counts(spark, sf_dir):
 @query("select cast(p_partkey as varchar) as p_partkey, p_name, p_brand, p_type, cast(p_size as varchar) as p_size from part")
 def s4_roundtrip_delimited(spark, sf_dir):
     """Delimited text written and read again."""
-    path = scratch(spark, "delimited")
+    path = scratch_folder(spark, "delimited")
     sinks.write_delimited(spark.read.parquet(f"{sf_dir}/part.parquet").select("p_partkey", "p_name", "p_brand", "p_type", "p_size"), path)
-    return spark.read.option("header", True).option("quote", '"').option("escape", '"').csv(path)
+    return feeds.delimited(spark, path)
 
 
 @query("select event_id, user_id, event_type, value from events")
 def s2_roundtrip_json(spark, sf_dir):
     """JSON lines written and read again as the lines of an array."""
-    path = scratch(spark, "json")
+    path = scratch_folder(spark, "json")
     sinks.write_json_lines(spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", "user_id", "event_type", "value"), path)
     return feeds.json_array_lines(spark, path, "event_id long, user_id long, event_type string, value double")
 
@@ -89,6 +74,6 @@ def s2_roundtrip_json(spark, sf_dir):
 @query("select s_suppkey, s_name, s_nationkey from supplier")
 def k8_publish(spark, sf_dir):
     """A table published as a checked version and read through its name."""
-    root = scratch(spark, "published")
+    root = scratch_folder(spark, "published")
     sinks.publish(spark, {"supplier": spark.read.parquet(f"{sf_dir}/supplier.parquet").select("s_suppkey", "s_name", "s_nationkey")}, root)
     return sinks.published(spark, root, "supplier")

@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from postloom.operators import snapshots as S
 from postloom.plans import views
-from postloom.plans.boards import _L, fetches
 
 QUERIES, SQL = {}, {}
 
@@ -50,11 +49,6 @@ def w23_reappeared(spark, sf_dir):
     return S.reappeared(snapshots(spark, sf_dir)).select("company_no", "part_no", "gaps", F.col("last_gap").cast("long").alias("last_gap"))
 
 
-@query(f"with {_S}, f as (select company_no, part_no, max(back) as oldest, min(back) as newest from sn group by 1, 2) select span::bigint as span, least(span, (select count(*) from ids))::bigint as snapshots, count(*) as jobs, count(distinct company_no) as companies, count(*) filter (oldest <= span) as first_seen from f, (values (3), (6), (12)) as v(span) where newest <= span group by span")
-def w25_rolling(spark, sf_dir):
-    return S.rolling(snapshots(spark, sf_dir))
-
-
 @query(f"""with {_S}, g as (select *, lag(n) over (partition by company_no, part_no order by n) as was, lead(n) over (partition by company_no, part_no order by n) as later from sn),
 r as (select n + 1 as n, count(*) as removed from g where later is null or later > n + 1 group by 1),
 a as (select snapshot_id, n, count(*) as jobs, case when n > 1 then count(*) filter (was is null or was < n - 1) else 0 end as added from g group by 1, 2)
@@ -68,11 +62,6 @@ def a34_market_history(spark, sf_dir):
     return S.market(snapshots(spark, sf_dir))
 
 
-@query(f"with {_S} select count(*) as jobs, median(score) as median_score, round(avg(score), 4) as mean_score, min(score) as least, max(score) as most, count(*) filter (score <= 10) as within_10, count(*) filter (score <= 20) as within_20, count(*) filter (score <= 40) as within_40 from cur")
-def a35_freshness_ages(spark, sf_dir):
-    return S.spread(S.last_two(snapshots(spark, sf_dir))[0])
-
-
 @query(f"with {_S} select company_no, count(distinct snapshot_id) as snapshots, count(distinct part_no) as titles, min(snapshot_id) as first_seen from s group by 1 having count(distinct snapshot_id) >= 3")
 def a37_repeat_companies(spark, sf_dir):
     return S.repeat_companies(snapshots(spark, sf_dir))
@@ -81,8 +70,3 @@ def a37_repeat_companies(spark, sf_dir):
 @query(f"with {_S}, {_hist} select count(*) as jobs, count(*) filter (snapshots = (select count(*) from ids)) as persistent, count(*) filter (snapshots = 1) as once, count(*) filter (last_seen = (select max(snapshot_id) from ids)) as present from h")
 def u6_range_metrics(spark, sf_dir):
     return S.range_metrics(snapshots(spark, sf_dir))
-
-
-@query(f"with {_L}, g as (select ATS, hour(FetchedAt)::bigint as modal_hour, count(*) as n from l group by 1, 2) select ATS, arg_max(modal_hour, n * 100 - modal_hour) as modal_hour, round(max(n) / sum(n) * 100, 2) as share from g group by ATS")
-def a38_posting_patterns(spark, sf_dir):
-    return S.modal(fetches(spark, sf_dir), "ATS", F.hour("FetchedAt"), "modal_hour")

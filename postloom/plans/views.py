@@ -73,6 +73,15 @@ SNAPSHOTS = """
 select cast(month(l_shipdate) as int) as snapshot_id, l_suppkey as company_no, l_partkey as part_no, max(l_quantity) as score, max(l_extendedprice) as price
 from {lineitem} group by 1, 2, 3"""
 
+PLACES = ["Remote, US", "U.S. Remote", "USA", "US-PA-Remote", "Canada", "Boston, MA", "United States", "Remote EMEA", "Austin", "Brussels", ""]
+
+DAILY = f"""
+select cast(5 * month(l_shipdate) as int) as day, concat('Firm ', cast(l_suppkey as string)) as Company, {one_of(TITLES, "l_partkey * 3 + l_suppkey")} as Title, {one_of(PLACES, "l_partkey + l_suppkey * 5")} as Location,
+  {one_of(["Remote", "remote", "Hybrid", "Onsite"], "l_partkey")} as Arrangement, {one_of(ATS, "l_suppkey")} as Source,
+  concat('https://Jobs.example.com/', cast(l_suppkey as string), '/', cast(l_partkey as string), case when l_partkey % 5 = 0 then '?ref=feed' when l_partkey % 5 = 1 then '/' else '' end) as Link,
+  cast(max(l_quantity) + 45 as bigint) as Score, case when l_partkey % 17 = 0 then null else cast(floor(max(l_extendedprice)) as bigint) % 600 end as Age
+from {{lineitem}} group by month(l_shipdate), l_suppkey, l_partkey"""
+
 CATALOG = f"""
 select s_suppkey as seq, {one_of(ATS, "s_suppkey")} as ATS, concat('slug-', cast(s_suppkey % 83 as string)) as Slug, concat('company', cast(s_suppkey % 40 as string)) as CompanyKey,
   s_name as Company, case when s_suppkey % 9 = 0 then '' else concat('https://boards.example.com/', cast(s_suppkey as string)) end as BoardURL, n_name as Country

@@ -6,7 +6,7 @@ import re
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from postloom.functions import text
 
@@ -16,27 +16,44 @@ class FeedError(ValueError):
 
 
 def json_array_lines(spark: SparkSession, path: str, schema: str | StructType) -> DataFrame:
-    """Rows of a JSON array with an object a line; blank lines, brackets and trailing commas are skipped, what isn't JSON gives nulls."""
+    """Rows of a JSON array with an object a line; blank lines, brackets and trailing commas are skipped.
+
+    A line that isn't JSON gives no row, unless the schema has a string column _corrupt_record, which then holds it.
+    """
     line = F.regexp_replace(F.trim("value"), r",$", "")
     lines = spark.read.text(path).select(line.alias("line")).where(~F.col("line").isin("", "[", "]"))
-    return lines.select(F.from_json("line", schema).alias("r")).select("r.*")
+    told = "_corrupt_record" in (schema if isinstance(schema, str) else schema.names)
+    if not told:
+        lines = lines.where(F.try_parse_json("line").isNotNull())
+    return lines.select(F.from_json("line", schema, {"columnNameOfCorruptRecord": "_corrupt_record"}).alias("r")).select("r.*")
 
 
 def strict_json_array_lines(spark: SparkSession, path: str, schema: str | StructType) -> DataFrame:
-    """The same of one file, which must open with [, close with ] and hold an object on every other line.
+    """The same of files that must open with [ on the first line, close with ] on the last, and hold an object on every
+    other line that isn't blank.
 
-    The file isn't split, so that lines have numbers; feeds of many files are read file by file.
+    Files are split as text is. Lines are checked where they are read; only if one is bad, the lines before it are
+    counted for its number.
     """
-    whole = spark.read.text(path, wholetext=True).select(F.posexplode(F.split(F.rtrim(F.regexp_replace("value", r"\n+$", "")), "\n")).alias("at", "value"))
-    lines = whole.select((F.col("at") + 1).alias("at"), F.trim("value").alias("value"))
-    ends = lines.agg(F.min(F.struct("at", "value"))["value"].alias("first"), F.max(F.struct("at", "value"))["value"].alias("last"), F.max("at").alias("n")).first()
-    if ends is None or ends["first"] != "[" or ends["last"] != "]":
-        raise FeedError(f"{path}: an array must open with [ on its first line and close with ] on its last")
-    inner = lines.where((F.col("at") > 1) & (F.col("at") < ends["n"]) & (F.col("value") != "")).withColumn("line", F.regexp_replace("value", r",$", ""))
-    parsed = inner.withColumn("ok", F.try_parse_json("line").isNotNull() & F.startswith("line", F.lit("{")))
-    if bad := parsed.where("not ok").agg(F.min("at")).first()[0]:
-        raise FeedError(f"{path}: line {bad} isn't a JSON object")
-    return parsed.select(F.from_json("line", schema).alias("r")).select("r.*")
+    lines = spark.read.text(path).select(F.trim("value").alias("value"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("id"))
+    at, line = F.struct("block", "id"), F.regexp_replace("value", r",$", "")
+    # a bracket with its place: the first line may be [, the last that isn't blank ]
+    good = (F.col("value") == "") | F.col("value").isin("[", "]") | F.startswith("value", F.lit("{")) & F.try_parse_json(line).isNotNull()
+    filled = F.when(F.col("value") != "", at)
+    ends = lines.groupBy("file").agg(
+        F.min_by("value", at).alias("first"), F.min(at).alias("first_at"), F.max_by("value", filled).alias("last"), F.max(filled).alias("last_at"), F.min(F.when(~good, at)).alias("bad"),
+        F.max(F.when(F.col("value") == "[", at)).alias("open_at"), F.min(F.when(F.col("value") == "]", at)).alias("close_at"),
+    )
+    wrong = (F.col("first") != "[") | (F.col("last") != "]") | F.col("last").isNull()
+    stray = F.least(F.col("bad"), F.when(F.col("open_at") > F.col("first_at"), F.col("open_at")), F.when(F.col("close_at") < F.col("last_at"), F.col("close_at")))
+    issue = ends.where(wrong | stray.isNotNull()).select("file", wrong.alias("wrong"), stray.alias("stray")).orderBy("file").first()
+    if issue is not None or not lines.take(1):
+        if issue is None or issue["wrong"] and issue["stray"] is None:
+            raise FeedError(f"{path}: an array must open with [ on its first line and close with ] on its last")
+        block, number = issue["stray"]
+        n = lines.where((F.col("file") == issue["file"]) & ((F.col("block") < block) | (F.col("block") == block) & (F.col("id") <= number))).count()
+        raise FeedError(f"{issue['file']}: line {n} isn't a JSON object")
+    return lines.where(~F.col("value").isin("", "[", "]")).select(F.from_json(line, schema).alias("r")).select("r.*")
 
 
 def delimiter(first_line: str) -> str:
@@ -56,19 +73,37 @@ def unique_headers(headers: list[str]) -> list[str]:
 
 
 def delimited(spark: SparkSession, path: str) -> DataFrame:
-    """Delimited text with quotes and line breaks in them; blank records dropped, missing fields empty, all strings."""
+    """Delimited text with quotes and line breaks in them; blank records dropped, missing fields empty, all strings.
+
+    Names come from the first file's first record, and every file's first record is its header. Line breaks in quotes
+    keep a file from being split: many files are read in parallel, one is not.
+    """
     first = spark.read.text(path).first()
     if first is None:
         return spark.createDataFrame([], StructType())
-    options = {"sep": delimiter(first[0]), "quote": '"', "escape": '"', "multiLine": True, "header": False, "ignoreLeadingWhiteSpace": False}
-    rows = spark.read.options(**options).csv(path)
-    head = [v or "" for v in rows.first()]
-    named = rows.toDF(*unique_headers([h.removeprefix("﻿") for h in head])).na.fill("")
-    is_head = F.lit(True)
-    for c, v in zip(named.columns, head):
-        is_head = is_head & (F.col(f"`{c}`") == v)
-    blank = F.concat_ws("", *[F.trim(F.col(f"`{c}`")) for c in named.columns]) == ""
-    return named.where(~is_head & ~blank)
+    options = {"sep": delimiter(first[0]), "quote": '"', "escape": '"', "multiLine": True, "ignoreLeadingWhiteSpace": False}
+    head = [(v or "").removeprefix("\ufeff") for v in spark.read.options(header=False, **options).csv(path).first()]
+    names = unique_headers(head)
+    schema = StructType([StructField(n, StringType()) for n in names])
+    rows = spark.read.options(header=True, enforceSchema=True, **options).schema(schema).csv(path).na.fill("")
+    blank = F.concat_ws("", *[F.trim(F.col(f"`{c}`")) for c in names]) == ""
+    return rows.where(~blank)
+
+
+def count_records(spark: SparkSession, path: str) -> int:
+    """Records of delimited text, without headers and blank ones; line breaks in quotes don't count."""
+    return delimited(spark, path).count()
+
+
+def headers(spark: SparkSession, path: str) -> list[str]:
+    return delimited(spark, path).columns
+
+
+def with_columns(df: DataFrame, required: list[str], name: str = "feed") -> DataFrame:
+    """df, if it has the columns that a reader needs."""
+    if missing := [c for c in required if c not in df.columns]:
+        raise FeedError(f"{name} is missing required columns: {', '.join(missing)}")
+    return df
 
 
 def watchlist_markdown(lines: list[str]) -> list[tuple[str, str]]:
@@ -128,6 +163,64 @@ def from_ashby(rows: DataFrame) -> DataFrame:
     )
 
 
+PLACE = "struct<city:string, state:string, province:string, region:string, country:string, name:string, label:string>"
+WORKDAY = "id string, jobReqId string, title string, jobTitle string, externalPath string, externalUrl string, url string, locationsText string, jobFamily string, department string, jobDescription string, description string, postedOn string, startDate string, updated string, bulletFields array<string>"
+BAMBOOHR = f"id string, jobOpeningId string, openingId string, applicationUrl string, jobOpeningUrl string, url string, location {PLACE}, atsLocation {PLACE}, locationName string, locationLabel string, jobOpeningName string, title string, jobTitle string, name string, departmentLabel string, departmentName string, description string, jobDescription string, summary string, postedDate string, datePosted string, createdDate string"
+ICIMS = f"id string, jobId string, requisitionId string, reqId string, url string, applyUrl string, externalUrl string, portalUrl string, jobUrl string, title string, jobTitle string, name string, location {PLACE}, locationName string, city string, jobLocation string, departmentName string, category string, description string, jobDescription string, overview string, datePosted string, postedDate string, createdDate string"
+
+
+def place_text(c: Column) -> Column:
+    """The different parts of a place that aren't blank, joined by commas."""
+    parts = F.array(*[text.clean(c[f]) for f in ("city", "state", "province", "region", "country", "name", "label")])
+    return F.coalesce(F.array_join(F.filter(F.array_distinct(parts), lambda x: x != ""), ", "), F.lit(""))
+
+
+def extract_jobs(rows: DataFrame, body: str, schema: str) -> DataFrame:
+    """The objects of the first array among the payload itself and its members result, jobs, jobOpenings and openings."""
+    found = F.when(F.ltrim(F.col(body)).startswith("["), F.col(body))
+    for name in ("result", "jobs", "jobOpenings", "openings"):
+        own = F.get_json_object(body, f"$.{name}")
+        found = F.coalesce(found, F.when(F.ltrim(own).startswith("["), own))
+    return rows.select(F.explode(F.from_json(found, f"array<struct<{schema_fields(schema)}>>")).alias("r")).select("r.*")
+
+
+def schema_fields(ddl: str) -> str:
+    """Column definitions as the fields of a struct."""
+    return re.sub(r"(^|, )(\w+) (?=[a-z]+(?:[<,]|$))", r"\1\2:", ddl)
+
+
+def from_workday(rows: DataFrame, board_url: str) -> DataFrame:
+    """Postings of a board; links that aren't whole are resolved against the board's."""
+    c, board = F.col, board_url.strip().rstrip("/")
+    path = first_text(c("externalPath"), c("externalUrl"), c("url"))
+    url = F.when(path.startswith("http"), path).when(path == "", board).otherwise(F.concat(F.lit(board), F.when(path.startswith("/"), "").otherwise("/"), path))
+    return rows.select(
+        F.lit("workday").alias("ATS"), first_text(c("id"), c("jobReqId"), F.get("bulletFields", F.lit(0)), path).alias("RawJobId"), first_text(c("title"), c("jobTitle")).alias("Title"), first_text(c("locationsText")).alias("Location"),
+        first_text(c("jobDescription"), c("description"), c("title")).alias("Description"), first_text(c("postedOn"), c("startDate"), c("updated")).alias("DatePosted"), url.alias("URL"), first_text(c("jobFamily"), c("department")).alias("Department"),
+    )
+
+
+def from_bamboohr(rows: DataFrame, board_url: str) -> DataFrame:
+    c, board = F.col, re.sub(r"/list/?$", "", board_url.strip())
+    own = first_text(c("id"), c("jobOpeningId"), c("openingId"))
+    title = first_text(c("jobOpeningName"), c("title"), c("jobTitle"), c("name"))
+    return rows.select(
+        F.lit("bamboohr").alias("ATS"), own.alias("RawJobId"), title.alias("Title"), first_text(place_text(c("location")), place_text(c("atsLocation")), c("locationName"), c("locationLabel")).alias("Location"),
+        first_text(c("description"), c("jobDescription"), c("summary"), title).alias("Description"), first_text(c("postedDate"), c("datePosted"), c("createdDate")).alias("DatePosted"),
+        first_text(c("applicationUrl"), c("jobOpeningUrl"), c("url"), F.when(own != "", F.concat(F.lit(f"{board}/"), own))).alias("URL"), first_text(c("departmentLabel"), c("departmentName")).alias("Department"),
+    )
+
+
+def from_icims(rows: DataFrame, board_url: str) -> DataFrame:
+    c = F.col
+    where = first_text(c("location.name"), c("location.label"), place_text(c("location")), c("locationName"), c("city"), c("jobLocation"))
+    return rows.select(
+        F.lit("icims").alias("ATS"), first_text(c("id"), c("jobId"), c("requisitionId"), c("reqId")).alias("RawJobId"), first_text(c("title"), c("jobTitle"), c("name")).alias("Title"), where.alias("Location"),
+        first_text(c("description"), c("jobDescription"), c("overview")).alias("Description"), first_text(c("datePosted"), c("postedDate"), c("createdDate")).alias("DatePosted"),
+        first_text(c("url"), c("applyUrl"), c("externalUrl"), c("portalUrl"), c("jobUrl"), F.lit(board_url)).alias("URL"), first_text(c("departmentName"), c("category")).alias("Department"),
+    )
+
+
 def batch_logs(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """The logs of all batches below a folder, each row tagged with the folder (BatchName=… or plain) that it lies in."""
     rows = spark.read.schema(schema).option("recursiveFileLookup", "true").json(path)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,31 +29,58 @@ def write_json_lines(df: DataFrame, path: str, by: str | None = None) -> None:
     (writer.partitionBy(by) if by else writer).json(path)
 
 
-def publish(spark: SparkSession, tables: dict[str, DataFrame], root: str, least_rows: int = 1) -> str:
-    """Writes tables as a new version below root, checks them, and only then names it in root/latest.
+def publish(spark: SparkSession, tables: dict[str, DataFrame], root: str, least_rows: int = 1, required: dict[str, list[str]] | None = None) -> str:
+    """Writes tables as a new version below root, checks them, and only then points to it.
 
-    A failure leaves the version before it in place: readers go by root/latest.
+    A pointer is a folder below root/latest whose name rises with time; it appears by one rename, and readers go by the
+    last one. So there is a latest version at every moment, and a failure leaves the version before it in place.
     """
     version = f"v-{uuid.uuid4().hex}"
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    at = lambda p: jvm.org.apache.hadoop.fs.Path(p)
-    fs = at(root).getFileSystem(conf)
+    fs, at = _files(spark, root)
     try:
         for name, df in tables.items():
+            if missing := [c for c in (required or {}).get(name, []) if c not in df.columns]:
+                raise ValueError(f"{name} is missing {', '.join(missing)}")
             df.write.parquet(f"{root}/{version}/{name}")
             if spark.read.schema(df.schema).parquet(f"{root}/{version}/{name}").limit(least_rows).count() < least_rows:
                 raise ValueError(f"{name} has fewer than {least_rows} rows")
     except Exception:
         fs.delete(at(f"{root}/{version}"), True)
         raise
-    spark.createDataFrame([(version, sorted(tables))], "version string, tables array<string>").coalesce(1).write.mode("overwrite").json(f"{root}/latest.new")
-    fs.delete(at(f"{root}/latest.old"), True)
-    if fs.exists(at(f"{root}/latest")):
-        fs.rename(at(f"{root}/latest"), at(f"{root}/latest.old"))
-    fs.rename(at(f"{root}/latest.new"), at(f"{root}/latest"))
+    spark.createDataFrame([(version, sorted(tables))], "version string, tables array<string>").coalesce(1).write.json(f"{root}/{version}/_pointer")
+    before = _pointers(spark, root)
+    number = max(time.time_ns(), int(before[-1]) + 1 if before else 0)
+    fs.mkdirs(at(f"{root}/latest"))
+    if not fs.rename(at(f"{root}/{version}/_pointer"), at(f"{root}/latest/{number:020d}")):
+        fs.delete(at(f"{root}/{version}"), True)
+        raise OSError(f"{root}: the new version couldn't be named")
+    for old in before[:-1]:  # the last but one stays for readers that have just looked
+        fs.delete(at(f"{root}/latest/{old}"), True)
     return version
 
 
+def _files(spark: SparkSession, root: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    return path(root).getFileSystem(spark._jsc.hadoopConfiguration()), path
+
+
+def _pointers(spark: SparkSession, root: str) -> list[str]:
+    fs, at = _files(spark, root)
+    return sorted(s.getPath().getName() for s in fs.listStatus(at(f"{root}/latest"))) if fs.exists(at(f"{root}/latest")) else []
+
+
 def published(spark: SparkSession, root: str, name: str) -> DataFrame:
-    version = spark.read.json(f"{root}/latest").first()["version"]
+    version = spark.read.json(f"{root}/latest/{_pointers(spark, root)[-1]}").first()["version"]
     return spark.read.parquet(f"{root}/{version}/{name}")
+
+
+def write_json_array(df: DataFrame, path: str) -> None:
+    """A JSON array with an object a line in one text file, U+2028 and U+2029 escaped; for feeds that one writer can hold open."""
+    body = F.to_json(F.struct("*"), {"ignoreNullFields": "false"})
+    body = F.replace(F.replace(body, F.lit("\u2028"), F.lit("\\u2028")), F.lit("\u2029"), F.lit("\\u2029"))
+    lines = df.select(F.lit(1).alias("part"), F.monotonically_increasing_id().alias("id"), F.concat(body, F.lit(",")).alias("value"))
+    ends = df.sparkSession.createDataFrame([(0, 0, "["), (2, 0, "]")], "part int, id long, value string")
+    # the last object has no comma: the largest id is known by then
+    last = lines.agg(F.max("id")).first()[0]
+    lines = lines.withColumn("value", F.when(F.col("id") == F.lit(last), F.expr("left(value, length(value) - 1)")).otherwise(F.col("value")))
+    ends.union(lines).coalesce(1).sortWithinPartitions("part", "id").select("value").write.mode("overwrite").text(path)
