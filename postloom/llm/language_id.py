@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from postloom.llm.common import give_back_memory, unused
+from postloom.llm.common import Scratch, give_back_memory, rows_at_once, unused
 
 SEGMENT = 64
 HIDDEN = 8
@@ -302,7 +302,7 @@ def identify(docs: DataFrame, model: ByteGRU | None, langs: list[str], id_col: s
 
 
 #: A document is rejected if no language reaches the mean probability that all but this part of right predictions reach.
-REJECT = 0.01
+REJECT = 0.002
 #: Rows to find it from at most and at least; from fewer even the lowest score says too little of that part.
 CALIBRATED, LEAST_ROWS = 2000, 300
 #: The mean probability that stands in for it then.
@@ -312,20 +312,21 @@ LEAST_SCORE = 0.3
 def keep_identified(docs: DataFrame, model: ByteGRU | None, langs: list[str], least: float = LEAST_SCORE, text_col: str = "text") -> DataFrame:
     """The rows of docs whose language is known with at least that score: neither `und` nor a guess."""
     names = docs.columns
-    data, letters = unused(names, "own_bytes", "own_letters")
+    (letters,) = unused(names, "own_letters")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for at in range(0, whole.num_rows, 512):
                 batch = whole.slice(at, 512)
                 known = batch.column(letters).to_numpy(zero_copy_only=False)
-                score = pooled(model, batch.column(data))[:, : len(langs)].max(1) if model else np.zeros(batch.num_rows)
+                score = pooled(model, batch.column(text_col))[:, : len(langs)].max(1) if model else np.zeros(batch.num_rows)
                 yield batch.select(names).filter(pa.array(known & (score >= least)))
         give_back_memory()
 
-    text = F.col(text_col).cast("string")
-    rows = docs.withColumns({data: F.encode(F.coalesce(text, F.lit("")), "UTF-8"), letters: F.coalesce(text.rlike(r"\p{L}"), F.lit(False))})
-    return rows.mapInArrow(run, docs.schema)
+    rows = docs.withColumn(letters, F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False)))
+    spark = docs.sparkSession
+    with rows_at_once(spark, 500):  # whole rows in small batches, and each text once; written, as the setting counts where a plan runs
+        return Scratch(spark, "language").table(rows.mapInArrow(run, docs.schema), "kept")
 
 
 def op9_language_id(spark, sf_dir: str) -> DataFrame:
