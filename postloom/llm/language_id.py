@@ -306,7 +306,7 @@ REJECT = 0.002
 #: Rows to find it from at most and at least; from fewer even the lowest score says too little of that part.
 CALIBRATED, LEAST_ROWS = 2000, 300
 #: The mean probability that stands in for it then.
-LEAST_SCORE = 0.3
+LEAST_SCORE = 0.2
 
 
 def keep_identified(docs: DataFrame, model: ByteGRU | None, langs: list[str], least: float = LEAST_SCORE, text_col: str = "text") -> DataFrame:
