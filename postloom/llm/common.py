@@ -49,8 +49,8 @@ class Scratch:
     def path(self, label: str) -> str:
         return f"{self.root}/{label}"
 
-    def table(self, df: DataFrame, label: str) -> DataFrame:
-        df.write.mode("overwrite").parquet(self.path(label))
+    def table(self, df: DataFrame, label: str, **options: str) -> DataFrame:
+        df.write.mode("overwrite").options(**options).parquet(self.path(label))
         return self.spark.read.schema(df.schema).parquet(self.path(label))
 
     def drop(self, label: str | None = None) -> None:
@@ -123,6 +123,20 @@ def rows_at_once(spark: SparkSession, rows: int) -> Iterator[None]:
         spark.conf.set(name, before)
 
 
+@contextlib.contextmanager
+def small_batches(spark: SparkSession, size: str = "4m", rows: int = 32) -> Iterator[None]:
+    """While it lasts, readers take so many rows at once and tasks hand Python batches of about that size: for wide rows."""
+    wanted = {"spark.sql.execution.arrow.maxBytesPerBatch": size, "spark.sql.parquet.columnarReaderBatchSize": str(rows)}
+    before = {k: spark.conf.get(k) for k in wanted}
+    try:
+        for k, v in wanted.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def give_back_memory() -> None:
     """At the end of a task: what Arrow and the allocator hold but don't use goes back to the machine."""
     import pyarrow as pa

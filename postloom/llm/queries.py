@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from postloom.llm import exact_dedup, language_id, license_scan, mixing, near_dedup, packing, quality_rules, sharding, toxicity, warc
+from postloom.llm import exact_dedup, language_id, license_scan, mixing, near_dedup, packing, quality_rules, ranked_search, sharding, toxicity, warc
 
 QUERIES = {
     f.__name__: f
@@ -17,6 +17,7 @@ QUERIES = {
         mixing.op8_mixing,
         language_id.op9_language_id,
         toxicity.op10_toxicity,
+        ranked_search.op11_ranked_search,
     )
 }
 
@@ -29,4 +30,5 @@ def sql() -> dict[str, str]:
         "op3_quality_rules": quality_rules.SQL,
         "op5_warc": warc.SQL,
         "op7_near_dedup": near_dedup.SQL,
+        "op11_ranked_search": ranked_search.SQL,
     }
