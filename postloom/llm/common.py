@@ -5,6 +5,7 @@ from __future__ import annotations
 import atexit
 import contextlib
 import ctypes
+import gc
 import shutil
 import tempfile
 import uuid
@@ -137,6 +138,12 @@ def small_batches(spark: SparkSession, size: str = "4m", rows: int = 32) -> Iter
             spark.conf.set(k, v)
 
 
+def release_shuffles(spark: SparkSession) -> None:
+    """Between steps that end in written tables: Spark deletes the shuffle files of plans that nothing refers to any more."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def give_back_memory() -> None:
     """At the end of a task: what Arrow and the allocator hold but don't use goes back to the machine."""
     import pyarrow as pa

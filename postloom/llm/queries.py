@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from postloom.llm import exact_dedup, language_id, license_scan, mixing, near_dedup, packing, prefix_trie, quality_rules, ranked_search, sharding, toxicity, warc
+from postloom.llm import exact_dedup, language_id, license_scan, mixing, near_dedup, packing, prefix_trie, quality_rules, ranked_search, repeated_bytes, sharding, toxicity, warc
 
 QUERIES = {
     f.__name__: f
@@ -18,6 +18,7 @@ QUERIES = {
         language_id.op9_language_id,
         toxicity.op10_toxicity,
         ranked_search.op11_ranked_search,
+        repeated_bytes.op12_repeated_bytes,
         prefix_trie.op13_prefix_trie,
     )
 }
@@ -32,5 +33,6 @@ def sql() -> dict[str, str]:
         "op5_warc": warc.SQL,
         "op7_near_dedup": near_dedup.SQL,
         "op11_ranked_search": ranked_search.SQL,
+        "op12_repeated_bytes": repeated_bytes.SQL,
         "op13_prefix_trie": prefix_trie.SQL,
     }
