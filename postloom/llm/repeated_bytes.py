@@ -3,13 +3,14 @@
 1. Every window of `length` bytes names its anchor, the gram of GRAM bytes in it with the smallest hash (the last of
    equal ones). Equal windows name equal grams at equal places, so that only windows around one gram need meet.
    Consecutive windows with one anchor form a segment; about every sixteenth byte is an anchor.
-2. Anchors are counted by gram. A batch of documents ships a gram that two of its documents have once, and
-   sends that gram's other places past the count. Only anchors whose gram two documents have are kept.
-3. Their segments meet by gram. A batch ships each different segment once, for its smallest doc_id; the other
-   documents' copies are covered already. Grams with more than HOT places are split: their windows meet by a hash of their own.
-4. Where a gram has one segment, the smallest doc_id decides. The other segments of a task form a pool of text whose suffix
-   array is sorted deep-shallow: multikey quicksort on eight-byte characters to SHALLOW bytes, then a blind trie for
-   each group of suffixes that are still equal, to `length` bytes. Suffixes with that many bytes in common are equal windows.
+2. Segments are counted by gram and by a fingerprint of all their bytes. Of equal segments in a batch of documents that of the
+   smallest doc_id is shipped, the others are covered. Grams that one document has are dropped. Where a gram comes with
+   one fingerprint (64 bits besides the gram's 64), the smallest doc_id covers the others at once.
+3. The other segments meet by gram, with their bytes. A gram with more than HOT of them, or LOCAL_HOT different ones in a
+   batch, is split: its windows meet by a hash of their own, so that no gram's contexts fill a task.
+4. A task's segments form a pool of text whose suffix array is sorted deep-shallow: multikey quicksort on eight-byte characters
+   to SHALLOW bytes, then a blind trie for each group of suffixes that are still equal, to `length` bytes. Suffixes
+   with that many bytes in common are equal windows, which the smallest doc_id among them covers.
 5. The spans found go back to their documents, are united, and cut from the text.
 
 No pair of documents is ever formed. A task holds a batch of at most BATCH bytes of text (a longer document is cut into
@@ -34,19 +35,17 @@ from postloom.llm.common import Scratch, give_back_memory, release_shuffles, sma
 
 LENGTH, GRAM = 50, 20
 #: Bytes of text in a batch, in a piece that is hashed at once, and behind each partition of anchors.
-BATCH, PIECE, PARTITION = 24 << 20, 1 << 20, 64 << 20
-#: Places of a gram from which its windows are dealt one by one.
-HOT = 4096
+BATCH, PIECE, PARTITION = 8 << 20, 1 << 19, 64 << 20
+#: Segments of a gram, in all and different ones in a batch, beyond which its windows are dealt one by one.
+HOT, LOCAL_HOT = 4096, 64
 #: Bytes to which multikey quicksort goes, and of text whose suffixes are sorted together.
 SHALLOW, POOL = 24, 8 << 20
-#: Hot grams that are broadcast at most; beyond it the join shuffles.
-BROADCAST_GRAMS = 1_000_000
 #: Stands for a null doc_id.
 LAST = np.iinfo(np.int64).max
 
 _MULT, _MIX = 0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9
 _BLOB = pa.schema([("target", pa.int32()), ("kind", pa.int32()), ("base", pa.int64()), ("blob", pa.binary())])
-_KEPT = pa.schema([("number", pa.int64()), ("gram", pa.int64()), ("at", pa.int64()), ("n", pa.int32())])
+_KEPT = pa.schema([("number", pa.int64()), ("at", pa.int64()), ("n", pa.int32()), ("gram", pa.int64()), ("hot", pa.bool_())])
 _ENTRY = pa.schema([("key", pa.int64()), ("seg", pa.binary()), ("doc", pa.int64()), ("places", pa.binary())])
 _SPAN = pa.schema([("number", pa.int64()), ("first", pa.int64()), ("end", pa.int64())])
 _DONE = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string())])
@@ -65,8 +64,8 @@ class Anchors:
             self.powers = np.cumprod(np.r_[np.uint64(1), np.full(PIECE + 4 * length, _MULT, np.uint64)])
             self.inverse = np.cumprod(np.r_[np.uint64(1), np.full(PIECE + 4 * length, pow(_MULT, -1, 1 << 64), np.uint64)])
 
-    def of_piece(self, buf: np.ndarray, valid: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """gram, first window and number of windows of each segment among the windows that start at valid places."""
+    def of_piece(self, buf: np.ndarray, valid: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """gram, fingerprint, first window and number of windows of each segment among the windows that start at valid places."""
         k, wide = self.gram, self.length - self.gram + 1
         with np.errstate(over="ignore"):
             sums = np.zeros(len(buf) + 1, np.uint64)
@@ -86,10 +85,16 @@ class Anchors:
         named = least[valid]
         first = np.flatnonzero(np.r_[True, (named[1:] != named[:-1]) | (valid[1:] != valid[:-1] + 1)])
         place = low - (named[first] & np.uint64(low)).astype(np.int64)
-        return h[place].view(np.int64), valid[first], np.diff(np.r_[first, len(valid)])
-
-    def of(self, texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-        """Number of the text, gram, first window (in its text) and windows of all segments, piece by piece."""
+        at, n = valid[first], np.diff(np.r_[first, len(valid)])
+        with np.errstate(over="ignore"):
+            whole = (sums[at + n + self.length - 1] - sums[at]) * self.inverse[at]
+            whole ^= whole >> np.uint64(33)
+            whole *= np.uint64(_MULT)
+            whole ^= n.astype(np.uint64)
+        return h[place].view(np.int64), whole.view(np.int64), at, n
+
+    def of(self, texts: list[bytes]) -> Iterator[tuple[np.ndarray, ...]]:
+        """Number of the text, gram, fingerprint, first window (in its text) and windows of all segments, piece by piece."""
         todo, size = [], 0
         for i, text in enumerate(texts):
             # windows that start in [s, s + PIECE) need the bytes up to s + PIECE + length - 1
@@ -103,16 +108,16 @@ class Anchors:
         if todo:
             yield self._joined(todo)
 
-    def _joined(self, parts: list[tuple]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    def _joined(self, parts: list[tuple]) -> tuple[np.ndarray, ...]:
         sizes = np.array([len(p) for _, _, p in parts])
         starts = np.cumsum(sizes) - sizes
         windows = sizes - self.length + 1
         of = np.repeat(np.arange(len(parts)), windows)
         valid = np.arange(windows.sum()) - np.repeat(np.cumsum(windows) - windows, windows) + starts[of]
-        gram, first, n = self.of_piece(np.frombuffer(b"".join(p for _, _, p in parts), np.uint8), valid)
+        gram, whole, first, n = self.of_piece(np.frombuffer(b"".join(p for _, _, p in parts), np.uint8), valid)
         part = np.searchsorted(starts, first, "right") - 1
         number, shift = np.array([i for i, _, _ in parts]), np.array([s for _, s, _ in parts])
-        return number[part], gram, first - starts[part] + shift[part], n
+        return number[part], gram, whole, first - starts[part] + shift[part], n
 
 
 def _pack(*arrays: np.ndarray) -> bytes:
@@ -130,88 +135,107 @@ def _unpack(blob: bytes, *types: str) -> list[np.ndarray]:
     return found
 
 
-_TYPES = ("<i8", "<u4", "<u4", "u1", "<u4")
+#: Of the three kinds of rows: what is counted, spans that are decided, and segments of grams that are hot in their batch.
+_TYPES = (("<i8", "<i8", "<u4", "<i8", "<u4", "u1", "u1"), ("<u4", "<u4", "<u4"), ("<i8", "<u4", "<u4", "u1"))
 
 
-def _count(targets: int, batch_bytes: int, length: int):
-    """Batches of texts to anchors for the count (kind 0) and to those that go past it (kind 1)."""
+def _count(targets: int, batch_bytes: int, length: int, local_hot: int):
+    """Batches of texts to rows for the count."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         anchors, me = Anchors(length), TaskContext.get().partitionId()
-        numbers, texts, size = [], [], 0
+        numbers, docs, texts, size = [], [], [], 0
 
         def flush() -> Iterator[pa.RecordBatch]:
             base = min(numbers)
-            found = [np.concatenate(x) for x in zip(*anchors.of(texts))] if any(len(t) >= length for t in texts) else None
-            if found is None:
-                return
-            of, gram, first, n = found
-            idx = (np.array(numbers, np.int64) - base)[of].astype(np.uint32)
-            order = np.argsort(gram, kind="stable")
-            gram, idx, first, n = gram[order], idx[order], first[order].astype(np.uint32), n[order].astype(np.uint8)
-            start = np.flatnonzero(np.r_[True, gram[1:] != gram[:-1]])
-            size = np.diff(np.r_[start, len(gram)])
-            shared = np.maximum.reduceat(idx, start) != np.minimum.reduceat(idx, start)
-            weight = np.ones(len(gram), np.uint32)
-            weight[start] = np.where(shared, size, 1)
-            # the first of a shared gram stands for all: its weight is above 1
-            past = np.repeat(shared, size)
-            past[start] = False
-            target = ((gram.view(np.uint64) >> np.uint64(32)) * np.uint64(targets) >> np.uint64(32)).astype(np.int32)
-            kept = np.flatnonzero(~past)
-            kept = kept[np.argsort(target[kept], kind="stable")]
-            cuts = np.searchsorted(target[kept], np.arange(targets + 1))
-            rows = [(t, 0, kept[cuts[t] : cuts[t + 1]]) for t in range(targets) if cuts[t] < cuts[t + 1]]
-            if past.any():
-                rows.append((me % targets, 1, np.flatnonzero(past)))
-            for t, kind, own in rows:
-                own = own[np.argsort(idx[own], kind="stable")]
-                yield _record([[t], [kind], [base], [_pack(gram[own], idx[own], first[own], n[own], weight[own])]], _BLOB)
+            of, gram, print_, first, n = (np.concatenate(x) for x in zip(*anchors.of(texts)))
+            order = np.lexsort((print_, gram))
+            of, gram, print_, first, n = (x[order] for x in (of, gram, print_, first, n))
+            idx, doc, first, n = (np.array(numbers, np.int64) - base)[of].astype(np.uint32), np.array(docs, np.int64)[of], first.astype(np.uint32), n.astype(np.uint8)
+            new_gram = np.r_[True, gram[1:] != gram[:-1]]
+            new_print = new_gram | np.r_[True, print_[1:] != print_[:-1]]
+            start = np.flatnonzero(new_print)
+            covered = doc > np.repeat(np.minimum.reduceat(doc, start), np.diff(np.r_[start, len(doc)]))
+            grams = np.flatnonzero(new_gram)
+            many = np.repeat(np.add.reduceat(new_print.astype(np.int64), grams) > local_hot, np.diff(np.r_[grams, len(gram)]))
+            # spans of a text come in order and so do their ends: those that touch are one
+            own = np.flatnonzero(covered)
+            own = own[np.lexsort((first[own], idx[own]))]
+            if len(own):
+                end = first[own] + n[own] + np.uint32(length - 1)
+                run = np.flatnonzero(np.r_[True, (idx[own][1:] != idx[own][:-1]) | (first[own][1:] > end[:-1])])
+                last = np.r_[run[1:], len(own)] - 1
+                yield _record([[me % targets], [1], [base], [_pack(idx[own][run], first[own][run], end[last] - first[own][run])]], _BLOB)
+            # of a gram that is hot here one segment is counted, and says so
+            left = np.flatnonzero(~covered)
+            told = many[left] & np.r_[True, gram[left][1:] != gram[left][:-1]]
+            past = left[many[left] & ~told]
+            if len(past):
+                yield _record([[me % targets], [2], [base], [_pack(gram[past], idx[past], first[past], n[past])]], _BLOB)
+            left, told = left[told | ~many[left]], told[told | ~many[left]].astype(np.uint8)
+            target = ((gram[left].view(np.uint64) >> np.uint64(32)) * np.uint64(targets) >> np.uint64(32)).astype(np.int32)
+            order = np.lexsort((idx[left], target))
+            left, told, cuts = left[order], told[order], np.searchsorted(target[order], np.arange(targets + 1))
+            for t in range(targets):
+                if cuts[t] < cuts[t + 1]:
+                    own = left[cuts[t] : cuts[t + 1]]
+                    yield _record([[t], [0], [base], [_pack(gram[own], print_[own], idx[own], doc[own], first[own], n[own], told[cuts[t] : cuts[t + 1]])]], _BLOB)
 
         for batch in batches:
-            for number, text in zip(batch.column("number").to_pylist(), batch.column("text").to_pylist()):
+            for number, doc, text in zip(*(batch.column(k).to_pylist() for k in ("number", "doc", "text"))):
                 if numbers and (size + len(text) > batch_bytes or abs(number - numbers[0]) >= 1 << 31):
                     yield from flush()
-                    numbers, texts, size = [], [], 0
+                    numbers, docs, texts, size = [], [], [], 0
                 numbers.append(number)
+                docs.append(doc)
                 texts.append(text)
                 size += len(text) + 100
         if numbers:
             yield from flush()
+        anchors = numbers = docs = texts = None
         give_back_memory()
 
     return run
 
 
-def _keep(hot: int):
-    """Anchors of one target: those whose gram two documents have, and (number null) the grams with many places."""
+def _keep(hot: int, length: int):
+    """The segments of one target's grams: spans (without a gram) where a gram has one segment, else those that meet others."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = []
         for batch in batches:
             for kind, base, blob in zip(*(batch.column(k).to_pylist() for k in ("kind", "base", "blob"))):
-                gram, idx, first, n, weight = _unpack(blob, *_TYPES)
-                row = (idx.astype(np.int64) + base, gram, first.astype(np.int64), n.astype(np.int32))
-                if kind:
-                    yield _record(row, _KEPT)
+                found = _unpack(blob, *_TYPES[kind])
+                if kind == 0:
+                    own.append((found[0], found[1], found[2].astype(np.int64) + base, *found[3:]))
+                elif kind == 1:
+                    yield _record([found[0].astype(np.int64) + base, found[1].astype(np.int64), found[2].astype(np.int32), pa.nulls(len(found[0]), pa.int64()), np.zeros(len(found[0]), bool)], _KEPT)
                 else:
-                    own.append((*row, weight))
+                    yield _record([found[1].astype(np.int64) + base, found[2].astype(np.int64), found[3].astype(np.int32), found[0], np.ones(len(found[0]), bool)], _KEPT)
         if own:
-            number, gram, first, n, weight = (np.concatenate(x) for x in zip(*own))
+            gram, print_, number, doc, first, n, told = (np.concatenate(x) for x in zip(*own))
             own = None
-            order = np.argsort(gram, kind="stable")
-            number, gram, first, n, weight = (x[order] for x in (number, gram, first, n, weight))
-            start = np.flatnonzero(np.r_[True, gram[1:] != gram[:-1]])
+            order = np.lexsort((print_, gram))
+            gram, print_, number, doc, first, n, told = (x[order] for x in (gram, print_, number, doc, first, n, told))
+            new = np.r_[True, gram[1:] != gram[:-1]]
+            start = np.flatnonzero(new)
             size = np.diff(np.r_[start, len(gram)])
-            total = np.add.reduceat(weight.astype(np.int64), start)
-            stays = (np.maximum.reduceat(number, start) != np.minimum.reduceat(number, start)) | (np.maximum.reduceat(weight, start) > 1)
-            at = np.flatnonzero(np.repeat(stays, size))
+            least = np.minimum.reduceat(doc, start)
+            prints = np.add.reduceat((new | np.r_[True, print_[1:] != print_[:-1]]).astype(np.int64), start)
+            said = np.maximum.reduceat(told, start) > 0
+            one = (prints == 1) & ~said
+            at = np.flatnonzero(np.repeat(one, size) & (doc > np.repeat(least, size)))
+            for s in range(0, len(at), 50_000):
+                x = at[s : s + 50_000]
+                yield _record([number[x], first[x].astype(np.int64), n[x].astype(np.int32) + (length - 1), pa.nulls(len(x), pa.int64()), np.zeros(len(x), bool)], _KEPT)
+            many = np.repeat(said | (size > hot), size)
+            at = np.flatnonzero(np.repeat(~one & (said | (np.maximum.reduceat(doc, start) > least)), size))
             for s in range(0, len(at), 50_000):
-                yield _record([x[at[s : s + 50_000]] for x in (number, gram, first, n)], _KEPT)
-            many = gram[start[total > hot]]
-            yield _record([pa.nulls(len(many), pa.int64()), many, pa.nulls(len(many), pa.int64()), pa.nulls(len(many), pa.int32())], _KEPT)
+                x = at[s : s + 50_000]
+                yield _record([number[x], first[x].astype(np.int64), n[x].astype(np.int32), gram[x], many[x]], _KEPT)
+            gram = print_ = number = doc = first = n = told = new = order = many = at = None
         give_back_memory()
 
     return run
@@ -451,7 +475,7 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     give_back_memory()
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text", hot: int = HOT, batch_bytes: int = BATCH, shallow: int = SHALLOW, pool_bytes: int = POOL) -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text", hot: int = HOT, local_hot: int = LOCAL_HOT, batch_bytes: int = BATCH, shallow: int = SHALLOW, pool_bytes: int = POOL) -> DataFrame:
     """One row per document: doc_id, n_bytes, n_removed, n_spans and the digest of what is left."""
     spark = docs.sparkSession
     scratch = Scratch(spark, "repeated-bytes")
@@ -462,26 +486,24 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
         total = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
         parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // PARTITION))
 
-        long = texts.where(F.octet_length("text") >= length).select("number", "text")
-        blobs = long.mapInArrow(_count(parts, batch_bytes, length), "target int, kind int, base long, blob binary")
-        kept = scratch.table(blobs.repartitionById(parts, F.col("target")).mapInArrow(_keep(hot), "number long, gram long, at long, n int"), "kept", compression="zstd")
+        long = texts.where(F.octet_length("text") >= length)
+        blobs = long.mapInArrow(_count(parts, batch_bytes, length, local_hot), "target int, kind int, base long, blob binary")
+        kept = scratch.table(blobs.repartitionById(parts, F.col("target")).mapInArrow(_keep(hot, length), "number long, at long, n int, gram long, hot boolean"), "kept", compression="zstd")
         release_shuffles(spark)
 
-        hottest = kept.where("number is null").select("gram", F.lit(True).alias("hot"))
-        hottest = F.broadcast(hottest) if hottest.count() <= BROADCAST_GRAMS else hottest
-        anchors = kept.where("number is not null").join(hottest, "gram", "left").groupBy("number").agg(F.collect_list(F.struct("gram", "at", "n", F.coalesce("hot", F.lit(False)).alias("hot"))).alias("own"))
+        anchors = kept.where("gram is not null").groupBy("number").agg(F.collect_list(F.struct("gram", "at", "n", "hot")).alias("own"))
         entries = texts.join(anchors, "number").select("number", "doc", "text", "own").mapInArrow(_segments(batch_bytes, length), "key long, seg binary, doc long, places binary")
         met = entries.repartition(parts, "key").sortWithinPartitions("key", "doc")
         spans = scratch.table(met.mapInArrow(_decide(length, shallow, pool_bytes), "number long, first long, end long"), "spans", compression="zstd")
         release_shuffles(spark)
-        scratch.drop("kept")
 
+        spans = spans.unionByName(kept.where("gram is null").select("number", F.col("at").alias("first"), (F.col("at") + F.col("n")).alias("end")))
         runs = spans.groupBy("number").agg(F.collect_list(F.struct("first", "end")).alias("own"))
         cut = texts.join(runs, "number", "left").select("doc", "text", "own").mapInArrow(_cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
         done = scratch.table(cut, "cut")
     release_shuffles(spark)
-    scratch.drop("texts")
-    scratch.drop("spans")
+    for label in ("texts", "kept", "spans"):
+        scratch.drop(label)
     return done
 
 
