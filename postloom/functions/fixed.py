@@ -159,3 +159,14 @@ CORE_DOMAINS = [
 # Titles with these don't match a watchlist title without them, though they contain it.
 MARKETING = ["content marketing", "demand generation", "growth marketing", "marketing content", "product marketing", "social media"]
 VARIANTS = {"sr": "senior", "tech": "technical"}
+
+# Where boards are shown, the keys that an entry's value and address are looked for under, and titles that are noise.
+BOARD_URLS = {"ashby": "https://jobs.ashbyhq.com/", "lever": "https://jobs.lever.co/", "greenhouse": "https://job-boards.greenhouse.io/"}
+ENTRY_VALUES = ["slug", "company", "name", "id", "url", "careerSiteUrl", "careersUrl"]
+ENTRY_URLS = ["url", "careerSiteUrl", "careersUrl"]
+TITLE_NOISE = [
+    "technical recruiter", "clinical documentation", "medical documentation", "risk adjustment", "hcc documentation", "loan documentation", "mortgage loan", "legal document", "document specialist",
+    "controlled substance", "ocean freight", "technical developer", "software developer", "developer productivity", "developer experience", "information security", "security architect",
+    "content marketing", "technical content marketing", "seo", "social media", "content licensing", "content partnerships", "content creator", "developer events", "developer platform partnership",
+    "technical product marketing",
+]

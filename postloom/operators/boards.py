@@ -55,23 +55,46 @@ def latest(rows: DataFrame, key: Column, order: list[str], *fields: str) -> Data
     return rows.groupBy(key.alias("BoardKey")).agg(packed).select("BoardKey", *[F.col("r")[f].alias(f) for f in fields])
 
 
-def superseded(fetches: DataFrame) -> DataFrame:
-    """Successful fetches that a later one of their board has replaced: `keep` says which rows are the newest."""
-    newest = latest(fetches.where(F.col("Status").isin(*LIVE)), board_key(), ["FetchedAt", "seq"], "Status", "seq")
-    rows = fetches.where("Status = 'success'").withColumn("BoardKey", board_key())
-    newest = newest.select("BoardKey", F.col("Status").alias("_status"), F.col("seq").alias("_seq"))
-    return rows.join(newest, "BoardKey").withColumn("keep", (F.col("_status") == "success") & (F.col("_seq") == F.col("seq"))).drop("_status", "_seq")
+def latest_live(fetches: DataFrame) -> DataFrame:
+    """Of each board with an ATS and a slug, its newest successful or empty fetch; of equal times the later row."""
+    live = fetches.where(F.lower("Status").isin(*LIVE) & (text.clean(F.col("ATS")) != "") & (text.clean(F.col("CatalogSlug")) != ""))
+    return live.groupBy(board_key().alias("BoardKey")).agg(F.max(F.struct("FetchedAt", "seq", F.lower("Status").alias("Status"), F.col("SourceBatch"))).alias("newest"))
+
+
+def superseded(rows: DataFrame, newest: DataFrame) -> DataFrame:
+    """Postings with `keep`: false where their board's newest live fetch came later.
+
+    After an empty fetch only postings fetched later stay, after a successful one only those of its batch. Boards without a
+    live fetch, and rows without a board, keep all. newest is that of latest_live(), a row a board.
+    """
+    of = F.when((text.clean(F.col("ATS")) != "") & (text.clean(F.col("CatalogSlug")) != ""), board_key())
+    joined = rows.withColumn("BoardKey", F.coalesce(of, F.lit(""))).join(newest, "BoardKey", "left")
+    gone = F.when(F.col("newest.Status") == "empty", F.col("FetchedAt") <= F.col("newest.FetchedAt")).when(F.col("newest.Status") == "success", text.clean(F.col("SourceBatch")) != text.clean(F.col("newest.SourceBatch")))
+    return joined.withColumn("keep", ~F.coalesce(gone, F.lit(False))).drop("newest")
 
 
 def anomalies(fetches: DataFrame, now: Column, recent_hours: int = 24, baseline_days: int = 7, least_recent: int = 20, least_baseline: int = 50) -> DataFrame:
-    """Per ATS and metric: rates of the recent and the baseline window, whether they alert and how severely."""
+    """Per ATS and metric: rates of boards fetched in both windows, whether they alert and how severely.
+
+    A board counts by its last attempt of each window, and only if it has one in both, so that new boards of a catalogue don't look like a change.
+    """
     age = now.cast("timestamp").cast("long") - F.col("FetchedAt").cast("long")
-    window = F.when((age >= 0) & (age <= recent_hours * 3600), "recent").when((age > recent_hours * 3600) & (age <= (recent_hours + 24 * baseline_days) * 3600), "baseline")
-    both = attempt_summary(fetches.withColumn("window", window).where("window is not null"), "ATS", "window")
-    sides = {w: both.where(F.col("window") == w).drop("window") for w in ("recent", "baseline")}
-    pair = sides["recent"].toDF("ATS", *[f"r_{c}" for c in sides["recent"].columns[1:]]).join(sides["baseline"].toDF("ATS", *[f"b_{c}" for c in sides["baseline"].columns[1:]]), "ATS")
-    metric = F.explode(F.array(*[F.struct(F.lit(n).alias("Metric"), F.col(f"r_{n}Rate").alias("RecentRate"), F.col(f"b_{n}Rate").alias("BaselineRate")) for n in ("HTTPFailure", "Empty", "ZeroJob")]))
-    rows = pair.select("ATS", F.col("r_Attempts").alias("RecentAttempts"), F.col("b_Attempts").alias("BaselineAttempts"), metric.alias("m")).select("ATS", "RecentAttempts", "BaselineAttempts", "m.*")
+    recent = (age >= 0) & (age <= recent_hours * 3600)
+    baseline = (age > recent_hours * 3600) & (age <= (recent_hours + 24 * baseline_days) * 3600)
+    # of equal times the first row stays
+    row = F.struct("FetchedAt", (-F.col("seq")).alias("s"), "Status", "HttpStatus", "JobCount")
+    boards = fetches.groupBy(F.lower("ATS").alias("ATS"), F.lower(text.clean(F.col("CatalogSlug"))).alias("slug")).agg(F.max(F.when(recent, row)).alias("recent"), F.max(F.when(baseline, row)).alias("baseline"))
+    matched = F.col("recent").isNotNull() & F.col("baseline").isNotNull()
+
+    def counts(w: str) -> list[Column]:
+        ended = matched & F.col(f"{w}.Status").isin(*TERMINAL)
+        of = {"Attempts": F.lit(True), "HTTPFailure": (F.col(f"{w}.Status") == "failed") & (F.col(f"{w}.HttpStatus").try_cast("int") >= 400), "Empty": F.col(f"{w}.Status") == "empty", "ZeroJob": F.col(f"{w}.JobCount") == 0}
+        return [F.count_if(ended & c).alias(f"{w}_{n}") for n, c in of.items()]
+
+    side = boards.groupBy("ATS").agg(F.count("recent").alias("RecentBoards"), F.count("baseline").alias("BaselineBoards"), F.count_if(matched).alias("MatchedBoards"), *counts("recent"), *counts("baseline"))
+    metric = F.explode(F.array(*[F.struct(F.lit(n).alias("Metric"), rate(F.col(f"recent_{n}"), F.col("recent_Attempts")).alias("RecentRate"), rate(F.col(f"baseline_{n}"), F.col("baseline_Attempts")).alias("BaselineRate")) for n in ("HTTPFailure", "Empty", "ZeroJob")]))
+    rows = side.select("ATS", "RecentBoards", "BaselineBoards", "MatchedBoards", (F.col("RecentBoards") - F.col("MatchedBoards")).alias("NewRecentBoards"), F.col("recent_Attempts").alias("RecentAttempts"), F.col("baseline_Attempts").alias("BaselineAttempts"), metric.alias("m"))
+    rows = rows.select(*[c for c in rows.columns if c != "m"], "m.*")
     up = F.round(F.col("RecentRate") - F.col("BaselineRate"), 2)
     ratio = F.when(F.col("BaselineRate") > 0, F.round(F.col("RecentRate") / F.col("BaselineRate"), 2)).when(F.col("RecentRate") == 0, 1.0)
     rows = rows.withColumns({"PointIncrease": up, "Ratio": ratio})
@@ -125,9 +148,9 @@ def freshness(state: DataFrame, now: Column) -> DataFrame:
         "DueBoards": due, "JobsFoundBoards": F.col("CoverageStatus") == "JOBS_FOUND", "EmptyBoards": F.col("CoverageStatus") == "FETCHED_EMPTY", "FailedBoards": failed,
         "RetryDelayedFailedBoards": failed & ~due, "DueFailedBoards": failed & due,
     }
-    out = state.rollup("ATS").agg(*[F.count_if(c).alias(n) for n, c in counts.items()])
+    out = state.rollup("ATS").agg(F.grouping("ATS").alias("whole"), *[F.count_if(c).alias(n) for n, c in counts.items()])
     share = F.when(F.col("FetchEligibleBoards") > 0, F.round(F.col("Checked7Days") / F.col("FetchEligibleBoards") * 100, 2)).otherwise(100.0)
-    return out.withColumns({"ATS": F.coalesce("ATS", F.lit("all")), "Fresh7DayPercent": share})
+    return out.withColumns({"ATS": F.when(F.col("whole") == 1, "all").otherwise(F.col("ATS")), "Fresh7DayPercent": share}).drop("whole")
 
 
 def due_boards(state: DataFrame, now: Column, most: int = 60, per_ats: int = 15) -> DataFrame:
@@ -150,6 +173,23 @@ def fetch_health(fetches: DataFrame) -> DataFrame:
     return df.withColumns({"SuccessRate": rate(F.col("SuccessCount"), F.col("Attempts")), "FailureRate": rate(F.col("FailedCount"), F.col("Attempts")), "StatusCounts": F.concat_ws(" | ", *texts)})
 
 
+def recommendations(health: DataFrame, published: DataFrame, names: list[str], supported: list[str]) -> DataFrame:
+    """Of each ATS, its fetches' and its published rows' health joined, what to do next, how many boards and how slowly."""
+    known = F.col("ATS").isin(supported)
+    said = health.sparkSession.createDataFrame([(a,) for a in names], "ATS string")
+    rows = F.broadcast(said).join(health, "ATS", "left").join(published.select("ATS", "PublicRows"), "ATS", "left").na.fill(0)
+    jobs, attempted, public = F.col("JobsFetched"), F.col("BoardsAttempted"), F.col("PublicRows")
+    ladder = [
+        (known & (jobs > 1000) & (F.col("SuccessRate") >= 50), "SCALE_NOW", 500, 250), ((jobs > 0) & ((attempted < 100) | (public < 1000)) & known, "SAMPLE_MORE", 100, 250), ((jobs > 0) & ((attempted < 100) | (public < 1000)), "SAMPLE_MORE", 50, 500),
+        (known & (jobs > 0) & (F.col("FailureRate") >= 50), "REVIEW_FETCHER", 50, 500), (jobs > 0, "KEEP_BEST_EFFORT", 50, 500), (known & (attempted > 0), "REVIEW_FETCHER", 25, 500),
+    ]
+    found = F.lit(None).cast("struct<verdict:string,many:long,delay:long>")
+    for when, verdict, many, delay in ladder:
+        found = F.coalesce(found, F.when(when, F.struct(F.lit(verdict).alias("verdict"), F.lit(many).cast("long").alias("many"), F.lit(delay).cast("long").alias("delay"))))
+    found = F.coalesce(found, F.struct(F.lit("CATALOG_ONLY_FOR_NOW").alias("verdict"), F.lit(0).cast("long").alias("many"), F.lit(0).cast("long").alias("delay")))
+    return rows.select("ATS", "BoardsAttempted", "JobsFetched", "PublicRows", found["verdict"].alias("ScaleRecommendation"), found["many"].alias("SuggestedNextBatchLimit"), found["delay"].alias("SuggestedDelayMs"))
+
+
 def recommendation(health: DataFrame, supported: list[str]) -> DataFrame:
     """What to do next with each ATS, by volume and rates."""
     known, jobs, attempted = F.col("ATS").isin(supported), F.col("JobsFetched"), F.col("BoardsAttempted")
@@ -176,15 +216,18 @@ def catalog_breakdown(catalog: DataFrame) -> DataFrame:
 
 
 def duplicate_values(catalog: DataFrame) -> DataFrame:
-    """Slugs that occur more than once, with their ATS and companies."""
-    listed = lambda c: F.array_join(F.array_sort(F.collect_set(c)), " | ")
-    return catalog.groupBy("Slug").agg(F.count("*").alias("Count"), listed("ATS").alias("ATSList"), listed("CompanyKey").alias("CompanyKeys")).where("Count > 1")
+    """Slugs that occur more than once, blank ones left out, with their ATS and companies.
+
+    Lists are of distinct values, which the partial aggregates reduce first; a slug has few of them, as blanks don't count.
+    """
+    listed = lambda c: F.array_join(F.array_sort(F.collect_set(F.nullif(c, F.lit("")))), " | ")
+    return catalog.where("Slug <> ''").groupBy("Slug").agg(F.count("*").alias("Count"), listed("ATS").alias("ATSList"), listed("CompanyKey").alias("CompanyKeys")).where("Count > 1")
 
 
 def key_overlap(catalog: DataFrame) -> DataFrame:
-    """Companies on more than one ATS or with more than one slug."""
-    listed = lambda c: F.array_join(F.array_sort(F.collect_set(c)), " | ")
-    found = catalog.groupBy("CompanyKey").agg(F.count_distinct("ATS").alias("ATSCount"), F.count_distinct("Slug").alias("SlugCount"), listed("ATS").alias("ATSList"), listed("Slug").alias("Slugs"))
+    """Companies on more than one ATS or with more than one slug; rows without a company or slug say nothing."""
+    listed = lambda c: F.array_join(F.array_sort(F.collect_set(F.nullif(c, F.lit("")))), " | ")
+    found = catalog.where("CompanyKey <> ''").groupBy("CompanyKey").agg(F.count_distinct("ATS").alias("ATSCount"), F.count_distinct(F.nullif("Slug", F.lit(""))).alias("SlugCount"), listed("ATS").alias("ATSList"), listed("Slug").alias("Slugs"))
     return found.where("ATSCount > 1 or SlugCount > 1")
 
 
@@ -233,7 +276,9 @@ def crawl_queue(registered: DataFrame) -> DataFrame:
     best = F.coalesce(*[F.when(has[a], F.lit(a)) for a in PROVIDERS], F.lit(""))
     url = F.coalesce(*[F.when(has[a], fetch_url(a, value(a, "Slug"), value(a, "BoardURL"))) for a in PROVIDERS], F.lit(""))
     names = F.filter(F.array(*[F.when(has[a], F.lit(a)) for a in PROVIDERS]), lambda x: x.isNotNull())
-    df = registered.select("CompanyKey", "Company", best.alias("BestATS"), url.alias("EstimatedFetchURL"), F.array_join(names, " | ").alias("ATSList"), F.size(names).cast("long").alias("ATSCount"))
+    # those that a company is on, but that nothing can be fetched from
+    unavailable = F.filter(F.array(*[F.when(has[a] & (fetch_url(a, value(a, "Slug"), value(a, "BoardURL")) == ""), F.lit(a)) for a in PROVIDERS]), lambda x: x.isNotNull())
+    df = registered.select("CompanyKey", "Company", best.alias("BestATS"), url.alias("EstimatedFetchURL"), F.array_join(names, " | ").alias("ATSList"), F.size(names).cast("long").alias("ATSCount"), F.array_join(unavailable, " | ").alias("UnavailableATSList"))
     ready = (F.col("CompanyKey") != "") & (F.col("Company") != "") & (F.col("EstimatedFetchURL") != "")
     support = F.when(F.col("BestATS") == "", "UNSUPPORTED").when(F.col("BestATS").isin(SUPPORTED), "SUPPORTED").when(F.col("EstimatedFetchURL") != "", "BEST_EFFORT").otherwise("CATALOG_ONLY")
     reason = F.when(F.col("CompanyKey") == "", "Missing company key").when(F.col("Company") == "", "Missing preferred company name").when(F.col("EstimatedFetchURL") == "", "No usable URL").otherwise(F.concat("BestATS", F.lit(" board available")))
@@ -245,6 +290,19 @@ def crawl_queue(registered: DataFrame) -> DataFrame:
 
 
 def queue_summary(queue: DataFrame) -> DataFrame:
+    """A row of counts over the queue: by readiness, priority, provider, and what a provider has but can't be fetched."""
+    n = F.count_if
+    on = lambda a: F.array_contains(F.split("UnavailableATSList", r" \| "), a)
+    best = {a: F.col("BestATS") == a for a in PROVIDERS}
+    later = [a for a in PROVIDERS if a not in SUPPORTED]
+    return queue.agg(
+        F.count("*").alias("TotalRegistryCompanies"), n("CrawlReady").alias("CrawlReadyCount"), *[n(F.col("CrawlPriority") == p).alias(f"{p.title()}{'' if p == 'SKIP' else 'Priority'}Count") for p in PRIORITIES],
+        *[n(c).alias(f"{a.title()}Count") for a, c in best.items()], *[n(F.col("CrawlReady") & best[a]).alias(f"{a.title()}Ready") for a in SUPPORTED], *[n(on(a)).alias(f"{a.title()}CatalogOnly") for a in later],
+        n(F.col("CrawlStatus") == "NOT_READY").alias("CatalogOnlyCount"), n(on(later[0]) | on(later[1]) | on(later[2])).alias("MessyButExportableCount"),
+    )
+
+
+def priority_breakdown(queue: DataFrame) -> DataFrame:
     """Companies of each priority, how many are ready and supported, zero counts included."""
     found = queue.groupBy("CrawlPriority").agg(F.count("*").alias("Companies"), F.count_if("CrawlReady").alias("Ready"), F.count_if(F.col("FetchSupportStatus") == "SUPPORTED").alias("Supported"), F.count_if(F.col("ATSCount") > 1).alias("OnMany"))
     names = queue.sparkSession.createDataFrame([(p,) for p in PRIORITIES], "CrawlPriority string")

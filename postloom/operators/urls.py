@@ -15,6 +15,8 @@ DEAD_PAGES = [
     r"\bjob (?:is )?no longer available\b", r"\bposting (?:is )?no longer available\b", r"\bposition (?:has been )?filled\b", r"\bjob not found\b", r"\bpage not found\b", r"\bthis job is closed\b",
     r"\bthis position is closed\b", r"\bno longer accepting applications\b",
 ]
+#: Issues of a checked link that won't go away.
+FINAL_ISSUES = ["Final URL matches a known expired/error page pattern.", "URL is on the reviewed confirmed-dead job URL list.", "Page text matches a known closed/not-found job pattern."]
 
 
 def normal_url(value: Column) -> Column:
@@ -67,3 +69,55 @@ def verdicts(checks: DataFrame) -> DataFrame:
         .when(any_of(F.col("Page"), DEAD_PAGES), "Page text matches a known closed/not-found job pattern.").otherwise("")
     )
     return checks.withColumn("Issue", issue)
+
+
+def slug_from_url(ats: Column, url: Column) -> Column:
+    """The slug that a board's address says, by its provider; empty if it says none."""
+    value = text.clean(url)
+    host, parts = F.lower(F.regexp_extract(value, r"(?i)^https?://(?:[^/?#@]*@)?([^/?#:]+)", 1)), _path(value)
+    first = F.coalesce(F.get(parts, F.lit(0)), F.lit(""))
+    at = F.array_position(parts, "boards")
+    greenhouse = F.when(at > 0, F.coalesce(F.get(parts, at.cast("int")), first)).otherwise(first)
+    tenant = F.regexp_extract(host, r"^([^.]+)\.(wd\d+)\.myworkdayjobs\.com$", 1)
+    segment = F.regexp_extract(host, r"^([^.]+)\.(wd\d+)\.myworkdayjobs\.com$", 2)
+    at_ = lambda k: F.coalesce(F.get(parts, F.lit(k)), F.lit(""))
+    service = (first == "wday") & (at_(1) == "cxs") & (at_(2) != "") & (at_(3) != "")
+    workday = F.when((tenant == "") | (first == ""), "").when(service, F.concat_ws("|", at_(2), segment, at_(3))).otherwise(F.concat_ws("|", tenant, segment, first))
+    name = F.lower(ats)
+    found = (
+        F.when(name.isin("ashby", "lever"), first).when(name == "greenhouse", greenhouse).when(name == "bamboohr", F.regexp_extract(host, r"^([^.]+)\.bamboohr\.com$", 1))
+        .when(name == "icims", F.regexp_replace(F.split_part(host, F.lit("."), F.lit(1)), "^careers-", "")).when(name == "workday", workday).otherwise("")
+    )
+    return F.when(host != "", found).otherwise("")
+
+
+def workday_urls(slug: Column, source: Column) -> tuple[Column, Column]:
+    """The address that a Workday board is fetched from, and the one it is shown at, from its slug and an address given."""
+    direct = text.clean(source)
+    said = F.coalesce(F.nullif(slug_from_url(F.lit("workday"), direct), F.lit("")), text.clean(slug))
+    parts = F.filter(F.transform(F.split(said, r"\|"), text.clean), lambda x: x != "")
+    ok = (F.size(parts) >= 3) & F.coalesce(F.get(parts, F.lit(1)).rlike(r"(?i)^wd\d+$"), F.lit(False))
+    host = F.concat(F.lit("https://"), F.get(parts, F.lit(0)), F.lit("."), F.get(parts, F.lit(1)), F.lit(".myworkdayjobs.com"))
+    service = F.contains(direct, F.lit("/wday/cxs/"))
+    fetch = F.when((direct != "") & service, F.split_part(direct, F.lit("?"), F.lit(1))).when(ok, F.concat(host, F.lit("/wday/cxs/"), F.get(parts, F.lit(0)), F.lit("/"), F.get(parts, F.lit(2)), F.lit("/jobs"))).otherwise("")
+    board = F.when((direct != "") & ~service, direct).when(ok, F.concat(host, F.lit("/"), F.get(parts, F.lit(2)))).otherwise(direct)
+    return fetch, board
+
+
+def prunable(status: Column, issue: Column) -> Column:
+    """Whether a checked link failed for good."""
+    said = F.coalesce(issue, F.lit(""))
+    final = said.rlike(r"^HTTP (404|410)\b") | said.isin(*FINAL_ISSUES) | said.startswith("Greenhouse job URL redirected")
+    return F.coalesce(status.isin("Missing URL", "Invalid URL") | ((status == "Bad") & final), F.lit(False))
+
+
+def kept_after_check(ok: Column, status: Column, issue: Column, safe: bool) -> Column:
+    """Rows that stay: links that work, and in safe mode those that didn't fail for good."""
+    return (ok == "Yes") | (~prunable(status, issue) if safe else F.lit(False))
+
+
+def shown_company(value: Column) -> Column:
+    """A company's name in title case: cut at a bar, punctuation as spaces, words that begin with a digit as they are."""
+    cut = F.regexp_replace(text.clean(value), r"\|.*$", "")
+    words = F.split(text.squeezed(F.translate(cut, text.PUNCTUATION + "&", " " * (len(text.PUNCTUATION) + 1))), " ")
+    return F.array_join(F.transform(words, lambda w: F.when(w.rlike(r"^\d"), w).otherwise(F.concat(F.upper(F.left(w, F.lit(1))), F.lower(F.substr(w, F.lit(2)))))), " ")

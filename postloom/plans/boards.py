@@ -85,13 +85,17 @@ def a22_attempt_summary(spark, sf_dir):
     return B.attempt_summary(fetches(spark, sf_dir), "ATS")
 
 
-_metrics = " union all ".join(f"select ATS, RecentAttempts, BaselineAttempts, '{n}' as Metric, r_{n} as RecentRate, b_{n} as BaselineRate from p" for n in ("HTTPFailure", "Empty", "ZeroJob"))
-_sides = ", ".join(f"max(case when side = 'recent' then {n}Rate end) as r_{n}, max(case when side = 'baseline' then {n}Rate end) as b_{n}" for n in ("HTTPFailure", "Empty", "ZeroJob"))
+_one = lambda side: f"max_by(struct_pack(s := Status, h := HttpStatus, j := JobCount), FetchedAt) filter (side = '{side}')"
+_ended = lambda w: f"r is not null and b is not null and {w}.s in ('success', 'empty', 'failed')"
+_side = lambda w, n: f"count(*) filter ({_ended(w)}) as {n}Attempts, count(*) filter ({_ended(w)} and {w}.s = 'failed' and try_cast({w}.h as int) >= 400) as {n}HTTPFailure, count(*) filter ({_ended(w)} and {w}.s = 'empty') as {n}Empty, count(*) filter ({_ended(w)} and {w}.j = 0) as {n}ZeroJob"
+_metrics = " union all ".join(f"select ATS, RecentBoards, BaselineBoards, MatchedBoards, RecentBoards - MatchedBoards as NewRecentBoards, RecentAttempts, BaselineAttempts, '{n}' as Metric, {_rate('Recent' + n, 'RecentAttempts')} as RecentRate, {_rate('Baseline' + n, 'BaselineAttempts')} as BaselineRate from p" for n in ("HTTPFailure", "Empty", "ZeroJob"))
 
 
 @query(f"""with {_L}, a as (select *, floor(epoch({_now})) - floor(epoch(FetchedAt)) as age from l), w as (select *, case when age between 0 and 86400 then 'recent' when age > 86400 and age <= 691200 then 'baseline' end as side from a),
-x as (select ATS, side, {_sum} from w where side is not null and Status in ('success', 'empty', 'failed') group by ATS, side), y as (select *, {_rates} from x),
-p as (select ATS, max(case when side = 'recent' then Attempts end) as RecentAttempts, max(case when side = 'baseline' then Attempts end) as BaselineAttempts, {_sides} from y group by ATS having count(*) = 2),
+f as (select * from w where side is not null qualify row_number() over (partition by BoardKey, side order by FetchedAt desc, seq) = 1),
+y as (select BoardKey, any_value(ATS) as ATS, {_one('recent')} as r, {_one('baseline')} as b from f group by BoardKey),
+z as (select ATS, count(r) as RecentBoards, count(b) as BaselineBoards, count(*) filter (r is not null and b is not null) as MatchedBoards, {_side('r', 'Recent')}, {_side('b', 'Baseline')} from y group by ATS),
+p as (select names.ATS, z.* exclude (ATS) from (select distinct ATS from l) as names left join z using (ATS)),
 m as ({_metrics}), r as (select *, round(RecentRate - BaselineRate, 2) as PointIncrease, case when BaselineRate > 0 then round(RecentRate / BaselineRate, 2) when RecentRate = 0 then 1 end as Ratio from m)
 select *, case when RecentAttempts < 20 or BaselineAttempts < 50 then 'INSUFFICIENT_DATA' when PointIncrease >= 10 and case when BaselineRate = 0 then RecentRate >= 10 else Ratio >= 1.5 end
   then case when PointIncrease >= 20 and (Ratio is null or Ratio >= 2) then 'HIGH' else 'WARN' end else 'OK' end as Verdict from r""")
@@ -106,10 +110,21 @@ def w12_latest_fetch(spark, sf_dir):
     return B.latest(log.where(F.col("Status").isin(*B.LIVE)), B.board_key(), ["FetchedAt", "seq"], "Status", "seq")
 
 
-@query(f"""with {_L}, n as (select BoardKey, Status as ns, seq as nseq from l where Status in ('success', 'empty') qualify row_number() over (partition by BoardKey order by FetchedAt desc, seq desc) = 1)
-select seq, BoardKey, ns = 'success' and nseq = seq as keep from l join n using (BoardKey) where Status = 'success'""")
+#: Fetches with the batch they came in; some have no slug.
+_G = f"g as (select *, lower(ATS) || '|' || lower(CatalogSlug) as BoardKey, BatchName as SourceBatch from ({views.plain(views.LOG)}))"
+SUPERSEDED = f"""with {_G}, n as (select BoardKey, Status as ns, FetchedAt as nt, SourceBatch as nb from g where CatalogSlug <> '' and Status in ('success', 'empty') qualify row_number() over (partition by BoardKey order by FetchedAt desc, seq desc) = 1)
+select seq, ATS, CatalogSlug, SourceBatch, coalesce(case ns when 'empty' then FetchedAt > nt when 'success' then SourceBatch = nb end, true) as keep from g left join n on n.BoardKey = g.BoardKey and CatalogSlug <> '' where Status <> 'skipped'"""
+
+
+def batch_log(spark, sf_dir):
+    return views.view(spark, sf_dir, views.LOG).withColumn("SourceBatch", F.col("BatchName"))
+
+
+@query(SUPERSEDED)
 def j1_superseded_rows(spark, sf_dir):
-    return B.superseded(fetches(spark, sf_dir)).select("seq", "BoardKey", "keep")
+    """Rows of each fetch that wasn't skipped, and whether the newest live fetch of their board leaves them in force."""
+    log = batch_log(spark, sf_dir)
+    return B.superseded(log.where("Status <> 'skipped'"), B.latest_live(log)).select("seq", "ATS", "CatalogSlug", "SourceBatch", "keep")
 
 
 _health = """h as (select ATS, count(distinct BoardKey) as BoardsAttempted, count(*) as Attempts, count(*) filter (Status = 'success') as SuccessCount, count(*) filter (Status = 'empty') as EmptyCount,
@@ -189,7 +204,8 @@ def _fetch_url(a: str) -> str:
 
 _QUEUE = f"""{_C}, r as (select CompanyKey, first(Company order by seq) as Company, {_pivot} from c group by CompanyKey),
 q0 as (select CompanyKey, Company, case {" ".join(f"when {_has(a)} then '{a}'" for a in B.PROVIDERS)} else '' end as BestATS, case {" ".join(f"when {_has(a)} then {_fetch_url(a)}" for a in B.PROVIDERS)} else '' end as EstimatedFetchURL,
-  list_filter([{", ".join(f"case when {_has(a)} then '{a}' end" for a in B.PROVIDERS)}], lambda x: x is not null) as names from r),
+  list_filter([{", ".join(f"case when {_has(a)} then '{a}' end" for a in B.PROVIDERS)}], lambda x: x is not null) as names,
+  array_to_string(list_filter([{", ".join(f"case when {_has(a)} and {_fetch_url(a)} = '' then '{a}' end" for a in B.PROVIDERS)}], lambda x: x is not null), ' | ') as UnavailableATSList from r),
 q1 as (select * exclude (names), array_to_string(names, ' | ') as ATSList, len(names) as ATSCount, CompanyKey <> '' and Company <> '' and EstimatedFetchURL <> '' as CrawlReady from q0),
 q as (select *, case when not CrawlReady then 'SKIP' {" ".join(f"when BestATS = '{a}' then '{p}'" for a, p in B.PROVIDER_PRIORITY.items())} else 'SKIP' end as CrawlPriority,
   case when CrawlReady then 'READY' when ATSCount > 0 then 'NOT_READY' else 'SKIP' end as CrawlStatus,
@@ -202,11 +218,24 @@ def p23_crawl_queue(spark, sf_dir):
     return B.crawl_queue(B.registry(catalog(spark, sf_dir)))
 
 
-@query(f"with {_QUEUE}, dim as (select unnest([{', '.join(map(_q, B.PRIORITIES))}]) as CrawlPriority) select CrawlPriority, count(q.CompanyKey) as Companies, count(*) filter (CrawlReady) as Ready, count(*) filter (FetchSupportStatus = 'SUPPORTED') as Supported, count(*) filter (ATSCount > 1) as OnMany from dim left join q using (CrawlPriority) group by 1")
+_later = [a for a in B.PROVIDERS if a not in B.SUPPORTED]
+_on = lambda a: f"contains(UnavailableATSList, '{a}')"
+_counted = ", ".join(
+    [f"count(*) filter (CrawlPriority = '{p}') as {p.title()}{'' if p == 'SKIP' else 'Priority'}Count" for p in B.PRIORITIES] + [f"count(*) filter (BestATS = '{a}') as {a.title()}Count" for a in B.PROVIDERS]
+    + [f"count(*) filter (CrawlReady and BestATS = '{a}') as {a.title()}Ready" for a in B.SUPPORTED] + [f"count(*) filter ({_on(a)}) as {a.title()}CatalogOnly" for a in _later]
+)
+
+
+@query(f"with {_QUEUE} select count(*) as TotalRegistryCompanies, count(*) filter (CrawlReady) as CrawlReadyCount, {_counted}, count(*) filter (CrawlStatus = 'NOT_READY') as CatalogOnlyCount, count(*) filter ({' or '.join(map(_on, _later))}) as MessyButExportableCount from q")
 def a20_queue_summary(spark, sf_dir):
     return B.queue_summary(B.crawl_queue(B.registry(catalog(spark, sf_dir))))
 
 
+@query(f"with {_QUEUE}, dim as (select unnest([{', '.join(map(_q, B.PRIORITIES))}]) as CrawlPriority) select CrawlPriority, count(q.CompanyKey) as Companies, count(*) filter (CrawlReady) as Ready, count(*) filter (FetchSupportStatus = 'SUPPORTED') as Supported, count(*) filter (ATSCount > 1) as OnMany from dim left join q using (CrawlPriority) group by 1")
+def a20_priority_breakdown(spark, sf_dir):
+    return B.priority_breakdown(B.crawl_queue(B.registry(catalog(spark, sf_dir))))
+
+
 @query(f"with {_QUEUE} select CompanyKey, CrawlPriority, row_number() over (partition by CrawlPriority order by ATSCount desc, CompanyKey) as place from q qualify place <= 100")
 def o3_queue_heads(spark, sf_dir):
     return B.queue_heads(B.crawl_queue(B.registry(catalog(spark, sf_dir)))).select("CompanyKey", "CrawlPriority", F.col("place").cast("long").alias("place"))

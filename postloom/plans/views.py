@@ -87,6 +87,49 @@ select s_suppkey as seq, {one_of(ATS, "s_suppkey")} as ATS, concat('slug-', cast
   s_name as Company, case when s_suppkey % 9 = 0 then '' else concat('https://boards.example.com/', cast(s_suppkey as string)) end as BoardURL, n_name as Country
 from {{supplier}} join {{nation}} on s_nationkey = n_nationkey"""
 
+#: The catalogue with blank values and addresses that are none, as feeds have them.
+MESSY = f"""
+select seq, case when seq % 29 = 0 then '' else ATS end as ATS, case when seq % 13 = 0 then '' when seq % 7 = 0 then upper(Slug) else Slug end as Slug, case when seq % 11 = 0 then '' else CompanyKey end as CompanyKey, Company,
+  case when seq % 10 = 0 then 'not an address' else BoardURL end as BoardURL, Country from ({CATALOG}) as c"""
+
+ENTRIES = f"""
+select s_suppkey as seq, {one_of(ATS, "s_suppkey * 5")} as ATS, case cast(s_suppkey % 8 as int)
+  when 0 then concat('" ', replace(s_name, '#', ' no '), ' "') when 1 then concat('{{{{"slug":"', lower(replace(s_name, '#', '-')), '","company":"', n_name, '","url":""}}}}')
+  when 2 then concat('{{{{"id":', cast(s_suppkey as string), ',"name":" ', n_name, '","careersUrl":"https://careers.example.com/', cast(s_suppkey as string), '"}}}}') when 3 then concat('["', n_name, '",', cast(s_nationkey as string), ']')
+  when 4 then cast(s_suppkey as string) when 5 then concat('{{{{"name":"  ","slug":null,"careerSiteUrl":"https://jobs.example.com/', cast(s_nationkey as string), '"}}}}') when 6 then concat(s_name, ' is no JSON') else '""' end as Entry,
+  concat('{{{{"office":{{{{"place":', case cast(s_suppkey % 5 as int) when 0 then concat('"', n_name, ' "') when 1 then concat('{{{{"label":" ', n_name, ' ","code":7}}}}') when 2 then concat('[{{{{"name":"', n_name, '"}}}},{{{{"value":"Hub"}}}},"plain",null,{{{{"x":1}}}}]')
+    when 3 then cast(s_nationkey as string) else 'null' end, '}}}}}}}}') as Nested
+from {{supplier}} join {{nation}} on s_nationkey = n_nationkey"""
+
+_MONTHS = ["January", "February", "March", "April", "May", "June", "July", "August", "September", "October", "November", "December"]
+_two = lambda x: f"lpad(cast({x} as string), 2, '0')"
+_ymd = f"concat(cast(year(o_orderdate) as string), '-', {_two('month(o_orderdate)')}, '-', {_two('day(o_orderdate)')})"
+_hm = f"concat({_two('o_custkey % 24')}, ':', {_two('o_orderkey % 60')})"
+_month = one_of(_MONTHS, "month(o_orderdate) - 1")
+_dmy = f"concat(cast(day(o_orderdate) as string), ' ', {_month}, ' ', cast(year(o_orderdate) as string))"
+
+#: Dates as feeds write them.
+DATE_TEXTS = f"""
+select o_orderkey as seq, case cast(o_orderkey % 13 as int) when 0 then concat(replace({_ymd}, '-', ''), '-', replace({_hm}, ':', '')) when 1 then {_ymd} when 2 then concat({_ymd}, ' ', {_hm}, ' UTC')
+  when 3 then concat(cast(month(o_orderdate) as string), '/', cast(day(o_orderdate) as string), '/', substring(cast(year(o_orderdate) as string), 3, 2)) when 4 then concat(cast(month(o_orderdate) as string), '/', cast(day(o_orderdate) as string), '/', cast(year(o_orderdate) as string))
+  when 5 then concat({_ymd}, 'T', {_hm}, ':07Z') when 6 then concat('Mon, ', cast(day(o_orderdate) as string), ' ', substring({_month}, 1, 3), ' ', cast(year(o_orderdate) as string), ' ', {_hm}, ':30 GMT')
+  when 7 then concat({_month}, ' ', cast(day(o_orderdate) as string), ', ', cast(year(o_orderdate) as string)) when 8 then {_dmy} when 9 then concat('  ', {_ymd}, ' ') when 10 then '' when 11 then concat('around ', {_dmy}) else concat(cast(o_custkey as string), '/x') end as Text
+from {{orders}}"""
+
+PARTS_OF = ["Amharic", "Thai", "Dutch", "Health", "Finance"]
+FAMILIES = f"""
+select day, Company, case when Score % 3 = 0 and Title <> '' then concat(Title, ' - ', {one_of(PARTS_OF, "Score + coalesce(Age, 0)")}, '  -  ', case when Score % 2 = 0 then 'Remote' else 'remote' end) when Score % 17 = 0 then concat('SEO ', Title, ' - Thai - Remote') else Title end as Title,
+  Location, Link, Arrangement, Score, Age, case when Score % 9 = 0 then '' else concat('2026-0', cast(1 + Score % 8 as string), '-1', cast(coalesce(Age, 4) % 10 as string)) end as Posted, concat('2026-09-0', cast(1 + Score % 9 as string), ' 1', cast(coalesce(Age, 2) % 10 as string), ':30 UTC') as Checked from ({DAILY}) as d"""
+
+BOARD_LINKS = f"""
+select s_suppkey as seq, {one_of(ATS, "s_suppkey")} as ATS, case {one_of(ATS, "s_suppkey")}
+  when 'ashby' then concat('https://jobs.ashbyhq.com/', lower(n_name), '/', cast(s_suppkey as string)) when 'lever' then concat('https://jobs.lever.co/', lower(n_name))
+  when 'greenhouse' then case when s_suppkey % 4 < 2 then concat('https://boards-api.greenhouse.io/v1/boards/', lower(n_name), '/jobs?content=true') else concat('https://job-boards.greenhouse.io/', lower(n_name)) end
+  when 'bamboohr' then concat('https://', lower(n_name), '.bamboohr.com/careers/list') when 'icims' then concat('https://careers-', lower(n_name), '.icims.com/jobs/search')
+  when 'workday' then case when s_suppkey % 4 < 2 then concat('https://', lower(n_name), '.wd5.myworkdayjobs.com/wday/cxs/', lower(n_name), '/External/jobs') else concat('https://', lower(n_name), '.wd1.myworkdayjobs.com/Careers') end
+  else 'no address' end as URL, concat(lower(n_name), '|wd3|Site', cast(s_suppkey % 3 as string)) as Slug from {{supplier}} join {{nation}} on s_nationkey = n_nationkey where s_suppkey % 17 <> 0
+union all select s_suppkey, {one_of(ATS, "s_suppkey")}, case when s_suppkey % 2 = 0 then '' else 'http://nowhere' end, 'one|two' from {{supplier}} where s_suppkey % 17 = 0"""
+
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "pages", "labels", "conversations", "benchmark", "embeddings")
 
 
