@@ -39,7 +39,7 @@ BATCH, PIECE, PARTITION = 8 << 20, 1 << 19, 64 << 20
 #: Segments of a gram, in all and different ones in a batch, beyond which its windows are dealt one by one.
 HOT, LOCAL_HOT = 4096, 64
 #: Bytes to which multikey quicksort goes, and of text whose suffixes are sorted together.
-SHALLOW, POOL = 24, 8 << 20
+SHALLOW, POOL = 32, 8 << 20
 #: Stands for a null doc_id.
 LAST = np.iinfo(np.int64).max
 
@@ -175,7 +175,9 @@ def _count(targets: int, batch_bytes: int, length: int, local_hot: int):
             if len(past):
                 yield _record([[me % targets], [2], [base], [_pack(gram[past], idx[past], first[past], n[past])]], _BLOB)
             left, told = left[told | ~many[left]], told[told | ~many[left]].astype(np.uint8)
-            target = ((gram[left].view(np.uint64) >> np.uint64(32)) * np.uint64(targets) >> np.uint64(32)).astype(np.int32)
+            # anchors have small hashes, as the smallest of many: mixed again, all targets get as many
+            with np.errstate(over="ignore"):
+                target = ((gram[left].view(np.uint64) * np.uint64(_MULT) >> np.uint64(32)) * np.uint64(targets) >> np.uint64(32)).astype(np.int32)
             order = np.lexsort((idx[left], target))
             left, told, cuts = left[order], told[order], np.searchsorted(target[order], np.arange(targets + 1))
             for t in range(targets):
@@ -387,6 +389,7 @@ def _decide(length: int, shallow: int, pool_bytes: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         spans: list[tuple] = []
+        done: list[tuple] = []
         pool: list[tuple] = []
         group: list[tuple] = []
         size, at = 0, None
@@ -424,18 +427,31 @@ def _decide(length: int, shallow: int, pool_bytes: int):
             np.minimum.at(smallest, run_of, least[seg_of[order]])
             have = np.empty(len(order), np.int64)
             have[order] = smallest[run_of]  # the smallest doc_id that has the window
-            cuts = np.cumsum(windows)
-            for (_, doc, packed), k in zip(pool, of.tolist()):
-                covered = np.flatnonzero(have[cuts[k] - windows[k] : cuts[k]] < doc)
-                if len(covered):
-                    gaps = np.flatnonzero(np.diff(covered) > length)
-                    runs = list(zip(covered[np.r_[0, gaps + 1]].tolist(), (covered[np.r_[gaps, len(covered) - 1]] + length).tolist()))
-                    spans.extend((number, first + a, first + b) for number, first in places_of(packed) for a, b in runs)
+            # each entry's windows that a smaller doc_id has, and their runs
+            own = windows[of]
+            entry = np.repeat(np.arange(len(of)), own)
+            at_ = np.arange(len(entry)) - np.repeat(np.cumsum(own) - own, own)
+            found = np.flatnonzero(have[(np.cumsum(windows) - windows)[of][entry] + at_] < docs[entry])
+            if not len(found):
+                return
+            entry, at_ = entry[found], at_[found]
+            run = np.flatnonzero(np.r_[True, (entry[1:] != entry[:-1]) | (np.diff(at_) > length)])
+            last = np.r_[run[1:], len(entry)] - 1
+            places = np.frombuffer(b"".join(packed for _, _, packed in pool), "<i8").reshape(-1, 2)
+            many = np.array([len(packed) // 16 for _, _, packed in pool])
+            of_run = many[entry[run]]
+            each = np.repeat(np.arange(len(run)), of_run)
+            place = (np.cumsum(many) - many)[entry[run]][each] + np.arange(len(each)) - np.repeat(np.cumsum(of_run) - of_run, of_run)
+            done.append((places[place, 0], places[place, 1] + at_[run][each], places[place, 1] + at_[last][each] + length))
 
         def flush() -> Iterator[pa.RecordBatch]:
             for s in range(0, len(spans), 20_000):
                 yield _record(zip(*spans[s : s + 20_000]), _SPAN)
             spans.clear()
+            for columns in done:
+                for s in range(0, len(columns[0]), 50_000):
+                    yield _record([c[s : s + 50_000] for c in columns], _SPAN)
+            done.clear()
 
         for batch in batches:
             for key, seg, doc, packed in zip(*(batch.column(k).to_pylist() for k in ("key", "seg", "doc", "places"))):
@@ -449,7 +465,7 @@ def _decide(length: int, shallow: int, pool_bytes: int):
                         sort_pool()
                         pool, size = [], 0
                 group.append((seg, doc, packed))
-            if len(spans) > 100_000:
+            if len(spans) > 100_000 or done:
                 yield from flush()
         close()
         sort_pool()
