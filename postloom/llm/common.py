@@ -8,6 +8,7 @@ import ctypes
 import gc
 import shutil
 import tempfile
+import time
 import uuid
 from collections.abc import Iterable, Iterator
 
@@ -139,9 +140,14 @@ def small_batches(spark: SparkSession, size: str = "4m", rows: int = 32) -> Iter
 
 
 def release_shuffles(spark: SparkSession) -> None:
-    """Between steps that end in written tables: Spark deletes the shuffle files of plans that nothing refers to any more."""
+    """Between steps that end in written tables: Spark deletes the shuffle files of plans that nothing refers to any more.
+
+    The last job's plan is let go a moment after it ends, so the driver collects twice.
+    """
     gc.collect()
     spark.sparkContext._jvm.System.gc()
+    time.sleep(0.3)
+    spark.sparkContext._jvm.System.gc()
 
 
 def give_back_memory() -> None:
