@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postloom.functions import fixed, text
+from postloom.operators.ordering import first_values
 
 # ---- entries of mixed form
 
@@ -209,9 +210,6 @@ def title_families(rows: DataFrame, most: int = 10) -> DataFrame:
     out = keyed.groupBy(*keys).agg(F.count("*").alias("Listings"), F.count_distinct("Title").alias("Titles"), F.count_distinct(F.nullif("Location", F.lit(""))).alias("Places"))
     out = out.where("Listings > 1 and Titles > 1")
     for column, name in (("Title", "DistinctTitles"), ("Location", "Locations"), ("Link", "ApplyLinks")):
-        # distinct values first, then the first few of each family: no list grows with its group
-        values = keyed.where(F.col(column) != "").select(*keys, column).distinct()
-        top = values.withColumn("place", F.row_number().over(Window.partitionBy(*keys).orderBy(column))).where(F.col("place") <= most)
-        lists = top.groupBy(*keys).agg(F.array_join(F.array_sort(F.collect_list(column)), " | ").alias(name))
+        lists = first_values(keyed, keys, column, name, most)
         out = out.join(lists, keys, "left").na.fill("", [name])
     return out

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from postloom.operators import boards as B
+from postloom.operators.ordering import ranked_within
 
 #: Rows of a batch for each provider, and providers that only count where they are a company's best.
 BATCH_LIMITS = {"ashby": 500, "greenhouse": 250, "lever": 100, "workday": 50, "bamboohr": 100, "icims": 25}
@@ -79,9 +80,9 @@ def remaining(present: DataFrame, log: DataFrame) -> DataFrame:
 
 def row_indexes(present: DataFrame) -> DataFrame:
     """Of each candidate: its place among those of its provider and priority, and the batch that holds it."""
-    own = Window.partitionBy("ATS", "CrawlPriority").orderBy("CompanyKey")
     limit = F.element_at(F.create_map(*[F.lit(x) for p in BATCH_LIMITS.items() for x in p]), F.col("ATS"))
-    rows = candidates(present).withColumn("Index", (F.row_number().over(own) - 1).cast("long"))
+    # few groups with many rows: numbered in one order over all, not each in a task
+    rows = ranked_within(candidates(present), ["ATS", "CrawlPriority"], ["CompanyKey"], candidates(present).columns).withColumn("Index", F.col("rank") - 1).drop("rank", "size")
     offset = (F.floor(F.col("Index") / limit) * limit).cast("long")
     return rows.withColumns({"Offset": offset, "BatchName": F.concat("ATS", F.lit("-"), F.lower("CrawlPriority"), F.lit("-"), padded(offset))})
 

@@ -7,10 +7,11 @@ titles and join back.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from postloom.functions import fixed, text
+from postloom.operators.ordering import ranked_within, spread_key
 
 
 def _named(pairs: list[tuple[str, Column]]) -> Column:
@@ -220,8 +221,8 @@ def with_duplicate_flags(jobs: DataFrame) -> DataFrame:
     """
     df = with_keys(jobs)
     for key, name in (("CanonicalURLKey", "_by_url"), ("CompanyTitleLocationKey", "_by_place")):
-        many = df.where(F.col(key) != "").groupBy(key).agg(F.count("*").alias("_n")).where("_n > 1").select(key, F.lit(True).alias(name))
-        df = df.join(many, key, "left")
+        many = df.where(F.col(key) != "").groupBy(F.col(key).alias("_k")).agg(F.count("*").alias("_n")).where("_n > 1").select("_k", F.lit(True).alias(name))
+        df = df.withColumn("_k", spread_key(F.col(key), "seq")).join(many, "_k", "left").drop("_k")
     url, place = F.coalesce("_by_url", F.lit(False)), F.coalesce("_by_place", F.lit(False))
     reason = F.when(url & place, "Both canonical URL and company/title/location").when(url, "Same canonical URL").when(place, "Same company/title/location").otherwise("")
     group = F.when(url & place, F.concat_ws(" | ", "CanonicalURLKey", "CompanyTitleLocationKey")).when(url, F.col("CanonicalURLKey")).when(place, F.col("CompanyTitleLocationKey")).otherwise("")
@@ -343,6 +344,10 @@ def components(keyed: DataFrame, id_col: str = "seq") -> DataFrame:
     return keyed.select(F.col(id_col).alias("id")).join(label, "id", "left").select("id", F.coalesce("label", "id").alias("component"))
 
 
+#: What preference() reads.
+PREFERRED_BY = ["WriterFitScore", "WriterFitTier", "ExportQualityFlag", "USRemoteEligible", "RemoteStatus", "SalaryDetected", "ATS", "DatePosted", "Company", "Title"]
+
+
 def preference() -> list[Column]:
     """The order in which rows of a component are preferred."""
     c = F.col
@@ -362,9 +367,8 @@ def winners(jobs: DataFrame, keyed: DataFrame | None = None) -> DataFrame:
     """
     found = components(dedupe_keys(jobs if keyed is None else keyed).select("seq", "keys"))
     df = jobs.join(found, jobs["seq"] == found["id"]).drop("id")
-    own = Window.partitionBy("component")
-    df = df.withColumns({"DedupeGroupSize": F.count("*").over(own), "DedupeRank": F.row_number().over(own.orderBy(*preference()))})
-    return df.withColumn("DedupeSelected", F.col("DedupeRank") == 1)
+    ranks = ranked_within(df.select("component", *PREFERRED_BY, "seq"), ["component"], preference(), ["seq"]).select("seq", F.col("size").alias("DedupeGroupSize"), F.col("rank").alias("DedupeRank"))
+    return df.join(ranks, "seq").withColumn("DedupeSelected", F.col("DedupeRank") == 1)
 
 
 def writer_focus() -> Column:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from postloom.functions import fixed, text
+from postloom.operators.ordering import first_values
 from postloom.operators.boards import rate
 from postloom.operators.postings import pinned, watchlist
 
@@ -125,3 +126,39 @@ def consolidated(rows: DataFrame) -> DataFrame:
     single = keyed.join(merged, "GroupKey", "left_anti").select("seq", F.lit(1).cast("long").alias("Postings"), "Location", "DatePosted")
     return many.unionByName(single)
 
+
+
+def grouped_postings(rows: DataFrame, most: int = 8) -> DataFrame:
+    """Postings of one company and title in several places as one row; groups in one place aren't merged and not returned.
+
+    The arrangement is Remote, Hybrid or Onsite, whichever comes first among the group's; the representative has it, and is the
+    least old (blank ages last), best scored one, then by place and link. The first places are named and the others counted; the
+    earliest date, the largest age and the newest check are the group's. rows: GroupKey comes from Company and Title.
+    """
+    plain = lambda c: F.lower(text.squeezed(text.clean(F.col(c))))
+    place, link = text.clean(F.col("Location")), text.clean(F.col("Link"))
+    keyed = rows.withColumns({"GroupKey": F.concat_ws("|", plain("Company"), plain("Title")), "place": place, "link": link, "kind": F.initcap(plain("Arrangement"))})
+    kinds = ["Remote", "Hybrid", "Onsite"]
+    rank = text.ranked(F.col("kind"), {k: i for i, k in enumerate(kinds)})
+    best = F.struct(rank.alias("r"), F.col("Age").isNull().alias("old"), "Age", (-F.coalesce(F.col("Score").cast("double"), F.lit(float("-inf")))).alias("s"), "place", "link", "kind")
+    said = F.regexp_extract(F.col("Checked"), r"(?i)^(\d{4}-\d{2}-\d{2}\s+\d{2}:\d{2}) UTC$", 1)
+    groups = keyed.groupBy("GroupKey").agg(
+        F.count("*").alias("Postings"), F.count_distinct(F.nullif("place", F.lit(""))).alias("Places"), F.count_distinct(F.nullif("link", F.lit(""))).alias("Links"), F.min(best).alias("b"),
+        F.min(F.nullif(text.clean(F.col("Posted")), F.lit(""))).alias("PostedDate"), F.max("Age").alias("LargestAge"), F.max(F.nullif(said, F.lit(""))).alias("seen"),
+    ).where("Places > 1")
+    names = first_values(keyed, ["GroupKey"], "place", "names", most)
+    more = F.when(F.col("Places") > most, F.concat(F.lit("; +"), F.col("Places") - most, F.lit(" more"))).otherwise("")
+    shown = F.concat(F.lit("Multiple locations ("), "Postings", F.lit(" postings): "), F.replace("names", F.lit(" | "), F.lit("; ")), more)
+    out = groups.join(names, "GroupKey")
+    others = F.col("Links") - F.when(F.col("b.link") != "", 1).otherwise(0)
+    return out.select(
+        "GroupKey", "Postings", shown.alias("Location"), F.col("b.kind").alias("WorkArrangement"), F.col("b.Age").alias("Age"), F.col("b.place").alias("RepresentativeLocation"), F.col("b.link").alias("ApplyLink"),
+        others.alias("OtherLinks"), F.coalesce("PostedDate", F.lit("")).alias("PostedDate"), "LargestAge", F.coalesce(F.concat("seen", F.lit(" UTC")), F.lit("")).alias("LastChecked"),
+    )
+
+
+def other_links(rows: DataFrame, grouped: DataFrame) -> DataFrame:
+    """A row for each link of a group besides its representative's: GroupKey and Link."""
+    plain = lambda c: F.lower(text.squeezed(text.clean(F.col(c))))
+    links = rows.select(F.concat_ws("|", plain("Company"), plain("Title")).alias("GroupKey"), text.clean(F.col("Link")).alias("Link")).where("Link <> ''").distinct()
+    return links.join(grouped.select("GroupKey", "ApplyLink"), "GroupKey").where("Link <> ApplyLink").select("GroupKey", "Link")

@@ -2,21 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from postloom.functions import dates, fixed, text
+from postloom.functions import dates, fixed
 from postloom.functions.folders import scratch_folder
 from postloom.operators import boards as B
 from postloom.operators import catalogs as K
 from postloom.operators import coverage as V
 from postloom.operators import dashboard as D
 from postloom.operators import urls as U
+from postloom.operators import variants as N
 from postloom.operators.counters import RunningSummary
 from postloom.plans import views
 from postloom.plans.boards import _C, _L, _STATE, SUPERSEDED, _health, batch_log, catalog, fetches, latest_time
 from postloom.plans.coverage import _BATCHES, _indexed, log, public
-from postloom.plans.coverage import _time as shown_time
 from postloom.sources import packages
 from postloom.streaming import superseding
 
@@ -272,6 +271,24 @@ def w19_title_families(spark, sf_dir):
     return K.title_families(views.view(spark, sf_dir, views.FAMILIES))
 
 
+_GROUPED = f"""{_X}, k as (select *, {_sq('Company')} || '|' || {_sq('Title')} as GroupKey, trim(Location) as place, trim(Link) as lk, upper(lower(trim(Arrangement))[1]) || lower(trim(Arrangement))[2:] as kind from x),
+r as (select *, row_number() over (partition by GroupKey order by case kind when 'Remote' then 0 when 'Hybrid' then 1 when 'Onsite' then 2 else 99 end, Age nulls last, Score desc, place, lk) as turn from k),
+h as (select GroupKey, count(*) as Postings, count(distinct nullif(place, '')) as Places, count(distinct nullif(lk, '')) as n, list_sort(list(distinct place) filter (place <> '')) as names, min(nullif(trim(Posted), '')) as d, max(Age) as LargestAge, max(Checked) as seen from k group by 1 having count(distinct nullif(place, '')) > 1),
+o as (select GroupKey, Postings, 'Multiple locations (' || Postings || ' postings): ' || array_to_string(names[1:8], '; ') || case when Places > 8 then '; +' || (Places - 8) || ' more' else '' end as Location, kind as WorkArrangement, Age, place as RepresentativeLocation, lk as ApplyLink,
+  n - case when lk <> '' then 1 else 0 end as OtherLinks, coalesce(d, '') as PostedDate, LargestAge, seen as LastChecked from h join r using (GroupKey) where turn = 1)"""
+
+
+@query(f"with {_GROUPED} select * from o")
+def w17_grouped_postings(spark, sf_dir):
+    return N.grouped_postings(views.view(spark, sf_dir, views.FAMILIES))
+
+
+@query(f"with {_GROUPED} select distinct GroupKey, lk as Link from k join o using (GroupKey) where lk <> '' and lk <> ApplyLink")
+def w18_other_links(spark, sf_dir):
+    rows = views.view(spark, sf_dir, views.FAMILIES)
+    return N.other_links(rows, N.grouped_postings(rows))
+
+
 # ---- health, plans and the dashboard
 
 _names = ", ".join(f"({_q(a)})" for a in fixed.ATS)

@@ -312,10 +312,9 @@ def j20_refresh_candidates(spark, sf_dir):
 @query(f"select row_number() over (order by LatestFetchedAt, GoodMatchRows desc, MaxWriterFitScore desc, BoardKey) as place, * from ({SQL['j20_refresh_candidates']})")
 def o9_stalest_first(spark, sf_dir):
     """Candidates in the order of refreshing: stalest first, then more good rows, better score."""
-    from pyspark.sql import Window
+    from postloom.operators.ordering import numbered
 
-    order = Window.orderBy("LatestFetchedAt", F.desc("GoodMatchRows"), F.desc("MaxWriterFitScore"), "BoardKey")
-    return QUERIES["j20_refresh_candidates"](spark, sf_dir).withColumn("place", F.row_number().over(order).cast("long"))
+    return numbered(QUERIES["j20_refresh_candidates"](spark, sf_dir), ["LatestFetchedAt", F.desc("GoodMatchRows"), F.desc("MaxWriterFitScore"), "BoardKey"])
 
 
 @query("select ATS, Issue from (values ('edited', 'attempt accounting'), ('edited', 'freshness windows are not monotonic')) as v(ATS, Issue)")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from postloom.functions import fixed, text
 from postloom.functions.folders import ensure_checkpoints
 from postloom.operators import postings as P
+from postloom.operators.ordering import first_values, spread_key
 from postloom.plans import views
 
 QUERIES, SQL = {}, {}
@@ -276,8 +277,10 @@ def dimension(spark, column: str, values: list[str]) -> DataFrame:
 @query(f"with {ENRICHED}, dim as (select unnest({_list(fixed.BUCKETS)}) as TitleReviewBucket) select TitleReviewBucket, count(e.seq) as Count, count(distinct norm) as UniqueTitles, "
        "coalesce(array_to_string(list_sort(list(distinct nullif(Title, '')))[1:10], ' | '), '') as ExampleTitles from dim left join e using (TitleReviewBucket) group by 1")
 def a2_bucket_summary(spark, sf_dir):
-    found = enriched(spark, sf_dir).groupBy("TitleReviewBucket").agg(F.count("*").alias("n"), F.count_distinct("NormalizedTitle").alias("u"), F.slice(F.array_sort(F.collect_set(F.nullif("Title", F.lit("")))), 1, 10).alias("x"))
-    return dimension(spark, "TitleReviewBucket", fixed.BUCKETS).join(found, "TitleReviewBucket", "left").select("TitleReviewBucket", F.coalesce("n", F.lit(0)).alias("Count"), F.coalesce("u", F.lit(0)).alias("UniqueTitles"), F.coalesce(F.array_join("x", " | "), F.lit("")).alias("ExampleTitles"))
+    rows = P.with_titles(jobs(spark, sf_dir)).groupBy("TitleReviewBucket", "NormalizedTitle", "Title").agg(F.count("*").alias("n"))
+    found = rows.groupBy("TitleReviewBucket").agg(F.sum("n").alias("n"), F.count_distinct("NormalizedTitle").alias("u"))
+    out = dimension(spark, "TitleReviewBucket", fixed.BUCKETS).join(found, "TitleReviewBucket", "left").join(first_values(rows, ["TitleReviewBucket"], "Title", "ExampleTitles"), "TitleReviewBucket", "left")
+    return out.select("TitleReviewBucket", F.coalesce("n", F.lit(0)).alias("Count"), F.coalesce("u", F.lit(0)).alias("UniqueTitles"), F.coalesce("ExampleTitles", F.lit("")).alias("ExampleTitles"))
 
 
 @query(f"with {ENRICHED} select Title, count(*) as Count, count(distinct Company) as Companies, any_value(BestCandidateTitle) as BestCandidateTitle, any_value(BestCandidateScore)::bigint as BestCandidateScore, any_value(MatchReason) as MatchReason from e where TitleMatchType = 'none' group by Title")
@@ -317,8 +320,11 @@ _tiers = ["A", "B", "C", "D", "F"]
 @query(f"with {ENRICHED}, dim as (select unnest({_list(_tiers)}) as WriterFitTier) select WriterFitTier, count(e.seq) as Count, min(WriterFitScore)::bigint as MinScore, max(WriterFitScore)::bigint as MaxScore, round(avg(WriterFitScore), 2) as AverageScore, "
        "coalesce(array_to_string(list_sort(list(distinct nullif(Title, '')))[1:10], ' | '), '') as ExampleTitles from dim left join e using (WriterFitTier) group by 1")
 def a7_fit_tier_summary(spark, sf_dir):
-    found = enriched(spark, sf_dir).groupBy("WriterFitTier").agg(F.count("*").alias("Count"), F.min("WriterFitScore").cast("long").alias("MinScore"), F.max("WriterFitScore").cast("long").alias("MaxScore"), F.round(F.avg("WriterFitScore"), 2).alias("AverageScore"), F.array_join(F.slice(F.array_sort(F.collect_set(F.nullif("Title", F.lit("")))), 1, 10), " | ").alias("ExampleTitles"))
-    return dimension(spark, "WriterFitTier", _tiers).join(found, "WriterFitTier", "left").na.fill(0, ["Count"]).na.fill("", ["ExampleTitles"]).drop("place")
+    # a row for each tier and title, from which both the counts and the titles come
+    rows = enriched(spark, sf_dir).groupBy("WriterFitTier", "Title").agg(F.count("*").alias("n"), F.min("WriterFitScore").alias("low"), F.max("WriterFitScore").alias("high"), F.sum("WriterFitScore").alias("sum"))
+    found = rows.groupBy("WriterFitTier").agg(F.sum("n").alias("Count"), F.min("low").cast("long").alias("MinScore"), F.max("high").cast("long").alias("MaxScore"), F.round(F.sum("sum") / F.sum("n"), 2).alias("AverageScore"))
+    out = dimension(spark, "WriterFitTier", _tiers).join(found, "WriterFitTier", "left").join(first_values(rows, ["WriterFitTier"], "Title", "ExampleTitles"), "WriterFitTier", "left")
+    return out.na.fill(0, ["Count"]).na.fill("", ["ExampleTitles"]).drop("place")
 
 
 @query(f"with {ENRICHED} select count(*) as TotalRows, {_n('PossibleDuplicate')} as PossibleDuplicateCount, count(distinct nullif(DuplicateGroupKey, '')) as DuplicateGroupCount, {_n('by_url')} as CanonicalURLDuplicateCount, {_n('by_place')} as CompanyTitleLocationDuplicateCount from d")
@@ -389,16 +395,16 @@ def w5_winners(spark, sf_dir):
     return won(spark, sf_dir).select("seq", "component", "DedupeGroupSize", F.col("DedupeRank").cast("long").alias("DedupeRank"), "DedupeSelected")
 
 
-@query(f"with recursive {ENRICHED}, {_won} select component, any_value(DedupeGroupSize) as DedupeGroupSize, max(case when DedupeRank = 1 then seq end) as SelectedSeq, max(case when DedupeRank = 1 then 'Selected from ' || DedupeGroupSize || ' rows | WriterFitScore ' || WriterFitScore || ' | tier ' || WriterFitTier || ' | quality ' || ExportQualityFlag || ' | ATS ' || ATS end) as SelectionReason, "
-       "string_agg(ATS || ' / ' || Company || ' / ' || coalesce(nullif(Title, ''), 'unknown title') || ' / ' || WriterFitScore || ' / ' || WriterFitTier || case when URL <> '' then ' / ' || URL else '' end, ' || ' order by DedupeRank) filter (DedupeRank > 1) as RejectedRowsSummary from won where DedupeGroupSize > 1 group by component")
+@query(f"with recursive {ENRICHED}, {_won}, w as (select component, seq as SelectedSeq, 'Selected from ' || DedupeGroupSize || ' rows | WriterFitScore ' || WriterFitScore || ' | tier ' || WriterFitTier || ' | quality ' || ExportQualityFlag || ' | ATS ' || ATS as SelectionReason from won where DedupeRank = 1) "
+       "select component, DedupeGroupSize, DedupeRank, seq as RejectedSeq, SelectedSeq, SelectionReason, ATS || ' / ' || Company || ' / ' || coalesce(nullif(Title, ''), 'unknown title') || ' / ' || WriterFitScore || ' / ' || WriterFitTier || case when URL <> '' then ' / ' || URL else '' end as RejectedRow from won join w using (component) where DedupeRank > 1")
 def w6_decisions(spark, sf_dir):
+    """A row for each rejected posting; a component's rejected rows are never gathered."""
     ensure_checkpoints(spark)
     rows = won(spark, sf_dir).where("DedupeGroupSize > 1")
-    first = F.col("DedupeRank") == 1
     reason = F.concat(F.lit("Selected from "), "DedupeGroupSize", F.lit(" rows | WriterFitScore "), "WriterFitScore", F.lit(" | tier "), "WriterFitTier", F.lit(" | quality "), "ExportQualityFlag", F.lit(" | ATS "), "ATS")
     line = F.concat_ws(" / ", "ATS", "Company", F.coalesce(F.nullif("Title", F.lit("")), F.lit("unknown title")), "WriterFitScore", "WriterFitTier", F.nullif("URL", F.lit("")))
-    rejected = F.transform(F.array_sort(F.collect_list(F.when(~first, F.struct("DedupeRank", line.alias("line"))))), lambda x: x.line)
-    return rows.groupBy("component").agg(F.first("DedupeGroupSize").alias("DedupeGroupSize"), F.max(F.when(first, F.col("seq"))).alias("SelectedSeq"), F.max(F.when(first, reason)).alias("SelectionReason"), F.array_join(rejected, " || ").alias("RejectedRowsSummary"))
+    first = rows.where("DedupeRank = 1").select("component", F.col("seq").alias("SelectedSeq"), reason.alias("SelectionReason"))
+    return rows.where("DedupeRank > 1").join(first, "component").select("component", "DedupeGroupSize", F.col("DedupeRank").cast("long").alias("DedupeRank"), F.col("seq").alias("RejectedSeq"), "SelectedSeq", "SelectionReason", line.alias("RejectedRow"))
 
 
 @query(f"with {ENRICHED}, place as (select CompanyTitleLocationKey, list(distinct ATS) as own_ats from d where CompanyTitleLocationKey <> '' group by 1), url as (select CanonicalURLKey, list(distinct ATS) as own_ats from d where CanonicalURLKey <> '' group by 1), "
@@ -407,7 +413,8 @@ def j14_cross_ats(spark, sf_dir):
     df = P.with_keys(jobs(spark, sf_dir))
     out = df
     for key, name in (("CompanyTitleLocationKey", "_place"), ("CanonicalURLKey", "_url")):
-        out = out.join(df.where(F.col(key) != "").groupBy(key).agg(F.collect_set("ATS").alias(name)), key, "left")
+        own = df.where(F.col(key) != "").groupBy(F.col(key).alias("_k")).agg(F.collect_set("ATS").alias(name))
+        out = out.withColumn("_k", spread_key(F.col(key), "seq")).join(own, "_k", "left").drop("_k")
     none = F.array().cast("array<string>")
     own = F.array_distinct(F.concat(F.array("ATS"), F.coalesce("_place", none), F.coalesce("_url", none)))
     listed = F.filter(F.array(*[F.lit(a) for a in fixed.ATS]), lambda a: F.array_contains(F.col("_own"), a))

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from postloom.functions import fixed
 from postloom.functions.folders import ensure_checkpoints, scratch_folder
 from postloom.operators import postings as P
 from postloom.operators import urls as U
-from postloom.operators.ordering import numbered
+from postloom.operators.ordering import numbered, ranked_within
 from postloom.plans import views
 from postloom.plans.boards import fetches
 from postloom.plans.jobs import ENRICHED, _focus, _J, _named, _prefer, _q, _strong, _usr, enriched, jobs
@@ -126,8 +126,8 @@ def slice_winners(rows: DataFrame) -> DataFrame:
     keyed = P.dedupe_keys(rows).select(F.shiftleft(number, 48).bitwiseOR(F.col("seq")).alias("id"), F.transform("keys", lambda k: F.concat_ws("~", "SliceName", k)).alias("keys"))
     comp = P.components(keyed, "id")
     df = rows.withColumn("id", F.shiftleft(number, 48).bitwiseOR(F.col("seq"))).join(comp, "id").withColumn("component", F.col("component").bitwiseAND(F.lit((1 << 48) - 1)))
-    own = Window.partitionBy("SliceName", "component")
-    return df.withColumns({"DedupeRank": F.row_number().over(own.orderBy(*P.preference())).cast("long"), "DedupeGroupSize": F.count("*").over(own)})
+    ranks = ranked_within(df.select("SliceName", "component", *P.PREFERRED_BY, "seq"), ["SliceName", "component"], P.preference(), ["SliceName", "seq"])
+    return df.join(ranks, ["SliceName", "seq"]).withColumnsRenamed({"rank": "DedupeRank", "size": "DedupeGroupSize"})
 
 
 @query(f"with recursive {_MEMBERS} select SliceName, seq, component, DedupeRank, DedupeGroupSize from won")
