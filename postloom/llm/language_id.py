@@ -4,12 +4,13 @@ The network reads a text in segments of SEGMENT bytes, once forwards and once ba
 the probabilities of the learned languages and of none; a document's are their mean over all its bytes. What it
 learns as no language are shuffled bytes and random letters, so that junk has no probable language. It is trained in
 numpy, by backpropagation through time, on SEGMENTS_EACH segments, spread over the whole text, of each of at most
-PER_LANGUAGE documents of each of MOST_LANGUAGES languages: a bounded sample, chosen by a hash of id and text. Gates are piecewise linear, which training and prediction share.
+PER_LANGUAGE documents of every language: a bounded sample, chosen by a hash of id and text. Gates are piecewise linear, which training and prediction share.
 
 Every byte of every text is read in the executors, a few thousand segments at a time.
 
 Defined cases: `und` with score 0 if a text is null, empty or has no letter. A null id counts as empty text in
-the bucket that decides whether a row may be learned from; of repeated rows one is learned from. Without any row to learn from, every text is `und`. Repeated rows get the
+the bucket that decides whether a row may be learned from; of repeated rows one is learned from. More than MOST_LANGUAGES different
+values of lang are an error: none is left out. Without any row to learn from, every text is `und`. Repeated rows get the
 same answer, an empty table gives an empty result, and other columns aren't read.
 """
 
@@ -22,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from postloom.llm.common import Scratch, give_back_memory, rows_at_once, unused
+from postloom.llm.common import Scratch, give_back_memory, small_batches, unused
 
 SEGMENT = 64
 HIDDEN = 8
@@ -32,7 +33,7 @@ BATCH = 2048
 PER_LANGUAGE = 400
 SEGMENTS_EACH = 8
 EPOCHS = 8
-#: Languages that are learned, those of most documents first.
+#: Values of lang that the network has outputs for.
 MOST_LANGUAGES = 256
 UNKNOWN = "und"
 
@@ -246,9 +247,11 @@ def learn(docs: DataFrame, learnable: Column, per_language: int = PER_LANGUAGE,
     """A network and the languages it knows, from the learnable rows that name a language."""
     own = docs.where(learnable & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
     own = own.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"), _draw(id_col, text_col, 17).alias("draw"))
-    stats = own.groupBy("lang").agg(F.approx_count_distinct("draw").alias("n")).orderBy(F.desc("n"), "lang").limit(MOST_LANGUAGES).collect()
+    stats = own.groupBy("lang").agg(F.count_distinct("draw").alias("n")).limit(MOST_LANGUAGES + 1).collect()
     if not stats:
         return None, []
+    if len(stats) > MOST_LANGUAGES:
+        raise ValueError(f"{lang_col} has more than {MOST_LANGUAGES} values: that isn't a language code")
     langs = sorted(r.lang for r in stats)
     # draws are uniform: those below a share of their range are a few times as many rows as are wanted
     near = F.lit(False)
@@ -270,30 +273,9 @@ def learn(docs: DataFrame, learnable: Column, per_language: int = PER_LANGUAGE,
     labels = [number[x] for x, _ in rows]
     junk = _junk([s for _, s in rows], len(rows) // len(langs) + 1)
     model = train([s for _, s in rows] + junk, np.array(labels + [len(langs)] * len(junk)), len(langs) + 1)
-    model.upto = {r.lang: r.upto for r in upto}
     return model, langs
 
 
-def least_score(docs: DataFrame, model: ByteGRU | None, langs: list[str], learnable: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> float:
-    """The score that all but REJECT of the right predictions reach, over a bounded sample of learnable rows that
-    the model wasn't trained on; LEAST_SCORE if fewer than LEAST_ROWS of them are right."""
-    if model is None:
-        return LEAST_SCORE
-    draw, place, lang = _draw(id_col, text_col, 17), _draw(id_col, text_col, 23), F.col(lang_col).cast("string")
-    beyond = F.lit(False)
-    for name, upto in model.upto.items():
-        beyond = beyond | ((lang == name) & (draw > upto))
-    own = docs.where(learnable & beyond & F.col(text_col).isNotNull())
-    places = [r.place for r in own.select(place.alias("place")).distinct().orderBy("place").limit(CALIBRATED).collect()]
-    if not places:
-        return LEAST_SCORE
-    number = F.array_position(F.array(*map(F.lit, langs)), lang) - 1
-    rows = own.where(place <= places[-1]).groupBy(place.alias("place")).agg(F.min(number).alias("number"), F.min(F.col(text_col).cast("string")).alias("text"))
-    found = identify(rows, model, langs, "number", "text").collect()
-    scores = [r.score for r in found if langs[r.doc_id] == r.lang_pred]
-    return float(np.quantile(scores, REJECT)) if len(scores) >= LEAST_ROWS else LEAST_SCORE
-
-
 def identify(docs: DataFrame, model: ByteGRU | None, langs: list[str], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, lang_pred and score of every row."""
     text = F.col(text_col).cast("string")
@@ -301,16 +283,12 @@ def identify(docs: DataFrame, model: ByteGRU | None, langs: list[str], id_col: s
     return rows.mapInArrow(_predict(model, langs), "doc_id long, lang_pred string, score double")
 
 
-#: A document is rejected if no language reaches the mean probability that all but this part of right predictions reach.
-REJECT = 0.002
-#: Rows to find it from at most and at least; from fewer even the lowest score says too little of that part.
-CALIBRATED, LEAST_ROWS = 2000, 300
-#: The mean probability that stands in for it then.
-LEAST_SCORE = 0.2
+def keep_identified(docs: DataFrame, model: ByteGRU | None, langs: list[str], text_col: str = "text") -> DataFrame:
+    """The rows of docs that have a letter and whose bytes look more like some language than like none.
 
-
-def keep_identified(docs: DataFrame, model: ByteGRU | None, langs: list[str], least: float = LEAST_SCORE, text_col: str = "text") -> DataFrame:
-    """The rows of docs whose language is known with at least that score: neither `und` nor a guess."""
+    One rule at all sizes: the mean probability of the class of no language, learned from shuffled bytes and random
+    letters, must not exceed that of every language.
+    """
     names = docs.columns
     (letters,) = unused(names, "own_letters")
 
@@ -319,13 +297,16 @@ def keep_identified(docs: DataFrame, model: ByteGRU | None, langs: list[str], le
             for at in range(0, whole.num_rows, 512):
                 batch = whole.slice(at, 512)
                 known = batch.column(letters).to_numpy(zero_copy_only=False)
-                score = pooled(model, batch.column(text_col))[:, : len(langs)].max(1) if model else np.zeros(batch.num_rows)
-                yield batch.select(names).filter(pa.array(known & (score >= least)))
+                if model is None:
+                    known = np.zeros(batch.num_rows, bool)
+                elif batch.num_rows:
+                    known = known & (pooled(model, batch.column(text_col)).argmax(1) < len(langs))
+                yield batch.select(names).filter(pa.array(known))
         give_back_memory()
 
     rows = docs.withColumn(letters, F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False)))
     spark = docs.sparkSession
-    with rows_at_once(spark, 500):  # whole rows in small batches, and each text once; written, as the setting counts where a plan runs
+    with small_batches(spark):  # each text once, in batches bounded by bytes; written, as the setting counts where a plan runs
         return Scratch(spark, "language").table(rows.mapInArrow(run, docs.schema), "kept")
 
 
@@ -333,5 +314,6 @@ def op9_language_id(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     held = bucket_of("doc_id", 3) == 1
     model, langs = learn(docs, ~held)
-    found = identify(docs, model, langs)
+    with small_batches(spark):
+        found = Scratch(spark, "language").table(identify(docs, model, langs), "found")
     return found.select("doc_id", held.alias("held_out"), "lang_pred", "score")

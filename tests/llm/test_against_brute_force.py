@@ -51,6 +51,24 @@ def test_packing_gives_back_every_token(spark, queries, docs):
     assert len(places) <= least * 1.02 + 1
 
 
+def test_packing_leaves_one_part_filled_sequence(spark):
+    from postloom.llm import packing
+
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    got = packing.pack(docs, block=100).collect()
+    assert sum(r.length < 2048 for r in got) > 900
+    places = defaultdict(list)
+    for r in got:
+        places[r.sequence_id].append((r.offset, r.length))
+    for spans in places.values():
+        end = 0
+        for offset, length in sorted(spans):
+            assert offset == end
+            end += length
+        assert end <= 2048
+    assert len(places) <= -(-sum(r.length for r in got) // 2048) + 1
+
+
 def test_packing_of_added_tokens_and_long_runs(spark):
     import public_tokenizers
     from tokenizers import Tokenizer
@@ -262,12 +280,59 @@ def test_unlearned_languages_and_junk_are_rejected(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     every = docs.union(spark.createDataFrame([(5000 + i, t, None) for i, t in enumerate(junk)], docs.schema))
     model, langs = language_id.learn(docs, F.lit(True))
-    least = language_id.least_score(docs, model, langs, F.lit(True))
-    kept = {r.doc_id for r in language_id.keep_identified(every, model, langs, least).collect()}
+    kept = {r.doc_id for r in language_id.keep_identified(every, model, langs).collect()}
     assert sum(i < 5000 for i in kept) >= 0.97 * len(rows)
     assert sum(i >= 5000 for i in kept) <= 0.1 * len(junk)
 
 
+def slow_scores(model, text: bytes) -> np.ndarray:
+    """The mean probabilities of a text's bytes, by one step of one direction after the other."""
+    total = np.zeros(len(model.bias))
+    for at in range(0, len(text), 64):
+        segment = text[at : at + 64]
+        sides = []
+        for side, read in ((0, segment + bytes(64 - len(segment))), (1, (segment + bytes(64 - len(segment)))[::-1])):
+            h, states = np.zeros(model.h), []
+            for byte in read:
+                a, u = model.inp[side][:, byte].astype(float), model.rec[side].astype(float) @ h
+                z = np.clip(0.25 * (a[: model.h] + u[: model.h]) + 0.5, 0, 1)
+                r = np.clip(0.25 * (a[model.h : 2 * model.h] + u[model.h : 2 * model.h]) + 0.5, 0, 1)
+                m = np.clip(a[2 * model.h :] + r * u[2 * model.h :], -1, 1)
+                h = z * h + (1 - z) * m
+                states.append(h)
+            sides.append(states if side == 0 else states[::-1])
+        for t in range(len(segment)):
+            e = model.out.astype(float) @ np.concatenate([sides[0][t], sides[1][t]]) + model.bias[:, 0]
+            p = np.exp(e - e.max())
+            total += p / p.sum()
+    return total / max(1, len(text))
+
+
+def test_scores_of_many_segments():
+    import pyarrow as pa
+
+    from postloom.llm import language_id
+
+    rng = random.Random(3)
+    model = language_id.ByteGRU(4, seed=7)
+    texts = [bytes(rng.choices(range(256), k=n)) for n in (0, 1, 63, 64, 65, 700, 64 * 40)]
+    got = language_id.pooled(model, pa.array(texts, pa.binary()))
+    for text, p in zip(texts, got):
+        assert np.allclose(p, slow_scores(model, text), atol=1e-4)
+
+
+def test_every_language_is_a_class_or_an_error(spark):
+    from pyspark.sql import functions as F
+
+    from postloom.llm import language_id
+
+    rows = [(i, f"text of the language number {i}", f"l{i}") for i in range(260)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert len(language_id.learn(docs.where("doc_id < 12"), F.lit(True))[1]) == 12
+    with pytest.raises(ValueError):
+        language_id.learn(docs, F.lit(True))
+
+
 def test_gradients_of_the_network():
     from postloom.llm.language_id import ByteGRU
 
