@@ -15,10 +15,9 @@ from postloom.llm.common import Scratch
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a letter or without a likely language go."""
-    learnable = language_id.bucket_of("doc_id", 3) != 1
-    model, langs = language_id.learn(docs, learnable)
-    return language_id.keep_identified(docs, model, langs, language_id.least_score(docs, model, langs, learnable))
+    """Documents without a letter go, and those that look like no language rather than like any."""
+    model, langs = language_id.learn(docs, language_id.bucket_of("doc_id", 3) != 1)
+    return language_id.keep_identified(docs, model, langs)
 
 
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
