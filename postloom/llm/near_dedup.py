@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from postloom.llm.common import BROADCAST_IDS, Scratch, by_ids, give_back_memory, rows_at_once
+from postloom.llm.common import BROADCAST_IDS, Scratch, by_ids, give_back_memory, rows_at_once, small_batches, unused
 from postloom.llm.shingles import Shingler
 
 #: Odds that the sketches of a linked pair share too few values.
@@ -280,7 +280,7 @@ def near_dedup(docs: DataFrame, words: int = 5, percent: int = 80, k: int = 64,
     text = F.col(text_col).cast("string")
     rid = F.coalesce(F.col(id_col).cast("long"), -1 - F.shiftrightunsigned(F.xxhash64(text), 1))
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), rid.alias("rid"), F.encode(text, "UTF-8").alias("text"))
-    with rows_at_once(spark, 1000):
+    with small_batches(spark):
         rows = scratch.table(source.mapInArrow(_sketches(words, k), _SKETCH_DDL), "sketches")
     classes = rows.where("n > 0").groupBy("sig").agg(F.min("rid").alias("c"), F.min("doc_id").alias("head"), F.count("*").alias("copies"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))
     classes = scratch.table(classes, "classes")
@@ -349,10 +349,20 @@ def near_dedup(docs: DataFrame, words: int = 5, percent: int = 80, k: int = 64,
 
 
 def drop_near_copies(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of docs that near_dedup keeps, one document of each group; rows without an id stay."""
-    decided = near_dedup(docs, words, percent, id_col=id_col, text_col=text_col).where("not kept and doc_id is not null")
-    dropped = Scratch(docs.sparkSession, "near-dedup").table(decided.select("doc_id").distinct(), "dropped")
-    return by_ids(docs, dropped, id_col, "left_anti")
+    """The rows of docs of which one document of each group stays: the smallest id, null after all others; of rows that share it any one."""
+    scratch = Scratch(docs.sparkSession, "near-dedup")
+    if not docs.groupBy(id_col).count().where(F.col(id_col).isNull() | (F.col("count") > 1)).take(1):
+        decided = near_dedup(docs, words, percent, id_col=id_col, text_col=text_col).where("not kept")
+        return by_ids(docs, scratch.table(decided.select("doc_id"), "dropped"), id_col, "left_anti")
+    # ids that don't tell rows apart: the rows get numbers, and each group's best row is found by id
+    (own,) = unused(docs.columns, "own_number")
+    docs = scratch.table(docs.withColumn(own, F.monotonically_increasing_id()), "numbered")
+    decided = near_dedup(docs, words, percent, id_col=own, text_col=text_col).where("n_shingles > 0").select(F.col("doc_id").alias("number_"), "component_id")
+    ids = docs.select(F.col(own).alias("number_"), F.struct(F.col(id_col).isNull().alias("void"), F.col(id_col).alias("id"), F.col(own).alias("n")).alias("rank"))
+    ranked = scratch.table(decided.join(ids, "number_"), "ranked")
+    best = ranked.groupBy("component_id").agg(F.min("rank").alias("best"))
+    dropped = scratch.table(ranked.join(best, "component_id").where("rank <> best").select("number_"), "dropped")
+    return by_ids(docs, dropped, own, "left_anti").drop(own)
 
 
 def op7_near_dedup(spark, sf_dir: str) -> DataFrame:
