@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postloom.llm.common import Scratch, give_back_memory, rows_at_once, whole_text
+from postloom.llm.common import Scratch, give_back_memory, small_batches, whole_text
 
 LENGTH = 2048
 END = 0
@@ -252,12 +252,35 @@ def pack(
     spark = docs.sparkSession
     scratch = Scratch(spark, "packing")
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), whole_text(text_col).alias("text"))
-    with rows_at_once(spark, 250):
+    with small_batches(spark):
         pieces = scratch.table(texts.mapInArrow(_pieces(vocabulary, length, with_ids), _PIECE_DDL + ", ids binary" * with_ids), "pieces")
-    short = pieces.where(F.col("length") < length).select("uid", "length")
-    blocks = max(1, -(-short.count() // block))
-    groups = short.groupBy(F.pmod(F.xxhash64("uid"), F.lit(blocks)).alias("block")).agg(F.sort_array(F.collect_list(F.struct("uid", F.col("length").cast("int").alias("length")))).alias("own"))
-    groups = scratch.table(groups.select("block", F.col("own.uid").alias("uids"), F.col("own.length").alias("lengths")), "blocks")
+    todo, closed, round_ = pieces.where(F.col("length") < length).select("uid", "length"), [], 0
+    while True:
+        blocks = max(1, -(-todo.count() // block))
+        placed = _evolved(todo, blocks, length, islands, epochs, generations, population, round_, scratch)
+        if blocks == 1:
+            closed.append(placed)
+            break
+        # the emptiest sequences of all blocks are opened and packed together: at last one block is left
+        closed.append(placed.where("not open"))
+        todo, round_ = placed.where("open").join(todo, "uid").select("uid", "length"), round_ + 1
+        todo = scratch.table(todo, f"open-{round_}")
+    won = closed[0]
+    for more in closed[1:]:
+        won = won.unionByName(more)
+    rows = pieces.join(won, "uid", "left")
+    full = F.col("length") == length
+    return rows.select(
+        "doc_id", "piece", "start", "length", "ids_crc32",
+        F.when(full, -1 - F.col("uid")).otherwise(F.col("sequence_id")).alias("sequence_id"), F.when(full, F.lit(0)).otherwise(F.col("offset")).cast("long").alias("offset"), *["ids"] * with_ids,
+    )
+
+
+def _evolved(todo: DataFrame, blocks: int, length: int, islands: int, epochs: int, generations: int, population: int, round_: int, scratch: Scratch) -> DataFrame:
+    """The pieces' sequences and offsets, and whether their sequence is among those that may be opened again."""
+    spark = todo.sparkSession
+    groups = todo.groupBy(F.pmod(F.xxhash64("uid", F.lit(round_)), F.lit(blocks)).alias("block")).agg(F.sort_array(F.collect_list(F.struct("uid", F.col("length").cast("int").alias("length")))).alias("own"))
+    groups = scratch.table(groups.select("block", F.col("own.uid").alias("uids"), F.col("own.length").alias("lengths")), f"blocks-{round_}")
     tasks = max(1, min(blocks * islands, spark.sparkContext.defaultParallelism * 8)) if blocks * islands < 4096 else blocks * islands // 16
     state = None
     for epoch in range(epochs):
@@ -268,29 +291,32 @@ def pack(
             moved = state.select("block", F.explode(F.array_distinct(F.array(F.col("island"), F.pmod(F.col("island") + 1, F.lit(islands))))).alias("island"), "best")
             rows = rows.join(moved.groupBy("block", "island").agg(F.sort_array(F.collect_list("best")).alias("elites")), ["block", "island"])
         evolved = rows.repartition(tasks, "block", "island").mapInArrow(_island(length, generations, population, epoch), "block long, island int, bins int, best binary")
-        state = scratch.table(evolved, f"epoch-{epoch}")
+        state = scratch.table(evolved, f"epoch-{round_}-{epoch}")
     best = state.groupBy("block").agg(F.min(F.struct("bins", "island")).alias("b")).select("block", F.col("b.island").alias("island"))
-    won = state.join(best, ["block", "island"]).join(groups, "block").mapInArrow(_places, "uid long, sequence_id long, offset long")
-    rows = pieces.join(won, "uid", "left")
-    full = F.col("length") == length
-    return rows.select(
-        "doc_id", "piece", "start", "length", "ids_crc32",
-        F.when(full, -1 - F.col("uid")).otherwise(F.col("sequence_id")).alias("sequence_id"), F.when(full, F.lit(0)).otherwise(F.col("offset")).cast("long").alias("offset"), *["ids"] * with_ids,
-    )
+    won = state.join(best, ["block", "island"]).join(groups, "block").mapInArrow(_places(length, round_), "uid long, sequence_id long, offset long, open boolean")
+    return scratch.table(won, f"placed-{round_}")
+
 
+def _places(capacity: int, round_: int):
+    """A sequence may be opened if it has room and no more than half of its block's sequences are emptier."""
 
-def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for r in batch.to_pylist():
-            number = np.frombuffer(r["best"], "<i4").astype(np.int64)
-            lengths = np.array(r["lengths"], np.int64)
-            order = np.argsort(number, kind="stable")
-            before = np.cumsum(lengths[order]) - lengths[order]
-            first = np.concatenate([[True], np.diff(number[order]) > 0])
-            offset = before - np.maximum.accumulate(np.where(first, before, 0))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.array(r["uids"], np.int64)[order]), pa.array((r["block"] << 32) + number[order]), pa.array(offset)], names=["uid", "sequence_id", "offset"]
-            )
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for r in batch.to_pylist():
+                number = np.frombuffer(r["best"], "<i4").astype(np.int64)
+                lengths = np.array(r["lengths"], np.int64)
+                order = np.argsort(number, kind="stable")
+                before = np.cumsum(lengths[order]) - lengths[order]
+                first = np.concatenate([[True], np.diff(number[order]) > 0])
+                offset = before - np.maximum.accumulate(np.where(first, before, 0))
+                room = capacity - np.bincount(number, lengths).astype(np.int64)
+                emptiest = np.argsort(-room, kind="stable")[: -(-len(room) // 2)]
+                opened = np.zeros(len(room), bool)
+                opened[emptiest] = room[emptiest] > 0
+                place = (round_ << 58) + (r["block"] << 30) + number[order]
+                yield pa.RecordBatch.from_arrays([pa.array(np.array(r["uids"], np.int64)[order]), pa.array(place), pa.array(offset), pa.array(opened[number[order]])], names=["uid", "sequence_id", "offset", "open"])
+
+    return run
 
 
 def op6_packing(spark, sf_dir: str) -> DataFrame:
