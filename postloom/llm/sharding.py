@@ -114,8 +114,9 @@ def shard_by_bytes(docs: DataFrame, shards: int = 24, tolerance: float = 0.001,
     # the columns of docs travel as one, so that no name can clash
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), key.alias("key"), size.alias("size"), salt.alias("salt"), F.col(id_col).alias("id"))
     rows = rows.select("row", "key", "size", "id", part_of(F.col("key"), bounds).alias("shard"), F.pmod("salt", F.lit(spread)).cast("int").alias("sub"))
-    dealt = rows.repartition(shards * spread, "shard", "sub")
-    place = F.row_number().over(Window.partitionBy("shard", "sub").orderBy("key", "id")) - 1
+    rows = rows.withColumn("part", F.col("shard").cast("int") * spread + F.col("sub"))  # a task for each, none for two
+    dealt = rows.repartitionById(shards * spread, F.col("part"))
+    place = F.row_number().over(Window.partitionBy("part").orderBy("key", "id")) - 1
     placed = dealt.withColumn("place", place).join(F.broadcast(offsets), ["shard", "sub"])
     kept = [F.col("row").getField(c).alias(c) for c in docs.columns if c.lower() not in RESULT]
     return placed.select(*kept, "size", "shard", (F.col("offset") + F.col("place")).cast("long").alias("slot"))
