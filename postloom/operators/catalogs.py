@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from postloom.functions import fixed, text
 from postloom.operators.ordering import first_values
@@ -134,7 +135,7 @@ def refresh(rows: DataFrame, sources: list[str], root: str, by: str = "ATS", mos
     before, number = last_manifest(spark, root)
     number += 1
     rows.where(F.col(by).isin(sources)).withColumn("source", F.col(by)).write.mode("overwrite").partitionBy("source").parquet(f"{root}/rows/{number}")
-    written = spark.read.schema(rows.schema.add("source", "string")).parquet(f"{root}/rows/{number}")
+    written = spark.read.schema(_with_source(rows.schema)).parquet(f"{root}/rows/{number}")
     now = content(written.drop("source"), by)
     named = spark.createDataFrame([(s,) for s in sources], "ATS string")
     had = F.coalesce("p.RowCount", F.lit(0))
@@ -153,14 +154,18 @@ def refresh(rows: DataFrame, sources: list[str], root: str, by: str = "ATS", mos
     return spark.read.schema(MANIFEST).parquet(f"{root}/manifests/{number}")
 
 
-def refreshed(spark: SparkSession, root: str, schema) -> DataFrame:
+def _with_source(schema: StructType) -> StructType:
+    return StructType([*schema.fields, StructField("source", StringType())])
+
+
+def refreshed(spark: SparkSession, root: str, schema: StructType) -> DataFrame:
     """The rows in use: of each source those of the version that the last manifest names."""
     manifest, _ = last_manifest(spark, root)
     versions = [r.Version for r in manifest.where("Version is not null").select("Version").distinct().collect()]  # a line a version in use
     found = spark.createDataFrame([], schema)
     for v in versions:
         own = manifest.where(F.col("Version") == v).select("ATS")
-        rows = spark.read.schema(schema.add("source", "string") if "source" not in schema.names else schema).parquet(f"{root}/rows/{v}")
+        rows = spark.read.schema(_with_source(schema)).parquet(f"{root}/rows/{v}")
         found = found.unionByName(rows.join(F.broadcast(own), rows["source"] == own["ATS"], "left_semi").drop("source"))
     return found
 

@@ -201,9 +201,12 @@ def title_reviews(matched: DataFrame) -> DataFrame:
     }).drop("_norm", "_tokens")
 
 
-def with_titles(jobs: DataFrame) -> DataFrame:
-    """Title match, review and category, worked out once for each distinct title."""
-    titles = title_reviews(title_matches(jobs.select("Title").distinct())).withColumn("TitleCategory", title_category(F.col("Title")))
+def with_titles(jobs: DataFrame, plain: DataFrame | None = None) -> DataFrame:
+    """Title match, review and category, worked out once for each distinct title.
+
+    plain may give the same titles from a cheaper plan, as the titles are looked for in a pass of their own.
+    """
+    titles = title_reviews(title_matches((jobs if plain is None else plain).select("Title").distinct())).withColumn("TitleCategory", title_category(F.col("Title")))
     return jobs.join(titles.withColumnRenamed("Title", "_title"), jobs["Title"].eqNullSafe(F.col("_title")), "left").drop("_title")
 
 
@@ -308,8 +311,8 @@ def with_fit(jobs: DataFrame) -> DataFrame:
 
 
 def enriched(jobs: DataFrame) -> DataFrame:
-    """All of the above, in the order in which each needs the one before."""
-    return with_fit(with_quality(with_duplicate_flags(with_titles(with_salary(with_arrangement(jobs))))))
+    """All of the above. What reads the rows more than once comes first, so that it doesn't repeat the costly columns."""
+    return with_fit(with_quality(with_salary(with_arrangement(with_titles(with_duplicate_flags(jobs), jobs)))))
 
 
 def dedupe_keys(jobs: DataFrame) -> DataFrame:

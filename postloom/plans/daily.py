@@ -64,9 +64,14 @@ def w21_lifecycle(spark, sf_dir):
     return D.lifecycle(rows(spark, sf_dir))
 
 
-@query(f"with {_D} select Company, count(*) as CurrentJobs, arg_min(Title, ({_best})) as TopTitle, arg_min(Link, ({_best})) as TopURL from cur where Company not in (select Company from prv) group by 1")
+#: Some companies are missing on days of uneven months.
+SPARSE = "not (day % 2 = 1 and cast(substring(Company, 6, 9) as int) % 4 = 3)"
+_D4 = _D.replace(")), mx as (", f") where {SPARSE}), mx as (", 1)
+
+
+@query(f"with {_D4} select Company, count(*) as CurrentJobs, arg_min(Title, ({_best})) as TopTitle, arg_min(Link, ({_best})) as TopURL from cur where Company not in (select Company from prv) group by 1")
 def u4_new_companies(spark, sf_dir):
-    return D.new_companies(*D.newest(rows(spark, sf_dir)))
+    return D.new_companies(*D.newest(rows(spark, sf_dir).where(SPARSE)))
 
 
 def _moves(by: str) -> str:

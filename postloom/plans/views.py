@@ -14,7 +14,7 @@ TITLES = [
     "Technical Writer", "Senior Technical Writer", "Staff Technical Writer, API", "Documentation Engineer", "Docs Platform Engineer", "Head of Documentation", "Director, Technical Publications",
     "Content Designer", "UX Writer", "Senior Content Designer", "Developer Advocate", "Developer Relations Manager", "DevRel Engineer", "Knowledge Manager", "Knowledge Base Specialist",
     "Content Writer", "Copywriter", "Writer / Editor", "Technical Editor", "Curriculum Content Developer", "Software Engineer", "Backend Engineer", "Solutions Architect", "Product Designer",
-    "Technical Support Engineer", "Registered Nurse", "Video Editor", "Product Manager", "Technical Program Manager", "Account Executive", "Information Architect", "Sales Manager", "Editor & Writer", "",
+    "Technical Support Engineer", "Registered Nurse", "Video Editor", "Product Manager", "Technical Program Manager", "Account Executive", "Information Architect", "Sales Manager", "Editor & Writer", "", "Lead Product Designer and Technical Writer", "Documentation Manager, Video Editor and Technical Writer",
 ]
 LOCATIONS = ["Remote", "Remote - US", "Remote, Canada", "New York, NY", "London, United Kingdom", "Berlin", "Anywhere in the US", "Hybrid - Austin, TX", "Bengaluru, India", "Remote EMEA", "", "Singapore"]
 DESCRIPTIONS = [
