@@ -207,9 +207,34 @@ def with_titles(jobs: DataFrame, plain: DataFrame | None = None) -> DataFrame:
     plain may give the same titles from a cheaper plan, as the titles are looked for in a pass of their own.
     """
     titles = title_reviews(title_matches((jobs if plain is None else plain).select("Title").distinct())).withColumn("TitleCategory", title_category(F.col("Title")))
+    titles = titles.withColumn("_fit", fit_signals())
     return jobs.join(titles.withColumnRenamed("Title", "_title"), jobs["Title"].eqNullSafe(F.col("_title")), "left").drop("_title")
 
 
+def fit_signals() -> Column:
+    """What the fit score asks of a title alone, worked out once for each title: flags, named signals, and the ends that a phrase may reach over into the description."""
+    f = fixed
+    t = text.search_text(F.col("Title"))
+    writer = text.search_text(F.concat_ws(" ", *[text.clean(F.col(c)) for c in ("Title", "MatchedWatchlistTitle", "TitleDomainSignal")]))
+    title = lambda *ps: text.has_any(t, list(ps))
+    flags = {
+        "devrel": title(*f.DEVREL_TITLE), "severe": title(*f.SEVERE_NON_WRITER), "architect": title("architect"), "builder": title("developer", "engineer"), "care": title("therapist", "nurse"), "film": title("video editor", "film editor", "motion graphics"),
+        "editor": title("editor"), "designer": title("product designer", "ux designer") & ~title("ux writer", "content designer"), "support": title("support engineer", "support specialist"), "floor": title(*f.TITLE_FLOOR),
+    }
+    flags |= {f"w_{n}": text.has_any(writer, ps) for n, ps in _WRITER_PHRASES.items()} | {f"b_{n}": text.has_any(t, ps) for n, ps in _BOTH_PHRASES.items()}
+    end = lambda c: F.right(c, F.lit(REACH))
+    return F.struct(*[c.alias(n) for n, c in flags.items()], F.slice(_named([(p, title(p)) for p in f.NON_WRITER]), 1, 3).alias("non_writer"), end(writer).alias("writer_end"), end(t).alias("title_end"))
+
+
+#: Phrases that are looked for in title and description: with the matched record and the domains, and without.
+_WRITER_PHRASES = {
+    "docs": fixed.DOCS_EVIDENCE, "exception": fixed.WRITER_EXCEPTION, "evidence": fixed.DEVREL_EVIDENCE, "writer": [p for p in fixed.WRITER_DOC if p not in fixed.WRITER_DOC_DEVREL], "advocate": fixed.WRITER_DOC_DEVREL,
+}
+_BOTH_PHRASES = {"clinical": ["clinical"], "trainer": ["trainer"], "strategy": ["technical writing", "content strategy"], "base": ["knowledge base", "docs", "documentation", "content"]}
+#: More than the longest of these phrases.
+REACH = 40
+
+
 def with_keys(jobs: DataFrame) -> DataFrame:
     place = text.joined([text.key_part(F.col("Company")), text.key_part(text.normalized_title(F.col("Title"))), text.key_part(F.col("Location"))], ":")
     df = jobs.withColumns({"CompanyTitleLocationKey": place, "CanonicalURLKey": text.canonical_url(F.col("URL"))})
@@ -252,15 +277,17 @@ def with_quality(jobs: DataFrame) -> DataFrame:
 def with_fit(jobs: DataFrame) -> DataFrame:
     """WriterFitBaseScore, WriterFitScore, WriterFitTier, WriterFitReasons, WriterFitPenaltySignals and WriterFitGuardrailApplied."""
     f = fixed
-    writer = text.search_text(F.concat_ws(" ", *[text.clean(F.col(c)) for c in ("Title", "MatchedWatchlistTitle", "TitleDomainSignal", "Description")]))
-    both = text.search_text(F.concat_ws(" ", text.clean(F.col("Title")), text.clean(F.col("Description"))))
-    df = pinned(pinned(pinned(jobs, "_w", writer), "_b", both), "_t", text.search_text(F.col("Title")))
-    t = lambda *ps: text.has_any(F.col("_t"), list(ps))
-    b = lambda *ps: text.has_any(F.col("_b"), list(ps))
-    w = lambda ps: text.has_any(F.col("_w"), ps)
-    df = df.withColumns({"_devrel_title": t(*f.DEVREL_TITLE), "_docs": w(f.DOCS_EVIDENCE), "_exception": w(f.WRITER_EXCEPTION), "_severe": t(*f.SEVERE_NON_WRITER)})
-    df = df.withColumn("_devrel", F.col("_devrel_title") & w(f.DEVREL_EVIDENCE))
-    df = pinned(df, "_writer", w([p for p in f.WRITER_DOC if p not in f.WRITER_DOC_DEVREL]) | (w(f.WRITER_DOC_DEVREL) & F.col("_devrel")))
+    df = jobs if "_fit" in jobs.columns else jobs.withColumn("_fit", fit_signals())
+    df = pinned(df, "_d", text.search_text(F.col("Description")))
+    over = lambda c: F.concat(F.col(f"_fit.{c}"), F.lit(" "), F.left("_d", F.lit(REACH)))
+    df = df.withColumns({"_over_w": over("writer_end"), "_over_b": over("title_end")})
+    # a title that has it spares the description; a phrase may also begin in one and end in the other
+    w = lambda n: F.coalesce(F.col(f"_fit.w_{n}"), F.lit(False)) | text.has_any(F.col("_d"), _WRITER_PHRASES[n]) | text.has_any(F.col("_over_w"), _WRITER_PHRASES[n])
+    b = lambda n: F.coalesce(F.col(f"_fit.b_{n}"), F.lit(False)) | text.has_any(F.col("_d"), _BOTH_PHRASES[n]) | text.has_any(F.col("_over_b"), _BOTH_PHRASES[n])
+    t = lambda n: F.coalesce(F.col(f"_fit.{n}"), F.lit(False))
+    df = df.withColumns({"_devrel_title": t("devrel"), "_docs": w("docs"), "_exception": w("exception"), "_severe": t("severe")})
+    df = df.withColumn("_devrel", F.col("_devrel_title") & w("evidence"))
+    df = pinned(df, "_writer", w("writer") | (F.col("_devrel") & w("advocate")))
     # (points, reason or null), in order
     domains = F.slice(_named([(p, F.array_contains(F.split("TitleDomainSignal", r" \| "), p)) for p in f.SCORE_DOMAINS]), 1, 5)
     bucket = text.ranked(F.col("TitleReviewBucket"), f.BUCKET_SCORE)
@@ -275,16 +302,16 @@ def with_fit(jobs: DataFrame) -> DataFrame:
     quality = F.when(F.col("ExportQualityFlag") == "OK", 5).when(F.col("ExportQualityFlag") == "REVIEW", -5).when(F.col("ExportQualityFlag") == "BAD_ROW", -50).otherwise(0)
     one = lambda c, n: F.when(c, n).otherwise(0)
     base = bucket + one(F.col("SalaryDetected"), 5) + one(F.col("TitleLeadershipSignal"), 10) + one(F.col("TitleICSignal"), 10) + 5 * F.size(domains) + quality + one(F.col("PossibleDuplicate"), -5)
-    non_writer = F.slice(_named([(p, t(p)) for p in f.NON_WRITER]), 1, 3)
+    non_writer = F.coalesce(F.col("_fit.non_writer"), F.array().cast("array<string>"))
     no_docs, no_exception = ~F.col("_docs"), ~F.col("_exception")
     penalties = [
         (-35, F.size(non_writer) > 0, F.concat(F.lit("Strong non-writer title signal: "), F.array_join(non_writer, ", "))),
         (-40, t("architect") & no_docs & no_exception, F.lit("Architect title without documentation/content/writing/devrel signal")),
-        (-35, t("developer", "engineer") & no_exception & ((~F.col("_devrel_title") & no_docs) | (F.col("_devrel_title") & ~F.col("_devrel"))), F.lit("Developer/engineer title without documentation/content/writing/devrel signal")),
-        (-50, (t("therapist", "nurse") | b("clinical")) & ~F.col("_writer"), F.lit("Therapist/nurse/clinical role without documentation writer signal")),
-        (-35, (t("video editor", "film editor", "motion graphics") | (t("editor") & b("trainer"))) & ~b("technical writing", "content strategy"), F.lit("Video/film/editor AI trainer role without technical writing/content strategy signal")),
-        (-30, t("product designer", "ux designer") & ~t("ux writer", "content designer"), F.lit("Product/UX designer role without UX Writer or Content Designer exact phrase")),
-        (-25, t("support engineer", "support specialist") & ~b("knowledge base", "docs", "documentation", "content"), F.lit("Support engineer/specialist role without knowledge base/docs/content signal")),
+        (-35, t("builder") & no_exception & ((~F.col("_devrel_title") & no_docs) | (F.col("_devrel_title") & ~F.col("_devrel"))), F.lit("Developer/engineer title without documentation/content/writing/devrel signal")),
+        (-50, (t("care") | b("clinical")) & ~F.col("_writer"), F.lit("Therapist/nurse/clinical role without documentation writer signal")),
+        (-35, (t("film") | (t("editor") & b("trainer"))) & ~b("strategy"), F.lit("Video/film/editor AI trainer role without technical writing/content strategy signal")),
+        (-30, t("designer"), F.lit("Product/UX designer role without UX Writer or Content Designer exact phrase")),
+        (-25, t("support") & ~b("base"), F.lit("Support engineer/specialist role without knowledge base/docs/content signal")),
     ]
     df = df.withColumns({"_base": base, "_lost": sum((one(c, n) for n, c, _ in penalties), F.lit(0)), "_gains": F.concat(gains, F.transform(domains, lambda x: F.concat(x, F.lit(" domain signal"))), ends)})
     df = df.withColumn("_penalties", F.filter(F.array(*[F.when(c, r) for _, c, r in penalties]), lambda x: x.isNotNull()))
@@ -292,7 +319,7 @@ def with_fit(jobs: DataFrame) -> DataFrame:
     df = pinned(df, "_score", clamp(F.col("_base") + F.col("_lost")))
     open_ = ~F.col("_severe") & (F.col("_score") < 85)
     listed = open_ & (F.col("TitleReviewBucket") == "STRONG_MATCH") & F.col("TitleMatchType").isin("exact", "contains", "token") & (F.col("MatchedWatchlistTitle") != "") & F.col("_writer")
-    floor = open_ & ~listed & t(*f.TITLE_FLOOR) & F.col("_writer")
+    floor = open_ & ~listed & t("floor") & F.col("_writer")
     df = df.withColumns({"_listed": listed, "_floor": floor})
     df = pinned(df, "_raised", F.when(F.col("_listed") | F.col("_floor"), 85).otherwise(F.col("_score")))
     guard = (F.col("_raised") >= 60) & ~F.col("_writer")
