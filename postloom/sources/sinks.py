@@ -75,12 +75,28 @@ def published(spark: SparkSession, root: str, name: str) -> DataFrame:
 
 
 def write_json_array(df: DataFrame, path: str) -> None:
-    """A JSON array with an object a line in one text file, U+2028 and U+2029 escaped; for feeds that one writer can hold open."""
+    """A JSON array with an object a line, U+2028 and U+2029 escaped, as files that in the order of their names are one array.
+
+    Every task writes its own file; the brackets are two small files, of which one comes first and the other last.
+    """
+    spark = df.sparkSession
     body = F.to_json(F.struct("*"), {"ignoreNullFields": "false"})
     body = F.replace(F.replace(body, F.lit("\u2028"), F.lit("\\u2028")), F.lit("\u2029"), F.lit("\\u2029"))
-    lines = df.select(F.lit(1).alias("part"), F.monotonically_increasing_id().alias("id"), F.concat(body, F.lit(",")).alias("value"))
-    ends = df.sparkSession.createDataFrame([(0, 0, "["), (2, 0, "]")], "part int, id long, value string")
-    # the last object has no comma: the largest id is known by then
-    last = lines.agg(F.max("id")).first()[0]
-    lines = lines.withColumn("value", F.when(F.col("id") == F.lit(last), F.expr("left(value, length(value) - 1)")).otherwise(F.col("value")))
-    ends.union(lines).coalesce(1).sortWithinPartitions("part", "id").select("value").write.mode("overwrite").text(path)
+    fs, at = _files(spark, path)
+    fs.delete(at(path), True)
+    # written once with ids, as the last object, which has no comma, is known only then
+    df.select(F.monotonically_increasing_id().alias("id"), body.alias("value")).write.parquet(f"{path}/_rows")
+    rows = spark.read.schema("id long, value string").parquet(f"{path}/_rows")
+    last = rows.agg(F.max("id")).first()[0]
+    ended = F.when(F.col("id") == F.lit(last), F.col("value")).otherwise(F.concat("value", F.lit(",")))
+    parts = max(1, rows.rdd.getNumPartitions())
+    rows.repartitionByRange(parts, "id").sortWithinPartitions("id").select(ended).write.text(f"{path}/_body")
+    for s in fs.listStatus(at(f"{path}/_body")):
+        if s.getPath().getName().startswith("part-"):
+            fs.rename(s.getPath(), at(f"{path}/{s.getPath().getName()}"))
+    for done in ("_rows", "_body"):
+        fs.delete(at(f"{path}/{done}"), True)
+    for name, bracket in (("array-open.txt", "["), ("z-array-close.txt", "]")):
+        out = fs.create(at(f"{path}/{name}"), True)
+        out.write(bytearray(f"{bracket}\n", "utf-8"))
+        out.close()

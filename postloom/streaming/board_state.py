@@ -1,17 +1,19 @@
 """Board state over a stream of fetch attempts.
 
-Each micro-batch is reduced to one partial state per board and merged into the stored state, so that replaying
-a batch (it carries its number) changes nothing, and a batch costs what its boards cost.
+Each micro-batch is reduced to one partial state per board and merged into the stored state. States lie in BUCKETS parts by a
+hash of the board: a batch reads and rewrites only those that its boards fall into, below its own number. A batch that is replayed reads
+what was before it and writes the same again. Of each part the last two versions stay, older ones go.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from postloom.operators import boards
 
+BUCKETS = 64
 #: A partial state: attempts, the newest one, the newest that didn't fail, and failures after it.
 STATE = "BoardKey string, ATS string, AttemptCount long, last struct<FetchedAt:timestamp,seq:long,Status:string,JobCount:long>, LastSuccessAt timestamp, calm struct<FetchedAt:timestamp,seq:long>, ConsecutiveFailures long"
 
@@ -47,16 +49,48 @@ def as_board_state(state: DataFrame) -> DataFrame:
     return rows.withColumn("NextCheckAt", boards.next_check(F.col("CoverageStatus"), F.col("LastAttemptAt"), F.col("ConsecutiveFailures"))).drop("last", "calm")
 
 
-def read_state(spark: SparkSession, root: str, batch_id: int) -> DataFrame:
-    if batch_id < 0:
-        return spark.createDataFrame([], STATE)
-    return spark.read.schema(STATE).parquet(f"{root}/batch={batch_id}")
+def bucket_of(key: Column) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(BUCKETS)).cast("int")
+
+
+def _versions(spark: SparkSession, root: str) -> dict[int, list[int]]:
+    """Of each bucket, the numbers of the committed batches that wrote it, rising."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs, found = path(root).getFileSystem(spark._jsc.hadoopConfiguration()), {}
+    for batch in fs.listStatus(path(root)) if fs.exists(path(root)) else []:
+        if fs.exists(path(f"{batch.getPath()}/_SUCCESS")):
+            number = int(batch.getPath().getName().split("=")[1])
+            for part in fs.listStatus(batch.getPath()):
+                if part.isDirectory():
+                    found.setdefault(int(part.getPath().getName().split("=")[1]), []).append(number)
+    return {b: sorted(ns) for b, ns in found.items()}
+
+
+def read_state(spark: SparkSession, root: str, batch_id: int, buckets: list[int] | None = None) -> DataFrame:
+    """The states after that batch, of all buckets or of some."""
+    paths = []
+    for b, numbers in _versions(spark, root).items():
+        own = [n for n in numbers if n <= batch_id]
+        if own and (buckets is None or b in buckets):
+            paths.append(f"{root}/batch={own[-1]}/bucket={b}")
+    return spark.read.schema(STATE).parquet(*paths) if paths else spark.createDataFrame([], STATE)
 
 
 def follow(fetches: DataFrame, root: str, checkpoint: str) -> StreamingQuery:
-    """Keeps the state of a stream below root, a folder for each batch; a batch reads that of the one before."""
+    """Keeps the state of a stream below root; a batch changes the parts of its boards."""
     def step(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        merged(read_state(spark, root, batch_id - 1), partial_state(batch)).write.mode("overwrite").parquet(f"{root}/batch={batch_id}")
+        batch = batch.persist()
+        try:
+            touched = [r.b for r in batch.select(bucket_of(boards.board_key()).alias("b")).distinct().collect()]  # BUCKETS at most
+            now = merged(read_state(spark, root, batch_id - 1, touched), partial_state(batch)).withColumn("bucket", bucket_of(F.col("BoardKey")))
+            now.write.mode("overwrite").partitionBy("bucket").parquet(f"{root}/batch={batch_id}")
+        finally:
+            batch.unpersist()
+        path = spark._jvm.org.apache.hadoop.fs.Path
+        fs = path(root).getFileSystem(spark._jsc.hadoopConfiguration())
+        for b, numbers in _versions(spark, root).items():
+            for old in [n for n in numbers if n <= batch_id][:-2]:
+                fs.delete(path(f"{root}/batch={old}/bucket={b}"), True)
 
     return fetches.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -87,7 +87,7 @@ def test_json_array(spark, tmp_path):
 
     rows = spark.createDataFrame([(i, f"a b{i}") for i in range(50)], "k int, t string").repartition(4)
     sinks.write_json_array(rows, str(tmp_path / "out"))
-    data = "".join(p.read_text() for p in (tmp_path / "out").glob("part-*"))
+    data = "".join(p.read_text() for p in sorted((tmp_path / "out").glob("*.txt")))
     assert " " not in data and sorted(r["k"] for r in json.loads(data)) == list(range(50))
 
 
