@@ -186,28 +186,37 @@ def x11_unwrapped_urls(spark, sf_dir):
     return spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", U.normal_url(raw).alias("url"), U.url_lookup_key(raw).alias("LookupKey"))
 
 
-_original = "case page_id % 3 when 0 then 'https://boards.greenhouse.io/acme/jobs/' || page_id when 1 then 'https://job-boards.greenhouse.io/embed' else url end"
+# Addresses of boards made of the pages' own hosts and numbers; the SQL reads hosts, segments and texts out of them again.
+_word, _number = "regexp_extract(url, '://([a-z]+)', 1)", "regexp_extract(url, '/([0-9]+)', 1)"
+_original = f"case page_id % 3 when 0 then concat('https://boards.greenhouse.io/', {_word}, '/jobs/', {_number}, '?gh=', cast(page_id as string)) when 1 then concat('https://job-boards.greenhouse.io/', {_word}) else url end"
+_final = f"case page_id % 7 when 0 then concat('https://', {_word}, '.example/404/') when 1 then concat('https://boards.greenhouse.io/', {_word}, '/jobs/', {_number}, '1') when 2 then concat('https://boards.greenhouse.io/', {_word}) when 3 then {_word} else url end"
+_hosts = ", ".join(map(_q, U.BOARD_HOSTS))
+_board = lambda u, n: f"lower(regexp_extract({u}, '^[A-Za-z]+://([^/?#:]+)', 1)) as {n}host, list_filter(string_split(regexp_extract({u}, '^[A-Za-z]+://[^/?#]+([^?#]*)', 1), '/'), lambda x: x <> '') as {n}p"
+_job = lambda n: f"case when {n}host in ({_hosts}) and list_position({n}p, 'jobs') > 0 then coalesce({n}p[list_position({n}p, 'jobs') + 1], '') else '' end"
+_slug = lambda n: f"case when {n}host in ({_hosts}) then coalesce(case when list_position({n}p, 'jobs') > 1 then {n}p[list_position({n}p, 'jobs') - 1] else {n}p[1] end, '') else '' end"
 
 
-@query(f"with o as (select page_id, {_original} as u from pages) select page_id, case page_id % 3 when 0 then page_id::varchar else '' end as JobId, case page_id % 3 when 0 then 'acme' when 1 then 'embed' else '' end as Slug from o")
+def _pages(spark, sf_dir):
+    """Pages with the address they had and the one they led to."""
+    return spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", F.expr(_original).alias("OriginalURL"), F.expr(_final).alias("FinalURL"), "html")
+
+
+@query(f"with o as (select page_id, {_original} as u from pages), h as (select page_id, {_board('u', 'o')} from o) select page_id, {_job('o')} as JobId, {_slug('o')} as Slug from h")
 def x12_board_ids(spark, sf_dir):
-    p, url = F.col("page_id"), F.col("url")
-    u = F.when(p % 3 == 0, F.concat(F.lit("https://boards.greenhouse.io/acme/jobs/"), p)).when(p % 3 == 1, "https://job-boards.greenhouse.io/embed").otherwise(url)
-    return spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", U.board_job_id(u).alias("JobId"), U.board_slug(u).alias("Slug"))
+    return _pages(spark, sf_dir).select("page_id", U.board_job_id(F.col("OriginalURL")).alias("JobId"), U.board_slug(F.col("OriginalURL")).alias("Slug"))
 
 
 def _checks(spark, sf_dir):
-    p, url = F.col("page_id"), F.col("url")
-    original = F.when(p % 3 == 0, F.concat(F.lit("https://boards.greenhouse.io/acme/jobs/"), p)).otherwise(url)
-    final = F.when(p % 7 == 0, "https://x.example/404/").when(p % 7 == 1, F.concat(F.lit("https://boards.greenhouse.io/acme/jobs/"), p + 1)).when(p % 7 == 2, "https://boards.greenhouse.io/acme").when(p % 7 == 3, "no url").otherwise(url)
+    p = F.col("page_id")
     page = F.when(p % 11 == 0, F.concat(F.coalesce("html", F.lit("")), F.lit(" This job is closed"))).otherwise(F.col("html"))
-    return spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", original.alias("OriginalURL"), final.alias("FinalURL"), F.when(p % 10 == 0, 404).otherwise(200).alias("HttpStatus"), page.alias("Page"))
+    return _pages(spark, sf_dir).select("page_id", "OriginalURL", "FinalURL", F.when(p % 10 == 0, 404).otherwise(200).alias("HttpStatus"), page.alias("Page"))
 
 
-_dead = "regexp_matches(html, '(?i)" + "|".join(U.DEAD_PAGES) + "')"
-_C18 = f"""with v as (select page_id, case when page_id % 10 = 0 then 'HTTP 404' when page_id % 7 = 0 then 'Final URL matches a known expired/error page pattern.' when page_id % 7 = 3 then 'Could not parse final URL'
-  when page_id % 3 = 0 and page_id % 7 = 1 then 'Greenhouse job URL redirected to a different job id (' || (page_id + 1) || ').' when page_id % 3 = 0 and page_id % 7 = 2 then 'Greenhouse job URL redirected to the company board instead of the job detail page.'
-  when page_id % 11 = 0 or coalesce({_dead}, false) then 'Page text matches a known closed/not-found job pattern.' else '' end as Issue from pages)"""
+_C18 = f"""with i as (select page_id, {_original} as o, {_final} as f, case when page_id % 10 = 0 then 404 else 200 end as HttpStatus, case when page_id % 11 = 0 then coalesce(html, '') || ' This job is closed' else html end as page from pages),
+h as (select *, {_board('o', 'o')}, {_board('f', 'f')} from i), j as (select *, {_job('o')} as oj, {_job('f')} as fj, {_slug('o')} as os, {_slug('f')} as fs from h),
+v as (select page_id, case when HttpStatus >= 400 then 'HTTP ' || HttpStatus when regexp_matches(f, '(?i){"|".join(U.DEAD_URLS)}') then 'Final URL matches a known expired/error page pattern.' when fhost = '' then 'Could not parse final URL'
+  when oj <> '' and fj <> '' and fj <> oj then 'Greenhouse job URL redirected to a different job id (' || fj || ').' when oj <> '' and fhost in ({_hosts}) and fj = '' then 'Greenhouse job URL redirected to the company board instead of the job detail page.'
+  when coalesce(regexp_matches(page, '(?i){"|".join(U.DEAD_PAGES)}'), false) then 'Page text matches a known closed/not-found job pattern.' else '' end as Issue from j)"""
 
 
 @query(f"{_C18} select * from v")
@@ -221,6 +230,16 @@ def a40_check_counts(spark, sf_dir):
     return U.verdicts(_checks(spark, sf_dir)).agg(F.count("*").alias("Checked"), F.count_if(issue == "").alias("Passed"), F.count_if(issue != "").alias("Failed"), F.count_if(issue.startswith("HTTP ")).alias("HttpFailures"))
 
 
+_keep = lambda safe: "Issue = ''" + (" or not (regexp_matches(Issue, '^HTTP (404|410)') or Issue in (" + ", ".join(map(_q, U.FINAL_ISSUES)) + ") or starts_with(Issue, 'Greenhouse job URL redirected'))" if safe else "")
+
+
+@query(f"{_C18} select page_id, {_keep(True)} as KeptSafe, {_keep(False)} as KeptAll from v")
+def f17_pruned_links(spark, sf_dir):
+    """Links that stay after a check: in safe mode all that didn't fail for good."""
+    ok, status = F.when(F.col("Issue") == "", "Yes").otherwise("No"), F.when(F.col("Issue") == "", "OK").otherwise("Bad")
+    return U.verdicts(_checks(spark, sf_dir)).select("page_id", U.kept_after_check(ok, status, F.col("Issue"), True).alias("KeptSafe"), U.kept_after_check(ok, status, F.col("Issue"), False).alias("KeptAll"))
+
+
 _suffixes = ["", ", Inc.", " Technologies LLC", " & Co", "-Labs"]
 _suffix = views.one_of(_suffixes, "s_suppkey")
 
@@ -282,9 +301,14 @@ def k14_consumer_header(spark, sf_dir):
     return spark.read.schema(head.schema).json(path)
 
 
-@query("select column_name as name, case when column_name like 'o_order%' then 'order' when column_name like 'o_cust%' then 'customer' else 'value' end as category, (row_number() over (order by pos))::bigint as place from (select unnest(['o_orderkey', 'o_custkey', 'o_orderstatus', 'o_totalprice', 'o_orderdate', 'o_orderpriority']) as column_name, unnest(range(1, 7)) as pos)")
+_columns = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
+_lines = " union all ".join(f"select '{c}' as name, {i}::bigint as place, count({c}) as filled, count(distinct {c}) as distinct_values from orders" for i, c in enumerate(_columns, 1))
+
+
+@query(f"select name, case when name like 'o_order%' then 'order' when name like 'o_cust%' then 'customer' else 'value' end as category, place, filled, distinct_values from ({_lines})")
 def p30_data_dictionary(spark, sf_dir):
-    """A line per column of a table with a category by its name's beginning."""
-    names = spark.read.parquet(f"{sf_dir}/orders.parquet").columns
-    df = spark.createDataFrame([(n, i + 1) for i, n in enumerate(names)], "name string, place long")
-    return df.select("name", F.when(F.col("name").startswith("o_order"), "order").when(F.col("name").startswith("o_cust"), "customer").otherwise("value").alias("category"), "place")
+    """A line per column of a table: a category by its name's beginning, its place, and how many values it has, from one scan."""
+    df = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    counts = df.agg(*[F.struct(F.lit(n).alias("name"), F.lit(i).cast("long").alias("place"), F.count(n).alias("filled"), F.count_distinct(n).alias("distinct_values")).alias(n) for i, n in enumerate(df.columns, 1)])
+    lines = counts.select(F.explode(F.array(*counts.columns)).alias("x")).select("x.*")
+    return lines.select("name", F.when(F.col("name").startswith("o_order"), "order").when(F.col("name").startswith("o_cust"), "customer").otherwise("value").alias("category"), "place", "filled", "distinct_values")
