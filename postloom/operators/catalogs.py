@@ -218,3 +218,28 @@ def title_families(rows: DataFrame, most: int = 10) -> DataFrame:
         lists = first_values(keyed, keys, column, name, most)
         out = out.join(lists, keys, "left").na.fill("", [name])
     return out
+
+
+# ---- batches to take over, and names shown
+
+def inspected(files: DataFrame, required: list[str], existing: DataFrame) -> DataFrame:
+    """files (BatchName, File) as BatchName, Status and Issue: READY if all required files are there and no batch of that name exists, else SKIP."""
+    own = files.groupBy("BatchName").agg(*[F.max(F.col("File") == f).alias(f"_{i}") for i, f in enumerate(required)])
+    missing = F.filter(F.array(*[F.when(~F.col(f"_{i}"), F.lit(f)) for i, f in enumerate(required)]), lambda x: x.isNotNull())
+    done = existing.select("BatchName").distinct().withColumn("_done", F.lit(True))
+    rows = own.select("BatchName", missing.alias("_missing")).join(done, "BatchName", "left")
+    issue = F.when(F.size("_missing") > 0, F.concat(F.lit("missing required files: "), F.array_join("_missing", ", "))).when(F.col("_done"), "target batch folder already exists").otherwise("")
+    return rows.select("BatchName", F.when(issue == "", "READY").otherwise("SKIP").alias("Status"), issue.alias("Issue"))
+
+
+#: Aliases that are broadcast at most; beyond it the join shuffles.
+BROADCAST_ALIASES = 200_000
+
+
+def displayed(rows: DataFrame, aliases: DataFrame, company: str = "Company") -> DataFrame:
+    """rows with DisplayCompany: the name that aliases (Name, Shown) give for it, compared by letters and digits, else its own or Unknown."""
+    key = lambda c: F.regexp_replace(F.lower(text.clean(c)), "[^a-z0-9]", "")
+    named = aliases.groupBy(key(F.col("Name")).alias("_alias")).agg(F.max("Shown").alias("_shown"))
+    named = F.broadcast(named) if named.count() <= BROADCAST_ALIASES else named
+    own = F.coalesce(F.nullif(text.clean(F.col(company)), F.lit("")), F.lit("Unknown"))
+    return rows.withColumn("_alias", key(own)).join(named, "_alias", "left").withColumn("DisplayCompany", F.coalesce("_shown", own)).drop("_alias", "_shown")

@@ -13,9 +13,10 @@ from postloom.operators import dashboard as D
 from postloom.operators import urls as U
 from postloom.operators import variants as N
 from postloom.operators.counters import RunningSummary
-from postloom.plans import views
+from postloom.plans import coverage, views
 from postloom.plans.boards import _C, _L, _STATE, SUPERSEDED, _health, batch_log, catalog, fetches, latest_time
-from postloom.plans.coverage import _BATCHES, _indexed, log, public
+from postloom.plans.coverage import _BATCHES, log, public
+from postloom.plans.jobs import ENRICHED, enriched
 from postloom.sources import packages
 from postloom.streaming import superseding
 
@@ -379,3 +380,46 @@ def k12_package(spark, sf_dir):
         packages.Output("by-ats", "Rows of each provider", lambda t: t.groupBy("ATS").count()), packages.Output("lines", "The same as lines", lambda t: t, "json"), packages.Output("none", "Rows of no tier", lambda t: t.where("WriterFitTier = 'Z'"), "parquet"),
     ]
     return packages.write_package(public(spark, sf_dir), outputs, scratch_folder(spark, "package"), skip=("json",)).select("Name", "Purpose", "Format", "Exists", "Rows")
+
+
+# ---- diagnostics, batches to take over, names and cells as they are shown
+
+@query(f"with {ENRICHED} select seq, Title, norm as NormalizedTitle, Company, ATS, BestCandidateTitle, BestCandidateScore::bigint as BestCandidateScore, TitleMatchType, MatchedWatchlistTitle, MatchReason, TitleReviewBucket, RemoteStatus, USRemoteEligible, LocationRisk, SalaryDetected, SalaryMin, SalaryMax from e")
+def p19_match_diagnostics(spark, sf_dir):
+    """How each posting was matched: the columns of the matcher as they are, nothing is matched again."""
+    columns = ["seq", "Title", "NormalizedTitle", "Company", "ATS", "BestCandidateTitle", "BestCandidateScore", "TitleMatchType", "MatchedWatchlistTitle", "MatchReason", "TitleReviewBucket", "RemoteStatus", "USRemoteEligible", "LocationRisk", "SalaryDetected", "SalaryMin", "SalaryMax"]
+    return enriched(spark, sf_dir).select(*columns).withColumn("BestCandidateScore", F.col("BestCandidateScore").cast("long"))
+
+
+_FILES_OF = f"(select distinct BatchName, Status as File from ({views.plain(views.LOG)}) where seq % 37 < 12)"
+
+
+@query(f"""with f as {_FILES_OF}, b as (select BatchName, bool_or(File = 'success') as s, bool_or(File = 'empty') as e, bool_or(File = 'failed') as x from f group by 1), t as (select distinct BatchName from ({views.plain(views.LOG)}) where user_id_is_low),
+i as (select BatchName, list_filter([case when not s then 'success' end, case when not e then 'empty' end, case when not x then 'failed' end], lambda v: v is not null) as m, BatchName in (select BatchName from t) as done from b),
+j as (select BatchName, case when len(m) > 0 then 'missing required files: ' || array_to_string(m, ', ') when done then 'target batch folder already exists' else '' end as Issue from i) select BatchName, case when Issue = '' then 'READY' else 'SKIP' end as Status, Issue from j""".replace("user_id_is_low", "seq % 101 = 0"))
+def u11_batches_to_import(spark, sf_dir):
+    """Batches with a file of each outcome that no batch of the target has the name of."""
+    attempts = log(spark, sf_dir)
+    return K.inspected(attempts.where("seq % 37 < 12").select("BatchName", F.col("Status").alias("File")), ["success", "empty", "failed"], attempts.where("seq % 101 = 0"))
+
+
+@query("""with a as (select regexp_replace(lower(c_name), '[^a-z0-9]', '', 'g') as k, max(c_mktsegment || ' ' || c_custkey) as shown from customer where c_custkey % 3 = 0 group by 1), o as (select c_custkey, case when c_custkey % 10 = 0 then ' ' else upper(c_name) || '.' end as Company from customer)
+select c_custkey, coalesce(a.shown, coalesce(nullif(trim(Company), ''), 'Unknown')) as DisplayCompany from o left join a on a.k = regexp_replace(lower(coalesce(nullif(trim(Company), ''), 'Unknown')), '[^a-z0-9]', '', 'g')""")
+def x25_display_companies(spark, sf_dir):
+    own = spark.read.parquet(f"{sf_dir}/customer.parquet")
+    aliases = own.where("c_custkey % 3 = 0").select(F.col("c_name").alias("Name"), F.concat("c_mktsegment", F.lit(" "), "c_custkey").alias("Shown"))
+    return K.displayed(own.select("c_custkey", F.when(F.col("c_custkey") % 10 == 0, " ").otherwise(F.concat(F.upper("c_name"), F.lit("."))).alias("Company")), aliases).select("c_custkey", "DisplayCompany")
+
+
+@query("""select cast(p_partkey as varchar) as p_partkey, p_name, printf('%.2f', p_retailprice / 10) || '%' as SharePercent, case when p_size > 25 then 'Yes' else 'No' end as Large, case when p_size / 4.0 = floor(p_size / 4.0) then cast(cast(floor(p_size / 4.0) as bigint) as varchar) else rtrim(printf('%.4f', p_size / 4.0), '0') end as Quarter from part""")
+def x21_display_cells(spark, sf_dir):
+    """Cells as reports show them, by the names and types of their columns."""
+    rows = spark.read.parquet(f"{sf_dir}/part.parquet").select("p_partkey", "p_name", (F.col("p_retailprice") / 10).alias("SharePercent"), (F.col("p_size") > 25).alias("Large"), (F.col("p_size") / 4).alias("Quarter"))
+    return packages.shown(rows)
+
+
+@query(f"""with x as ({coverage.SQL["j3_company_coverage"]}) select Company, ATS, CoverageStatus as "Coverage Status", JobsFound as "Jobs Found", GoodMatchesFound as "Good Matches Found", coalesce(LastChecked, '') as "Last Checked", LastFetchStatus as "Last Fetch Status", LastFetchError as "Fetch Notes" from x""")
+def p22_coverage_rows(spark, sf_dir):
+    """Coverage under the names that sheets show."""
+    shown = {"CoverageStatus": "Coverage Status", "JobsFound": "Jobs Found", "GoodMatchesFound": "Good Matches Found", "LastChecked": "Last Checked", "LastFetchStatus": "Last Fetch Status", "LastFetchError": "Fetch Notes"}
+    return coverage.j3_company_coverage(spark, sf_dir).na.fill("", ["LastChecked"]).select("Company", "ATS", *[F.col(c).alias(n) for c, n in shown.items()])
