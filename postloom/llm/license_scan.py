@@ -1,7 +1,7 @@
 """Licence scans: a trained classifier of paragraphs, confirmed by comparison with templates.
 
 A paragraph ends at a blank line or at a line that ends a sentence; other lines go on, so that a wrapped notice
-is one paragraph. Paragraphs with a word of the vocabulary (without one no family can be likelier than unknown) are made
+is one paragraph. Paragraphs with a word that speaks for a family (without one no family can be likelier than unknown) are made
 distinct, so that a notice found in a million documents is scored once. Their word n-grams meet the weights of a
 multinomial logistic regression, a small table, and the sums give a family or, below the calibrated threshold,
 unknown. Licences that aren't among the families are taught as unknown, in the same phrases as the families.
@@ -186,9 +186,20 @@ def trained() -> tuple[tuple[str, ...], tuple[tuple[str, tuple[float, ...]], ...
     return tuple(classes), tuple((g, tuple(map(float, w[i]))) for g, i in number.items()), tuple(map(float, b)), least
 
 
-def vocabulary_words() -> list[str]:
-    """The words of the weighted n-grams that say something."""
-    return sorted({w for g, _ in trained()[1] for w in g.split(" ")} - STOPS)
+@lru_cache(maxsize=1)
+def vocabulary_words() -> tuple[str, ...]:
+    """Words of which a notice has at least one: every n-gram that speaks for some family against unknown holds one of them.
+
+    Without any of them all n-grams of a paragraph speak for unknown, which the intercepts also do, so that no family can be the likelier.
+    """
+    classes, weights, intercepts, _ = trained()
+    assert max(intercepts[:-1]) < intercepts[-1]
+    speaking = [g for g, w in weights if max(w[:-1]) > w[-1]]
+    words = {g for g in speaking if " " not in g}
+    for a, b in (g.split(" ") for g in speaking if " " in g):
+        if a not in words and b not in words:
+            words.add(b if a in STOPS else a)
+    return tuple(sorted(words))
 
 
 def paragraphs_of(text: Column) -> Column:
@@ -210,7 +221,7 @@ def judged(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     classes, weights, intercepts, least = trained()
     text = F.col(text_col).cast("string")
     rid = F.coalesce(F.col(id_col).cast("long"), -1 - F.shiftrightunsigned(F.xxhash64(text), 1))
-    known = vocabulary_words()
+    known = list(vocabulary_words())
     known += [w for w, same in SAME.items() if same in known]
     raw, words = split_words(F.col("paragraph")), words_of_paragraph(F.col("paragraph"))
     # written once, as both the scores and their way back to the documents read it
