@@ -250,6 +250,30 @@ def c10_writer_fit(spark, sf_dir):
     return enriched(spark, sf_dir).select("seq", F.col("WriterFitBaseScore").cast("long").alias("WriterFitBaseScore"), F.col("WriterFitScore").cast("long").alias("WriterFitScore"), "WriterFitTier", "WriterFitReasons", "WriterFitPenaltySignals", "WriterFitGuardrailApplied")
 
 
+# ---- the same rules over whole documents as descriptions
+
+_documents = lambda sql: sql.replace(views.plain(views.JOBS), views.plain(views.DOCUMENT_JOBS))
+
+
+def document_jobs(spark, sf_dir: str) -> DataFrame:
+    return views.view(spark, sf_dir, views.DOCUMENT_JOBS)
+
+
+@query(_documents(SQL["c6_work_arrangement"]))
+def c6_arrangement_in_documents(spark, sf_dir):
+    return P.with_arrangement(document_jobs(spark, sf_dir)).select("seq", "RemoteStatus", "RemoteSignal", "RemoteConfidence", "LocationCountrySignal", "USRemoteEligible")
+
+
+@query(_documents(SQL["c8_salary"]))
+def c8_salary_in_documents(spark, sf_dir):
+    return P.with_salary(document_jobs(spark, sf_dir)).select("seq", "SalaryDetected", "SalaryMin", "SalaryMax", "SalaryCurrency", "SalaryPeriod", "SalaryText")
+
+
+@query(_documents(SQL["c10_writer_fit"]))
+def c10_fit_in_documents(spark, sf_dir):
+    return P.enriched(document_jobs(spark, sf_dir)).select("seq", F.col("WriterFitBaseScore").cast("long").alias("WriterFitBaseScore"), F.col("WriterFitScore").cast("long").alias("WriterFitScore"), "WriterFitTier", "WriterFitReasons", "WriterFitPenaltySignals", "WriterFitGuardrailApplied")
+
+
 # ---- summaries
 
 _n = lambda c: f"count(*) filter ({c})"

@@ -48,6 +48,12 @@ select o_orderkey as seq, {one_of(ATS, "o_orderkey")} as ATS,
   case when o_orderkey % 3 = 0 then '' else concat('R-', cast(o_orderkey as string)) end as RawJobId
 from {{orders}} join {{customer}} on o_custkey = c_custkey"""
 
+#: Postings whose descriptions are whole documents with a sentence about the work behind them.
+DOCUMENT_JOBS = f"""
+select doc_id as seq, {one_of(ATS, "doc_id")} as ATS, concat('Firm ', cast(doc_id % 50 as string)) as Company, {one_of(TITLES, "doc_id * 5")} as Title, {one_of(LOCATIONS, "doc_id * 7")} as Location,
+  concat(coalesce(text, ''), case when doc_id % 2 = 0 then ' ' else '' end, {one_of(DESCRIPTIONS, "doc_id * 3")}) as Description, concat('https://docs.example.com/', cast(doc_id as string)) as URL, '2026-01-01' as DatePosted, '' as RawJobId
+from {{documents}}"""
+
 FETCHES = f"""
 select event_id as seq, {one_of(ATS, "user_id")} as ATS, concat('board-', cast(user_id as string)) as CatalogSlug, cast(ts as timestamp) as FetchedAt,
   case event_type when 'purchase' then 'success' when 'view' then 'success' when 'click' then 'empty' when 'error' then 'failed' else 'skipped' end as Status,
