@@ -252,38 +252,51 @@ def x5_company_keys(spark, sf_dir):
 
 # ---- payloads of the remaining providers
 
-_id = "cast(o_orderkey as string)"
+# Payload text made of the tables' own words, with its fields under different names; both sides read the JSON by the same names.
+_s = lambda x: f"cast({x} as string)"
+_field = lambda name, value: f"concat('\"{name}\":\"', {value}, '\"')"
+_BODIES = f"""
+select o_orderkey as seq, case cast(o_orderkey % 3 as int) when 0 then {_field("id", "concat(' R-', " + _s("o_orderkey") + ")")} when 1 then concat({_field("jobReqId", _s("o_custkey"))}, ',"id":" "') else {_field("reqId", _s("o_orderkey"))} end as own,
+  case when o_orderkey % 4 < 3 then {_field("title", "concat(c_mktsegment, '  writer ')")} else concat('"title":null,', {_field("jobTitle", "c_name")}) end as called,
+  case cast(o_orderkey % 5 as int) when 0 then {_field("externalPath", "concat('https://x.example/job/', " + _s("o_orderkey") + ")")} when 1 then {_field("externalPath", "concat('/job/', o_orderpriority)")} when 2 then {_field("externalPath", "concat('job/', " + _s("o_custkey") + ")")} when 3 then {_field("url", "concat('https://y.example/', " + _s("o_orderkey") + ")")} else '"externalPath":""' end as link,
+  case cast(o_custkey % 4 as int) when 0 then {_field("locationsText", "concat(' ', n_name)")} when 1 then concat('"location":{{{{', {_field("label", "n_name")}, '}}}}') when 2 then concat('"location":{{{{', {_field("city", "n_name")}, ',"state":"TX"}}}}') else {_field("city", "n_name")} end as place
+from {{orders}} join {{customer}} on o_custkey = c_custkey join {{nation}} on c_nationkey = n_nationkey"""
+_B = f"b as ({views.plain(_BODIES).replace('{{', '{').replace('}}', '}')}), d as (select seq, cast('{{' || own || ',' || called || ',' || link || ',' || place || '}}' as json) as j from b)"
+_get = lambda n: f"nullif(trim(json_extract_string(j, '$.{n}')), '')"
+_any_of = lambda *ns: f"coalesce({', '.join(_get(n) for n in ns)}, '')"
+
+
+def bodies(spark, sf_dir):
+    """seq and body, the JSON text of one posting."""
+    o = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", "o_custkey", "o_orderpriority")
+    rows = spark.sql(_BODIES, orders=o, **{t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("customer", "nation")})
+    return rows.select("seq", F.concat(F.lit("{"), F.concat_ws(",", "own", "called", "link", "place"), F.lit("}")).alias("body"))
+
+
+@query(f"""with {_B}, w as (select {_any_of("externalPath", "externalUrl", "url")} as p, {_any_of("id", "jobReqId")} as i, {_any_of("title", "jobTitle")} as Title, {_any_of("locationsText")} as Location from d)
+select case when i <> '' then i else p end as RawJobId, Title, Location, case when p like 'http%' then p when p = '' then 'https://acme.example/careers' when p like '/%' then 'https://acme.example/careers' || p else 'https://acme.example/careers/' || p end as URL from w""")
+def p4_workday_payloads(spark, sf_dir):
+    """Payloads with a whole, a relative and no link, resolved against the board's."""
+    rows = bodies(spark, sf_dir).select(F.from_json("body", feeds.WORKDAY).alias("r")).select("r.*")
+    return feeds.from_workday(rows, "https://acme.example/careers/").select("RawJobId", "Title", "Location", "URL")
 
 
-@query("select 'R-' || o_orderkey as RawJobId, 'Role ' || (o_orderkey % 50) as Title, 'City ' || (o_orderkey % 9) as Location, case o_orderkey % 3 when 0 then 'https://x.example/job/' || o_orderkey when 1 then 'https://acme.example/careers/job/' || o_orderkey else 'https://acme.example/careers' end as URL from orders")
-def p4_workday_payloads(spark, sf_dir):
-    """Payloads with a full, a relative and no link, resolved against the board's."""
-    o = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey")
-    key = F.col("o_orderkey")
-    path = F.when(key % 3 == 0, F.concat(F.lit("https://x.example/job/"), key)).when(key % 3 == 1, F.when(key % 2 == 0, F.concat(F.lit("/job/"), key)).otherwise(F.concat(F.lit("job/"), key))).otherwise("")
-    body = F.to_json(F.struct(F.concat(F.lit(" R-"), key).alias("id"), F.concat(F.lit("Role "), key % 50).alias("title"), path.alias("externalPath"), F.concat(F.lit("City "), key % 9).alias("locationsText")))
-    return feeds.from_workday(o.select(F.from_json(body, feeds.WORKDAY).alias("r")).select("r.*"), "https://acme.example/careers/").select("RawJobId", "Title", "Location", "URL")
+_where = "case when json_type(json_extract(j, '$.location')) = 'OBJECT' then coalesce(nullif(trim(json_extract_string(j, '$.location.name')), ''), nullif(trim(json_extract_string(j, '$.location.label')), ''), nullif(array_to_string(list_filter([trim(json_extract_string(j, '$.location.city')), trim(json_extract_string(j, '$.location.state'))], lambda x: coalesce(x, '') <> ''), ', '), '')) end"
+_wrapped = "case cast(seq % 4 as int) when 0 then concat('[', body, ']') when 1 then concat('{\"meta\":[1],\"result\":[', body, ']}') when 2 then concat('{\"jobs\":[', body, ',', body, ']}') else concat('{\"jobOpenings\":[', body, ']}') end"
 
 
-@query("select o_orderkey::varchar as RawJobId, 'Role ' || (o_orderkey % 50) as Title, case when o_orderkey % 2 = 0 then 'Austin, TX' else 'Berlin' end as Location, case when o_orderkey % 5 = 0 then 'https://a.example/' || o_orderkey else 'https://acme.example/careers/' || o_orderkey end as URL from orders")
+@query(f"""with {_B}, w as (select {_wrapped.replace('body', 'cast(j as varchar)')} as t from d), x as (select unnest(case when t like '[%' then json_extract(t::json, '$[*]') when json_type(t::json, '$.result') = 'ARRAY' then json_extract(t::json, '$.result[*]') when json_type(t::json, '$.jobs') = 'ARRAY' then json_extract(t::json, '$.jobs[*]') else json_extract(t::json, '$.jobOpenings[*]') end) as j from w)
+select {_any_of("id", "jobOpeningId", "openingId")} as RawJobId, {_any_of("jobOpeningName", "title", "jobTitle", "name")} as Title, coalesce({_where}, '') as Location, coalesce({_get("url")}, case when {_get("id")} is not null then 'https://acme.example/careers/' || {_get("id")} end, '') as URL from x""")
 def p5_bamboohr_payloads(spark, sf_dir):
     """Arrays of openings under the names that payloads use, found by extract_jobs (S23)."""
-    o = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey")
-    key = F.col("o_orderkey")
-    job = F.struct(key.cast("string").alias("jobOpeningId"), F.concat(F.lit("Role "), key % 50).alias("jobOpeningName"), F.when(key % 2 == 0, F.struct(F.lit("Austin").alias("city"), F.lit("TX").alias("state"))).alias("location"),
-                   F.lit("Berlin").alias("locationName"), F.when(key % 5 == 0, F.concat(F.lit("https://a.example/"), key)).alias("applicationUrl"))
-    one = F.to_json(F.array(job))
-    body = F.when(key % 4 == 0, one).when(key % 4 == 1, F.concat(F.lit('{"result":'), one, F.lit("}"))).when(key % 4 == 2, F.concat(F.lit('{"jobs":'), one, F.lit("}"))).otherwise(F.concat(F.lit('{"meta":{},"jobOpenings":'), one, F.lit("}")))
-    return feeds.from_bamboohr(feeds.extract_jobs(o.select(body.alias("body")), "body", feeds.BAMBOOHR), "https://acme.example/careers/list").select("RawJobId", "Title", "Location", "URL")
+    wrapped = bodies(spark, sf_dir).select(F.expr(_wrapped).alias("body"))
+    return feeds.from_bamboohr(feeds.extract_jobs(wrapped, "body", feeds.BAMBOOHR), "https://acme.example/careers/list").select("RawJobId", "Title", "Location", "URL")
 
 
-@query("select o_orderkey::varchar as RawJobId, 'Role ' || (o_orderkey % 50) as Title, case when o_orderkey % 2 = 0 then 'Main office' else 'Oslo' end as Location, case when o_orderkey % 3 = 0 then 'https://board.example' else 'https://b.example/' || o_orderkey end as URL from orders")
+@query(f"""with {_B} select {_any_of("id", "jobId", "requisitionId", "reqId")} as RawJobId, {_any_of("title", "jobTitle", "name")} as Title, coalesce({_where}, {_get("city")}, '') as Location, coalesce({_get("url")}, 'https://board.example') as URL from d""")
 def p6_icims_payloads(spark, sf_dir):
-    o = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey")
-    key = F.col("o_orderkey")
-    body = F.to_json(F.struct(key.cast("string").alias("jobId"), F.concat(F.lit("Role "), key % 50).alias("jobTitle"), F.when(key % 2 == 0, F.struct(F.lit("Main office").alias("label"))).alias("location"), F.lit("Oslo").alias("city"),
-                              F.when(key % 3 != 0, F.concat(F.lit("https://b.example/"), key)).alias("applyUrl")))
-    return feeds.from_icims(o.select(F.from_json(body, feeds.ICIMS).alias("r")).select("r.*"), "https://board.example").select("RawJobId", "Title", "Location", "URL")
+    rows = bodies(spark, sf_dir).select(F.from_json("body", feeds.ICIMS).alias("r")).select("r.*")
+    return feeds.from_icims(rows, "https://board.example").select("RawJobId", "Title", "Location", "URL")
 
 
 # ---- consumer file and lists
