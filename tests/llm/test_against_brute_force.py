@@ -458,7 +458,7 @@ def test_sql_gives_the_same_rows(spark, queries):
     from postloom.llm.queries import sql
 
     con = duckdb.connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "pages", "benchmark", "conversations"):
         con.sql(f"create view {t} as from '{DIR}/{t}.parquet'")
     for name, text in sql().items():
         want = con.sql(text)
