@@ -7,7 +7,7 @@ import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -26,6 +26,13 @@ def scratch_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/postloom-{name}-{uuid.uuid4().hex}"
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """df written to a scratch folder and read again: worked out once, and each reader reads only its columns."""
+    path = scratch_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def ensure_checkpoints(spark: SparkSession) -> None:
     """Checkpoints need a folder; one that the session has stays."""
     if spark.sparkContext.getCheckpointDir() is None:

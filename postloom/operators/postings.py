@@ -2,7 +2,7 @@
 
 Each operator takes a DataFrame and returns it with columns added; all are built-in expressions, so that one
 scan feeds one projection. Titles repeat far more than postings, so the title operators work on distinct
-titles and join back.
+titles and join back; where whole texts repeat, enriched() and graded() do so with all rules that read only these.
 """
 
 from __future__ import annotations
@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from postloom.functions import fixed, text
+from postloom.functions.folders import ensure_checkpoints, stored
 from postloom.operators.ordering import ranked_within, spread_key
 
 
@@ -236,10 +237,24 @@ REACH = 40
 
 
 def with_keys(jobs: DataFrame) -> DataFrame:
-    place = text.joined([text.key_part(F.col("Company")), text.key_part(text.normalized_title(F.col("Title"))), text.key_part(F.col("Location"))], ":")
-    df = jobs.withColumns({"CompanyTitleLocationKey": place, "CanonicalURLKey": text.canonical_url(F.col("URL"))})
+    return with_job_key(_place_and_url(jobs, _title_part(), _location_part()))
+
+
+def _title_part() -> Column:
+    return text.key_part(text.normalized_title(F.col("Title")))
+
+
+def _location_part() -> Column:
+    return text.key_part(F.col("Location"))
+
+
+def _place_and_url(jobs: DataFrame, title: Column, location: Column) -> DataFrame:
+    return jobs.withColumns({"CompanyTitleLocationKey": text.joined([text.key_part(F.col("Company")), title, location], ":"), "CanonicalURLKey": text.canonical_url(F.col("URL"))})
+
+
+def with_job_key(keyed: DataFrame) -> DataFrame:
     raw = text.key_part(F.col("RawJobId"))
-    return df.withColumn("JobKey", text.joined([text.key_part(F.col("ATS")), F.when(raw != "", raw).otherwise(F.col("CompanyTitleLocationKey"))], ":"))
+    return keyed.withColumn("JobKey", text.joined([text.key_part(F.col("ATS")), F.when(raw != "", raw).otherwise(F.col("CompanyTitleLocationKey"))], ":"))
 
 
 def with_duplicate_flags(jobs: DataFrame) -> DataFrame:
@@ -247,7 +262,7 @@ def with_duplicate_flags(jobs: DataFrame) -> DataFrame:
 
     Counts are aggregates that join back, so that a key with many rows needs no window over them.
     """
-    df = with_keys(jobs)
+    df = jobs if {"CanonicalURLKey", "CompanyTitleLocationKey"} <= set(jobs.columns) else with_keys(jobs)
     for key, name in (("CanonicalURLKey", "_by_url"), ("CompanyTitleLocationKey", "_by_place")):
         many = df.where(F.col(key) != "").groupBy(F.col(key).alias("_k")).agg(F.count("*").alias("_n")).where("_n > 1").select("_k", F.lit(True).alias(name))
         df = df.withColumn("_k", spread_key(F.col(key), "seq")).join(many, "_k", "left").drop("_k")
@@ -337,9 +352,52 @@ def with_fit(jobs: DataFrame) -> DataFrame:
     return df.drop(*[c for c in df.columns if c.startswith("_")])
 
 
-def enriched(jobs: DataFrame) -> DataFrame:
-    """All of the above. What reads the rows more than once comes first, so that it doesn't repeat the costly columns."""
-    return with_fit(with_quality(with_salary(with_arrangement(with_titles(with_duplicate_flags(jobs), jobs)))))
+#: All that the rules of title, arrangement, pay and fit read of a posting as it comes.
+TEXTS = ["Title", "Location", "Description"]
+#: Different texts that are worked out apart from the rows, and broadcast; with more of them every row is worked out by itself.
+MOST_TEXTS = 20_000
+#: What with_fit adds.
+FIT = ["WriterFitBaseScore", "WriterFitScore", "WriterFitTier", "WriterFitReasons", "WriterFitPenaltySignals", "WriterFitGuardrailApplied"]
+
+
+def repeated_texts(jobs: DataFrame, most: int = MOST_TEXTS) -> DataFrame | None:
+    """The different TEXTS of jobs with a number each in text_, or None if there are more than most."""
+    ensure_checkpoints(jobs.sparkSession)
+    found = jobs.select(*TEXTS).distinct().limit(most + 1).repartition(jobs.sparkSession.sparkContext.defaultParallelism)  # one more tells that there are too many
+    found = found.withColumn("text_", F.monotonically_increasing_id()).checkpoint()
+    return found if found.count() <= most else None
+
+
+def _flagged(jobs: DataFrame, texts: DataFrame, known: DataFrame) -> DataFrame:
+    """jobs with duplicate flags and the columns of known, one of whose rows goes with each text; the texts themselves aren't shuffled."""
+    numbers = F.broadcast(texts.select("text_", *[F.col(c).alias(f"{c}_") for c in TEXTS], _title_part().alias("title_part_"), _location_part().alias("location_part_")))
+    rows = jobs.join(numbers, [jobs[c].eqNullSafe(F.col(f"{c}_")) for c in TEXTS])
+    rows = _place_and_url(rows, F.col("title_part_"), F.col("location_part_")).drop(*TEXTS, *[f"{c}_" for c in TEXTS], "title_part_", "location_part_")
+    # three readers follow: the counts by either key, and the rows
+    return with_duplicate_flags(with_job_key(stored(rows, "keys"))).join(F.broadcast(known), "text_")
+
+
+def graded(jobs: DataFrame, most: int = MOST_TEXTS) -> DataFrame:
+    """jobs with arrangement, duplicate flags and quality."""
+    texts = repeated_texts(jobs, most)
+    if texts is None:
+        return with_quality(with_duplicate_flags(with_arrangement(jobs)))
+    return with_quality(_flagged(jobs, texts, with_arrangement(texts).checkpoint())).drop("text_")
+
+
+def enriched(jobs: DataFrame, most: int = MOST_TEXTS) -> DataFrame:
+    """All of the above. What reads the rows more than once comes first, so that it doesn't repeat the costly columns.
+
+    Texts that repeat are worked out once; the fit score also asks for quality and duplication, and is worked out for each outcome of both.
+    """
+    texts = repeated_texts(jobs, most)
+    if texts is None:
+        return with_fit(with_quality(with_salary(with_arrangement(with_titles(with_duplicate_flags(jobs), jobs)))))
+    known = with_salary(with_arrangement(with_titles(texts))).checkpoint()
+    outcomes = known.withColumn("ExportQualityFlag", F.explode(F.array(*map(F.lit, fixed.QUALITY_RANK)))).withColumn("PossibleDuplicate", F.explode(F.array(F.lit(True), F.lit(False))))
+    by = ["text_", "ExportQualityFlag", "PossibleDuplicate"]
+    scores = with_fit(outcomes).select(*by, *FIT).checkpoint()
+    return with_quality(_flagged(jobs, texts, known.drop("_fit"))).join(F.broadcast(scores), by).drop("text_")
 
 
 def dedupe_keys(jobs: DataFrame) -> DataFrame:

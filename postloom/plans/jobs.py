@@ -242,7 +242,7 @@ def w1_duplicate_flags(spark, sf_dir):
 
 @query(f"with {ENRICHED} select seq, ExportQualityFlag, ExportQualityIssues, MissingRequiredFields, DescriptionLength, URLValid, ApplyURLHost from q")
 def c9_quality(spark, sf_dir):
-    return P.with_quality(P.with_duplicate_flags(P.with_arrangement(jobs(spark, sf_dir)))).select("seq", "ExportQualityFlag", "ExportQualityIssues", "MissingRequiredFields", "DescriptionLength", "URLValid", "ApplyURLHost")
+    return P.graded(jobs(spark, sf_dir)).select("seq", "ExportQualityFlag", "ExportQualityIssues", "MissingRequiredFields", "DescriptionLength", "URLValid", "ApplyURLHost")
 
 
 @query(f"with {ENRICHED} select seq, WriterFitBaseScore::bigint as WriterFitBaseScore, WriterFitScore::bigint as WriterFitScore, WriterFitTier, WriterFitReasons, WriterFitPenaltySignals, WriterFitGuardrailApplied from e")
@@ -334,7 +334,7 @@ _flags = ["OK", "REVIEW", "BAD_ROW"]
 
 @query(f"with {ENRICHED}, dim as (select unnest({_list(_flags)}) as ExportQualityFlag) select ExportQualityFlag, count(q.seq) as Count from dim left join q using (ExportQualityFlag) group by 1")
 def a6_quality_summary(spark, sf_dir):
-    found = P.with_quality(P.with_duplicate_flags(P.with_arrangement(jobs(spark, sf_dir)))).groupBy("ExportQualityFlag").agg(F.count("*").alias("Count"))
+    found = P.graded(jobs(spark, sf_dir)).groupBy("ExportQualityFlag").agg(F.count("*").alias("Count"))
     return dimension(spark, "ExportQualityFlag", _flags).join(found, "ExportQualityFlag", "left").na.fill(0).drop("place")
 
 

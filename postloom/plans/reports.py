@@ -156,7 +156,7 @@ def o7_duplicate_listing(spark, sf_dir):
 
 @query(f"with {ENRICHED} select seq, ExportQualityFlag, ExportQualityIssues, Company, Title, URL, ATS from q where ExportQualityFlag = 'BAD_ROW'")
 def o8_bad_rows(spark, sf_dir):
-    rows = P.with_quality(P.with_duplicate_flags(P.with_arrangement(jobs(spark, sf_dir)))).where("ExportQualityFlag = 'BAD_ROW'")
+    rows = P.graded(jobs(spark, sf_dir)).where("ExportQualityFlag = 'BAD_ROW'")
     return rows.select("seq", "ExportQualityFlag", "ExportQualityIssues", "Company", "Title", "URL", "ATS")
 
 
