@@ -415,6 +415,7 @@ def components(keyed: DataFrame, id_col: str = "seq") -> DataFrame:
     Every key links its rows to its smallest; labels then spread in rounds, each a checkpoint that survives
     lost executors. Few rows share keys, and only those take part.
     """
+    keyed = stored(keyed.select(id_col, "keys"), "keyed")
     links = keyed.select(F.col(id_col).alias("id"), F.explode("keys").alias("key"))
     heads = links.groupBy("key").agg(F.min("id").alias("head"), F.count("*").alias("n")).where("n > 1").select("key", "head")
     edges = links.join(heads, "key").select("id", "head").where("id <> head").distinct()
@@ -432,7 +433,8 @@ def components(keyed: DataFrame, id_col: str = "seq") -> DataFrame:
     return keyed.select(F.col(id_col).alias("id")).join(label, "id", "left").select("id", F.coalesce("label", "id").alias("component"))
 
 
-#: What preference() reads.
+#: What dedupe_keys() and preference() read.
+KEYED_BY = ["DuplicateGroupKey", "CanonicalURLKey", "CompanyTitleLocationKey", "JobKey", "URL"]
 PREFERRED_BY = ["WriterFitScore", "WriterFitTier", "ExportQualityFlag", "USRemoteEligible", "RemoteStatus", "SalaryDetected", "ATS", "DatePosted", "Company", "Title"]
 
 
@@ -448,15 +450,12 @@ def preference() -> list[Column]:
     ]
 
 
-def winners(jobs: DataFrame, keyed: DataFrame | None = None) -> DataFrame:
-    """Rows with component, DedupeGroupSize, DedupeRank and DedupeSelected.
-
-    keyed may give the same rows with no more than their duplicate flags, which spares the rounds the rest.
-    """
-    found = components(dedupe_keys(jobs if keyed is None else keyed).select("seq", "keys"))
-    df = jobs.join(found, jobs["seq"] == found["id"]).drop("id")
-    ranks = ranked_within(df.select("component", *PREFERRED_BY, "seq"), ["component"], preference(), ["seq"]).select("seq", F.col("size").alias("DedupeGroupSize"), F.col("rank").alias("DedupeRank"))
-    return df.join(ranks, "seq").withColumn("DedupeSelected", F.col("DedupeRank") == 1)
+def winners(jobs: DataFrame) -> DataFrame:
+    """Rows with component, DedupeGroupSize, DedupeRank and DedupeSelected. They are stored, so select no more columns than are wanted."""
+    rows = stored(jobs, "rows")
+    found = components(dedupe_keys(rows).select("seq", "keys"))
+    ranks = ranked_within(rows.join(found, rows["seq"] == found["id"]).select("component", *PREFERRED_BY, "seq"), ["component"], preference(), ["seq", "component"])
+    return rows.join(ranks.withColumnsRenamed({"size": "DedupeGroupSize", "rank": "DedupeRank"}), "seq").withColumn("DedupeSelected", F.col("DedupeRank") == 1)
 
 
 def writer_focus() -> Column:

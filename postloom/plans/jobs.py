@@ -194,7 +194,7 @@ def enriched(spark, sf_dir: str) -> DataFrame:
 
 
 def won(spark, sf_dir: str) -> DataFrame:
-    return P.winners(enriched(spark, sf_dir), P.with_duplicate_flags(jobs(spark, sf_dir)))
+    return P.winners(enriched(spark, sf_dir).select("seq", *P.KEYED_BY, *P.PREFERRED_BY))
 
 
 # ---- row-level operators

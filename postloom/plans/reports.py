@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from postloom.functions import fixed
-from postloom.functions.folders import ensure_checkpoints, scratch_folder
+from postloom.functions.folders import ensure_checkpoints, scratch_folder, stored
 from postloom.operators import postings as P
 from postloom.operators import urls as U
 from postloom.operators.ordering import numbered, ranked_within
@@ -120,27 +120,33 @@ won as (select m.*, component, row_number() over (partition by m.SliceName, comp
 _MEMBERS = _MEMBERS.replace("lower(Company), lower(Title), seq)", "lower(Company), lower(Title), m.seq)")
 
 
+def slice_rows(spark, sf_dir: str) -> DataFrame:
+    """A posting in each of its slices; the postings are stored, as all that follows reads them again."""
+    own = enriched(spark, sf_dir).select("seq", "TitleReviewBucket", *P.KEYED_BY, *P.PREFERRED_BY)
+    return stored(own, "postings").withColumn("SliceName", F.explode(deduped_slices()))
+
+
 def slice_winners(rows: DataFrame) -> DataFrame:
-    """rows (with seq and SliceName, a posting in each of its slices) with components found within their slices, and ranks in them."""
+    """SliceName, seq, component, DedupeRank and DedupeGroupSize of rows (a posting in each of its slices): components found within their slices, and ranks in them."""
     number = F.array_position(F.array(*map(F.lit, DEDUPED)), F.col("SliceName")).cast("long")
-    keyed = P.dedupe_keys(rows).select(F.shiftleft(number, 48).bitwiseOR(F.col("seq")).alias("id"), F.transform("keys", lambda k: F.concat_ws("~", "SliceName", k)).alias("keys"))
-    comp = P.components(keyed, "id")
-    df = rows.withColumn("id", F.shiftleft(number, 48).bitwiseOR(F.col("seq"))).join(comp, "id").withColumn("component", F.col("component").bitwiseAND(F.lit((1 << 48) - 1)))
-    ranks = ranked_within(df.select("SliceName", "component", *P.PREFERRED_BY, "seq"), ["SliceName", "component"], P.preference(), ["SliceName", "seq"])
-    return df.join(ranks, ["SliceName", "seq"]).withColumnsRenamed({"rank": "DedupeRank", "size": "DedupeGroupSize"})
+    rows = rows.withColumn("id", F.shiftleft(number, 48).bitwiseOR(F.col("seq")))
+    comp = P.components(P.dedupe_keys(rows).select("id", F.transform("keys", lambda k: F.concat_ws("~", "SliceName", k)).alias("keys")), "id")
+    df = rows.join(comp, "id").withColumn("component", F.col("component").bitwiseAND(F.lit((1 << 48) - 1)))
+    ranks = ranked_within(df.select("SliceName", "component", *P.PREFERRED_BY, "seq"), ["SliceName", "component"], P.preference(), ["SliceName", "seq", "component"])
+    return ranks.withColumnsRenamed({"rank": "DedupeRank", "size": "DedupeGroupSize"})
 
 
 @query(f"with recursive {_MEMBERS} select SliceName, seq, component, DedupeRank, DedupeGroupSize from won")
 def w7_slice_components(spark, sf_dir):
     ensure_checkpoints(spark)
-    return slice_winners(enriched(spark, sf_dir).withColumn("SliceName", F.explode(deduped_slices()))).select("SliceName", "seq", "component", "DedupeRank", "DedupeGroupSize")
+    return slice_winners(slice_rows(spark, sf_dir)).select("SliceName", "seq", "component", "DedupeRank", "DedupeGroupSize")
 
 
 @query(f"with recursive {_MEMBERS} select SliceName, count(*) as RawRows, count(*) filter (DedupeRank = 1) as KeptRows, count(*) filter (DedupeRank > 1) as RejectedRows, count(*) filter (DedupeRank = 1 and DedupeGroupSize > 1) as Decisions from won group by 1")
 def e5_stage_outputs(spark, sf_dir):
     """Winners of each slice written to its folder, read again and counted next to what was rejected."""
     ensure_checkpoints(spark)
-    won = slice_winners(enriched(spark, sf_dir).withColumn("SliceName", F.explode(deduped_slices()))).select("SliceName", "seq", "DedupeRank", "DedupeGroupSize")
+    won = slice_winners(slice_rows(spark, sf_dir)).select("SliceName", "seq", "DedupeRank", "DedupeGroupSize")
     path = scratch_folder(spark, "slices")
     won.write.partitionBy("SliceName").parquet(path)
     back = spark.read.parquet(path)

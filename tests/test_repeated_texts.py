@@ -29,3 +29,7 @@ def test_rows_are_spared_the_patterns(spark):
         plan = {**plans.QUERIES, **__import__("postloom.plans.reports", fromlist=["QUERIES"]).QUERIES}[name](spark, DIR)._jdf.queryExecution().optimizedPlan().toString()
         assert "RLIKE" not in plan, name
 
+
+def test_winners_read_stored_rows(spark):
+    plan = plans.QUERIES["w5_winners"](spark, DIR)._jdf.queryExecution().optimizedPlan().toString()
+    assert "o_orderkey" not in plan and "try_parse_url" not in plan
