@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from postloom.functions import fixed, text
+from postloom.functions.folders import stored
 from postloom.operators.ordering import first_values
 
 # ---- entries of mixed form
@@ -211,6 +212,7 @@ def title_families(rows: DataFrame, most: int = 10) -> DataFrame:
     calm = rows.where(~F.lower(title).rlike(r"\b(" + "|".join(fixed.TITLE_NOISE) + r")\b")).where(title.rlike(pattern))
     family = F.concat(plain(F.regexp_extract(title, pattern, 1)), F.lit(" - [qualifier] - remote"))
     keyed = calm.select(plain(F.col("Company")).alias("CompanyKey"), family.alias("TitleFamily"), title.alias("Title"), text.clean(F.col("Location")).alias("Location"), text.clean(F.col("Link")).alias("Link"))
+    keyed = stored(keyed, "families")  # the counts and each list read it
     keys = ["CompanyKey", "TitleFamily"]
     out = keyed.groupBy(*keys).agg(F.count("*").alias("Listings"), F.count_distinct("Title").alias("Titles"), F.count_distinct(F.nullif("Location", F.lit(""))).alias("Places"))
     out = out.where("Listings > 1 and Titles > 1")
