@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from postloom.functions import fixed, text
+from postloom.functions.folders import stored
 from postloom.operators.ordering import first_values
 from postloom.operators.boards import rate
 from postloom.operators.postings import pinned, watchlist
@@ -113,7 +114,7 @@ def consolidated(rows: DataFrame) -> DataFrame:
     """
     key = F.concat_ws("|", F.lower(text.clean(F.col("Company"))), F.lower(text.clean(F.col("Title"))))
     place = F.lower(text.clean(F.col("Location")))
-    keyed = rows.withColumn("GroupKey", key)
+    keyed = stored(rows.withColumn("GroupKey", key).select("GroupKey", "seq", "Location", "RemoteStatus", "WriterFitScore", "DatePosted"), "consolidated")
     groups = keyed.groupBy("GroupKey").agg(F.count("*").alias("Postings"), F.count_distinct(F.nullif(place, F.lit(""))).alias("Places"))
     merged = groups.where("Places >= 2").select("GroupKey")
     rank = text.ranked(F.col("RemoteStatus"), fixed.REMOTE_RANK)
@@ -138,6 +139,7 @@ def grouped_postings(rows: DataFrame, most: int = 8) -> DataFrame:
     plain = lambda c: F.lower(text.squeezed(text.clean(F.col(c))))
     place, link = text.clean(F.col("Location")), text.clean(F.col("Link"))
     keyed = rows.withColumns({"GroupKey": F.concat_ws("|", plain("Company"), plain("Title")), "place": place, "link": link, "kind": F.initcap(plain("Arrangement"))})
+    keyed = stored(keyed.select("GroupKey", "place", "link", "kind", "Age", "Score", "Posted", "Checked"), "grouped")  # the groups and their places read it
     kinds = ["Remote", "Hybrid", "Onsite"]
     rank = text.ranked(F.col("kind"), {k: i for i, k in enumerate(kinds)})
     best = F.struct(rank.alias("r"), F.col("Age").isNull().alias("old"), "Age", (-F.coalesce(F.col("Score").cast("double"), F.lit(float("-inf")))).alias("s"), "place", "link", "kind")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from postloom.functions import dates, fixed
-from postloom.functions.folders import scratch_folder
+from postloom.functions.folders import scratch_folder, stored
 from postloom.operators import boards as B
 from postloom.operators import catalogs as K
 from postloom.operators import coverage as V
@@ -286,7 +286,7 @@ def w17_grouped_postings(spark, sf_dir):
 
 @query(f"with {_GROUPED} select distinct GroupKey, lk as Link from k join o using (GroupKey) where lk <> '' and lk <> ApplyLink")
 def w18_other_links(spark, sf_dir):
-    rows = views.view(spark, sf_dir, views.FAMILIES)
+    rows = stored(views.view(spark, sf_dir, views.FAMILIES), "postings")
     return N.other_links(rows, N.grouped_postings(rows))
 
 

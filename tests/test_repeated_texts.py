@@ -33,3 +33,11 @@ def test_rows_are_spared_the_patterns(spark):
 def test_winners_read_stored_rows(spark):
     plan = plans.QUERIES["w5_winners"](spark, DIR)._jdf.queryExecution().optimizedPlan().toString()
     assert "o_orderkey" not in plan and "try_parse_url" not in plan
+
+
+def test_readers_of_stored_rows(spark):
+    from postloom.plans import QUERIES
+
+    for name in ("w16_consolidation", "w17_grouped_postings", "w18_other_links", "w19_title_families"):
+        plan = QUERIES[name](spark, DIR)._jdf.queryExecution().optimizedPlan().toString()
+        assert "l_partkey" not in plan and "o_orderkey" not in plan, name
