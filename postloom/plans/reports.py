@@ -174,7 +174,7 @@ def a9_key_counts(spark, sf_dir):
 @query(f"with {ENRICHED} select seq, row_number() over (order by WriterFitBaseScore desc, lower(Company), lower(Title), seq) as place, WriterFitBaseScore::bigint as WriterFitBaseScore, WriterFitScore::bigint as WriterFitScore, WriterFitPenaltySignals from e where (WriterFitGuardrailApplied or WriterFitPenaltySignals <> '') and WriterFitBaseScore >= 75")
 def p29_demoted_rows(spark, sf_dir):
     rows = enriched(spark, sf_dir).where("(WriterFitGuardrailApplied or WriterFitPenaltySignals <> '') and WriterFitBaseScore >= 75").select("seq", "Company", "Title", "WriterFitBaseScore", "WriterFitScore", "WriterFitPenaltySignals")
-    placed = numbered(rows, [F.desc("WriterFitBaseScore"), F.lower("Company"), F.lower("Title"), "seq"])
+    placed = numbered(stored(rows, "demoted"), [F.desc("WriterFitBaseScore"), F.lower("Company"), F.lower("Title"), "seq"])
     return placed.select("seq", "place", F.col("WriterFitBaseScore").cast("long").alias("WriterFitBaseScore"), F.col("WriterFitScore").cast("long").alias("WriterFitScore"), "WriterFitPenaltySignals")
 
 
