@@ -109,25 +109,40 @@ def key_part(c: Column) -> Column:
 
 def joined(parts: list[Column], by: str) -> Column:
     """The parts that aren't empty."""
-    return F.array_join(F.filter(F.array(*parts), lambda x: x != ""), by)
+    return F.concat_ws(by, *[F.nullif(p, F.lit("")) for p in parts])
+
+
+def url_text(c: Column) -> Column:
+    """What the functions of URLs below read."""
+    return F.replace(clean(c), F.lit(" "), F.lit("%20"))
+
+
+def parsed_host(url: Column) -> Column:
+    """The host of url_text(), null if it has none or isn't a URL. A parse costs more than the rest: with a host, scheme and path are read off the text."""
+    return F.try_parse_url(url, F.lit("HOST"))
 
 
 def canonical_url(c: Column) -> Column:
     """scheme://host/path, lower-case but for the path, without trailing slashes; empty if it isn't a URL."""
-    text = F.replace(clean(c), F.lit(" "), F.lit("%20"))
-    scheme, host, path = (F.try_parse_url(text, F.lit(x)) for x in ("PROTOCOL", "HOST", "PATH"))
-    found = F.concat(F.lower(scheme), F.lit("://"), F.lower(host), F.regexp_replace(F.coalesce(path, F.lit("")), "/+$", ""))
-    return F.coalesce(found, F.lit(""))
+    return canonical_of(url_text(c), parsed_host(url_text(c)))
+
+
+def canonical_of(url: Column, host: Column) -> Column:
+    path = F.rtrim(F.regexp_extract(url, "^[^:]+://[^/?#]*([^?#]*)", 1), F.lit("/"))
+    found = F.concat(F.lower(F.substring_index(url, ":", 1)), F.lit("://"), F.lower(host), path)
+    return F.when(host.isNotNull() & ~F.startswith(url, F.lit("//")), found).otherwise("")
 
 
 def url_host(c: Column) -> Column:
-    return F.coalesce(F.lower(F.try_parse_url(F.replace(clean(c), F.lit(" "), F.lit("%20")), F.lit("HOST"))), F.lit(""))
+    return F.coalesce(F.lower(parsed_host(url_text(c))), F.lit(""))
 
 
 def is_web_url(c: Column) -> Column:
-    text = F.replace(clean(c), F.lit(" "), F.lit("%20"))
-    scheme = F.lower(F.try_parse_url(text, F.lit("PROTOCOL")))
-    return F.coalesce(scheme.isin("http", "https") & F.try_parse_url(text, F.lit("HOST")).isNotNull(), F.lit(False))
+    return is_web_of(url_text(c), parsed_host(url_text(c)))
+
+
+def is_web_of(url: Column, host: Column) -> Column:
+    return host.isNotNull() & F.lower(F.substring_index(url, ":", 1)).isin("http", "https")
 
 
 def strip_html(c: Column) -> Column:

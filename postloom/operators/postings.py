@@ -7,6 +7,9 @@ titles and join back; where whole texts repeat, enriched() and graded() do so wi
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -237,7 +240,8 @@ REACH = 40
 
 
 def with_keys(jobs: DataFrame) -> DataFrame:
-    return with_job_key(_place_and_url(jobs, _title_part(), _location_part()))
+    df = pinned(pinned(jobs, "title_part_", _title_part()), "location_part_", _location_part())
+    return with_job_key(_place_and_url(df, F.col("title_part_"), F.col("location_part_"))).drop("title_part_", "location_part_")
 
 
 def _title_part() -> Column:
@@ -248,8 +252,16 @@ def _location_part() -> Column:
     return text.key_part(F.col("Location"))
 
 
+def with_host(jobs: DataFrame) -> DataFrame:
+    """jobs with url_ and host_, the URL as it is read and its host; once for all that reads them."""
+    return jobs if "host_" in jobs.columns else pinned(pinned(jobs, "url_", text.url_text(F.col("URL"))), "host_", text.parsed_host(F.col("url_")))
+
+
 def _place_and_url(jobs: DataFrame, title: Column, location: Column) -> DataFrame:
-    return jobs.withColumns({"CompanyTitleLocationKey": text.joined([text.key_part(F.col("Company")), title, location], ":"), "CanonicalURLKey": text.canonical_url(F.col("URL"))})
+    df = with_host(jobs)
+    df = pinned(df, "company_part_", text.key_part(F.col("Company")))
+    place = text.joined([F.col("company_part_"), title, location], ":")
+    return df.withColumns({"CompanyTitleLocationKey": place, "CanonicalURLKey": text.canonical_of(F.col("url_"), F.col("host_"))}).drop(*set(df.columns) - set(jobs.columns))
 
 
 def with_job_key(keyed: DataFrame) -> DataFrame:
@@ -264,29 +276,50 @@ def with_duplicate_flags(jobs: DataFrame) -> DataFrame:
     """
     df = jobs if {"CanonicalURLKey", "CompanyTitleLocationKey"} <= set(jobs.columns) else with_keys(jobs)
     for key, name in (("CanonicalURLKey", "_by_url"), ("CompanyTitleLocationKey", "_by_place")):
-        many = df.where(F.col(key) != "").groupBy(F.col(key).alias("_k")).agg(F.count("*").alias("_n")).where("_n > 1").select("_k", F.lit(True).alias(name))
-        df = df.withColumn("_k", spread_key(F.col(key), "seq")).join(many, "_k", "left").drop("_k")
+        # keys begin alike: with a hash before them they are sorted by that
+        many = df.where(F.col(key) != "").groupBy(F.xxhash64(key).alias("_h"), F.col(key).alias("_k")).agg(F.count("*").alias("_n")).where("_n > 1").select("_h", "_k", F.lit(True).alias(name))
+        df = df.withColumn("_k", spread_key(F.col(key), "seq")).withColumn("_h", F.xxhash64("_k")).join(many, ["_h", "_k"], "left").drop("_h", "_k")
     url, place = F.coalesce("_by_url", F.lit(False)), F.coalesce("_by_place", F.lit(False))
     reason = F.when(url & place, "Both canonical URL and company/title/location").when(url, "Same canonical URL").when(place, "Same company/title/location").otherwise("")
     group = F.when(url & place, F.concat_ws(" | ", "CanonicalURLKey", "CompanyTitleLocationKey")).when(url, F.col("CanonicalURLKey")).when(place, F.col("CompanyTitleLocationKey")).otherwise("")
-    return df.withColumns({"DuplicateReason": reason, "DuplicateGroupKey": group, "PossibleDuplicate": reason != ""}).drop("_by_url", "_by_place")
+    return df.withColumns({"DuplicateReason": reason, "DuplicateGroupKey": group, "PossibleDuplicate": url | place}).drop("_by_url", "_by_place")
 
 
 def with_quality(jobs: DataFrame) -> DataFrame:
     """ExportQualityFlag, ExportQualityIssues, MissingRequiredFields, DescriptionLength, URLValid and ApplyURLHost."""
-    blank = lambda c: text.clean(F.col(c)) == ""
+    return rated(with_row_facts(with_text_facts(jobs)))
+
+
+def _blank(c: str) -> Column:
+    return (text.clean(F.col(c)) == "").alias(f"no_{c}_")
+
+
+def with_text_facts(texts: DataFrame) -> DataFrame:
+    """What quality reads of a posting's texts: DescriptionLength, and whether title and description are blank."""
     length = (F.octet_length(F.encode(text.clean(F.col("Description")), "UTF-16BE")) / 2).cast("long")
-    df = jobs.withColumns({"DescriptionLength": length, "URLValid": text.is_web_url(F.col("URL")), "ApplyURLHost": text.url_host(F.col("URL"))})
-    bad = _named([("Missing Title", blank("Title")), ("Missing URL", blank("URL")), ("Invalid URL", ~blank("URL") & ~F.col("URLValid"))])
-    review = _named([
-        ("Missing Company", blank("Company")), ("Missing Description", blank("Description")), ("Description under 100 characters", F.col("DescriptionLength").between(1, 99)),
+    return pinned(texts, "facts_", F.struct(length.alias("DescriptionLength"), _blank("Title"), _blank("Description"))).select("*", "facts_.*").drop("facts_")
+
+
+def with_row_facts(jobs: DataFrame) -> DataFrame:
+    """What quality reads of the rest: URLValid, ApplyURLHost, and whether company, address and ATS are blank."""
+    df = with_host(jobs)
+    facts = F.struct(text.is_web_of(F.col("url_"), F.col("host_")).alias("URLValid"), F.coalesce(F.lower("host_"), F.lit("")).alias("ApplyURLHost"), (F.col("url_") == "").alias("no_URL_"), _blank("Company"), _blank("ATS"))
+    return pinned(df, "facts_", facts).select("*", "facts_.*").drop("facts_", "url_", "host_")
+
+
+def rated(jobs: DataFrame) -> DataFrame:
+    """The quality of rows that have both kinds of facts."""
+    no = lambda c: F.col(f"no_{c}_")
+    bad = [("Missing Title", no("Title")), ("Missing URL", no("URL")), ("Invalid URL", ~no("URL") & ~F.col("URLValid"))]
+    review = [
+        ("Missing Company", no("Company")), ("Missing Description", no("Description")), ("Description under 100 characters", F.col("DescriptionLength").between(1, 99)),
         ("RemoteStatus Unknown", F.col("RemoteStatus") == "Unknown"), ("Possible duplicate", F.col("PossibleDuplicate")),
-    ])
-    df = pinned(pinned(df, "_bad", bad), "_review", review)
-    flag = F.when(F.size("_bad") > 0, "BAD_ROW").when(F.size("_review") > 0, "REVIEW").otherwise("OK")
-    issues = F.array_join(F.when(F.size("_bad") > 0, F.col("_bad")).otherwise(F.col("_review")), " | ")
-    missing = F.array_join(_named([(c, blank(c)) for c in ("Company", "Title", "URL", "ATS")]), " | ")
-    return df.withColumns({"ExportQualityFlag": flag, "ExportQualityIssues": issues, "MissingRequiredFields": missing}).drop("_bad", "_review")
+    ]
+    some = lambda pairs: reduce(or_, (c for _, c in pairs))
+    flag = F.when(some(bad), "BAD_ROW").when(some(review), "REVIEW").otherwise("OK")
+    issues = F.array_join(F.when(some(bad), _named(bad)).otherwise(_named(review)), " | ")
+    missing = F.array_join(_named([(c, no(c)) for c in ("Company", "Title", "URL", "ATS")]), " | ")
+    return jobs.withColumns({"ExportQualityFlag": flag, "ExportQualityIssues": issues, "MissingRequiredFields": missing}).drop(*[f"no_{c}_" for c in ("Title", "Description", "Company", "URL", "ATS")])
 
 
 def with_fit(jobs: DataFrame) -> DataFrame:
@@ -368,11 +401,16 @@ def repeated_texts(jobs: DataFrame, most: int = MOST_TEXTS) -> DataFrame | None:
     return found if found.count() <= most else None
 
 
+def _numbered_texts(jobs: DataFrame, texts: DataFrame, *more: Column) -> DataFrame:
+    """jobs with the number of their texts and more of them in the texts' place; the texts themselves aren't shuffled."""
+    numbers = F.broadcast(texts.select("text_", *[F.col(c).alias(f"{c}_") for c in TEXTS], *more))
+    return jobs.join(numbers, [jobs[c].eqNullSafe(F.col(f"{c}_")) for c in TEXTS]).drop(*TEXTS, *[f"{c}_" for c in TEXTS])
+
+
 def _flagged(jobs: DataFrame, texts: DataFrame, known: DataFrame) -> DataFrame:
-    """jobs with duplicate flags and the columns of known, one of whose rows goes with each text; the texts themselves aren't shuffled."""
-    numbers = F.broadcast(texts.select("text_", *[F.col(c).alias(f"{c}_") for c in TEXTS], _title_part().alias("title_part_"), _location_part().alias("location_part_")))
-    rows = jobs.join(numbers, [jobs[c].eqNullSafe(F.col(f"{c}_")) for c in TEXTS])
-    rows = _place_and_url(rows, F.col("title_part_"), F.col("location_part_")).drop(*TEXTS, *[f"{c}_" for c in TEXTS], "title_part_", "location_part_")
+    """jobs with duplicate flags, the facts of their rows and the columns of known, one of whose rows goes with each text."""
+    rows = _numbered_texts(jobs, texts, _title_part().alias("title_part_"), _location_part().alias("location_part_"))
+    rows = with_row_facts(_place_and_url(with_host(rows), F.col("title_part_"), F.col("location_part_"))).drop("title_part_", "location_part_")
     # three readers follow: the counts by either key, and the rows
     return with_duplicate_flags(with_job_key(stored(rows, "keys"))).join(F.broadcast(known), "text_")
 
@@ -382,7 +420,16 @@ def graded(jobs: DataFrame, most: int = MOST_TEXTS) -> DataFrame:
     texts = repeated_texts(jobs, most)
     if texts is None:
         return with_quality(with_duplicate_flags(with_arrangement(jobs)))
-    return with_quality(_flagged(jobs, texts, with_arrangement(texts).checkpoint())).drop("text_")
+    return rated(_flagged(jobs, texts, with_text_facts(with_arrangement(texts)).checkpoint())).drop("text_")
+
+
+def described(jobs: DataFrame, most: int = MOST_TEXTS) -> DataFrame:
+    """jobs with all that their texts alone decide: title match and review, arrangement and pay. Rows are read twice and not shuffled."""
+    texts = repeated_texts(jobs, most)
+    if texts is None:
+        return with_salary(with_arrangement(with_titles(jobs))).drop("_fit")
+    known = with_salary(with_arrangement(with_titles(texts))).drop("_fit").checkpoint()
+    return _numbered_texts(jobs, texts).join(F.broadcast(known), "text_").drop("text_")
 
 
 def enriched(jobs: DataFrame, most: int = MOST_TEXTS) -> DataFrame:
@@ -393,11 +440,11 @@ def enriched(jobs: DataFrame, most: int = MOST_TEXTS) -> DataFrame:
     texts = repeated_texts(jobs, most)
     if texts is None:
         return with_fit(with_quality(with_salary(with_arrangement(with_titles(with_duplicate_flags(jobs), jobs)))))
-    known = with_salary(with_arrangement(with_titles(texts))).checkpoint()
+    known = with_text_facts(with_salary(with_arrangement(with_titles(texts)))).checkpoint()
     outcomes = known.withColumn("ExportQualityFlag", F.explode(F.array(*map(F.lit, fixed.QUALITY_RANK)))).withColumn("PossibleDuplicate", F.explode(F.array(F.lit(True), F.lit(False))))
     by = ["text_", "ExportQualityFlag", "PossibleDuplicate"]
     scores = with_fit(outcomes).select(*by, *FIT).checkpoint()
-    return with_quality(_flagged(jobs, texts, known.drop("_fit"))).join(F.broadcast(scores), by).drop("text_")
+    return rated(_flagged(jobs, texts, known.drop("_fit"))).join(F.broadcast(scores), by).drop("text_")
 
 
 def dedupe_keys(jobs: DataFrame) -> DataFrame:
