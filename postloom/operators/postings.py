@@ -459,14 +459,24 @@ def dedupe_keys(jobs: DataFrame) -> DataFrame:
 def components(keyed: DataFrame, id_col: str = "seq") -> DataFrame:
     """(id, component): rows that share keys, directly or over others, get the smallest id among them.
 
-    Every key links its rows to its smallest; labels then spread in rounds, each a checkpoint that survives
-    lost executors. Few rows share keys, and only those take part.
+    Few rows share keys, and only those take part.
     """
     keyed = stored(keyed.select(id_col, "keys"), "keyed")
-    links = keyed.select(F.col(id_col).alias("id"), F.explode("keys").alias("key"))
+    found = linked(keyed.select(F.col(id_col).alias("id"), F.explode("keys").alias("key")))
+    return keyed.select(F.col(id_col).alias("id")).join(found, "id", "left").select("id", F.coalesce("component", "id").alias("component"))
+
+
+def linked(links: DataFrame) -> DataFrame:
+    """(id, component) of the rows of (id, key) that share a key with others. links are read twice, so they should be stored.
+
+    The head of a key is its smallest row. A row with one head goes with it; where a row has several, the heads are linked, and only their
+    labels spread in rounds, each a checkpoint that survives lost executors.
+    """
     heads = links.groupBy("key").agg(F.min("id").alias("head"), F.count("*").alias("n")).where("n > 1").select("key", "head")
-    edges = links.join(heads, "key").select("id", "head").where("id <> head").distinct()
-    edges = edges.union(edges.select(F.col("head"), F.col("id"))).toDF("id", "other").checkpoint()
+    own = links.join(heads, "key").groupBy("id").agg(F.collect_set("head").alias("heads"))
+    own = stored(own.select("id", F.array_min("heads").alias("first"), F.when(F.size("heads") > 1, F.col("heads")).alias("heads")), "heads")
+    edges = own.where("heads is not null").select(F.explode("heads").alias("id"), "first").where("id <> first").distinct()
+    edges = edges.union(edges.select("first", "id")).toDF("id", "other").checkpoint()
     label = edges.select("id").distinct().withColumn("label", F.col("id"))
     while True:
         near = edges.join(label.toDF("other", "near"), "other").groupBy("id").agg(F.min("near").alias("near"))
@@ -477,7 +487,7 @@ def components(keyed: DataFrame, id_col: str = "seq") -> DataFrame:
         label = step.select("id", F.col("next").alias("label"))
         if not changed:
             break
-    return keyed.select(F.col(id_col).alias("id")).join(label, "id", "left").select("id", F.coalesce("label", "id").alias("component"))
+    return own.select("id", "first").join(label.toDF("first", "label"), "first", "left").select("id", F.coalesce("label", "first").alias("component"))
 
 
 #: What dedupe_keys() and preference() read.

@@ -121,19 +121,35 @@ _MEMBERS = _MEMBERS.replace("lower(Company), lower(Title), seq)", "lower(Company
 
 
 def slice_rows(spark, sf_dir: str) -> DataFrame:
-    """A posting in each of its slices; the postings are stored, as all that follows reads them again."""
-    own = enriched(spark, sf_dir).select("seq", "TitleReviewBucket", *P.KEYED_BY, *P.PREFERRED_BY)
-    return stored(own, "postings").withColumn("SliceName", F.explode(deduped_slices()))
+    """Postings with the numbers of their slices; stored, as all that follows reads them again."""
+    own = enriched(spark, sf_dir).select("seq", *P.KEYED_BY, *P.PREFERRED_BY, F.transform(deduped_slices(), lambda n: F.array_position(F.array(*map(F.lit, DEDUPED)), n)).alias("slices"))
+    return stored(own, "postings")
+
+
+def _within(number, seq):
+    """A slice's number, or one made of it, before a posting's, in one long."""
+    return F.shiftleft(number.cast("long"), 48).bitwiseOR(seq)
 
 
 def slice_winners(rows: DataFrame) -> DataFrame:
-    """SliceName, seq, component, DedupeRank and DedupeGroupSize of rows (a posting in each of its slices): components found within their slices, and ranks in them."""
-    number = F.array_position(F.array(*map(F.lit, DEDUPED)), F.col("SliceName")).cast("long")
-    rows = rows.withColumn("id", F.shiftleft(number, 48).bitwiseOR(F.col("seq")))
-    comp = P.components(P.dedupe_keys(rows).select("id", F.transform("keys", lambda k: F.concat_ws("~", "SliceName", k)).alias("keys")), "id")
-    df = rows.join(comp, "id").withColumn("component", F.col("component").bitwiseAND(F.lit((1 << 48) - 1)))
-    ranks = ranked_within(df.select("SliceName", "component", *P.PREFERRED_BY, "seq"), ["SliceName", "component"], P.preference(), ["SliceName", "seq", "component"])
-    return ranks.withColumnsRenamed({"rank": "DedupeRank", "size": "DedupeGroupSize"})
+    """SliceName, seq, component, DedupeRank and DedupeGroupSize of rows in each of their slices: components found within the slices, and ranks in them.
+
+    What doesn't depend on the slice comes before a posting is dealt to its slices: its place in the order of preference, and the keys that it shares
+    with any other, each as the smallest posting that has it and its kind. Slices then move only numbers.
+    """
+    texts = P.dedupe_keys(rows).select("seq", "slices", F.explode("keys").alias("key")).withColumn("hash", F.xxhash64("key"))
+    shared = texts.groupBy("hash", "key").agg(F.min("seq").alias("head"), F.count("*").alias("n")).where("n > 1")
+    kind = F.when(F.startswith("key", F.lit("duplicate:")), 0).when(F.startswith("key", F.lit("canonical:")), 1).otherwise(2)
+    keys = stored(texts.join(shared, ["hash", "key"]).select("seq", "slices", "head", kind.alias("kind")), "keys")
+    links = keys.select("seq", "head", "kind", F.explode("slices").alias("slice"))
+    comp = P.linked(links.select(_within(F.col("slice"), F.col("seq")).alias("id"), _within(F.col("slice") * 4 + F.col("kind"), F.col("head")).alias("key")))
+    placed = numbered(rows.select("slices", *P.PREFERRED_BY, "seq"), P.preference()).select("seq", "place", F.explode("slices").alias("slice"))
+    members = stored(placed.select(_within(F.col("slice"), F.col("seq")).alias("id"), "place").join(comp, "id", "left"), "members")
+    ranks = ranked_within(members.where("component is not null"), ["component"], ["place"], ["id", "component"])
+    alone = members.where("component is null").select("id", F.col("id").alias("component"), F.lit(1).cast("long").alias("rank"), F.lit(1).cast("long").alias("size"))
+    seq = lambda c: F.col(c).bitwiseAND(F.lit((1 << 48) - 1)).alias("seq" if c == "id" else c)
+    name = F.element_at(F.array(*map(F.lit, DEDUPED)), F.shiftright("id", 48).cast("int"))
+    return ranks.union(alone).select(name.alias("SliceName"), seq("id"), seq("component"), F.col("rank").alias("DedupeRank"), F.col("size").alias("DedupeGroupSize"))
 
 
 @query(f"with recursive {_MEMBERS} select SliceName, seq, component, DedupeRank, DedupeGroupSize from won")
