@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from postloom.functions import fixed, text
-from postloom.functions.folders import ensure_checkpoints
+from postloom.functions.folders import ensure_checkpoints, stored
 from postloom.operators import postings as P
 from postloom.operators.ordering import first_values, spread_key
 from postloom.plans import views
@@ -344,8 +344,9 @@ _tiers = ["A", "B", "C", "D", "F"]
 @query(f"with {ENRICHED}, dim as (select unnest({_list(_tiers)}) as WriterFitTier) select WriterFitTier, count(e.seq) as Count, min(WriterFitScore)::bigint as MinScore, max(WriterFitScore)::bigint as MaxScore, round(avg(WriterFitScore), 2) as AverageScore, "
        "coalesce(array_to_string(list_sort(list(distinct nullif(Title, '')))[1:10], ' | '), '') as ExampleTitles from dim left join e using (WriterFitTier) group by 1")
 def a7_fit_tier_summary(spark, sf_dir):
-    # a row for each tier and title, from which both the counts and the titles come
+    # a row for each tier and title, from which both the counts and the titles come: stored, or the postings would be worked out for either
     rows = enriched(spark, sf_dir).groupBy("WriterFitTier", "Title").agg(F.count("*").alias("n"), F.min("WriterFitScore").alias("low"), F.max("WriterFitScore").alias("high"), F.sum("WriterFitScore").alias("sum"))
+    rows = stored(rows, "tiers")
     found = rows.groupBy("WriterFitTier").agg(F.sum("n").alias("Count"), F.min("low").cast("long").alias("MinScore"), F.max("high").cast("long").alias("MaxScore"), F.round(F.sum("sum") / F.sum("n"), 2).alias("AverageScore"))
     out = dimension(spark, "WriterFitTier", _tiers).join(found, "WriterFitTier", "left").join(first_values(rows, ["WriterFitTier"], "Title", "ExampleTitles"), "WriterFitTier", "left")
     return out.na.fill(0, ["Count"]).na.fill("", ["ExampleTitles"]).drop("place")

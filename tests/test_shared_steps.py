@@ -22,6 +22,10 @@ def test_facts_of_rows_are_stored(spark, name):
     assert "octet_length" not in own and "try_parse_url" not in own and "ParseUrl" not in own
 
 
+def test_tiers_read_stored_counts(spark):
+    assert "CanonicalURLKey" not in plan(spark, "a7_fit_tier_summary")
+
+
 def test_slices_move_numbers(spark):
     own = plan(spark, "w7_slice_components")
     assert "DuplicateGroupKey" not in own and "CanonicalURLKey" not in own
