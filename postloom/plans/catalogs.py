@@ -10,13 +10,14 @@ from postloom.operators import boards as B
 from postloom.operators import catalogs as K
 from postloom.operators import coverage as V
 from postloom.operators import dashboard as D
+from postloom.operators import postings as P
 from postloom.operators import urls as U
 from postloom.operators import variants as N
 from postloom.operators.counters import RunningSummary
 from postloom.plans import coverage, views
 from postloom.plans.boards import _C, _L, _STATE, SUPERSEDED, _health, batch_log, catalog, fetches, latest_time
 from postloom.plans.coverage import _BATCHES, log, public
-from postloom.plans.jobs import ENRICHED, enriched
+from postloom.plans.jobs import ENRICHED, jobs
 from postloom.sources import packages
 from postloom.streaming import superseding
 
@@ -388,7 +389,7 @@ def k12_package(spark, sf_dir):
 def p19_match_diagnostics(spark, sf_dir):
     """How each posting was matched: the columns of the matcher as they are, nothing is matched again."""
     columns = ["seq", "Title", "NormalizedTitle", "Company", "ATS", "BestCandidateTitle", "BestCandidateScore", "TitleMatchType", "MatchedWatchlistTitle", "MatchReason", "TitleReviewBucket", "RemoteStatus", "USRemoteEligible", "LocationRisk", "SalaryDetected", "SalaryMin", "SalaryMax"]
-    return enriched(spark, sf_dir).select(*columns).withColumn("BestCandidateScore", F.col("BestCandidateScore").cast("long"))
+    return P.described(jobs(spark, sf_dir)).select(*columns).withColumn("BestCandidateScore", F.col("BestCandidateScore").cast("long"))
 
 
 _FILES_OF = f"(select distinct BatchName, Status as File from ({views.plain(views.LOG)}) where seq % 37 < 12)"

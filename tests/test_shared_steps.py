@@ -26,6 +26,11 @@ def test_tiers_read_stored_counts(spark):
     assert "CanonicalURLKey" not in plan(spark, "a7_fit_tier_summary")
 
 
+def test_diagnostics_need_no_duplicates(spark):
+    own = plan(spark, "p19_match_diagnostics")
+    assert "CanonicalURLKey" not in own and "PossibleDuplicate" not in own
+
+
 def test_slices_move_numbers(spark):
     own = plan(spark, "w7_slice_components")
     assert "DuplicateGroupKey" not in own and "CanonicalURLKey" not in own
