@@ -60,18 +60,27 @@ u as (select coalesce(max(n), 0) as TopUnmatchedTitleCount from (select norm, co
 r as (select count(*) as JobsFetched, count(distinct nullif(norm, '')) as UniqueJobTitles, count(distinct case when TitleMatchType <> 'none' then nullif(norm, '') end) as MatchedUniqueJobTitles, count(distinct case when TitleMatchType = 'none' then nullif(norm, '') end) as UnmatchedUniqueJobTitles,
   coalesce(round(avg(BestCandidateScore), 2), 0) as AverageBestCandidateScore, {_counts(RUN_COUNTS)}, {_counts(COUNTS)}, {_scores} from e) select * from b, u, r""")
 def a1_run_summary(spark, sf_dir):
-    """All metrics of a run in one row; titles are grouped once more for the most frequent one without a match."""
-    e = enriched(spark, sf_dir)
-    title = F.nullif("NormalizedTitle", F.lit(""))
-    none = F.col("TitleMatchType") == "none"
-    # by title first: the counts of titles and of jobs then come from one pass over the rules
-    summary = e.agg(
-        F.count("*").alias("JobsFetched"), F.count_distinct(title).alias("UniqueJobTitles"), F.count_distinct(F.when(~none, title)).alias("MatchedUniqueJobTitles"), F.count_distinct(F.when(none, title)).alias("UnmatchedUniqueJobTitles"),
-        F.coalesce(F.round(F.avg("BestCandidateScore"), 2), F.lit(0.0)).alias("AverageBestCandidateScore"), *counted(RUN_COUNTS), *counted(COUNTS), *scores(),
+    """All metrics of a run in one row."""
+    read = ["NormalizedTitle", "TitleMatchType", "BestCandidateScore", "ExportQualityFlag", "PossibleDuplicate", "TitleReviewBucket", "RemoteStatus", "USRemoteEligible", "SalaryDetected", "WriterFitTier", "WriterFitGuardrailApplied", "WriterFitPenaltySignals", "WriterFitBaseScore", "WriterFitScore", "DuplicateGroupKey"]
+    e = stored(enriched(spark, sf_dir).select(*read), "run")
+    # by title first: the counts of titles and of jobs then come from one pass, and no row is copied for each kind of distinct values
+    conditions = RUN_COUNTS | COUNTS
+    titles = e.groupBy("NormalizedTitle").agg(
+        F.count("*").alias("n"), *counted(conditions), *[f(c).alias(f"{n}_{c}") for c in ("BestCandidateScore", "WriterFitScore") for n, f in (("sum", F.sum), ("n", F.count))], F.max("WriterFitScore").alias("most"),
     )
-    titles = P.with_titles(jobs(spark, sf_dir)).where(none).groupBy("NormalizedTitle").count().agg(F.coalesce(F.max("count"), F.lit(0)).alias("TopUnmatchedTitleCount"))
+    title, none = F.col("NormalizedTitle") != "", F.col("JobsNoTitleMatch")
+    average = lambda c: F.coalesce(F.round(F.try_divide(F.sum(f"sum_{c}"), F.sum(f"n_{c}")), 2), F.lit(0.0))
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0))
+    summary = titles.agg(
+        total("n").alias("JobsFetched"), F.count_if(title).alias("UniqueJobTitles"), F.count_if(title & (F.col("n") > none)).alias("MatchedUniqueJobTitles"), F.count_if(title & (none > 0)).alias("UnmatchedUniqueJobTitles"),
+        average("BestCandidateScore").alias("AverageBestCandidateScore"), *[total(n).alias(n) for n in conditions], average("WriterFitScore").alias("AverageWriterFitScore"), F.coalesce(F.max("most"), F.lit(0)).cast("long").alias("MaxWriterFitScore"),
+        F.coalesce(F.max(none), F.lit(0)).alias("TopUnmatchedTitleCount"),
+    )
+    groups = e.where("DuplicateGroupKey <> ''").select("DuplicateGroupKey").distinct().agg(F.count("*").alias("DuplicateGroupCount"))
     log = fetches(spark, sf_dir).agg(F.count("*").alias("BoardsAttempted"), *[F.count_if(F.col("Status") == s).alias(n) for s, n in (("success", "BoardsSucceeded"), ("failed", "BoardsFailed"), ("empty", "BoardsEmpty"))])
-    return F.broadcast(log).join(F.broadcast(titles)).join(summary)
+    found = F.broadcast(log).join(F.broadcast(groups)).join(summary)
+    shown = [c for c in summary.columns if c != "TopUnmatchedTitleCount"]
+    return found.select(*log.columns, "TopUnmatchedTitleCount", *shown, "DuplicateGroupCount")
 
 
 _supported = "|".join(fixed.ATS)

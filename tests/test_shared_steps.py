@@ -31,6 +31,11 @@ def test_diagnostics_need_no_duplicates(spark):
     assert "CanonicalURLKey" not in own and "PossibleDuplicate" not in own
 
 
+def test_run_summary_copies_no_rows(spark):
+    own = plan(spark, "a1_run_summary")
+    assert "Expand" not in own and "CanonicalURLKey" not in own
+
+
 def test_slices_move_numbers(spark):
     own = plan(spark, "w7_slice_components")
     assert "DuplicateGroupKey" not in own and "CanonicalURLKey" not in own
